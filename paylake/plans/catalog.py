@@ -6,10 +6,12 @@ Each query maps the test tables to the payments model
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from paylake import session
 from paylake.functions import rules as R
@@ -159,3 +161,368 @@ def q_rule_fraud_score(spark, d):
     return tx.select("id", rule.alias("rule_score"), "fraud_score").select(
         "id", "rule_score", "fraud_score",
         (F.abs(F.col("fraud_score") - F.col("rule_score")) <= F.lit(0.05)).alias("within_noise"))
+
+
+# --- data quality -------------------------------------------------------------------
+
+from paylake.operators import features as FE  # noqa: E402
+from paylake.operators import metrics as M  # noqa: E402
+from paylake.operators import model as ML  # noqa: E402
+from paylake.operators import quality as Q  # noqa: E402
+from paylake.operators import upsert as U  # noqa: E402
+from paylake.streaming import cdc, consumer  # noqa: E402
+
+
+def _tables(spark, d) -> dict[str, DataFrame]:
+    return {"transactions": _tx(spark, d), "customers": fx.customers(spark, d),
+            "merchants": fx.merchants(spark, d), "refunds": fx.refunds(spark, d)}
+
+
+def _refs(spark) -> dict[str, DataFrame]:
+    return {"currencies": reference.currencies(spark), "countries": reference.countries(spark),
+            "payment_methods": reference.payment_methods(spark)}
+
+
+@register("dq_not_null")
+def q_dq_not_null(spark, d):
+    return Q.not_null(_tables(spark, d))
+
+
+@register("dq_checks")
+def q_dq_checks(spark, d):
+    return Q.value_checks(_tables(spark, d))
+
+
+@register("dq_unique_keys")
+def q_dq_unique_keys(spark, d):
+    return Q.unique_keys(_tables(spark, d))
+
+
+@register("dq_foreign_keys")
+def q_dq_foreign_keys(spark, d):
+    return Q.foreign_keys(_tables(spark, d), _refs(spark))
+
+
+CHANGE_FIELDS = ["customer_id", "merchant_id", "currency_code", "amount", "status", "device_type",
+                 "fraud_score", "created_at"]
+CHANGE_STATE = ("id bigint, customer_id bigint, merchant_id bigint, currency_code string, amount double, "
+                "status string, device_type string, fraud_score double, created_at timestamp_ntz")
+CHANGE_CUTOFF = "1998-06-01 00:00:00"
+
+
+def _changes(spark, d) -> DataFrame:
+    return fx.tx_changes(spark, d).withColumn("created_at", F.col("_ts"))
+
+
+def _fold_changes(ch: DataFrame) -> DataFrame:
+    return U.fold(ch, "id", CHANGE_FIELDS, ["_ts", "_seq"], {"device_type": "device_type__present"})
+
+
+@register("audit_snapshot_diff")
+def q_audit_snapshot_diff(spark, d):
+    """Audit rows between the change-log state at the cutoff and now."""
+    ch = _changes(spark, d)
+    old = U.flatten(_fold_changes(ch.filter(F.col("_ts") < F.lit(CHANGE_CUTOFF).cast("timestamp_ntz"))),
+                    "id", CHANGE_FIELDS)
+    new = U.flatten(_fold_changes(ch), "id", CHANGE_FIELDS)
+    return Q.snapshot_diff(old, new, "id", "transactions")
+
+
+# --- lake writers -------------------------------------------------------------------
+
+@register("export_partition_counts")
+def q_export_partition_counts(spark, d):
+    """Export by day, re-export the newest day (idempotent), count per partition."""
+    tx = _tx(spark, d)
+    path = session.work_path(spark, "export/transactions")
+    lake.export_partition(tx, path)
+    newest = tx.select(F.to_date(F.max("created_at"))).first()[0]
+    lake.export_partition(tx, path, start=str(newest), end=str(newest + datetime.timedelta(days=1)))
+    schema = StructType(tx.schema.fields + [StructField(c, StringType()) for c in ("year", "month", "day")])
+    back = spark.read.schema(schema).parquet(path)
+    return back.groupBy("year", "month", "day").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum(F.col("amount").cast("decimal(12,2)")).cast("double").alias("total_amount"))
+
+
+@register("snapshot_roundtrip")
+def q_snapshot_roundtrip(spark, d):
+    root = session.work_path(spark, "snapshot/transactions")
+    lake.export_snapshot(_tx(spark, d), root, "1")
+    return lake.read_snapshot(spark, root)
+
+
+INSERT_CUTOFF = "2023-07-01 00:00:00"
+
+
+@register("insert_if_absent")
+def q_insert_if_absent(spark, d):
+    """A later customer load (updated_at + 1 day, repeated rows) inserted without touching existing ids."""
+    c = fx.customers(spark, d)
+    existing = c.filter(F.col("created_at") < F.lit(INSERT_CUTOFF).cast("timestamp_ntz"))
+    incoming = c.withColumn("updated_at", F.col("updated_at") + F.expr("INTERVAL 1 DAY"))
+    return lake.insert_if_absent(existing, incoming.unionByName(incoming), "id")
+
+
+CDC_MARK = ("2000-01-01 00:00:00", 0)
+
+
+@register("cdc_incremental_read")
+def q_cdc_incremental_read(spark, d):
+    """Rows after a stored (created_at, id) mark, routed to their topic."""
+    tx = _tx(spark, d)
+    inc = lake.read_since(tx, CDC_MARK[0], CDC_MARK[1])
+    return inc.select("id", "created_at", "fraud_score", R.route_topic("fraud_score").alias("topic"))
+
+
+@register("cdc_messages")
+def q_cdc_messages(spark, d):
+    """Keyed JSON messages, decoded again to check every field survives."""
+    msgs = cdc.to_messages(_tx(spark, d))
+    ev = F.from_json("value", consumer.EVENT_SCHEMA)
+    return msgs.select("topic", "key", *[ev[f].alias(f) for f in consumer.EVENT_FIELDS])
+
+
+# --- upsert -------------------------------------------------------------------------
+
+@register("upsert_current")
+def q_upsert_current(spark, d):
+    """Change log applied in three time-ordered batches to the bucketed state table."""
+    ch = _changes(spark, d)
+    table = U.UpsertTable(spark, session.work_path(spark, "upsert/current"), "id", CHANGE_STATE, buckets=8)
+    cuts = ["1997-01-01 00:00:00", CHANGE_CUTOFF]
+    bounds = [None] + cuts + [None]
+    for i in range(len(bounds) - 1):
+        part = ch
+        if bounds[i]:
+            part = part.filter(F.col("_ts") >= F.lit(bounds[i]).cast("timestamp_ntz"))
+        if bounds[i + 1]:
+            part = part.filter(F.col("_ts") < F.lit(bounds[i + 1]).cast("timestamp_ntz"))
+        table.apply(_fold_changes(part), batch_id=i)
+    return table.read()
+
+
+@register("upsert_patch")
+def q_upsert_patch(spark, d):
+    """One merge: state before the cutoff patched with the later changes, with the operation per id."""
+    ch = _changes(spark, d)
+    cut = F.lit(CHANGE_CUTOFF).cast("timestamp_ntz")
+    state = U.flatten(_fold_changes(ch.filter(F.col("_ts") < cut)), "id", CHANGE_FIELDS)
+    patch = _fold_changes(ch.filter(F.col("_ts") >= cut))
+    return U.merge(state, patch, "id", CHANGE_FIELDS, with_op=True)
+
+
+# --- streams ------------------------------------------------------------------------
+
+_STREAM_RUNS: dict[tuple, consumer.ConsumerSink] = {}
+
+
+def _write_ordered_batches(msgs: DataFrame, path: str, batches: int = 3) -> None:
+    """Write messages as ``batches`` files in event-time order (one append each)."""
+    probs = [i / batches for i in range(1, batches)]
+    ts_num = F.col("event_ts").cast("timestamp").cast("double")
+    cuts = msgs.select(F.percentile_approx(ts_num, probs, 10000)).first()[0]  # batches-1 numbers
+    bounds = [None] + list(cuts) + [None]
+    for i in range(batches):
+        part = msgs
+        if bounds[i] is not None:
+            part = part.filter(ts_num >= bounds[i])
+        if bounds[i + 1] is not None:
+            part = part.filter(ts_num < bounds[i + 1])
+        part.coalesce(1).write.mode("append").parquet(path)
+
+
+def run_consumer(spark, msgs: DataFrame, name: str, batches: int = 3) -> consumer.ConsumerSink:
+    """Drive the consumer stream over ``msgs`` to completion (availableNow)."""
+    root = session.work_path(spark, f"stream/{name}")
+    _write_ordered_batches(msgs.select(*[c.split()[0] for c in consumer.MESSAGE_SCHEMA.split(", ")]),
+                           f"{root}/source", batches)
+    sink = consumer.ConsumerSink(spark, f"{root}/sink", buckets=8)
+    q = consumer.start(spark, consumer.file_source(spark, f"{root}/source"), sink,
+                       f"{root}/checkpoint", {"availableNow": True})
+    q.awaitTermination()
+    return sink
+
+
+def _event_stream(spark, d) -> consumer.ConsumerSink:
+    key = (id(spark.sparkContext), d, "events")
+    if key not in _STREAM_RUNS:
+        _STREAM_RUNS[key] = run_consumer(spark, fx.tx_events(spark, d), "events")
+    return _STREAM_RUNS[key]
+
+
+@register("stream_validate")
+def q_stream_validate(spark, d):
+    v = consumer.validate(fx.tx_events(spark, d))
+    return v.select(F.col("key").alias("id"), "topic", "is_valid")
+
+
+@register("stream_quarantine")
+def q_stream_quarantine(spark, d):
+    return _event_stream(spark, d).quarantine().select("key", "topic", "reason")
+
+
+@register("stream_dispatch")
+def q_stream_dispatch(spark, d):
+    sink = _event_stream(spark, d)
+    parts = [(name, df) for name, df in [("transactions", sink.transactions.read()),
+                                         ("fraud_alerts", sink.alerts.read()),
+                                         ("logs", sink.logs()), ("quarantine", sink.quarantine())]]
+    from functools import reduce
+    return reduce(DataFrame.unionByName, [df.agg(F.lit(n).alias("collection"), F.count(F.lit(1)).alias("n_docs"))
+                                          for n, df in parts])
+
+
+@register("alert_log")
+def q_alert_log(spark, d):
+    return _event_stream(spark, d).logs().select("type", "transaction_id", "fraud_score", "amount", "currency")
+
+
+@register("stream_upsert")
+def q_stream_upsert(spark, d):
+    """The change log streamed in three micro-batches into the current-state table."""
+    sink = run_consumer(spark, fx.tx_change_messages(spark, d), "changes")
+    return sink.transactions.read()
+
+
+# --- features and metrics on fixed scores ----------------------------------------------
+
+@register("features")
+def q_features(spark, d):
+    f = FE.build(_tx(spark, d))
+    return f.withColumn("amount_log", F.col("amount_log").cast("decimal(18,9)").cast("double"))
+
+
+@register("label_balance")
+def q_label_balance(spark, d):
+    return FE.label_balance(FE.build(_tx(spark, d)))
+
+
+@register("class_weights")
+def q_class_weights(spark, d):
+    return FE.class_weights(FE.build(_tx(spark, d)))
+
+
+@register("score_defaults")
+def q_score_defaults(spark, d):
+    rec = _tx(spark, d).select("id", "amount", "currency_code", "device_type", "ip_country", "status")
+    return FE.score_defaults(rec, as_of="2024-01-01 00:00:00")
+
+
+def _rule_scored(spark, d) -> DataFrame:
+    """Noise-free rule score as the prediction, suspected flag as the label."""
+    tx = _tx(spark, d)
+    return tx.select(R.fraud_score("amount", "device_type", "ip_country", F.hour("created_at"), "status")
+                     .alias("score"),
+                     R.is_suspected("fraud_score").cast("int").alias("label"))
+
+
+@register("eval_auc")
+def q_eval_auc(spark, d):
+    return M.roc_pr(_rule_scored(spark, d), "score", "label")
+
+
+@register("confusion_matrix")
+def q_confusion_matrix(spark, d):
+    s = _rule_scored(spark, d).withColumn("prediction", (F.col("score") > 0.5).cast("int"))
+    return M.confusion_matrix(s)
+
+
+@register("classification_report")
+def q_classification_report(spark, d):
+    s = _rule_scored(spark, d).withColumn("prediction", (F.col("score") > 0.5).cast("int"))
+    return M.classification_report(s)
+
+
+@register("risk_bands")
+def q_risk_bands(spark, d):
+    return M.risk_band_counts(_rule_scored(spark, d).withColumnRenamed("score", "fraud_proba"))
+
+
+# --- trained model (rows-only checks) -----------------------------------------------
+
+QUERY_FOREST = {"numTrees": 20}
+
+
+def _registry(spark) -> ML.Registry:
+    return ML.Registry(spark, session.work_path(spark, "models", unique=False))
+
+
+def _model_name(d: str) -> str:
+    import hashlib
+    return "fraud-detector-" + hashlib.sha1(d.encode()).hexdigest()[:8]
+
+
+def _trained(spark, d, force: bool = False):
+    reg, name = _registry(spark), _model_name(d)
+    if not force and reg.latest(name) is not None:
+        model, thr = reg.load(name)
+        return model, thr, None
+    model, test_pred, thr = ML.train(_tx(spark, d), QUERY_FOREST)
+    ev = {r["metric"]: r["value"] for r in ML.evaluate(test_pred).collect()}   # 5 rows
+    reg.save(name, model, thr, QUERY_FOREST, ev)
+    return model, thr, test_pred
+
+
+@register("stratified_split")
+def q_stratified_split(spark, d):
+    f = ML.with_split(FE.build(_tx(spark, d)))
+    return f.groupBy("split", FE.D.LABEL_COLUMN).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("train_model")
+def q_train_model(spark, d):
+    _, _, test_pred = _trained(spark, d, force=True)
+    return ML.evaluate(test_pred)
+
+
+@register("cv_folds")
+def q_cv_folds(spark, d):
+    mean, std, counts = ML.cross_validate(_tx(spark, d), QUERY_FOREST)
+    return counts.withColumns({"cv_roc_auc_mean": F.lit(mean), "cv_roc_auc_std": F.lit(std).cast("double")})
+
+
+@register("feature_importance")
+def q_feature_importance(spark, d):
+    model, _, _ = _trained(spark, d)
+    return ML.feature_importance(model, spark)
+
+
+@register("score_batch")
+def q_score_batch(spark, d):
+    """Latest registered model scores every transaction (records without created_at/fraud_score)."""
+    model, thr, _ = _trained(spark, d)
+    rec = _tx(spark, d).select("id", "amount", "currency_code", "device_type", "ip_country", "status")
+    return ML.score(model, rec, thr, as_of="2024-01-01 00:00:00")
+
+
+@register("risk_band_counts")
+def q_risk_band_counts(spark, d):
+    return M.risk_band_counts(q_score_batch(spark, d))
+
+
+@register("model_roundtrip")
+def q_model_roundtrip(spark, d):
+    """Save a fitted model as a new version, load "latest", score with it."""
+    model, thr, _ = _trained(spark, d)
+    reg, name = _registry(spark), _model_name(d) + "-copy"
+    reg.save(name, model, thr, QUERY_FOREST, {})
+    loaded, thr2 = reg.load(name, "latest")
+    return ML.score(loaded, _tx(spark, d), thr2)
+
+
+@register("stream_score")
+def q_stream_score(spark, d):
+    """Score the event stream in motion with the latest model (memory-free: Parquet sink)."""
+    model, thr, _ = _trained(spark, d)
+    root = session.work_path(spark, "stream/score")
+    msgs = fx.tx_events(spark, d).select("topic", "key", "value", "event_ts", "event_seq")
+    _write_ordered_batches(msgs, f"{root}/source")
+    src = consumer.file_source(spark, f"{root}/source")
+    valid = consumer.parse(consumer.validate(src).filter(F.col("is_valid")))
+    rec = valid.select("id", "amount", "currency_code", "created_at")
+    scored = ML.score(model, rec, thr)
+    q = (scored.writeStream.format("parquet").option("path", f"{root}/out")
+         .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/out")

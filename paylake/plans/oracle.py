@@ -74,6 +74,7 @@ CTES: dict[str, str] = {
   SELECT l_orderkey * 10 + l_linenumber AS id, l_shipdate AS _ts,
          CAST(floor(l_extendedprice) AS BIGINT) AS _p, l_partkey AS _k,
          l_partkey AS customer_id, l_suppkey AS merchant_id,
+         (['USD','EUR','GBP','JPY','CHF'])[l_orderkey % 5 + 1] AS currency_code,
          floor(l_extendedprice) / CAST(100.0 AS DOUBLE) AS amount,
          CASE l_returnflag WHEN 'A' THEN 'failed' WHEN 'R' THEN 'refunded' ELSE 'success' END AS status,
          CASE WHEN l_linestatus = 'O' THEN 'mobile' END AS device_type,
@@ -273,3 +274,239 @@ def sql(name: str) -> str:
 
 def all_sql() -> dict[str, str]:
     return {name: sql(name) for name in BODIES}
+
+
+# --- quality ----------------------------------------------------------------------------
+
+def _nn(table: str, cols: list[str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{c}' AS column_name, count(*) AS n_checked, "
+        f"CAST(count_if({c} IS NULL) AS BIGINT) AS n_violations FROM {table}" for c in cols)
+
+
+_NOT_NULL = {
+    "customers": ["id", "email_hash", "created_at", "updated_at"],
+    "merchants": ["id", "name", "created_at"],
+    "transactions": ["id", "customer_id", "merchant_id", "payment_method_id", "currency_code",
+                     "amount", "status", "created_at"],
+    "refunds": ["id", "transaction_id", "amount", "created_at"],
+}
+
+
+def _prec(col: str, p: int, s: int) -> str:
+    f = f"TRY_CAST({col} AS DECIMAL({p},{s}))"
+    return f"{col} IS NOT NULL AND ({f} IS NULL OR CAST({f} AS DOUBLE) <> {col})"
+
+
+_CHECKS = {
+    "transactions": {
+        "amount_positive": ("amount <= 0", "amount"),
+        "status_enum": ("status NOT IN ('success','failed','refunded','pending')", "status"),
+        "device_type_enum": ("device_type NOT IN ('mobile','desktop','tablet')", "device_type"),
+        "fraud_score_range": ("NOT (fraud_score BETWEEN 0 AND 1)", "fraud_score"),
+        "currency_code_length": ("length(currency_code) > 3", "currency_code"),
+        "ip_country_length": ("length(ip_country) > 2", "ip_country"),
+        "amount_precision": (_prec("amount", 12, 2), "amount"),
+        "fraud_score_precision": (_prec("fraud_score", 5, 4), "fraud_score"),
+    },
+    "refunds": {
+        "amount_positive": ("amount <= 0", "amount"),
+        "amount_precision": (_prec("amount", 12, 2), "amount"),
+        "reason_length": ("length(reason) > 100", "reason"),
+    },
+    "customers": {
+        "email_hash_length": ("length(email_hash) > 64", "email_hash"),
+        "country_code_length": ("length(country_code) > 2", "country_code"),
+    },
+    "merchants": {
+        "name_length": ("length(name) > 100", "name"),
+        "category_length": ("length(category) > 50", "category"),
+        "country_code_length": ("length(country_code) > 2", "country_code"),
+    },
+}
+
+_UNIQUE = [("customers", "id"), ("customers", "email_hash"), ("merchants", "id"),
+           ("transactions", "id"), ("refunds", "id")]
+
+_CURRENCY_CODES = "('USD','EUR','GBP','JPY','CHF')"
+_COUNTRY_CODES = "('US','FR','DE','GB','JP','ES','IT','NL')"
+_FKS = [
+    ("transactions.customer_id -> customers", "transactions", "customer_id", "SELECT id FROM customers"),
+    ("transactions.merchant_id -> merchants", "transactions", "merchant_id", "SELECT id FROM merchants"),
+    ("transactions.payment_method_id -> payment_methods", "transactions", "payment_method_id",
+     "SELECT * FROM (VALUES (1), (2), (3)) v(id)"),
+    ("transactions.currency_code -> currencies", "transactions", "currency_code",
+     f"SELECT * FROM (VALUES {', '.join('(' + c + ')' for c in _CURRENCY_CODES[1:-1].split(','))}) v(id)"),
+    ("transactions.ip_country -> countries", "transactions", "ip_country",
+     f"SELECT * FROM (VALUES {', '.join('(' + c + ')' for c in _COUNTRY_CODES[1:-1].split(','))}) v(id)"),
+    ("customers.country_code -> countries", "customers", "country_code",
+     f"SELECT * FROM (VALUES {', '.join('(' + c + ')' for c in _COUNTRY_CODES[1:-1].split(','))}) v(id)"),
+    ("merchants.country_code -> countries", "merchants", "country_code",
+     f"SELECT * FROM (VALUES {', '.join('(' + c + ')' for c in _COUNTRY_CODES[1:-1].split(','))}) v(id)"),
+    ("refunds.transaction_id -> transactions", "refunds", "transaction_id", "SELECT id FROM transactions"),
+]
+
+
+def _fk(name, child, col, parent) -> str:
+    return (f"SELECT '{name}' AS constraint_name, "
+            f"(SELECT count({col}) FROM {child}) AS n_checked, "
+            f"CAST(count(*) AS BIGINT) AS n_violations, count(DISTINCT {col}) AS n_missing_keys "
+            f"FROM {child} WHERE {col} IS NOT NULL AND {col} NOT IN ({parent})")
+
+
+# --- change log fold ---------------------------------------------------------------------
+
+_ORD = "(_ts, _p, _k)"
+
+
+def _fold(where: str = "") -> str:
+    return f"""SELECT id,
+         arg_max(customer_id, {_ORD}) AS customer_id, arg_max(merchant_id, {_ORD}) AS merchant_id,
+         arg_max(currency_code, {_ORD}) AS currency_code, arg_max(amount, {_ORD}) AS amount,
+         arg_max(status, {_ORD}) AS status,
+         arg_max(device_type, {_ORD}) FILTER (WHERE device_present) AS device_type,
+         bool_or(device_present) AS device_seen,
+         arg_max(fraud_score, {_ORD}) AS fraud_score, max(_ts) AS created_at
+  FROM tx_changes {where} GROUP BY id"""
+
+
+_CHANGE_COLS = ["customer_id", "merchant_id", "currency_code", "amount", "status", "device_type",
+                "fraud_score", "created_at"]
+_CUTOFF = "TIMESTAMP '1998-06-01 00:00:00'"
+
+_RULE_SCORE = """LEAST(GREATEST(
+                   CASE WHEN amount > 4000 THEN 3500 WHEN amount > 2000 THEN 2000
+                        WHEN amount > 1000 THEN 1000 ELSE 0 END
+                 + CASE WHEN ip_country IN ('US','RU','CN','BR','NG') THEN 2000 ELSE 0 END
+                 + CASE WHEN hour(created_at) >= 22 OR hour(created_at) <= 6 THEN 1500 ELSE 0 END
+                 + CASE WHEN device_type = 'mobile' THEN 1000 ELSE 0 END
+                 + CASE WHEN status = 'failed' THEN 1500 ELSE 0 END, 0), 10000) / CAST(10000.0 AS DOUBLE)"""
+
+CTES["scored"] = f"""
+  SELECT {_RULE_SCORE} AS score, CASE WHEN fraud_score > 0.7 THEN 1 ELSE 0 END AS label FROM transactions"""
+
+CTES["feats"] = """
+  SELECT id, amount,
+         CAST(CAST(ln(1 + amount) AS DECIMAL(18,9)) AS DOUBLE) AS amount_log,
+         CASE WHEN amount > (SELECT quantile_cont(amount, 0.95) FROM transactions) THEN 1 ELSE 0 END AS is_high_amount,
+         CASE WHEN device_type = 'mobile' THEN 1 ELSE 0 END AS device_mobile,
+         CASE WHEN device_type = 'desktop' THEN 1 ELSE 0 END AS device_desktop,
+         CASE WHEN device_type = 'tablet' THEN 1 ELSE 0 END AS device_tablet,
+         CASE WHEN status = 'success' THEN 1 ELSE 0 END AS status_success,
+         CASE WHEN status = 'failed' THEN 1 ELSE 0 END AS status_failed,
+         CASE WHEN status = 'refunded' THEN 1 ELSE 0 END AS status_refunded,
+         CAST(hour(created_at) AS INTEGER) AS hour,
+         CAST(isodow(created_at) - 1 AS INTEGER) AS day_of_week,
+         CASE WHEN isodow(created_at) - 1 >= 5 THEN 1 ELSE 0 END AS is_weekend,
+         CASE WHEN hour(created_at) >= 22 OR hour(created_at) <= 6 THEN 1 ELSE 0 END AS is_night,
+         CASE WHEN ip_country IN ('US','RU','CN','BR','NG') THEN 1 ELSE 0 END AS high_risk_country,
+         CASE WHEN fraud_score > 0.7 THEN 1 ELSE 0 END AS is_fraud
+  FROM transactions WHERE amount IS NOT NULL AND created_at IS NOT NULL"""
+
+_CM = "SELECT label, CAST(score > 0.5 AS INTEGER) AS prediction, count(*) AS n FROM scored GROUP BY ALL"
+
+BODIES.update({
+    "dq_not_null": " UNION ALL ".join(_nn(t, c) for t, c in _NOT_NULL.items()),
+    "dq_checks": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{r}' AS rule, count({col}) AS n_checked, "
+        f"CAST(count_if({cond}) AS BIGINT) AS n_violations FROM {t}"
+        for t, rules in _CHECKS.items() for r, (cond, col) in rules.items()),
+    "dq_unique_keys": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{k}' AS key_column, CAST(coalesce(sum(c), 0) AS BIGINT) AS n_rows, "
+        f"count(*) AS n_distinct, CAST(count_if(c > 1) AS BIGINT) AS n_duplicated_keys "
+        f"FROM (SELECT {k}, count(*) AS c FROM {t} WHERE {k} IS NOT NULL GROUP BY {k}) _u"
+        for t, k in _UNIQUE),
+    "dq_foreign_keys": " UNION ALL ".join(_fk(*fk) for fk in _FKS),
+    "audit_snapshot_diff": f"""
+  SELECT 'transactions' AS table_name,
+         CASE WHEN o.id IS NULL THEN 'INSERT' WHEN n.id IS NULL THEN 'DELETE' ELSE 'UPDATE' END AS operation,
+         coalesce(n.id, o.id) AS record_id
+  FROM ({_fold(f"WHERE _ts < {_CUTOFF}")}) o FULL OUTER JOIN ({_fold()}) n ON o.id = n.id
+  WHERE o.id IS NULL OR n.id IS NULL OR
+        ({', '.join('o.' + c for c in _CHANGE_COLS)}) IS DISTINCT FROM ({', '.join('n.' + c for c in _CHANGE_COLS)})""",
+    "export_partition_counts": """
+  SELECT strftime(created_at, '%Y') AS year, strftime(created_at, '%m') AS month, strftime(created_at, '%d') AS day,
+         count(*) AS n_rows, CAST(SUM(CAST(amount AS DECIMAL(12,2))) AS DOUBLE) AS total_amount
+  FROM transactions GROUP BY ALL""",
+    "snapshot_roundtrip": "SELECT * FROM transactions",
+    "insert_if_absent": """
+  SELECT * FROM customers WHERE created_at < TIMESTAMP '2023-07-01 00:00:00'
+  UNION ALL
+  SELECT id, email_hash, country_code, created_at, updated_at + INTERVAL 1 DAY AS updated_at
+  FROM customers WHERE NOT (created_at < TIMESTAMP '2023-07-01 00:00:00')""",
+    "cdc_incremental_read": """
+  SELECT id, created_at, fraud_score,
+         CASE WHEN coalesce(fraud_score, 0) > 0.7 THEN 'fraud_alerts' ELSE 'transactions' END AS topic
+  FROM transactions
+  WHERE created_at > TIMESTAMP '2000-01-01 00:00:00'
+     OR (created_at = TIMESTAMP '2000-01-01 00:00:00' AND id > 0)""",
+    "cdc_messages": """
+  SELECT CASE WHEN coalesce(fraud_score, 0) > 0.7 THEN 'fraud_alerts' ELSE 'transactions' END AS topic,
+         CAST(id AS VARCHAR) AS key, CAST(id AS VARCHAR) AS id, CAST(customer_id AS VARCHAR) AS customer_id,
+         CAST(merchant_id AS VARCHAR) AS merchant_id, amount, currency_code, status, fraud_score,
+         device_type, ip_country, strftime(created_at, '%Y-%m-%dT%H:%M:%S') AS created_at
+  FROM transactions""",
+    "upsert_current": f"SELECT id, {', '.join(_CHANGE_COLS)} FROM ({_fold()}) _f",
+    "upsert_patch": f"""
+  SELECT coalesce(n.id, o.id) AS id,
+         {', '.join(f'CASE WHEN n.id IS NOT NULL THEN n.{c} ELSE o.{c} END AS {c}'
+                    for c in _CHANGE_COLS if c != 'device_type')},
+         CASE WHEN n.id IS NOT NULL AND n.device_seen THEN n.device_type ELSE o.device_type END AS device_type,
+         CASE WHEN o.id IS NULL THEN 'insert' WHEN n.id IS NULL THEN 'keep' ELSE 'update' END AS op
+  FROM ({_fold(f"WHERE _ts < {_CUTOFF}")}) o FULL OUTER JOIN ({_fold(f"WHERE _ts >= {_CUTOFF}")}) n ON o.id = n.id""",
+    "stream_validate": "SELECT id, topic, is_valid FROM tx_events",
+    "stream_quarantine": "SELECT id AS key, topic, 'missing_keys' AS reason FROM tx_events WHERE NOT is_valid",
+    "stream_dispatch": """
+  SELECT 'transactions' AS collection, count(*) AS n_docs FROM tx_events WHERE is_valid AND topic = 'transactions'
+  UNION ALL SELECT 'fraud_alerts', count(*) FROM tx_events WHERE is_valid AND topic = 'fraud_alerts'
+  UNION ALL SELECT 'logs', count(*) FROM tx_events WHERE is_valid AND topic = 'fraud_alerts'
+  UNION ALL SELECT 'quarantine', count(*) FROM tx_events WHERE NOT is_valid""",
+    "alert_log": """
+  SELECT 'fraud_alert' AS type, id AS transaction_id, fraud_score, amount, currency_code AS currency
+  FROM tx_events WHERE is_valid AND topic = 'fraud_alerts'""",
+    "stream_upsert": f"""
+  SELECT CAST(id AS VARCHAR) AS id, CAST(customer_id AS VARCHAR) AS customer_id,
+         CAST(merchant_id AS VARCHAR) AS merchant_id, amount, currency_code, status, fraud_score,
+         device_type, CAST(NULL AS VARCHAR) AS ip_country, created_at
+  FROM ({_fold()}) _f""",
+    "features": "SELECT * FROM feats",
+    "label_balance": """
+  SELECT count(*) AS n_samples, CAST(sum(is_fraud) AS BIGINT) AS n_fraud,
+         CAST(CAST(sum(is_fraud) AS BIGINT) AS DOUBLE) * 100 / count(*) AS fraud_rate_pct
+  FROM feats""",
+    "class_weights": """
+  SELECT is_fraud AS label, count(*) AS n_class,
+         CAST((SELECT count(*) FROM feats) AS DOUBLE)
+           / ((SELECT count(DISTINCT is_fraud) FROM feats) * count(*)) AS weight
+  FROM feats GROUP BY is_fraud""",
+    "score_defaults": """
+  SELECT id, amount, currency_code, device_type, ip_country, status,
+         CAST(0.0 AS DOUBLE) AS fraud_score, TIMESTAMP '2024-01-01 00:00:00' AS created_at
+  FROM transactions""",
+    "eval_auc": """
+  SELECT CAST(sum(CAST(neg AS HUGEINT) * (2 * (tp - pos) + pos)) AS DOUBLE)
+           / (CAST(2.0 AS DOUBLE) * sum(pos) * sum(neg)) AS roc_auc,
+         CAST(CAST(sum(pos * tp / (tp + fp)) / sum(pos) AS DECIMAL(18,9)) AS DOUBLE) AS average_precision,
+         CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg
+  FROM (SELECT score, pos, neg, sum(pos) OVER (ORDER BY score DESC) AS tp,
+               sum(neg) OVER (ORDER BY score DESC) AS fp
+        FROM (SELECT score, CAST(sum(label) AS BIGINT) AS pos, CAST(sum(1 - label) AS BIGINT) AS neg
+              FROM scored GROUP BY score) _h) _c""",
+    "confusion_matrix": _CM,
+    "classification_report": f"""
+  SELECT cls AS class, p AS precision, r AS recall, support,
+         CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END AS f1
+  FROM (SELECT cls, CASE WHEN pred_pos > 0 THEN CAST(tp AS DOUBLE) / pred_pos ELSE 0.0 END AS p,
+               CASE WHEN support > 0 THEN CAST(tp AS DOUBLE) / support ELSE 0.0 END AS r,
+               CAST(support AS BIGINT) AS support
+        FROM (SELECT cls, sum(tp) AS tp, sum(pred_pos) AS pred_pos, sum(support) AS support
+              FROM (SELECT label AS cls, n AS support, CASE WHEN label = prediction THEN n ELSE 0 END AS tp,
+                           0 AS pred_pos FROM ({_CM}) _a
+                    UNION ALL
+                    SELECT prediction, 0, 0, n FROM ({_CM}) _b) _u
+              GROUP BY cls) _g) _r""",
+    "risk_bands": """
+  SELECT CASE WHEN score > 0.7 THEN 'HIGH' WHEN score > 0.4 THEN 'MEDIUM'
+              WHEN score IS NOT NULL THEN 'LOW' END AS risk_level, count(*) AS n
+  FROM scored GROUP BY 1""",
+})

@@ -137,6 +137,7 @@ def tx_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.col("l_partkey").alias("k")).alias("_seq"),
         F.col("l_partkey").alias("customer_id"),
         F.col("l_suppkey").alias("merchant_id"),
+        R.pick(D.CURRENCIES, F.col("l_orderkey") % 5).alias("currency_code"),
         (F.floor("l_extendedprice") / F.lit(100.0)).alias("amount"),
         F.when(flag == "A", "failed").when(flag == "R", "refunded").otherwise("success").alias("status"),
         F.when(F.col("l_linestatus") == "O", F.lit("mobile")).alias("device_type"),
@@ -146,11 +147,17 @@ def tx_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tx_change_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The change log as keyed JSON messages (absent keys really absent)."""
+    """The change log as keyed JSON messages (absent keys really absent).
+
+    ``event_seq`` packs the tie-break ``(floor(price), partkey)`` into one long.
+    """
     ch = tx_changes(spark, sf_dir)
     body = F.struct(
-        F.col("id"), F.col("customer_id"), F.col("merchant_id"), F.col("amount"),
-        F.col("status"), F.col("device_type"), F.col("fraud_score"),
+        F.col("id").cast("string").alias("id"),
+        F.col("customer_id").cast("string").alias("customer_id"),
+        F.col("merchant_id").cast("string").alias("merchant_id"),
+        F.col("amount"), F.col("currency_code"), F.col("status"), F.col("device_type"),
+        F.col("fraud_score"),
         F.date_format("_ts", "yyyy-MM-dd'T'HH:mm:ss").alias("created_at"))
     return ch.select(
         F.lit("transactions").alias("topic"),
@@ -158,7 +165,7 @@ def tx_change_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         # to_json drops NULL fields: device_type is absent for closed lines
         F.to_json(body).alias("value"),
         F.col("_ts").alias("event_ts"),
-        F.col("_seq").alias("event_seq"),
+        (F.col("_seq.p") * F.lit(1000000000) + F.col("_seq.k")).alias("event_seq"),
     )
 
 
