@@ -94,3 +94,11 @@ def day_of_week_sun0(ts) -> Column:
 def day_of_week_mon0(ts) -> Column:
     """Day of week with Monday = 0 (pandas ``dayofweek``)."""
     return F.weekday(_c(ts)).cast("int")
+
+
+def with_hour(ts, hour) -> Column:
+    """``ts`` with its hour replaced (minutes, seconds and date kept)."""
+    t = _c(ts)
+    h = F.lit(hour) if isinstance(hour, int) else _c(hour)
+    within_hour = t - F.date_trunc("hour", t)
+    return F.date_trunc("day", t) + F.make_dt_interval(hours=h) + within_hour

@@ -116,7 +116,7 @@ def agg_fraud_by_country(fact: DataFrame) -> DataFrame:
 
 
 def build(transactions: DataFrame, customers: DataFrame, merchants: DataFrame) -> dict[str, DataFrame]:
-    """All star tables by name (lazy; write them with ``lake.write_table``)."""
+    """All star tables by name (lazy; materialise them with ``lake.write_star``)."""
     fact = fact_transactions(transactions)
     dm = dim_merchant(merchants)
     return {

@@ -478,8 +478,7 @@ def q_train_model(spark, d):
 
 @register("cv_folds")
 def q_cv_folds(spark, d):
-    mean, std, counts = ML.cross_validate(_tx(spark, d), QUERY_FOREST)
-    return counts.withColumns({"cv_roc_auc_mean": F.lit(mean), "cv_roc_auc_std": F.lit(std).cast("double")})
+    return ML.cross_validate(_tx(spark, d), QUERY_FOREST)
 
 
 @register("feature_importance")

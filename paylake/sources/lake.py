@@ -146,3 +146,32 @@ def insert_if_absent(existing: DataFrame, incoming: DataFrame, key: str | list[s
     keys = [key] if isinstance(key, str) else list(key)
     new = incoming.dropDuplicates(keys).join(existing.select(*keys), keys, "left_anti")
     return existing.unionByName(new.select(*existing.columns))
+
+
+def write_table(df: DataFrame, path: str, sort_by: list | None = None, small: bool = False,
+                fmt: str = "parquet") -> None:
+    """Create-or-replace a table (``CREATE OR REPLACE TABLE ... AS SELECT``).
+
+    Row order in a table has no meaning; ``small=True`` writes a bounded result
+    (a report, a pre-aggregate of a few thousand rows) as one sorted file for
+    convenience.  Readers apply their own ORDER BY.
+    """
+    out = df
+    if small:
+        out = out.coalesce(1)
+        if sort_by:
+            out = out.sortWithinPartitions(*sort_by)
+    out.write.mode("overwrite").format(fmt).save(path)
+
+
+def write_star(tables: dict[str, DataFrame], root: str) -> dict[str, str]:
+    """Materialise the star schema; dimensions and aggregates small, the fact partitioned by date."""
+    paths = {}
+    for name, df in tables.items():
+        path = f"{root.rstrip('/')}/{name}"
+        if name == "fact_transactions":
+            df.write.mode("overwrite").partitionBy("date_key").parquet(path)
+        else:
+            write_table(df, path)
+        paths[name] = path
+    return paths
