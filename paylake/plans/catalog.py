@@ -321,8 +321,8 @@ def _write_ordered_batches(msgs: DataFrame, path: str, batches: int = 3) -> None
     """Write messages as ``batches`` files in event-time order (one append each)."""
     probs = [i / batches for i in range(1, batches)]
     ts_num = F.col("event_ts").cast("timestamp").cast("double")
-    cuts = msgs.select(F.percentile_approx(ts_num, probs, 10000)).first()[0]  # batches-1 numbers
-    bounds = [None] + list(cuts) + [None]
+    cuts = msgs.select(F.percentile_approx(ts_num, probs, 10000)).first()[0] if probs else []  # batches-1 numbers
+    bounds = [None] + list(cuts or []) + [None]
     for i in range(batches):
         part = msgs
         if bounds[i] is not None:

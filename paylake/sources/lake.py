@@ -112,11 +112,13 @@ def read_partitions(spark: SparkSession, path: str, start_day: str | None = None
                     end_day: str | None = None) -> DataFrame:
     """Read an exported table; a day range becomes partition filters (pruned)."""
     df = spark.read.parquet(path)
-    key = F.concat_ws("-", "year", "month", "day")
+    # a predicate on partition columns only: it prunes folders, whatever type
+    # the partition values were read as
+    key = F.make_date(F.col("year").cast("int"), F.col("month").cast("int"), F.col("day").cast("int"))
     if start_day:
-        df = df.filter(key >= F.lit(start_day))
+        df = df.filter(key >= F.lit(start_day).cast("date"))
     if end_day:
-        df = df.filter(key < F.lit(end_day))
+        df = df.filter(key < F.lit(end_day).cast("date"))
     return df
 
 
