@@ -44,6 +44,19 @@ def with_folds(df: DataFrame, k: int = D.CV_FOLDS, seed: int = D.SPLIT_SEED, id_
     return df.withColumn("fold", F.floor(_unit_hash(id_col, seed + 1) * k).cast("int"))
 
 
+def spread(feats: DataFrame, id_col: str = "id") -> DataFrame:
+    """Give the training table at least one partition per core.
+
+    Tree training runs one task per partition and level; an input read from a
+    few files would train on a few cores.  Hash-partitioning on the id is
+    deterministic (safe on task retry) and moves only the narrow feature rows.
+    """
+    n = feats.sparkSession.sparkContext.defaultParallelism
+    if feats.rdd.getNumPartitions() >= n:
+        return feats
+    return feats.repartition(n, id_col)
+
+
 def forest_pipeline(params: dict | None = None) -> Pipeline:
     p = dict(D.FOREST_PARAMS)
     p.update(params or {})
@@ -76,7 +89,7 @@ def train(tx: DataFrame, params: dict | None = None, test_fraction: float = D.TE
     train_tx = split.filter(F.col("split") == "train")
     threshold = train_tx.select(F.percentile("amount", 0.95)).first()[0]
     feats = with_split(FE.build(split.drop("split"), threshold), test_fraction, seed)
-    feats = FE.with_weights(feats).persist()
+    feats = spread(FE.with_weights(feats)).persist()
     try:
         model = forest_pipeline(params).fit(feats.filter(F.col("split") == "train"))
         test_pred = predict(model, feats.filter(F.col("split") == "test")).checkpoint()
@@ -109,7 +122,7 @@ def cross_validate(tx: DataFrame, params: dict | None = None, k: int = D.CV_FOLD
     another; each is a distributed ``pyspark.ml`` job.
     """
     spark = tx.sparkSession
-    feats = with_folds(FE.with_weights(FE.build(tx)), k, seed).persist()
+    feats = spread(with_folds(FE.with_weights(FE.build(tx)), k, seed)).persist()
     try:
         counts = feats.groupBy("fold").agg(F.count(F.lit(1)).alias("n_rows"),
                                            F.sum(LABEL).cast("bigint").alias("n_fraud"))

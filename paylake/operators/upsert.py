@@ -69,10 +69,15 @@ class UpsertTable:
         self.spark, self.root, self.key, self.buckets = spark, root.rstrip("/"), key, buckets
         self.schema = schema                      # DDL of the state columns
         self.fields = [c.strip().split()[0] for c in schema.split(",") if c.strip().split()[0] != key]
+        # last manifest this writer committed: (batch, entries); the writer is
+        # the only one, so it need not re-read storage for the next batch
+        self._last: tuple[int, list[tuple[int, int]]] | None = None
 
     # -- manifest ------------------------------------------------------------
     def _manifest(self, before: int | None = None) -> list[tuple[int, int]]:
         """``(bucket, batch)`` of the newest committed manifest (<= B rows)."""
+        if self._last is not None and before is not None and self._last[0] < before:
+            return list(self._last[1])
         try:
             m = self.spark.read.parquet(f"{self.root}/manifest")
         except AnalysisException:
@@ -118,5 +123,6 @@ class UpsertTable:
             entries.update({b: batch_id for b in touched})
             (self.spark.createDataFrame(sorted(entries.items()), "bucket int, data_batch bigint")
                 .coalesce(1).write.mode("overwrite").parquet(f"{self.root}/manifest/batch={batch_id}"))
+            self._last = (batch_id, sorted(entries.items()))
         finally:
             folded.unpersist()

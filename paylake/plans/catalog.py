@@ -321,6 +321,7 @@ def _write_ordered_batches(msgs: DataFrame, path: str, batches: int = 3) -> None
     """Write messages as ``batches`` files in event-time order (one append each)."""
     probs = [i / batches for i in range(1, batches)]
     ts_num = F.col("event_ts").cast("timestamp").cast("double")
+    msgs = msgs.persist()      # computed once, sliced batches times
     cuts = msgs.select(F.percentile_approx(ts_num, probs, 10000)).first()[0] if probs else []  # batches-1 numbers
     bounds = [None] + list(cuts or []) + [None]
     for i in range(batches):
@@ -330,6 +331,7 @@ def _write_ordered_batches(msgs: DataFrame, path: str, batches: int = 3) -> None
         if bounds[i + 1] is not None:
             part = part.filter(ts_num < bounds[i + 1])
         part.coalesce(1).write.mode("append").parquet(path)
+    msgs.unpersist()
 
 
 def run_consumer(spark, msgs: DataFrame, name: str, batches: int = 3) -> consumer.ConsumerSink:

@@ -32,24 +32,26 @@ def validate(messages: DataFrame, required=D.REQUIRED_EVENT_KEYS) -> DataFrame:
     key (a NULL value counts as present).  Malformed text and non-objects get
     reason ``malformed``; the rest of the invalid ones ``missing_keys``.
     """
-    keys = F.json_object_keys("value")
-    missing = F.array_except(F.array(*[F.lit(k) for k in required]),
-                             F.coalesce(keys, F.array().cast("array<string>")))
-    return messages.withColumns({
-        "_keys": keys,
-        "is_valid": keys.isNotNull() & (F.size(missing) == 0),
-        "reason": F.when(keys.isNull(), "malformed").when(F.size(missing) > 0, "missing_keys"),
+    # the key list is computed once in its own projection, then reused
+    keyed = messages.withColumn("_keys", F.json_object_keys("value"))
+    keys = F.col("_keys")
+    missing = F.size(F.array_except(F.array(*[F.lit(k) for k in required]),
+                                    F.coalesce(keys, F.array().cast("array<string>"))))
+    return keyed.withColumns({
+        "is_valid": keys.isNotNull() & (missing == 0),
+        "reason": F.when(keys.isNull(), "malformed").when(missing > 0, "missing_keys"),
     })
 
 
 def parse(valid: DataFrame) -> DataFrame:
     """Typed event columns plus ``<field>__present`` flags (key present in the JSON)."""
-    ev = F.from_json("value", EVENT_SCHEMA)
-    cols = {f: ev[f] for f in EVENT_FIELDS}
-    cols["created_at"] = F.to_timestamp_ntz(ev["created_at"])
+    # parse once into a struct, then take the fields (one JSON parse per row)
+    parsed = valid.withColumn("_ev", F.from_json("value", EVENT_SCHEMA))
+    cols = {f: F.col("_ev")[f] for f in EVENT_FIELDS}
+    cols["created_at"] = F.to_timestamp_ntz(F.col("_ev")["created_at"])
     flags = {f"{f}__present": F.array_contains("_keys", f) for f in EVENT_FIELDS if f != "id"}
-    return valid.select("*", *[c.alias(n) for n, c in cols.items()],
-                        *[c.alias(n) for n, c in flags.items()])
+    return parsed.select(*[c for c in valid.columns], *[c.alias(n) for n, c in cols.items()],
+                         *[c.alias(n) for n, c in flags.items()])
 
 
 def changes_fold(events: DataFrame) -> DataFrame:
@@ -78,11 +80,13 @@ class ConsumerSink:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         checked = validate(batch).persist()
+        events = None
         try:
             (checked.filter(~F.col("is_valid"))
              .select("topic", "key", "value", "reason", F.lit(batch_id).cast("bigint").alias("batch_id"))
              .write.mode("overwrite").parquet(f"{self.root}/quarantine/batch={batch_id}"))
-            events = parse(checked.filter(F.col("is_valid")))
+            # parsed once, used by both topic handlers
+            events = parse(checked.filter(F.col("is_valid"))).persist()
             tx = events.filter(F.col("topic") == self.tx_topic)
             self.transactions.apply(changes_fold(tx), batch_id)
             alerts = events.filter(F.col("topic") == self.alerts_topic).withColumns({
@@ -93,6 +97,8 @@ class ConsumerSink:
             (log_rows(alerts).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
              .write.mode("overwrite").parquet(f"{self.root}/logs/batch={batch_id}"))
         finally:
+            if events is not None:
+                events.unpersist()
             checked.unpersist()
 
     # -- readers -----------------------------------------------------------
