@@ -96,3 +96,30 @@ def score_defaults(records: DataFrame, as_of=None) -> DataFrame:
         add["created_at"] = (F.current_timestamp().cast("timestamp_ntz") if as_of is None
                              else F.lit(as_of).cast("timestamp_ntz") if isinstance(as_of, str) else as_of)
     return records.withColumns(add) if add else records
+
+
+# Types of the raw scoring record fields.
+RECORD_TYPES = {
+    "id": "string", "customer_id": "string", "merchant_id": "string", "amount": "double",
+    "currency_code": "string", "status": "string", "device_type": "string", "ip_country": "string",
+    "fraud_score": "double", "created_at": "timestamp_ntz",
+}
+
+
+def records_frame(spark, records: list[dict]) -> DataFrame:
+    """A DataFrame from scoring records given as dicts (one or many).
+
+    Only fields that occur in at least one record become columns, so a field
+    missing everywhere is absent and gets its default in ``score_defaults``;
+    a field missing in some records is NULL there.
+    """
+    present = [c for c in RECORD_TYPES if any(c in r for r in records)]
+    extra = sorted({k for r in records for k in r} - set(RECORD_TYPES))
+    cols = present + extra
+    schema = ", ".join(f"{c} {RECORD_TYPES.get(c, 'string')}" for c in cols)
+    def conv(c, v):
+        if v is not None and RECORD_TYPES.get(c) == "double":
+            return float(v)
+        return v
+    rows = [tuple(conv(c, r.get(c)) for c in cols) for r in records]
+    return spark.createDataFrame(rows, schema)

@@ -11,20 +11,35 @@ from paylake.functions import rules as R
 from paylake.sources import reference
 
 
+# Largest candidate set joined by broadcast in the bounded top-k join.
+MAX_TOPK_CANDIDATES = 65536
+
+
 def suspicious_transactions(transactions: DataFrame, merchants: DataFrame, k: int = 50) -> DataFrame:
     """Top-k suspected transactions by score, with merchant name and category.
 
-    The filter ``fraud_score > 0.7`` reaches the scan; ``orderBy + limit``
-    plans as a per-partition top-k (TakeOrderedAndProject), so only k rows per
-    partition move.  ``id`` breaks ties so the result is deterministic.
+    Exact and bounded: take the top ``m`` suspected transactions first (a
+    per-partition top-k, no shuffle of the suspected rows), join only those
+    ``m`` rows to the merchants (a bounded, broadcastable side), and keep the
+    first ``k`` matches.  Only if fewer than ``k`` of the ``m`` candidates have
+    a merchant is ``m`` enlarged; any row ranked above the k-th match is among
+    the candidates, so the result equals join-then-top-k.  ``id`` breaks ties.
     """
+    order = [F.col("fraud_score").desc(), F.col("id").asc()]
     t = transactions.filter(R.suspected_or_null("fraud_score"))
-    m = merchants.select(F.col("id").alias("merchant_id"), F.col("name").alias("merchant"), "category")
-    return (t.join(m, "merchant_id", "inner")
-            .orderBy(F.col("fraud_score").desc(), F.col("id").asc())
-            .limit(k)
-            .select("id", "amount", "currency_code", "fraud_score", "status", "created_at",
-                    "merchant", "category"))
+    m_cols = merchants.select(F.col("id").alias("merchant_id"), F.col("name").alias("merchant"), "category")
+    cols = ["id", "amount", "currency_code", "fraud_score", "status", "created_at", "merchant", "category"]
+    m = 4 * k
+    while m <= MAX_TOPK_CANDIDATES:
+        cand = t.orderBy(*order).limit(m).persist()          # at most m rows
+        n_cand = cand.count()
+        out = F.broadcast(cand).join(m_cols, "merchant_id", "inner").orderBy(*order).limit(k).select(*cols)
+        if n_cand < m or out.count() >= k:
+            return out
+        cand.unpersist()
+        m *= 8
+    # many top rows without a merchant: the exact plan, join first then top-k
+    return t.join(m_cols, "merchant_id", "inner").orderBy(*order).limit(k).select(*cols)
 
 
 def as_of_max(transactions: DataFrame) -> "F.Column":
