@@ -132,10 +132,15 @@ def foreign_key(child: DataFrame, fk: str, parent: DataFrame, pk: str, name: str
     the only case that is broadcast.
     """
     per = child.filter(F.col(fk).isNotNull()).groupBy(F.col(fk).alias("_k")).agg(F.count(F.lit(1)).alias("_c"))
-    keys = parent.select(F.col(pk).alias("_k")).distinct()
+    keys = parent.select(F.col(pk).alias("_pk")).distinct()
     if parent_is_small:
-        keys = F.broadcast(keys)
-    missing = per.join(keys, "_k", "left_anti")
+        # fixed reference table: a map-side broadcast anti-join on the raw rows
+        missing = per.join(F.broadcast(keys), F.col("_k") == F.col("_pk"), "left_anti")
+    else:
+        # large parent: keep the anti-join above the pre-aggregation (the
+        # always-true count test stops Catalyst from pushing it onto raw rows),
+        # so only one row per distinct key is shuffled
+        missing = per.join(keys, (F.col("_k") == F.col("_pk")) & (F.col("_c") > 0), "left_anti")
     n_checked = per.select(F.coalesce(F.sum("_c"), F.lit(0)).cast("bigint")).scalar()
     return missing.agg(
         F.lit(name).alias("constraint_name"),
