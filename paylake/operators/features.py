@@ -20,6 +20,9 @@ def amount_threshold(tx: DataFrame, q: float = 0.95, exact: bool = True, accurac
     return tx.select(agg).scalar()
 
 
+NULLABLE_FEATURES = ["amount", "amount_log", "hour", "day_of_week"]
+
+
 def build(tx: DataFrame, threshold=None, keep_id: bool = True, drop_incomplete: bool = True,
           passthrough: list[str] | None = None) -> DataFrame:
     """14 features + ``is_fraud``; rows with a NULL feature are dropped.
@@ -54,7 +57,9 @@ def build(tx: DataFrame, threshold=None, keep_id: bool = True, drop_incomplete:
         R.is_suspected("fraud_score").cast("int").alias(D.LABEL_COLUMN),
     ]
     out = tx.select(*(["id"] if keep_id else []), *(passthrough or []), *cols)
-    return out.dropna(subset=D.FEATURE_COLUMNS) if drop_incomplete else out
+    # Only these features can be NULL (the flags are coalesced to 0/1), so
+    # checking them drops exactly the rows a check of all 14 would drop.
+    return out.dropna(subset=NULLABLE_FEATURES) if drop_incomplete else out
 
 
 def label_balance(features: DataFrame, label: str = D.LABEL_COLUMN) -> DataFrame:
@@ -78,8 +83,19 @@ def class_weights(features: DataFrame, label: str = D.LABEL_COLUMN) -> DataFrame
 
 
 def with_weights(features: DataFrame, label: str = D.LABEL_COLUMN, weight_col: str = "weight") -> DataFrame:
-    w = class_weights(features, label).select(F.col("label").alias(label), F.col("weight").alias(weight_col))
-    return features.join(F.broadcast(w), label, "inner")
+    """Add balanced class weights as a column.
+
+    The class counts are one row per class (bounded), fetched in one
+    aggregation and turned into a CASE expression: no join, and the features
+    are read once more only for the counts (persist them first).
+    """
+    counts = {r[0]: r[1] for r in features.groupBy(label).count().collect()}
+    n, k = sum(counts.values()), len(counts)
+    w = None
+    for cls, n_c in sorted(counts.items()):
+        val = F.lit(float(n) / (k * n_c))
+        w = F.when(F.col(label) == cls, val) if w is None else w.when(F.col(label) == cls, val)
+    return features.withColumn(weight_col, w if w is not None else F.lit(1.0))
 
 
 def score_defaults(records: DataFrame, as_of=None) -> DataFrame:

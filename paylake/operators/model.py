@@ -1,6 +1,6 @@
 """Fraud model: split, class-weighted random forest, evaluation, registry, scoring.
 
-* Split and CV folds come from a hash of ``(id, seed)``: deterministic,
+* Split and CV folds come from a SHA-256 bucket of ``(id, seed)``: deterministic,
   independent of partitioning (unlike ``randomSplit``), and the same rule is
   applied inside each class, so both classes keep their ratio in expectation.
 * The forest is ``pyspark.ml``'s ``RandomForestClassifier`` with balanced
@@ -31,17 +31,28 @@ from paylake.operators import metrics as M
 LABEL = D.LABEL_COLUMN
 
 
-def _unit_hash(id_col: str, seed: int):
-    return F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(seed)), F.lit(1000000)) / F.lit(1000000.0)
+HASH_BUCKETS = 1000000
+
+
+def _hash_bucket(id_col: str, seed: int):
+    """A stable bucket in ``[0, 10^6)`` from SHA-256 of ``"<id>:<seed>"``.
+
+    The same value is computable in any SQL engine (first 8 hex digits of the
+    SHA-256), so split and folds can be checked independently.
+    """
+    key = F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}"))
+    h = F.conv(F.substring(F.sha2(key, 256), 1, 8), 16, 10).cast("bigint")
+    return F.pmod(h, F.lit(HASH_BUCKETS))
 
 
 def with_split(df: DataFrame, test_fraction: float = D.TEST_FRACTION, seed: int = D.SPLIT_SEED,
                id_col: str = "id") -> DataFrame:
-    return df.withColumn("split", F.when(_unit_hash(id_col, seed) < test_fraction, "test").otherwise("train"))
+    cut = int(round(test_fraction * HASH_BUCKETS))
+    return df.withColumn("split", F.when(_hash_bucket(id_col, seed) < cut, "test").otherwise("train"))
 
 
 def with_folds(df: DataFrame, k: int = D.CV_FOLDS, seed: int = D.SPLIT_SEED, id_col: str = "id") -> DataFrame:
-    return df.withColumn("fold", F.floor(_unit_hash(id_col, seed + 1) * k).cast("int"))
+    return df.withColumn("fold", (_hash_bucket(id_col, seed + 1) * k / HASH_BUCKETS).cast("int"))
 
 
 def spread(feats: DataFrame, id_col: str = "id") -> DataFrame:
@@ -88,13 +99,13 @@ def train(tx: DataFrame, params: dict | None = None, test_fraction: float = D.TE
     split = with_split(tx, test_fraction, seed)
     train_tx = split.filter(F.col("split") == "train")
     threshold = train_tx.select(F.percentile("amount", 0.95)).first()[0]
-    feats = with_split(FE.build(split.drop("split"), threshold), test_fraction, seed)
-    feats = spread(FE.with_weights(feats)).persist()
+    base = spread(with_split(FE.build(split.drop("split"), threshold), test_fraction, seed)).persist()
     try:
+        feats = FE.with_weights(base)
         model = forest_pipeline(params).fit(feats.filter(F.col("split") == "train"))
         test_pred = predict(model, feats.filter(F.col("split") == "test")).checkpoint()
     finally:
-        feats.unpersist()
+        base.unpersist()
     return model, test_pred, threshold
 
 
@@ -122,8 +133,9 @@ def cross_validate(tx: DataFrame, params: dict | None = None, k: int = D.CV_FOLD
     another; each is a distributed ``pyspark.ml`` job.
     """
     spark = tx.sparkSession
-    feats = spread(with_folds(FE.with_weights(FE.build(tx)), k, seed)).persist()
+    base = spread(with_folds(FE.build(tx), k, seed)).persist()
     try:
+        feats = FE.with_weights(base)
         counts = feats.groupBy("fold").agg(F.count(F.lit(1)).alias("n_rows"),
                                            F.sum(LABEL).cast("bigint").alias("n_fraud"))
         aucs = []
@@ -137,7 +149,7 @@ def cross_validate(tx: DataFrame, params: dict | None = None, k: int = D.CV_FOLD
                .withColumns({"cv_roc_auc_mean": F.lit(summary["m"]), "cv_roc_auc_std": F.lit(summary["s"])})
                .checkpoint())
     finally:
-        feats.unpersist()
+        base.unpersist()
     return out
 
 

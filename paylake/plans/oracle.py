@@ -470,6 +470,11 @@ BODIES.update({
          device_type, CAST(NULL AS VARCHAR) AS ip_country, created_at
   FROM ({_fold()}) _f""",
     "features": "SELECT * FROM feats",
+    "stratified_split": """
+  SELECT CASE WHEN CAST(('0x' || substr(sha256(CAST(id AS VARCHAR) || ':42'), 1, 8)) AS BIGINT) % 1000000 < 200000
+              THEN 'test' ELSE 'train' END AS split,
+         is_fraud, count(*) AS n_rows
+  FROM feats GROUP BY ALL""",
     "label_balance": """
   SELECT count(*) AS n_samples, CAST(sum(is_fraud) AS BIGINT) AS n_fraud,
          CAST(CAST(sum(is_fraud) AS BIGINT) AS DOUBLE) * 100 / count(*) AS fraud_rate_pct
