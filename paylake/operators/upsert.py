@@ -2,9 +2,9 @@
 
 * ``fold`` reduces a batch of changes to one row per key.  For every field it
   keeps the value of the latest change in which the field is *present*; an
-  explicit NULL is a value, an absent field is not.  This is one hash
-  aggregation (``max_by`` over a struct), partially aggregated map-side, so a
-  hot key never gathers its rows in one task.
+  explicit NULL is a value, an absent field is not.  This is one aggregation
+  (``max_by`` over a struct; Spark plans it sort-based), partially aggregated
+  map-side, so a hot key never gathers its rows in one task.
 * ``merge`` applies a folded batch to a state with one ``full_outer`` join on
   the key (both sides are unique per key).
 * ``UpsertTable`` stores the state as Parquet partitioned by
