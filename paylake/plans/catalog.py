@@ -317,11 +317,26 @@ def q_upsert_patch(spark, d):
 _STREAM_RUNS: dict[tuple, consumer.ConsumerSink] = {}
 
 
-def _write_ordered_batches(msgs: DataFrame, path: str, batches: int = 3) -> None:
-    """Write messages as ``batches`` files in event-time order (one append each)."""
+MESSAGES_PER_PARTITION = 25000
+
+
+def _write_ordered_batches(msgs: DataFrame, path: str, batches: int = 3, partitions: int | None = None) -> int:
+    """Write messages as ``batches`` time slices, in event-time order (one append each).
+
+    Each slice is hash-partitioned by message key into ``partitions`` files, as
+    a keyed topic would be: all messages of a key in a slice share one file,
+    so a micro-batch never splits them.  Returns the files-per-slice to use as
+    ``maxFilesPerTrigger``.
+    """
     probs = [i / batches for i in range(1, batches)]
     ts_num = F.col("event_ts").cast("timestamp").cast("double")
     msgs = msgs.persist()      # computed once, sliced batches times
+    if partitions is None:
+        # about MESSAGES_PER_PARTITION messages per topic partition, at most one per core
+        n_msgs = msgs.count()
+        partitions = max(1, min(msgs.sparkSession.sparkContext.defaultParallelism,
+                                -(-n_msgs // (MESSAGES_PER_PARTITION * batches))))
+    n = partitions
     cuts = msgs.select(F.percentile_approx(ts_num, probs, 10000)).first()[0] if probs else []  # batches-1 numbers
     bounds = [None] + list(cuts or []) + [None]
     for i in range(batches):
@@ -330,17 +345,18 @@ def _write_ordered_batches(msgs: DataFrame, path: str, batches: int = 3) -> None
             part = part.filter(ts_num >= bounds[i])
         if bounds[i + 1] is not None:
             part = part.filter(ts_num < bounds[i + 1])
-        part.coalesce(1).write.mode("append").parquet(path)
+        part.repartition(n, "key").write.mode("append").parquet(path)
     msgs.unpersist()
+    return n
 
 
 def run_consumer(spark, msgs: DataFrame, name: str, batches: int = 3) -> consumer.ConsumerSink:
     """Drive the consumer stream over ``msgs`` to completion (availableNow)."""
     root = session.work_path(spark, f"stream/{name}")
-    _write_ordered_batches(msgs.select(*[c.split()[0] for c in consumer.MESSAGE_SCHEMA.split(", ")]),
-                           f"{root}/source", batches)
+    per_slice = _write_ordered_batches(msgs.select(*[c.split()[0] for c in consumer.MESSAGE_SCHEMA.split(", ")]),
+                                       f"{root}/source", batches)
     sink = consumer.ConsumerSink(spark, f"{root}/sink", buckets=8)
-    q = consumer.start(spark, consumer.file_source(spark, f"{root}/source"), sink,
+    q = consumer.start(spark, consumer.file_source(spark, f"{root}/source", per_slice), sink,
                        f"{root}/checkpoint", {"availableNow": True})
     q.awaitTermination()
     return sink
@@ -518,8 +534,8 @@ def q_stream_score(spark, d):
     model, thr, _ = _trained(spark, d)
     root = session.work_path(spark, "stream/score")
     msgs = fx.tx_events(spark, d).select("topic", "key", "value", "event_ts", "event_seq")
-    _write_ordered_batches(msgs, f"{root}/source")
-    src = consumer.file_source(spark, f"{root}/source")
+    per_slice = _write_ordered_batches(msgs, f"{root}/source")
+    src = consumer.file_source(spark, f"{root}/source", per_slice)
     valid = consumer.parse(consumer.validate(src).filter(F.col("is_valid")))
     rec = valid.select("id", "amount", "currency_code", "created_at")
     scored = ML.score(model, rec, thr)

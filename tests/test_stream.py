@@ -64,9 +64,9 @@ def test_stream_batches_equivalent(spark):
     results = []
     for batches in (1, 3):
         root = session.work_path(spark, f"test-stream-{batches}")
-        catalog._write_ordered_batches(msgs, f"{root}/source", batches)
+        per_slice = catalog._write_ordered_batches(msgs, f"{root}/source", batches)
         sink = consumer.ConsumerSink(spark, f"{root}/sink", buckets=4)
-        q = consumer.start(spark, consumer.file_source(spark, f"{root}/source"), sink, f"{root}/ckpt",
+        q = consumer.start(spark, consumer.file_source(spark, f"{root}/source", per_slice), sink, f"{root}/ckpt",
                            {"availableNow": True})
         q.awaitTermination()
         results.append(_state(sink))
