@@ -141,3 +141,10 @@ def kafka_source(spark: SparkSession, servers: str, topics: list[str], options:
                       F.col("value").cast("string").alias("value"),
                       F.col("timestamp").cast("timestamp_ntz").alias("event_ts"),
                       (F.col("partition").cast("long") * F.lit(1 << 40) + F.col("offset")).alias("event_seq"))
+
+
+def progress(query) -> dict:
+    """Rows read and batch id of the last trigger (``query.lastProgress``), for logs and alerts."""
+    p = query.lastProgress or {}
+    return {"batch_id": p.get("batchId"), "num_input_rows": p.get("numInputRows"),
+            "sources": [s.get("description") for s in p.get("sources", [])]}

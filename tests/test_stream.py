@@ -69,6 +69,8 @@ def test_stream_batches_equivalent(spark):
         q = consumer.start(spark, consumer.file_source(spark, f"{root}/source", per_slice), sink, f"{root}/ckpt",
                            {"availableNow": True})
         q.awaitTermination()
+        prog = consumer.progress(q)
+        assert prog["batch_id"] is not None and prog["num_input_rows"] is not None
         results.append(_state(sink))
     assert results[0] == results[1] == {"1": (99.0, "failed"), "6": (None, None)}
 
