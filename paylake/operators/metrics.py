@@ -50,13 +50,18 @@ def cumulative_desc(hist: DataFrame, ranges: int = 64) -> DataFrame:
 
 def roc_pr(scored: DataFrame, score: str = "score", label: str = "label", ranges: int = 64) -> DataFrame:
     """One row: ``roc_auc``, ``average_precision`` (9 decimals), ``n_pos``, ``n_neg``."""
-    c = cumulative_desc(histogram(scored, score, label), ranges)
+    # the histogram (one row per distinct score) is used three times: compute
+    # it once and cut the lineage so the scored input is not scanned again
+    hist = histogram(scored, score, label).checkpoint()
+    c = cumulative_desc(hist, ranges)
+    big = lambda x: F.col(x).cast("decimal(38,0)")  # noqa: E731  N * P can pass 2^63 at scale
     agg = c.agg(
         F.sum("pos").alias("P"), F.sum("neg").alias("N"),
-        F.sum(F.col("neg") * (2 * (F.col("tp") - F.col("pos")) + F.col("pos"))).alias("auc_num"),
+        F.sum(big("neg") * (2 * (big("tp") - big("pos")) + big("pos"))).alias("auc_num"),
         F.sum(F.col("pos") * F.col("tp") / (F.col("tp") + F.col("fp"))).alias("ap_num"))
     return agg.select(
-        (F.col("auc_num").cast("double") / (2.0 * F.col("P") * F.col("N"))).alias("roc_auc"),
+        (F.col("auc_num").cast("double") / (F.lit(2.0) * F.col("P").cast("double") * F.col("N").cast("double")))
+        .alias("roc_auc"),
         (F.col("ap_num") / F.col("P")).cast("decimal(18,9)").cast("double").alias("average_precision"),
         F.col("P").cast("bigint").alias("n_pos"), F.col("N").cast("bigint").alias("n_neg"))
 

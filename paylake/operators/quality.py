@@ -127,26 +127,23 @@ def foreign_key(child: DataFrame, fk: str, parent: DataFrame, pk: str, name: str
     """Rows whose non-null ``fk`` has no match in ``parent.pk``.
 
     The child is first reduced to ``(fk value, count)``, which collapses hot
-    keys before any shuffle; the anti-join then moves one row per distinct
-    value.  ``parent_is_small`` marks fixed reference tables (bounded size),
-    the only case that is broadcast.
+    keys before any shuffle; the join then moves one row per distinct value.
+    ``parent_is_small`` marks fixed reference tables (bounded size), the only
+    case that is broadcast.
     """
     per = child.filter(F.col(fk).isNotNull()).groupBy(F.col(fk).alias("_k")).agg(F.count(F.lit(1)).alias("_c"))
     keys = parent.select(F.col(pk).alias("_pk")).distinct()
     if parent_is_small:
-        # fixed reference table: a map-side broadcast anti-join on the raw rows
-        missing = per.join(F.broadcast(keys), F.col("_k") == F.col("_pk"), "left_anti")
-    else:
-        # large parent: keep the anti-join above the pre-aggregation (the
-        # always-true count test stops Catalyst from pushing it onto raw rows),
-        # so only one row per distinct key is shuffled
-        missing = per.join(keys, (F.col("_k") == F.col("_pk")) & (F.col("_c") > 0), "left_anti")
-    n_checked = per.select(F.coalesce(F.sum("_c"), F.lit(0)).cast("bigint")).scalar()
-    return missing.agg(
+        keys = F.broadcast(keys)
+    # one left join of (key, count) to the parent keys gives checked rows,
+    # violating rows and missing keys in a single pass over the child
+    j = per.join(keys, F.col("_k") == F.col("_pk"), "left")
+    missing = F.col("_pk").isNull()
+    return j.agg(
         F.lit(name).alias("constraint_name"),
-        n_checked.alias("n_checked"),
-        F.coalesce(F.sum("_c"), F.lit(0)).cast("bigint").alias("n_violations"),
-        F.count(F.lit(1)).alias("n_missing_keys"))
+        F.coalesce(F.sum("_c"), F.lit(0)).cast("bigint").alias("n_checked"),
+        F.coalesce(F.sum(F.when(missing, F.col("_c"))), F.lit(0)).cast("bigint").alias("n_violations"),
+        F.count_if(missing).alias("n_missing_keys"))
 
 
 def foreign_keys(tables: dict[str, DataFrame], refs: dict[str, DataFrame]) -> DataFrame:
