@@ -126,3 +126,28 @@ class UpsertTable:
             self._last = (batch_id, sorted(entries.items()))
         finally:
             folded.unpersist()
+
+
+def diff_as_of(changes: DataFrame, key: str, fields: list[str], order: list[str],
+               presence: dict[str, str] | None, before, table_name: str) -> DataFrame:
+    """Audit rows (INSERT / UPDATE) between the state of a change log at ``before`` and its latest state.
+
+    Both states come from ONE aggregation over the log: every field is folded
+    twice, once over the changes before the cut and once over all of them.
+    No second pass and no join; a change log has no deletes.
+    """
+    presence = presence or {}
+    ordering = F.struct(*[F.col(c) for c in order])
+    early = before if not isinstance(before, (str, int, float)) else F.lit(before)
+    aggs = [F.max(early).alias("_existed")]
+    for f in fields:
+        p = F.col(presence[f]) if f in presence else F.lit(True)
+        v = F.struct(F.col(f).alias("v"))
+        aggs.append(F.max_by(v, F.when(p & early, ordering)).alias(f"_o_{f}"))
+        aggs.append(F.max_by(v, F.when(p, ordering)).alias(f"_n_{f}"))
+    folded = changes.groupBy(key).agg(*aggs)
+    old = F.struct(*[F.col(f"_o_{f}")["v"].alias(f) for f in fields])
+    new = F.struct(*[F.col(f"_n_{f}")["v"].alias(f) for f in fields])
+    op = F.when(~F.coalesce(F.col("_existed"), F.lit(False)), "INSERT").when(~old.eqNullSafe(new), "UPDATE")
+    return (folded.select(F.lit(table_name).alias("table_name"), op.alias("operation"), F.col(key).alias("record_id"))
+            .filter(F.col("operation").isNotNull()))

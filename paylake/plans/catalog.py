@@ -222,10 +222,9 @@ def _fold_changes(ch: DataFrame) -> DataFrame:
 def q_audit_snapshot_diff(spark, d):
     """Audit rows between the change-log state at the cutoff and now."""
     ch = _changes(spark, d)
-    old = U.flatten(_fold_changes(ch.filter(F.col("_ts") < F.lit(CHANGE_CUTOFF).cast("timestamp_ntz"))),
-                    "id", CHANGE_FIELDS)
-    new = U.flatten(_fold_changes(ch), "id", CHANGE_FIELDS)
-    return Q.snapshot_diff(old, new, "id", "transactions")
+    before = F.col("_ts") < F.lit(CHANGE_CUTOFF).cast("timestamp_ntz")
+    return U.diff_as_of(ch, "id", CHANGE_FIELDS, ["_ts", "_seq"], {"device_type": "device_type__present"},
+                        before, "transactions")
 
 
 # --- lake writers -------------------------------------------------------------------

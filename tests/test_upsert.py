@@ -74,3 +74,24 @@ def test_hot_key_is_folded_without_collecting_a_group(spark):
     got = {r.id: r.a for r in U.flatten(_fold(ch), "id", FIELDS).collect()}
     assert got[0] == str(max(i for i in range(n) if i % 3 == 0))
     assert dt is not None
+
+
+def test_snapshot_diff_insert_update_delete(spark):
+    from paylake.operators import quality as Q
+    old = spark.createDataFrame([(1, "a", None), (2, "b", "x"), (3, "c", "y")], SCHEMA)
+    new = spark.createDataFrame([(1, "a", None), (2, "b", "z"), (4, "d", "w")], SCHEMA)
+    got = {(r.operation, r.record_id) for r in Q.snapshot_diff(old, new, "id", "t").collect()}
+    assert got == {("UPDATE", 2), ("DELETE", 3), ("INSERT", 4)}
+
+
+def test_diff_as_of_equals_two_snapshot_diff(spark):
+    from paylake.operators import quality as Q
+    rows = [(i % 9, t, f"a{t % 4}", t % 2 == 0, f"b{t % 3}", t % 3 == 0) for t in range(40) for i in [t, 2 * t]]
+    ch = _changes(spark, rows)
+    before = F.col("ts") < 20
+    one = {(r.operation, r.record_id) for r in
+           U.diff_as_of(ch, "id", FIELDS, ["ts"], {"a": "a__p", "b": "b__p"}, before, "t").collect()}
+    old = U.flatten(_fold(ch.filter(before)), "id", FIELDS)
+    new = U.flatten(_fold(ch), "id", FIELDS)
+    two = {(r.operation, r.record_id) for r in Q.snapshot_diff(old, new, "id", "t").collect()}
+    assert one == two and len(one) > 0
