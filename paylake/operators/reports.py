@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paylake.functions import aggregates as A
-from paylake.functions import domains as D
 from paylake.functions import rules as R
 from paylake.sources import reference
 
