@@ -48,7 +48,8 @@ def parse(valid: DataFrame) -> DataFrame:
     # parse once into a struct, then take the fields (one JSON parse per row)
     parsed = valid.withColumn("_ev", F.from_json("value", EVENT_SCHEMA))
     cols = {f: F.col("_ev")[f] for f in EVENT_FIELDS}
-    cols["created_at"] = F.to_timestamp_ntz(F.col("_ev")["created_at"])
+    # a malformed timestamp becomes NULL instead of failing the micro-batch
+    cols["created_at"] = F.col("_ev")["created_at"].try_cast("timestamp_ntz")
     flags = {f"{f}__present": F.array_contains("_keys", f) for f in EVENT_FIELDS if f != "id"}
     return parsed.select(*[c for c in valid.columns], *[c.alias(n) for n, c in cols.items()],
                          *[c.alias(n) for n, c in flags.items()])

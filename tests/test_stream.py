@@ -43,6 +43,17 @@ def _state(sink):
     return {r.id: (r.amount, r.status) for r in sink.transactions.read().collect()}
 
 
+def test_bad_timestamp_does_not_fail_the_batch(spark):
+    bad = json.dumps({"id": "9", "customer_id": "c", "merchant_id": "m", "amount": 1.0, "currency_code": "EUR",
+                      "created_at": "garbage"})
+    good = json.dumps({"id": "8", "customer_id": "c", "merchant_id": "m", "amount": 1.0, "currency_code": "EUR",
+                       "created_at": "2024-01-01T00:00:07.179575"})
+    msgs = spark.createDataFrame([_msg(9, "transactions", bad, 1), _msg(8, "transactions", good, 2)],
+                                 consumer.MESSAGE_SCHEMA)
+    got = {r.id: r.created_at for r in consumer.parse(consumer.validate(msgs)).collect()}
+    assert got == {"9": None, "8": dt.datetime(2024, 1, 1, 0, 0, 7, 179575)}
+
+
 def test_sink_dispatch_quarantine_and_replay(spark):
     msgs = _messages(spark)
     sink = consumer.ConsumerSink(spark, session.work_path(spark, "test-sink"), buckets=4)
