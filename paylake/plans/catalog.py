@@ -487,6 +487,13 @@ def q_stratified_split(spark, d):
     return f.groupBy("split", FE.D.LABEL_COLUMN).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+@register("cv_fold_counts")
+def q_cv_fold_counts(spark, d):
+    """Rows and positives per CV fold (the fold assignment of the cross-validation)."""
+    f = ML.with_folds(FE.build(_tx(spark, d)))
+    return f.groupBy("fold", FE.D.LABEL_COLUMN).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @register("train_model")
 def q_train_model(spark, d):
     _, _, test_pred = _trained(spark, d, force=True)

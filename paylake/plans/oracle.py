@@ -470,6 +470,11 @@ BODIES.update({
          device_type, CAST(NULL AS VARCHAR) AS ip_country, created_at
   FROM ({_fold()}) _f""",
     "features": "SELECT * FROM feats",
+    "cv_fold_counts": """
+  SELECT CAST((CAST(('0x' || substr(sha256(CAST(id AS VARCHAR) || ':43'), 1, 8)) AS BIGINT) % 1000000) * 5
+              // 1000000 AS INTEGER) AS fold,
+         is_fraud, count(*) AS n_rows
+  FROM feats GROUP BY ALL""",
     "stratified_split": """
   SELECT CASE WHEN CAST(('0x' || substr(sha256(CAST(id AS VARCHAR) || ':42'), 1, 8)) AS BIGINT) % 1000000 < 200000
               THEN 'test' ELSE 'train' END AS split,
