@@ -55,11 +55,15 @@ def parse(valid: DataFrame) -> DataFrame:
                          *[c.alias(n) for n, c in flags.items()])
 
 
-def changes_fold(events: DataFrame) -> DataFrame:
-    """Fold parsed events to one row per id, last arrival wins per present field."""
+ORDER_EVENT_TIME = ["event_ts", "event_seq"]
+ORDER_ARRIVAL = ["event_seq"]          # Kafka: (partition, offset); a key lives in one partition
+
+
+def changes_fold(events: DataFrame, order: list[str] = ORDER_EVENT_TIME) -> DataFrame:
+    """Fold parsed events to one row per id; per present field the last one in ``order`` wins."""
     fields = [f for f in EVENT_FIELDS if f != "id"]
     presence = {f: f"{f}__present" for f in fields}
-    return fold(events, "id", fields, ["event_ts", "event_seq"], presence)
+    return fold(events, "id", fields, order, presence)
 
 
 def log_rows(alerts: DataFrame) -> DataFrame:
@@ -73,8 +77,12 @@ class ConsumerSink:
     """``foreachBatch`` target writing quarantine, current state, alerts and logs."""
 
     def __init__(self, spark: SparkSession, root: str, buckets: int = 16,
-                 tx_topic: str = "transactions", alerts_topic: str = "fraud_alerts"):
-        self.spark, self.root = spark, root.rstrip("/")
+                 tx_topic: str = "transactions", alerts_topic: str = "fraud_alerts",
+                 order: list[str] = ORDER_EVENT_TIME):
+        """``order`` ranks changes of one id inside a micro-batch: event time for
+        file sources, ``ORDER_ARRIVAL`` (offset) for Kafka, where producer clocks
+        may disagree but offsets give the true arrival order."""
+        self.spark, self.root, self.order = spark, root.rstrip("/"), order
         self.tx_topic, self.alerts_topic = tx_topic, alerts_topic
         self.transactions = UpsertTable(spark, f"{self.root}/transactions", "id", STATE_SCHEMA, buckets)
         self.alerts = UpsertTable(spark, f"{self.root}/fraud_alerts", "id", ALERT_SCHEMA, buckets)
@@ -89,11 +97,11 @@ class ConsumerSink:
             # parsed once, used by both topic handlers
             events = parse(checked.filter(F.col("is_valid"))).persist()
             tx = events.filter(F.col("topic") == self.tx_topic)
-            self.transactions.apply(changes_fold(tx), batch_id)
+            self.transactions.apply(changes_fold(tx, self.order), batch_id)
             alerts = events.filter(F.col("topic") == self.alerts_topic).withColumns({
                 "flagged_at": F.current_timestamp(), "flagged_at__present": F.lit(True)})
             alert_fields = [f for f in EVENT_FIELDS if f != "id"] + ["flagged_at"]
-            self.alerts.apply(fold(alerts, "id", alert_fields, ["event_ts", "event_seq"],
+            self.alerts.apply(fold(alerts, "id", alert_fields, self.order,
                                    {f: f"{f}__present" for f in alert_fields}), batch_id)
             (log_rows(alerts).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
              .write.mode("overwrite").parquet(f"{self.root}/logs/batch={batch_id}"))
