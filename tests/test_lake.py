@@ -58,3 +58,19 @@ def test_day_slice_is_a_range(spark):
     plan = lake.read_day_slice(df, "2024-01-01")._jdf.queryExecution().optimizedPlan().toString()
     # the column itself is compared with constants (no cast of created_at), so the filter can be pushed down
     assert "created_at" in plan and "cast(created_at" not in plan
+
+
+def test_write_star_materialises_every_table(spark):
+    from paylake.operators import star
+    from paylake.sources import fixtures as fx
+    from tests.conftest import SF_SMALL
+    tables = star.build(fx.transactions(spark, SF_SMALL), fx.customers(spark, SF_SMALL), fx.merchants(spark, SF_SMALL))
+    root = session.work_path(spark, "test-star")
+    paths = lake.write_star(tables, root)
+    assert set(paths) == set(tables)
+    for name, path in paths.items():
+        assert spark.read.parquet(path).count() == tables[name].count(), name
+    # create-or-replace: writing again replaces, it does not append
+    lake.write_table(tables["dim_time"], paths["dim_time"], sort_by=["date_key"], small=True)
+    assert spark.read.parquet(paths["dim_time"]).count() == tables["dim_time"].count()
+    assert len(spark.read.parquet(paths["dim_time"]).inputFiles()) == 1
