@@ -222,8 +222,3 @@ def score(model: PipelineModel, records: DataFrame, threshold: float, as_of=None
         F.round("fraud_proba", 4).alias("fraud_proba"),
         (F.col("fraud_proba") > D.DECISION_THRESHOLD).alias("is_fraud"),
         R.risk_level("fraud_proba").alias("risk_level"))
-
-
-def score_stream(model: PipelineModel, events: DataFrame, threshold: float) -> DataFrame:
-    """The same scoring applied to a streaming DataFrame (narrow, no state)."""
-    return score(model, events, threshold)

@@ -115,8 +115,9 @@ class UpsertTable:
                 return
             old = self._read_buckets(prev, touched)
             merged = merge(old.drop("bucket"), folded.drop("bucket"), self.key, self.fields)
+            # one task per bucket value (explicit count: AQE keeps the writers parallel)
             (merged.withColumn("bucket", self._bucket())
-                   .repartition("bucket")
+                   .repartition(self.buckets, "bucket")
                    .write.mode("overwrite").partitionBy("bucket")
                    .parquet(f"{self.root}/data/batch={batch_id}"))
             entries = dict(prev)
