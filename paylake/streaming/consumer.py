@@ -66,11 +66,13 @@ def changes_fold(events: DataFrame, order: list[str] = ORDER_EVENT_TIME) -> Data
     return fold(events, "id", fields, order, presence)
 
 
-def log_rows(alerts: DataFrame) -> DataFrame:
-    return alerts.select(
+def log_rows(alert_fold: DataFrame) -> DataFrame:
+    """One log row per alerted id and batch (a re-delivered alert is not logged twice)."""
+    val = lambda f: F.col(f)["v"]  # noqa: E731  folded field value (NULL when absent)
+    return alert_fold.select(
         F.lit("fraud_alert").alias("type"), F.coalesce("id", F.lit("unknown")).alias("transaction_id"),
-        "fraud_score", "amount", F.col("currency_code").alias("currency"),
-        F.current_timestamp().alias("logged_at"))
+        val("fraud_score").alias("fraud_score"), val("amount").alias("amount"),
+        val("currency_code").alias("currency"), F.current_timestamp().alias("logged_at"))
 
 
 class ConsumerSink:
@@ -101,9 +103,9 @@ class ConsumerSink:
             alerts = events.filter(F.col("topic") == self.alerts_topic).withColumns({
                 "flagged_at": F.current_timestamp(), "flagged_at__present": F.lit(True)})
             alert_fields = [f for f in EVENT_FIELDS if f != "id"] + ["flagged_at"]
-            self.alerts.apply(fold(alerts, "id", alert_fields, self.order,
-                                   {f: f"{f}__present" for f in alert_fields}), batch_id)
-            (log_rows(alerts).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            alert_fold = fold(alerts, "id", alert_fields, self.order, {f: f"{f}__present" for f in alert_fields})
+            self.alerts.apply(alert_fold, batch_id)
+            (log_rows(alert_fold).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
              .write.mode("overwrite").parquet(f"{self.root}/logs/batch={batch_id}"))
         finally:
             if events is not None:

@@ -70,6 +70,17 @@ def test_sink_dispatch_quarantine_and_replay(spark):
     assert _state(sink) == state and sink.logs().count() == 1 and sink.quarantine().count() == 3
 
 
+def test_redelivered_alert_is_logged_once_per_batch(spark):
+    ev = json.dumps({"id": "5", "customer_id": "c", "merchant_id": "m", "amount": 7.5, "currency_code": "EUR",
+                     "fraud_score": 0.95})
+    msgs = spark.createDataFrame([_msg(1, "fraud_alerts", ev, 1), _msg(2, "fraud_alerts", ev, 2)],
+                                 consumer.MESSAGE_SCHEMA)
+    sink = consumer.ConsumerSink(spark, session.work_path(spark, "test-relog"), buckets=4)
+    sink(msgs, 0)
+    logs = sink.logs().collect()
+    assert len(logs) == 1 and logs[0].transaction_id == "5" and logs[0].amount == 7.5 and logs[0].currency == "EUR"
+
+
 def test_stream_batches_equivalent(spark):
     msgs = _messages(spark)
     results = []
