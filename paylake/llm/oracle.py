@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 WORD = r"[^\x20\x09-\x0D]+"
+ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 OP3 = rf"""
 WITH d AS (
@@ -96,4 +97,22 @@ taken AS (SELECT d.doc_id, d.size, g.source_size, g.target, (g.whole + CASE WHEN
 
 OP10 = f"WITH {mixing_ctes()} SELECT doc_id, size, source_size, target, (size * copies)::BIGINT AS taken FROM taken"
 
-SQL = {"op3_quality_rules": OP3, "op6_secret_scan": _op6(), "op10_source_mixing": OP10}
+OP2 = rf"""
+WITH lower_ AS (SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS u, 'abcdefghijklmnopqrstuvwxyz' AS l),
+b AS (SELECT coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all(translate(coalesce(text, ''), u, l), '{ALNUM}') AS w FROM benchmark, lower_),
+d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), u, l), '{ALNUM}') AS w FROM documents, lower_),
+bw AS (SELECT DISTINCT item, least(len(w), 13) AS size, list_aggregate(w[i:i + least(len(w), 13) - 1], 'string_agg', ' ') AS win
+       FROM (SELECT *, unnest(generate_series(1, greatest(len(w) - 12, 1))) AS i FROM b WHERE len(w) > 0)),
+dw AS (SELECT doc_id, i, size, list_aggregate(w[i:i + size - 1], 'string_agg', ' ') AS win
+       FROM (SELECT doc_id, w, size, unnest(generate_series(1, len(w) - size + 1)) AS i FROM d, (SELECT DISTINCT size FROM bw))),
+hits AS (SELECT doc_id, i, size, item FROM dw JOIN bw USING (size, win)),
+words AS (SELECT doc_id, count(DISTINCT i + j) AS n_hit
+          FROM (SELECT doc_id, i, unnest(generate_series(0, size - 1)) AS j FROM hits) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+          FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+SQL = {"op2_benchmark_decontamination": OP2, "op3_quality_rules": OP3, "op6_secret_scan": _op6(), "op10_source_mixing": OP10}

@@ -5,10 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylake.llm import mixing, quality_rules, secrets
+from paylake.llm import decontam, mixing, quality_rules, secrets
 from paylake.llm.common import table
 
 
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontam.scan(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items",
+                        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     led = quality_rules.apply_policy(quality_rules.ledger(docs))
@@ -26,4 +33,4 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       (F.col("size") * F.col("copies")).alias("taken"))
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op6_secret_scan, op10_source_mixing)}
+QUERIES = {f.__name__: f for f in (op2_benchmark_decontamination, op3_quality_rules, op6_secret_scan, op10_source_mixing)}
