@@ -115,4 +115,22 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-SQL = {"op2_benchmark_decontamination": OP2, "op3_quality_rules": OP3, "op6_secret_scan": _op6(), "op10_source_mixing": OP10}
+def near_dup_ctes(docs: str = "documents", k: int = 4) -> str:
+    """CTEs up to ``labels`` (doc_id, n_shingles, component_id) over a table of documents."""
+    return rf"""
+lower_ AS (SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS u, 'abcdefghijklmnopqrstuvwxyz' AS l),
+d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), u, l), '{WORD}') AS w FROM {docs}, lower_),
+sh AS (SELECT DISTINCT doc_id, list_aggregate(w[i:i + {k - 1}], 'string_agg', ' ') AS g
+       FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - {k - 1}, 1))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_both FROM sh a JOIN sh b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM pairs JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * n_both >= 80 * (na.n + nb.n - n_both)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id AS a, doc_id AS c FROM d UNION SELECT e.b, r.c FROM reach r JOIN edges e ON e.a = r.a AND r.c < e.b),
+labels AS (SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c AS component_id
+           FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(c) AS c FROM reach GROUP BY a) USING (doc_id))"""
+
+
+OP7 = f"WITH RECURSIVE {near_dup_ctes()} SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM labels"
+
+SQL = {"op7_near_duplicates": OP7, "op2_benchmark_decontamination": OP2, "op3_quality_rules": OP3, "op6_secret_scan": _op6(), "op10_source_mixing": OP10}

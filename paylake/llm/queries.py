@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylake.llm import decontam, mixing, quality_rules, secrets
+from paylake.llm import decontam, mixing, near_dup, quality_rules, secrets
 from paylake.llm.common import table
 
 
@@ -27,10 +27,14 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), k=4)
+
+
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.copies(docs).select("doc_id", "size", "source_size", "target",
                                       (F.col("size") * F.col("copies")).alias("taken"))
 
 
-QUERIES = {f.__name__: f for f in (op2_benchmark_decontamination, op3_quality_rules, op6_secret_scan, op10_source_mixing)}
+QUERIES = {f.__name__: f for f in (op2_benchmark_decontamination, op3_quality_rules, op6_secret_scan, op7_near_duplicates, op10_source_mixing)}
