@@ -133,4 +133,16 @@ labels AS (SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c AS compone
 
 OP7 = f"WITH RECURSIVE {near_dup_ctes()} SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM labels"
 
-SQL = {"op7_near_duplicates": OP7, "op2_benchmark_decontamination": OP2, "op3_quality_rules": OP3, "op6_secret_scan": _op6(), "op10_source_mixing": OP10}
+OP1 = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
+wins AS (SELECT doc_id, i, list_aggregate(w[i:i + 19], 'string_agg', ' ') AS win
+         FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 19)) AS i FROM d)),
+dups AS (SELECT doc_id, i FROM (SELECT *, row_number() OVER (PARTITION BY win ORDER BY doc_id, i) AS k FROM wins) WHERE k > 1),
+gone AS (SELECT DISTINCT doc_id, i + j AS p FROM dups, generate_series(0, 19) g(j)),
+ws AS (SELECT doc_id, unnest(w) AS word, unnest(generate_series(1, len(w))) AS p FROM d),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS t FROM ws ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+SQL = {"op1_substring_dedup": OP1, "op7_near_duplicates": OP7, "op2_benchmark_decontamination": OP2, "op3_quality_rules": OP3, "op6_secret_scan": _op6(), "op10_source_mixing": OP10}

@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylake.llm import decontam, mixing, near_dup, quality_rules, secrets
+from paylake.llm import decontam, mixing, near_dup, quality_rules, secrets, substring_dedup
 from paylake.llm.common import table
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontam.scan(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
@@ -37,4 +42,4 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       (F.col("size") * F.col("copies")).alias("taken"))
 
 
-QUERIES = {f.__name__: f for f in (op2_benchmark_decontamination, op3_quality_rules, op6_secret_scan, op7_near_duplicates, op10_source_mixing)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_benchmark_decontamination, op3_quality_rules, op6_secret_scan, op7_near_duplicates, op10_source_mixing)}
