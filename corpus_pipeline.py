@@ -1,16 +1,33 @@
-"""The corpus pipeline: STAGES applied in order, each written as Parquet and read again."""
+"""The corpus pipeline: STAGES applied in order, each written as Parquet and read again.
+
+Every stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; all but
+the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from paylake.llm import mixing, quality_rules
+from paylake.llm import decontam, mixing, near_dup, packing, quality_rules
+from paylake.llm.common import materialize, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no rule of the current policy rejects."""
-    led = quality_rules.apply_policy(quality_rules.ledger(docs))
-    return led.filter("kept").select(*docs.columns)
+    led = quality_rules.apply_policy(quality_rules.ledger(docs.select(F.struct(*docs.columns).alias("row"), "text")))
+    return led.filter("kept").select("row.*")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: the one with the smallest doc_id."""
+    kept = near_dup.near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("_kept")), "left_semi")
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without benchmark passages by the contamination rule."""
+    return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,6 +35,22 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(docs)
 
 
-STAGES = [("quality rules", quality), ("mixing", mix)]
-#: SQL cannot express near duplicates and packing; tests hold the stages against brute force.
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packed rows of token ids."""
+    return packing.pack(docs)
+
+
+STAGES = [("quality rules", quality), ("near duplicates", near_duplicates), ("decontamination", decontamination),
+          ("mixing", mix), ("token packing", tokens)]
+#: SQL cannot tokenize and pack; tests hold run() against brute force.
 ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; between them the rows are written and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for k, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = materialize(docs, f"pipeline-{k}")
+    return docs

@@ -219,13 +219,14 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col:
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in renamed.schema])
     out = renamed
     for items in list(blocks(benchmark, text_col=text_col, limit=block_bytes)) or [[]]:
-        shared = sc.broadcast(Block(items, window))
+        shared = sc.broadcast(items)
 
         def run(batches, shared=shared):
+            block = Block(shared.value, window)
             for batch in chunks(batches, "_text"):
                 before = [batch[c].to_pylist() for c in _FOUND]
                 n_words, starts, ends, names, longest = [], [], [], [], []
-                for k, (n, s, e, i, m) in enumerate(_match(batch, "_text", shared.value)):
+                for k, (n, s, e, i, m) in enumerate(_match(batch, "_text", block)):
                     s, e = _merge([*before[1][k], *s], [*before[2][k], *e])
                     n_words.append(n)
                     starts.append(s)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylake.llm import decontam, mixing, near_dup, quality_rules, secrets, substring_dedup
+import corpus_pipeline
+from paylake.llm import decontam, mixing, near_dup, packing, quality_rules, secrets, substring_dedup
 from paylake.llm.common import table
 
 
@@ -28,6 +29,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "base_failed", "kept", "fail_bits")
 
 
+def op5_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -42,4 +47,6 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       (F.col("size") * F.col("copies")).alias("taken"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_benchmark_decontamination, op3_quality_rules, op6_secret_scan, op7_near_duplicates, op10_source_mixing)}
+QUERIES = {f.__name__: f for f in (
+    op1_substring_dedup, op2_benchmark_decontamination, op3_quality_rules, op5_token_packing, op6_secret_scan,
+    op7_near_duplicates, op10_source_mixing)} | {"pipeline": corpus_pipeline.run}

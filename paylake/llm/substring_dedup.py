@@ -16,6 +16,9 @@ held in one place:
   boundary  Where a factor ends, the next window is looked up by itself rather than
             skipped over, so no window that crosses a factor boundary is missed.
 
+Whole copies are settled first: a document whose text stands under a smaller doc_id is one
+factor, and an anchor counts as repeated only if it stands in two different texts or twice in one.
+
 Skew: a chunk of rows first compares its own anchors and windows and sends one row per
 distinct value, so a passage in a third of all documents is as many rows as there are
 chunks; the rest is settled where it was found.  Texts are shuffled once (both joins reuse
@@ -23,7 +26,7 @@ the exchange); a document's spans are the only grouped lists.
 
 Defined results: null and empty texts have no words and keep the digest of the empty
 string; a null doc_id sorts first; rows equal in id and text count as one document and
-get equal results; two windows are equal if both their 64-bit hashes are.
+get equal results; two windows are equal if their 96-bit hashes are.
 """
 
 from __future__ import annotations
@@ -37,10 +40,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from paylake.llm.common import KEY_A, KEY_B, chunks, keyed, mix, public_id, run_hashes, split_words, starts_inside, word_hashes
+from paylake.llm.common import (KEY_A, KEY_B, chunks, keyed, materialize, mix, public_id, run_hashes, split_words, starts_inside,
+                                word_hashes)
 
 #: Words in a window (the shortest factor), and in an anchor.
-WINDOW, GRAM = 20, 6
+WINDOW, GRAM = 20, 9
 MAX = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -90,53 +94,66 @@ def _ints(col: pa.Array) -> np.ndarray:
     return np.asarray(col).astype(np.int64)
 
 
+def _own(ids: np.ndarray, pos: np.ndarray) -> np.ndarray:
+    """A value that only this place travels under."""
+    return mix(ids.astype(np.uint64) + pos.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def _first_copies(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The rows without those whose text the chunk holds under a smaller id (or before, under the same)."""
+    cls, ids = _ints(batch["cls"]), _ints(batch["id"])
+    order = np.lexsort((ids, cls))
+    first = np.ones(len(order), bool)
+    first[1:] = cls[order][1:] != cls[order][:-1]
+    return batch.take(pa.array(np.sort(order[first])))
+
+
 def _anchor_rows(window: int, gram: int):
     def run(batches):
-        for batch in chunks(batches):
+        for batch in map(_first_copies, chunks(batches)):
             t = Text(batch["text"], window, gram)
             p = t.anchors()
             if not len(p):
                 continue
             h = t.g[p]
             order = np.argsort(h, kind="stable")
-            h, p = h[order], p[order]
             first = np.ones(len(h), bool)
-            first[1:] = h[1:] != h[:-1]
+            first[1:] = h[order][1:] != h[order][:-1]
             group = np.cumsum(first) - 1
-            known = np.bincount(group)[group] > 1
-            row, ids, rks = t.row[p], _ints(batch["id"]), _ints(batch["rk"])
+            lead, known = np.empty(len(h), bool), np.empty(len(h), bool)
+            lead[order], known[order] = first, np.bincount(group)[group] > 1
+            row, ids, cls = t.row[p], _ints(batch["id"]), _ints(batch["cls"])
             pos = p - t.at[row]
             # all but the first of a value are settled here; they travel under a value of their own
-            own = mix(rks[row].astype(np.uint64) + pos.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.where(first, h, own).view(np.int64)), pa.array(known), pa.array(ids[row]), pa.array(rks[row]),
-                 pa.array(pos.astype(np.int32))], names=["h", "known", "id", "rk", "pos"])
+                [pa.array(np.where(lead, h, _own(ids[row], pos)).view(np.int64)), pa.array(ids[row]), pa.array(cls[row]),
+                 pa.array(2 * pos + known)], names=["h", "id", "cls", "place"])
     return run
 
 
 def _window_rows(window: int, gram: int):
     def run(batches):
-        for batch in chunks(batches):
+        for batch in map(_first_copies, chunks(batches)):
             t = Text(batch["text"], window, gram)
             lists = batch["positions"]
             row = np.repeat(np.arange(len(lists)), np.asarray(pc.list_value_length(lists)).astype(np.int64))
-            s = t.candidates(t.at[row] + _ints(lists.flatten()))
+            at = t.at[row] + _ints(lists.flatten())
+            s = t.candidates(at[at < t.at[row + 1]])  # of rows that share an id, another may be longer
             if not len(s):
                 continue
-            ids, rks = _ints(batch["id"]), _ints(batch["rk"])
+            ids, cls = _ints(batch["id"]), _ints(batch["cls"])
             a = run_hashes(t.h[0], window)[s]
-            b = run_hashes(t.h[1], window, 0xD6E8FEB86659FD93)[s]
+            b = run_hashes(t.h[1], window, 0xD6E8FEB86659FD93)[s] >> np.uint64(33)
             row = t.row[s]
             start, doc = s - t.at[row], ids[row]
             order = np.lexsort((start, doc, b, a))
-            a, b, row, start, doc = a[order], b[order], row[order], start[order], doc[order]
             first = np.ones(len(a), bool)
-            first[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-            lead = np.flatnonzero(first)[np.cumsum(first) - 1]
+            first[1:] = (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])
+            lead = np.empty(len(a), np.int64)
+            lead[order] = order[np.flatnonzero(first)[np.cumsum(first) - 1]]
             later = (doc != doc[lead]) | (start != start[lead])  # than the chunk's own first one
             # settled windows leave as runs copied from a run
             k = np.flatnonzero(later)
-            k = k[np.lexsort((start[k], row[k]))]
             src_doc, src = doc[lead[k]], start[lead[k]]
             new = np.ones(len(k), bool)
             new[1:] = ((row[k][1:] != row[k][:-1]) | (start[k][1:] != start[k][:-1] + 1) | (src_doc[1:] != src_doc[:-1])
@@ -144,16 +161,17 @@ def _window_rows(window: int, gram: int):
             f = np.flatnonzero(new)
             n = np.diff(np.concatenate((f, [len(k)])))
             o = np.flatnonzero(~later)
-            rows = np.concatenate((row[o], row[k[f]]))
-            starts = np.concatenate((start[o], start[k[f]]))
-            own = mix(rks[row[k[f]]].astype(np.uint64) + start[k[f]].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+            r, at = np.concatenate((row[o], row[k[f]])), np.concatenate((start[o], start[k[f]]))
+            some = pa.array(np.arange(len(r)) < len(o))
             none = np.zeros(len(o), np.int64)
+            copied = pa.StructArray.from_arrays(
+                [pa.array(np.concatenate((none, n)).astype(np.int32)), pa.array(np.concatenate((none, src_doc[f]))),
+                 pa.array(np.concatenate((none, src[f])).astype(np.int32))], names=["n", "ref_id", "ref_start"], mask=some)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate((a[o], own)).view(np.int64)), pa.array(np.concatenate((b[o], ~own)).view(np.int64)),
-                 pa.array(ids[rows]), pa.array(rks[rows]), pa.array(starts.astype(np.int32)),
-                 pa.array(np.concatenate((none, n)).astype(np.int32)), pa.array(np.concatenate((none, src_doc[f]))),
-                 pa.array(np.concatenate((none, src[f])).astype(np.int32))],
-                names=["a", "b", "id", "rk", "start", "n", "ref_id", "ref_start"])
+                [pa.array(np.concatenate((a[o], _own(doc[k[f]], start[k[f]]))).view(np.int64)),
+                 pa.array(np.concatenate((b[o], np.zeros(len(f), np.uint64))).astype(np.int32)),
+                 pa.array(ids[r]), pa.array(cls[r]), pa.array(at.astype(np.int32)), copied],
+                names=["a", "b", "id", "cls", "start", "copied"])
     return run
 
 
@@ -170,9 +188,11 @@ def _parsed(window: int):
             lists = batch["spans"]
             size = np.asarray(pc.fill_null(pc.list_value_length(lists), 0)).astype(np.int64)
             s = lists.flatten()
-            start, n, ref, src = (_ints(s.field(i)) for i in range(4))
+            cls, start, n, ref, src = (_ints(s.field(i)) for i in range(5))
             row = np.repeat(np.arange(len(lists)), size)
-            order = np.lexsort((start, row))
+            n = np.where(n < 0, np.diff(at)[row] - window + 1, n)
+            order = np.lexsort((-n, start, row))
+            order = order[(cls == _ints(batch["cls"])[row])[order] & (n[order] > 0)]
             start, n, ref, src, row = start[order], n[order], ref[order], src[order], row[order]
             new = np.ones(len(row), bool)
             new[1:] = ((row[1:] != row[:-1]) | (start[1:] > start[:-1] + n[:-1]) | (ref[1:] != ref[:-1])
@@ -203,21 +223,29 @@ def dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
 
     ``factors``: the duplicate spans (start, n words, and the document and word they are copied from).
     """
-    base = keyed(docs)
-    anchors = base.mapInArrow(_anchor_rows(window, gram), "h long, known boolean, id long, rk long, pos int")
-    seen = F.count(F.lit(1)).over(W.partitionBy("h"))
-    repeated = (anchors.withColumn("seen", seen).filter("known or seen > 1")
-                .groupBy("id", "rk").agg(F.collect_list("pos").alias("positions")))
-    windows = base.join(repeated, ["id", "rk"]).mapInArrow(
-        _window_rows(window, gram), "a long, b long, id long, rk long, start int, n int, ref_id long, ref_start int")
+    base = keyed(docs).select("id", F.coalesce(F.xxhash64("text"), F.lit(0)).alias("cls"), "text")
+    named = base.select("id", "cls", F.md5("text").alias("digest")).filter("digest is not null")
+    firsts = materialize(named.groupBy("digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("copies"))
+                         .filter("copies > 1").drop("copies"), "sd-firsts")
+    whole = named.join(firsts, "digest").filter("id > first").select(
+        "id", F.struct("cls", F.lit(0).alias("start"), F.lit(-1).alias("n"), F.col("first").alias("ref_id"),
+                       F.lit(0).alias("ref_start")).alias("x"))
+    # place: twice the position, odd where the chunk has settled that the anchor is repeated
+    anchors = base.mapInArrow(_anchor_rows(window, gram), "h long, id long, cls long, place long")
+    same = W.partitionBy("h")
+    repeated = (anchors.withColumns({"lo": F.min("cls").over(same), "hi": F.max("cls").over(same)})
+                .filter("place % 2 = 1 or lo < hi")
+                .groupBy("id").agg(F.collect_list(F.shiftright("place", 1).cast("int")).alias("positions")))
+    windows = base.join(repeated, "id").mapInArrow(
+        _window_rows(window, gram),
+        "a long, b int, id long, cls long, start int, copied struct<n:int,ref_id:long,ref_start:int>")
     place = F.struct("id", "start")
     first = F.min(place).over(W.partitionBy("a", "b"))
-    spans = (windows.withColumn("first", first).filter((F.col("n") > 0) | (place > F.col("first")))
-             .select("id", "rk", F.struct(
-                 "start", F.greatest("n", F.lit(1)).alias("n"),
-                 F.when(F.col("n") > 0, F.col("ref_id")).otherwise(F.col("first.id")).alias("ref_id"),
-                 F.when(F.col("n") > 0, F.col("ref_start")).otherwise(F.col("first.start")).alias("ref_start")).alias("x"))
-             .groupBy("id", "rk").agg(F.collect_list("x").alias("spans")))
-    out = base.join(spans, ["id", "rk"], "left").mapInArrow(
+    spans = windows.withColumn("first", first).filter(F.col("copied").isNotNull() | (place > F.col("first"))).select(
+        "id", F.struct("cls", "start", F.coalesce("copied.n", F.lit(1)).alias("n"),
+                       F.coalesce("copied.ref_id", "first.id").alias("ref_id"),
+                       F.coalesce("copied.ref_start", "first.start").alias("ref_start")).alias("x"))
+    spans = spans.unionByName(whole).groupBy("id").agg(F.collect_list("x").alias("spans"))
+    out = base.join(spans, "id", "left").mapInArrow(
         _parsed(window), f"id long, n_words long, n_removed long, kept_sha256 string, kept_text string, factors array<{FACTOR}>")
     return out.select(public_id().alias("doc_id"), "n_words", "n_removed", "kept_sha256", "kept_text", "factors")
