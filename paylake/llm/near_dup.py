@@ -12,9 +12,11 @@ Verification loses no candidate link and still makes no pairs within groups:
   1. rows with equal sets are one class; only its representative goes on;
   2. every member of a bucket is verified against the bucket's pivot (another pivot
      in every bucket, so that a large cluster is connected through many of them);
-  3. members of a bucket that are connected by now need no comparison; of the others,
-     pairs are skipped only where sizes, or the verified distances to the pivot,
-     prove the pair too different (Jaccard distance is a metric); the rest is verified;
+  3. members of a bucket that are connected by now need no comparison; the others are
+     compared inside tasks, block against block, on a longer sketch of FINE coordinates.
+     A pair goes on to verification (once, from the first band it shares) unless its sizes
+     or its verified distances to the pivot prove it too different (Jaccard distance is a
+     metric), or its sketches agree MARGIN standard deviations less than at the threshold;
   4. components of the verified links.
 
 Defined results: A-Z are lowered; a text shorter than a shingle is one shingle as a
@@ -40,6 +42,8 @@ from paylake.llm.components import components
 SHINGLE, SIMILAR = 5, 80
 BANDS, ROWS = 64, 8
 T = BANDS * ROWS
+#: Coordinates of the longer sketch, the deviations it may fall short, and documents in a block.
+FINE, MARGIN, BLOCK = 1024, 5, 512
 FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -132,6 +136,41 @@ def _verify(k: int):
     return run
 
 
+def _fine(k: int):
+    """(id, text) to (id, fine): the longer sketch, a byte a coordinate."""
+    def run(batches):
+        for batch in chunks(batches):
+            g, at = shingle_sets(batch["text"], k)
+            fine = mix(sketch(g, at, FINE)).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([batch["id"], pa.array([x.tobytes() for x in fine], pa.binary())], names=["id", "fine"])
+    return run
+
+
+def _compare(similar: int):
+    """Pairs of one block pair of a bucket that the longer sketches leave open, as (a, b)."""
+    s = similar / 100
+    least = FINE * (s - MARGIN * (s * (1 - s) / FINE) ** 0.5)
+
+    def run(group: pa.Table) -> pa.Table:
+        col = {c: np.asarray(group[c].combine_chunks()) for c in ("id", "component", "n", "dist", "block", "p", "q", "band")}
+        fine = np.frombuffer(b"".join(group["fine"].to_pylist()), np.uint8).reshape(len(col["id"]), FINE)
+        tags = group["tags"].combine_chunks().flatten().to_numpy().reshape(len(col["id"]), BANDS)
+        band, a, b = int(col["band"][0]), [], []
+        xs, ys = np.flatnonzero(col["block"] == col["p"]), np.flatnonzero(col["block"] == col["q"])
+        for x in xs:
+            y = ys[(col["component"][ys] > col["component"][x]) if col["p"][0] == col["q"][0] else (col["component"][ys] != col["component"][x])]
+            n = col["n"]
+            y = y[(np.abs(col["dist"][y] - col["dist"][x]) <= 1 - s + 1e-9)
+                  & (100 * np.minimum(n[y], n[x]) >= similar * np.maximum(n[y], n[x]))]
+            y = y[(fine[y] == fine[x]).sum(axis=1) >= least]
+            y = y[(tags[y] == tags[x]).argmax(axis=1) == band]  # pairs met in an earlier band are done there
+            a.append(np.full(len(y), col["id"][x]))
+            b.append(col["id"][y])
+        a, b = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (a, b))
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+    return run
+
+
 def verify(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
     """Set sizes and intersection of each pair (a, b), from ``texts`` (id, text)."""
     full = (pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
@@ -149,7 +188,7 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, similar: int = SIMILAR) -
     sig = materialize(base.mapInArrow(_signatures(k), "id long, n long, sa long, sb long, bands array<long>"), "nd-sig")
     reps = materialize(sig.groupBy("sa", "sb").agg(F.min("id").alias("id"), F.first("n").alias("n"),
                                                    F.first("bands").alias("bands")), "nd-reps")
-    slots = reps.select("id", "n", F.explode("bands").alias("bucket"))
+    slots = reps.select("id", "n", F.posexplode("bands").alias("band", "bucket"))
     pivots = materialize(
         slots.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("id", "bucket").alias("o"), F.col("id"))).alias("p"),
                                     F.count(F.lit(1)).alias("size"))
@@ -168,15 +207,16 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, similar: int = SIMILAR) -
     left = (members.join(first, "id", "left").withColumn("component", F.coalesce("component", "id"))
             .join(dist, ["id", "pivot"], "left").withColumn("dist", F.coalesce("dist", F.lit(0.0))))
     left = materialize(left, "nd-left")
-    mixed = left.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-    left = materialize(left.join(mixed.select("bucket"), "bucket", "left_semi"), "nd-mixed")
-    x, y = left.alias("x"), left.alias("y")
-    gap = (100 - similar) / 100 + 1e-9
-    more = (x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") < F.col("y.component"))
-                   & (F.abs(F.col("x.dist") - F.col("y.dist")) <= gap)
-                   & (100 * F.least("x.n", "y.n") >= similar * F.greatest("x.n", "y.n"))
-                   & (F.col("x.id") != F.col("x.pivot")) & (F.col("y.id") != F.col("y.pivot")))
-            .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct())
+    open_ = left.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                       F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")).filter("lo < hi")
+    left = materialize(left.join(open_.select("bucket", "blocks"), "bucket"), "nd-open")
+    fine = texts.join(left.select("id").distinct(), "id", "left_semi").mapInArrow(_fine(k), "id long, fine binary")
+    fine = materialize(fine.join(reps.select("id", F.transform("bands", lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("tags")), "id"), "nd-fine")
+    # a block meets every block of its bucket, itself included
+    place = left.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    place = place.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    place = place.withColumns({"p": F.least("block", "other"), "q": F.greatest("block", "other")}).join(fine, "id")
+    more = place.groupBy("bucket", "p", "q").applyInArrow(_compare(similar), "a long, b long").distinct()
     further = materialize(verify(more, texts, k), "nd-further")
     all_links = links.unionByName(further.filter(_alike(similar)).select("a", "b"))
     label = components(all_links)
