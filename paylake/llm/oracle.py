@@ -145,4 +145,30 @@ SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n
 FROM d LEFT JOIN kept USING (doc_id)
 """
 
-SQL = {"op1_substring_dedup": OP1, "op7_near_duplicates": OP7, "op2_benchmark_decontamination": OP2, "op3_quality_rules": OP3, "op6_secret_scan": _op6(), "op10_source_mixing": OP10}
+OP9 = r"""
+WITH u AS (
+  SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+rules(suffix, prefix, seed) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+fit AS (SELECT page_id, host, path, max(struct_pack(k := length(suffix) + length(prefix), rule := suffix || prefix, seed := seed)) AS best
+        FROM u LEFT JOIN rules ON (host = suffix OR ends_with(host, '.' || suffix)) AND starts_with(path, prefix) GROUP BY ALL),
+j AS (SELECT page_id, host, path, best.rule AS rule, best.seed AS seed,
+             [x FOR x IN string_split(host, '.') IF x <> ''] AS labels,
+             [x FOR x IN string_split(path, '/') IF x <> '' AND NOT regexp_matches(x, '[0-9]')] AS parts FROM fit),
+t AS (SELECT DISTINCT page_id, coalesce(seed, '') = 'block' AS bad, tok FROM (
+  SELECT page_id, seed, unnest([CASE WHEN i = len(labels) THEN 'top:' WHEN i = len(labels) - 1 THEN 'domain:' ELSE 'sub:' END || labels[i]
+                                FOR i IN generate_series(1, len(labels))]) AS tok FROM j
+  UNION ALL SELECT page_id, seed, 'path:' || unnest(parts) FROM j)),
+combos AS (
+  SELECT page_id, bad, tok AS k FROM t
+  UNION ALL SELECT a.page_id, a.bad, a.tok || chr(10) || b.tok FROM t a JOIN t b ON a.page_id = b.page_id AND a.tok < b.tok
+  UNION ALL SELECT a.page_id, a.bad, a.tok || chr(10) || b.tok || chr(10) || c.tok FROM t a JOIN t b ON a.page_id = b.page_id AND a.tok < b.tok
+            JOIN t c ON a.page_id = c.page_id AND b.tok < c.tok),
+mined AS (SELECT k FROM combos GROUP BY k HAVING sum(bad::INT) >= ceil(0.005::DOUBLE * (SELECT count(*) FROM pages))
+          AND sum(bad::INT)::DOUBLE / count(*) >= 0.8),
+hit AS (SELECT DISTINCT page_id FROM combos JOIN mined USING (k))
+SELECT page_id, host, path, rule, coalesce(seed, CASE WHEN hit.page_id IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
+FROM j LEFT JOIN hit USING (page_id)
+"""
+
+SQL = {"op9_url_rules": OP9, "op1_substring_dedup": OP1, "op7_near_duplicates": OP7, "op2_benchmark_decontamination": OP2, "op3_quality_rules": OP3, "op6_secret_scan": _op6(), "op10_source_mixing": OP10}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from paylake.llm import decontam, mixing, near_dup, packing, quality_rules, secrets, substring_dedup
+from paylake.llm import decontam, mixing, near_dup, packing, quality_rules, secrets, substring_dedup, url_rules
 from paylake.llm.common import table
 
 
@@ -41,6 +41,11 @@ def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), k=4)
 
 
+def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_rules.judge(pages).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.copies(docs).select("doc_id", "size", "source_size", "target",
@@ -49,4 +54,4 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_substring_dedup, op2_benchmark_decontamination, op3_quality_rules, op5_token_packing, op6_secret_scan,
-    op7_near_duplicates, op10_source_mixing)} | {"pipeline": corpus_pipeline.run}
+    op7_near_duplicates, op9_url_rules, op10_source_mixing)} | {"pipeline": corpus_pipeline.run}
