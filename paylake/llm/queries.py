@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from paylake.llm import decontam, mixing, near_dup, packing, quality_rules, secrets, substring_dedup, url_rules
+from paylake.llm import decontam, mixing, near_dup, packing, quality_rules, secrets, substring_dedup, toxicity, url_rules
 from paylake.llm.common import table
 
 
@@ -41,6 +41,13 @@ def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), k=4)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"), ~held_out)
+    return toxicity.score(docs, model).select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_rules.judge(pages).select("page_id", "host", "path", "rule", "verdict")
@@ -54,4 +61,4 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_substring_dedup, op2_benchmark_decontamination, op3_quality_rules, op5_token_packing, op6_secret_scan,
-    op7_near_duplicates, op9_url_rules, op10_source_mixing)} | {"pipeline": corpus_pipeline.run}
+    op7_near_duplicates, op8_toxicity, op9_url_rules, op10_source_mixing)} | {"pipeline": corpus_pipeline.run}
