@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from paylake.llm import decontam, mixing, near_dup, packing, quality_rules, secrets, substring_dedup, toxicity, url_rules
+from paylake.llm import decontam, mixing, near_dup, packing, pitman_yor, quality_rules, secrets, substring_dedup, toxicity, url_rules
 from paylake.llm.common import table
 
 
@@ -29,6 +29,13 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "base_failed", "kept", "fail_bits")
 
 
+def op4_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(False))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pitman_yor.score(docs, ~held_out).select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                                                    "base_score", "score")
+
+
 def op5_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -60,5 +67,5 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_substring_dedup, op2_benchmark_decontamination, op3_quality_rules, op5_token_packing, op6_secret_scan,
+    op1_substring_dedup, op2_benchmark_decontamination, op3_quality_rules, op4_pitman_yor, op5_token_packing, op6_secret_scan,
     op7_near_duplicates, op8_toxicity, op9_url_rules, op10_source_mixing)} | {"pipeline": corpus_pipeline.run}
