@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paylake.llm.common import keyed, public_id
+from paylake.llm.common import keyed, materialize, public_id
 
 #: The base kinds in their order and what they match.
 BASE = {
@@ -120,7 +120,7 @@ def linked(found: DataFrame) -> DataFrame:
 
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: counts, digest of the base spans, and all spans."""
-    found = findings(docs, id_col, text_col)
+    found = materialize(findings(docs, id_col, text_col), "secrets")  # the texts are searched once
     more = linked(found.filter(F.size("weak") > 0)).groupBy("id", "rk").agg(
         F.collect_list(F.struct("s", "kind", "e")).alias("more"))  # at most a document's own parts
     all_ = found.select("id", "rk", "base").join(more, ["id", "rk"], "left")
