@@ -103,18 +103,23 @@ def plan(docs: DataFrame, budget: float = BUDGET, most: int = MOST, weights: tup
 
 
 def copies(docs: DataFrame, **kw) -> DataFrame:
-    """The documents with source_size, target, size and ``copies`` (0 to ``most``) appended."""
+    """The documents with size, source_size, target and ``copies`` (0 to ``most``) appended.
+
+    Columns of the input with these names are replaced.
+    """
     p = plan(docs, **kw)
-    p = p.select(*[F.col(c).alias(f"_{c}") for c in p.columns])
-    out = docs.join(p, docs["source"].eqNullSafe(F.col("_source")), "left")
-    more = F.when(hash60(docs["doc_id"]) < F.col("_limit"), 1).otherwise(0)
-    return out.select(*[docs[c] for c in docs.columns if c not in ("size", "source_size", "target", "copies")],
-                      n_words_column(docs["text"]).alias("size"), F.col("_source_size").alias("source_size"),
-                      F.col("_target").alias("target"), (F.col("_whole") + more).cast("int").alias("copies"))
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), docs["source"].alias("_source"),
+                       hash60(docs["doc_id"]).alias("_h"), n_words_column(docs["text"]).alias("size"))
+    out = rows.join(p, rows["_source"].eqNullSafe(p["source"]), "left")
+    more = F.when(F.col("_h") < F.col("limit"), 1).otherwise(0)
+    new = {"size": F.col("size"), "source_size": F.col("source_size"), "target": F.col("target"),
+           "copies": (F.col("whole") + more).cast("int")}
+    return out.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns if c not in new],
+                      *[v.alias(k) for k, v in new.items()])
 
 
 def mix(docs: DataFrame, **kw) -> DataFrame:
     """The mixed corpus: every document as often as the mix takes it, with the input's columns."""
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), *[docs[c] for c in ("doc_id", "source", "text")])
     n = F.col("copies")
-    return (copies(docs, **kw).filter(n > 0)
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), n))).select(*docs.columns))
+    return (copies(rows, **kw).filter(n > 0).select("row", F.explode(F.sequence(F.lit(1), n)).alias("copy")).select("row.*"))
