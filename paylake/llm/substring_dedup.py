@@ -17,12 +17,12 @@ held in one place:
             skipped over, so no window that crosses a factor boundary is missed.
 
 Whole copies are settled first: a document whose text stands under a smaller doc_id is one
-factor, and an anchor counts as repeated only if it stands in two different texts or twice in one.
+factor, and takes no further part.
 
 Skew: a chunk of rows first compares its own anchors and windows and sends one row per
 distinct value, so a passage in a third of all documents is as many rows as there are
-chunks; the rest is settled where it was found.  Texts are shuffled once (both joins reuse
-the exchange); a document's spans are the only grouped lists.
+chunks; the rest is settled where it was found.  Texts are shuffled once, by id (all three
+passes reuse the exchange); a document's positions and spans are the only grouped lists.
 
 Defined results: null and empty texts have no words and keep the digest of the empty
 string; a null doc_id sorts first; rows equal in id and text count as one document and
@@ -99,18 +99,18 @@ def _own(ids: np.ndarray, pos: np.ndarray) -> np.ndarray:
     return mix(ids.astype(np.uint64) + pos.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
-def _first_copies(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """The rows without those whose text the chunk holds under a smaller id (or before, under the same)."""
-    cls, ids = _ints(batch["cls"]), _ints(batch["id"])
-    order = np.lexsort((ids, cls))
-    first = np.ones(len(order), bool)
-    first[1:] = cls[order][1:] != cls[order][:-1]
-    return batch.take(pa.array(np.sort(order[first])))
+def _originals(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The rows that are no copy of a smaller id's text, equal rows once."""
+    ids, dup = _ints(batch["id"]), _ints(batch["dup"])
+    order = np.lexsort((dup, ids))
+    new = np.ones(len(order), bool)
+    new[1:] = (ids[order][1:] != ids[order][:-1]) | (dup[order][1:] != dup[order][:-1])
+    return batch.take(pa.array(np.sort(order[new & batch["first"].is_null().to_numpy(zero_copy_only=False)[order]])))
 
 
 def _anchor_rows(window: int, gram: int):
     def run(batches):
-        for batch in map(_first_copies, chunks(batches)):
+        for batch in map(_originals, chunks(batches)):
             t = Text(batch["text"], window, gram)
             p = t.anchors()
             if not len(p):
@@ -122,18 +122,18 @@ def _anchor_rows(window: int, gram: int):
             group = np.cumsum(first) - 1
             lead, known = np.empty(len(h), bool), np.empty(len(h), bool)
             lead[order], known[order] = first, np.bincount(group)[group] > 1
-            row, ids, cls = t.row[p], _ints(batch["id"]), _ints(batch["cls"])
+            row, ids = t.row[p], _ints(batch["id"])
             pos = p - t.at[row]
             # all but the first of a value are settled here; they travel under a value of their own
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.where(lead, h, _own(ids[row], pos)).view(np.int64)), pa.array(ids[row]), pa.array(cls[row]),
-                 pa.array(2 * pos + known)], names=["h", "id", "cls", "place"])
+                [pa.array(np.where(lead, h, _own(ids[row], pos)).view(np.int64)), pa.array(ids[row]), pa.array(2 * pos + known)],
+                names=["h", "id", "place"])
     return run
 
 
 def _window_rows(window: int, gram: int):
     def run(batches):
-        for batch in map(_first_copies, chunks(batches)):
+        for batch in map(_originals, chunks(batches)):
             t = Text(batch["text"], window, gram)
             lists = batch["positions"]
             row = np.repeat(np.arange(len(lists)), np.asarray(pc.list_value_length(lists)).astype(np.int64))
@@ -141,7 +141,7 @@ def _window_rows(window: int, gram: int):
             s = t.candidates(at[at < t.at[row + 1]])  # of rows that share an id, another may be longer
             if not len(s):
                 continue
-            ids, cls = _ints(batch["id"]), _ints(batch["cls"])
+            ids, dup = _ints(batch["id"]), _ints(batch["dup"])
             a = run_hashes(t.h[0], window)[s]
             b = run_hashes(t.h[1], window, 0xD6E8FEB86659FD93)[s] >> np.uint64(33)
             row = t.row[s]
@@ -169,9 +169,9 @@ def _window_rows(window: int, gram: int):
                  pa.array(np.concatenate((none, src[f])).astype(np.int32))], names=["n", "ref_id", "ref_start"], mask=some)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate((a[o], _own(doc[k[f]], start[k[f]]))).view(np.int64)),
-                 pa.array(np.concatenate((b[o], np.zeros(len(f), np.uint64))).astype(np.int32)),
-                 pa.array(ids[r]), pa.array(cls[r]), pa.array(at.astype(np.int32)), copied],
-                names=["a", "b", "id", "cls", "start", "copied"])
+                 pa.array((np.concatenate((b[o], np.zeros(len(f), np.uint64))).astype(np.int64) << 32) | at),
+                 pa.array(ids[r]), pa.array(dup[r].astype(np.int32)), copied],
+                names=["a", "bs", "id", "dup", "copied"])
     return run
 
 
@@ -188,11 +188,16 @@ def _parsed(window: int):
             lists = batch["spans"]
             size = np.asarray(pc.fill_null(pc.list_value_length(lists), 0)).astype(np.int64)
             s = lists.flatten()
-            cls, start, n, ref, src = (_ints(s.field(i)) for i in range(5))
+            dup, start, n, ref, src = (_ints(s.field(i)) for i in range(5))
             row = np.repeat(np.arange(len(lists)), size)
-            n = np.where(n < 0, np.diff(at)[row] - window + 1, n)
-            order = np.lexsort((-n, start, row))
-            order = order[(cls == _ints(batch["cls"])[row])[order] & (n[order] > 0)]
+            whole = np.flatnonzero(batch["first"].is_valid().to_numpy(zero_copy_only=False) & (np.diff(at) >= window))
+            none = np.zeros(len(whole), np.int64)
+            dup = np.concatenate((dup, _ints(batch["dup"])[whole]))
+            row, start, src = np.concatenate((row, whole)), np.concatenate((start, none)), np.concatenate((src, none))
+            n = np.concatenate((n, np.diff(at)[whole] - window + 1))
+            ref = np.concatenate((ref, _ints(pc.fill_null(batch["first"], 0))[whole]))
+            order = np.lexsort((start, row))
+            order = order[(dup == _ints(batch["dup"])[row])[order]]
             start, n, ref, src, row = start[order], n[order], ref[order], src[order], row[order]
             new = np.ones(len(row), bool)
             new[1:] = ((row[1:] != row[:-1]) | (start[1:] > start[:-1] + n[:-1]) | (ref[1:] != ref[:-1])
@@ -223,29 +228,32 @@ def dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
 
     ``factors``: the duplicate spans (start, n words, and the document and word they are copied from).
     """
-    base = keyed(docs).select("id", F.coalesce(F.xxhash64("text"), F.lit(0)).alias("cls"), "text")
-    named = base.select("id", "cls", F.md5("text").alias("digest")).filter("digest is not null")
+    named = keyed(docs).select("id", F.xxhash64("text").alias("cls"), F.md5("text").alias("digest")).filter("digest is not null")
     firsts = materialize(named.groupBy("digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("copies"))
                          .filter("copies > 1").drop("copies"), "sd-firsts")
-    whole = named.join(firsts, "digest").filter("id > first").select(
-        "id", F.struct("cls", F.lit(0).alias("start"), F.lit(-1).alias("n"), F.col("first").alias("ref_id"),
-                       F.lit(0).alias("ref_start")).alias("x"))
+    copies = named.join(firsts, "digest").filter("id > first").groupBy("id", "cls").agg(F.min("first").alias("first"))
+    copies = copies.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("cls", "first"))).alias("firsts"))
+    # dup numbers the different texts of one id; first: the smaller id that has the same text
+    base = keyed(docs).select("id", F.coalesce(F.xxhash64("text"), F.lit(0)).alias("cls"), "text")
+    base = base.withColumn("dup", F.dense_rank().over(W.partitionBy("id").orderBy("cls"))).join(copies, "id", "left")
+    base = base.select("id", "dup", F.try_element_at("firsts", F.col("cls")).alias("first"), "text")
     # place: twice the position, odd where the chunk has settled that the anchor is repeated
-    anchors = base.mapInArrow(_anchor_rows(window, gram), "h long, id long, cls long, place long")
-    same = W.partitionBy("h")
-    repeated = (anchors.withColumns({"lo": F.min("cls").over(same), "hi": F.max("cls").over(same)})
-                .filter("place % 2 = 1 or lo < hi")
+    anchors = base.mapInArrow(_anchor_rows(window, gram), "h long, id long, place long")
+    repeated = (anchors.withColumn("seen", F.count(F.lit(1)).over(W.partitionBy("h"))).filter("place % 2 = 1 or seen > 1")
                 .groupBy("id").agg(F.collect_list(F.shiftright("place", 1).cast("int")).alias("positions")))
     windows = base.join(repeated, "id").mapInArrow(
         _window_rows(window, gram),
-        "a long, b int, id long, cls long, start int, copied struct<n:int,ref_id:long,ref_start:int>")
+        "a long, bs long, id long, dup int, copied struct<n:int,ref_id:long,ref_start:int>")
+    # bs holds the second hash and the start, which compress best as one; they part after the shuffle
+    windows = windows.repartition("a").select("a", F.shiftright("bs", 32).alias("b"), "id", "dup", "copied",
+                                              F.col("bs").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("start"))
     place = F.struct("id", "start")
     first = F.min(place).over(W.partitionBy("a", "b"))
     spans = windows.withColumn("first", first).filter(F.col("copied").isNotNull() | (place > F.col("first"))).select(
-        "id", F.struct("cls", "start", F.coalesce("copied.n", F.lit(1)).alias("n"),
+        "id", F.struct("dup", "start", F.coalesce("copied.n", F.lit(1)).alias("n"),
                        F.coalesce("copied.ref_id", "first.id").alias("ref_id"),
                        F.coalesce("copied.ref_start", "first.start").alias("ref_start")).alias("x"))
-    spans = spans.unionByName(whole).groupBy("id").agg(F.collect_list("x").alias("spans"))
+    spans = spans.groupBy("id").agg(F.collect_list("x").alias("spans"))
     out = base.join(spans, "id", "left").mapInArrow(
         _parsed(window), f"id long, n_words long, n_removed long, kept_sha256 string, kept_text string, factors array<{FACTOR}>")
     return out.select(public_id().alias("doc_id"), "n_words", "n_removed", "kept_sha256", "kept_text", "factors")
