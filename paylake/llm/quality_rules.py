@@ -61,8 +61,11 @@ def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
         (x["h"] == F.get("_sorted", k - 1)["h"]) | (x["h"] == F.get("_sorted", k + 1)["h"]), x["i"])),
         lambda i: i.isNotNull())))
     cover = F.transform("_starts", lambda s, k: F.least(F.lit(RUN), F.coalesce(F.get("_starts", k + 1) - s, F.lit(RUN))))
-    return c.withColumn("n_repeat_words", F.aggregate(cover, F.lit(0).cast("long"), lambda a, x: a + x)).drop(
-        "_words", "_lines", "_runs", "_sorted", "_starts")
+    c = c.withColumn("n_repeat_words", F.aggregate(cover, F.lit(0).cast("long"), lambda a, x: a + x))
+    # the measures leave through an explode of one struct: a filter on them is not pushed below it,
+    # which would copy the arrays' expressions into the lambdas that read them
+    own = [x for x in docs.columns if x not in MEASURES]
+    return c.select(*own, F.explode(F.array(F.struct(*MEASURES))).alias("_measures")).select(*own, "_measures.*")
 
 
 def ledger(docs: DataFrame, text_col: str = "text") -> DataFrame:
