@@ -18,20 +18,25 @@ def pick(values: list, index) -> Column:
     return F.try_element_at(arr, (_c(index) + 1).cast("int"))
 
 
+def known_score(score="fraud_score") -> Column:
+    """The score, NULL where it is not a number (Spark orders NaN above every number)."""
+    return F.when(~F.isnan(_c(score)), _c(score))
+
+
 def is_suspected(score="fraud_score") -> Column:
-    """``score > 0.7``; NULL score gives false (CASE ... ELSE false)."""
-    return F.coalesce(_c(score) > F.lit(D.FRAUD_THRESHOLD), F.lit(False))
+    """``score > 0.7``; NULL and NaN scores give false (CASE ... ELSE false)."""
+    return F.coalesce(known_score(score) > F.lit(D.FRAUD_THRESHOLD), F.lit(False))
 
 
 def suspected_or_null(score="fraud_score") -> Column:
-    """Plain SQL comparison: NULL when the score is NULL."""
-    return _c(score) > F.lit(D.FRAUD_THRESHOLD)
+    """Plain SQL comparison: NULL when the score is NULL or NaN."""
+    return known_score(score) > F.lit(D.FRAUD_THRESHOLD)
 
 
 def route_topic(score="fraud_score", alerts="fraud_alerts",
                 transactions="transactions") -> Column:
     """Exclusive routing: alert topic when ``coalesce(score, 0) > 0.7``."""
-    return (F.when(F.coalesce(_c(score), F.lit(0.0)) > F.lit(D.FRAUD_THRESHOLD), F.lit(alerts))
+    return (F.when(F.coalesce(known_score(score), F.lit(0.0)) > F.lit(D.FRAUD_THRESHOLD), F.lit(alerts))
             .otherwise(F.lit(transactions)))
 
 

@@ -49,7 +49,10 @@ def cumulative_desc(hist: DataFrame, ranges: int = 64) -> DataFrame:
 
 
 def roc_pr(scored: DataFrame, score: str = "score", label: str = "label", ranges: int = 64) -> DataFrame:
-    """One row: ``roc_auc``, ``average_precision`` (9 decimals), ``n_pos``, ``n_neg``."""
+    """One row: ``roc_auc``, ``average_precision``, ``n_pos``, ``n_neg``; both NULL where a class is absent.
+
+    ``ranges`` is the number of tasks that the running sums may use; raise it with the histogram.
+    """
     # the histogram (one row per distinct score) is used three times: compute
     # it once and cut the lineage so the scored input is not scanned again
     hist = histogram(scored, score, label).checkpoint()
@@ -58,12 +61,14 @@ def roc_pr(scored: DataFrame, score: str = "score", label: str = "label", ranges
     agg = c.agg(
         F.sum("pos").alias("P"), F.sum("neg").alias("N"),
         F.sum(big("neg") * (2 * (big("tp") - big("pos")) + big("pos"))).alias("auc_num"),
-        F.sum(F.col("pos") * F.col("tp") / (F.col("tp") + F.col("fp"))).alias("ap_num"))
+        F.sum(F.col("pos").cast("double") * F.col("tp").cast("double")
+              / (F.col("tp") + F.col("fp")).cast("double")).alias("ap_num"))
+    both = (F.col("P") > 0) & (F.col("N") > 0)
     return agg.select(
-        (F.col("auc_num").cast("double") / (F.lit(2.0) * F.col("P").cast("double") * F.col("N").cast("double")))
+        F.when(both, F.col("auc_num").cast("double") / (F.lit(2.0) * F.col("P").cast("double") * F.col("N").cast("double")))
         .alias("roc_auc"),
-        (F.col("ap_num") / F.col("P")).cast("decimal(18,9)").cast("double").alias("average_precision"),
-        F.col("P").cast("bigint").alias("n_pos"), F.col("N").cast("bigint").alias("n_neg"))
+        F.when(both, F.col("ap_num") / F.col("P").cast("double")).alias("average_precision"),
+        F.coalesce("P", F.lit(0)).cast("bigint").alias("n_pos"), F.coalesce("N", F.lit(0)).cast("bigint").alias("n_neg"))
 
 
 def confusion_matrix(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:

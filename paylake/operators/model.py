@@ -1,8 +1,8 @@
 """Fraud model: split, class-weighted random forest, evaluation, registry, scoring.
 
 * Split and CV folds come from a SHA-256 bucket of ``(id, seed)``: deterministic,
-  independent of partitioning (unlike ``randomSplit``), and the same rule is
-  applied inside each class, so both classes keep their ratio in expectation.
+  independent of partitioning (unlike ``randomSplit``).  The rule does not read
+  the label: both classes keep their ratio in expectation only.
 * The forest is ``pyspark.ml``'s ``RandomForestClassifier`` with balanced
   class weights (``weightCol``).  ``min_samples_split`` has no Spark
   counterpart; ``minInstancesPerNode`` carries ``min_samples_leaf``.
@@ -28,6 +28,7 @@ from paylake.functions import domains as D
 from paylake.functions import rules as R
 from paylake.operators import features as FE
 from paylake.operators import metrics as M
+from paylake.session import path_exists
 
 LABEL = D.LABEL_COLUMN
 
@@ -56,17 +57,19 @@ def with_folds(df: DataFrame, k: int = D.CV_FOLDS, seed: int = D.SPLIT_SEED, id_
     return df.withColumn("fold", (_hash_bucket(id_col, seed + 1) * k / HASH_BUCKETS).cast("int"))
 
 
-def spread(feats: DataFrame, id_col: str = "id") -> DataFrame:
-    """Give the training table at least one partition per core.
+#: Partitions of the training table, whatever the cluster: bagging draws per partition, so the
+#: layout is part of the model.
+TRAINING_PARTITIONS = 64
 
-    Tree training runs one task per partition and level; an input read from a
-    few files would train on a few cores.  Hash-partitioning on the id is
-    deterministic (safe on task retry) and moves only the narrow feature rows.
+
+def spread(feats: DataFrame, id_col: str = "id", partitions: int = TRAINING_PARTITIONS) -> DataFrame:
+    """Deal the training rows by id into a fixed number of sorted partitions.
+
+    Tree training runs one task per partition and level.  The layout depends on the ids and
+    ``partitions`` only, not on files or cores, so the same data and seed give the same forest;
+    for larger training sets raise ``partitions``.
     """
-    n = feats.sparkSession.sparkContext.defaultParallelism
-    if feats.rdd.getNumPartitions() >= n:
-        return feats
-    return feats.repartition(n, id_col)
+    return feats.repartition(partitions, id_col).sortWithinPartitions(id_col)
 
 
 def forest_pipeline(params: dict | None = None) -> Pipeline:
@@ -173,10 +176,9 @@ class Registry:
         self.spark, self.root = spark, root.rstrip("/")
 
     def _runs(self) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(f"{self.root}/runs")
-        except Exception:
+        if not path_exists(self.spark, f"{self.root}/runs"):
             return None
+        return self.spark.read.parquet(f"{self.root}/runs")
 
     def latest(self, name: str) -> dict | None:
         runs = self._runs()

@@ -10,35 +10,17 @@ from paylake.functions import rules as R
 from paylake.sources import reference
 
 
-# Largest candidate set joined by broadcast in the bounded top-k join.
-MAX_TOPK_CANDIDATES = 65536
-
-
 def suspicious_transactions(transactions: DataFrame, merchants: DataFrame, k: int = 50) -> DataFrame:
     """Top-k suspected transactions by score, with merchant name and category.
 
-    Exact and bounded: take the top ``m`` suspected transactions first (a
-    per-partition top-k, no shuffle of the suspected rows), join only those
-    ``m`` rows to the merchants (a bounded, broadcastable side), and keep the
-    first ``k`` matches.  Only if fewer than ``k`` of the ``m`` candidates have
-    a merchant is ``m`` enlarged; any row ranked above the k-th match is among
-    the candidates, so the result equals join-then-top-k.  ``id`` breaks ties.
+    Filter, join, then a top-k per partition (``TakeOrderedAndProject``, no global sort): one lazy
+    plan for every size.  Only suspected rows and the needed columns reach the join; ``id`` breaks ties.
     """
     order = [F.col("fraud_score").desc(), F.col("id").asc()]
     t = transactions.filter(R.suspected_or_null("fraud_score"))
     m_cols = merchants.select(F.col("id").alias("merchant_id"), F.col("name").alias("merchant"), "category")
-    cols = ["id", "amount", "currency_code", "fraud_score", "status", "created_at", "merchant", "category"]
-    m = 4 * k
-    while m <= MAX_TOPK_CANDIDATES:
-        cand = t.orderBy(*order).limit(m).persist()          # at most m rows
-        n_cand = cand.count()
-        out = F.broadcast(cand).join(m_cols, "merchant_id", "inner").orderBy(*order).limit(k).select(*cols)
-        if n_cand < m or out.count() >= k:
-            return out
-        cand.unpersist()
-        m *= 8
-    # many top rows without a merchant: the exact plan, join first then top-k
-    return t.join(m_cols, "merchant_id", "inner").orderBy(*order).limit(k).select(*cols)
+    return t.join(m_cols, "merchant_id", "inner").orderBy(*order).limit(k).select(
+        "id", "amount", "currency_code", "fraud_score", "status", "created_at", "merchant", "category")
 
 
 def as_of_max(transactions: DataFrame) -> "F.Column":
@@ -57,7 +39,8 @@ def daily_volume_by_status(transactions: DataFrame, as_of=None, days: int = 7) -
     t = transactions.filter(F.col("created_at") >= now - F.make_dt_interval(F.lit(days)))
     return (t.groupBy(F.to_date("created_at").alias("day"), "status")
             .agg(F.count(F.lit(1)).alias("nb_transactions"),
-                 A.money_sum("amount").alias("total_amount")))
+                 A.money_sum("amount").alias("total_amount"))
+            .orderBy(F.col("day").desc(), F.col("status").asc()))
 
 
 def _merchant_volume(transactions: DataFrame) -> DataFrame:
@@ -110,7 +93,8 @@ def fraud_rate_by_customer_country(transactions: DataFrame, customers: DataFrame
             .groupBy("country_code")
             .agg(F.sum("_n").alias("total"), F.sum("_k").alias("suspected_fraud"))
             .select("country_code", "total", "suspected_fraud",
-                    A.rate_pct("suspected_fraud", "total").alias("fraud_rate_pct")))
+                    A.rate_pct("suspected_fraud", "total").alias("fraud_rate_pct"))
+            .orderBy(F.col("fraud_rate_pct").desc_nulls_last(), F.col("country_code").asc_nulls_last()))
 
 
 def refunds_to_reconcile(refunds: DataFrame, transactions: DataFrame) -> DataFrame:
@@ -122,7 +106,7 @@ def refunds_to_reconcile(refunds: DataFrame, transactions: DataFrame) -> DataFra
             .select(F.col("id").alias("refund_id"), F.col("amount").alias("refund_amount"),
                     "original_amount", "status", "transaction_date",
                     F.col("created_at").alias("refund_date"), "reason")
-            .orderBy(F.col("refund_date").desc()))
+            .orderBy(F.col("refund_date").desc(), F.col("refund_id").asc()))
 
 
 def kpi_overview(transactions: DataFrame) -> DataFrame:
@@ -138,13 +122,15 @@ def revenue_by_currency(transactions: DataFrame) -> DataFrame:
     return (transactions.filter(F.col("status") == "success")
             .groupBy("currency_code")
             .agg(F.count(F.lit(1)).alias("nb_transactions"),
-                 A.money_sum("amount").alias("total_revenue")))
+                 A.money_sum("amount").alias("total_revenue"))
+            .orderBy(F.col("total_revenue").desc_nulls_last(), F.col("currency_code").asc()))
 
 
 def fraud_by_country(transactions: DataFrame) -> DataFrame:
     """The report-page form of the country aggregate (reads raw transactions)."""
     from paylake.operators import star
-    return star.agg_fraud_by_country(star.fact_transactions(transactions))
+    return star.agg_fraud_by_country(star.fact_transactions(transactions)).orderBy(
+        F.col("fraud_rate_pct").desc_nulls_last(), F.col("ip_country").asc())
 
 
 def fraud_by_country_iso3(fraud_by_ip_country: DataFrame) -> DataFrame:

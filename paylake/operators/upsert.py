@@ -19,7 +19,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+
+from paylake.session import path_exists
 
 PRESENT = "__present"
 
@@ -49,10 +50,10 @@ def flatten(folded: DataFrame, key: str, fields: list[str]) -> DataFrame:
 def merge(state: DataFrame, folded: DataFrame, key: str, fields: list[str],
           with_op: bool = False) -> DataFrame:
     """Apply a folded batch: present fields overwrite, absent ones keep the old value."""
-    o = state.select(F.col(key).alias("_k"), F.struct(*fields).alias("_o"))
-    n = folded.select(F.col(key).alias("_k"), F.struct(*fields).alias("_n"))
-    j = o.join(n, "_k", "full_outer")
-    cols = [F.col("_k").alias(key)]
+    o = state.select(F.col(key).alias("_ok"), F.struct(*fields).alias("_o"))
+    n = folded.select(F.col(key).alias("_nk"), F.struct(*fields).alias("_n"))
+    j = o.join(n, F.col("_ok").eqNullSafe(F.col("_nk")), "full_outer")  # a NULL key is one key
+    cols = [F.coalesce("_ok", "_nk").alias(key)]
     for f in fields:
         new = F.col("_n")[f]
         cols.append(F.when(new.isNotNull(), new["v"]).otherwise(F.col("_o")[f]).alias(f))
@@ -78,10 +79,9 @@ class UpsertTable:
         """``(bucket, batch)`` of the newest committed manifest (<= B rows)."""
         if self._last is not None and before is not None and self._last[0] < before:
             return list(self._last[1])
-        try:
-            m = self.spark.read.parquet(f"{self.root}/manifest")
-        except AnalysisException:
+        if not path_exists(self.spark, f"{self.root}/manifest"):
             return []
+        m = self.spark.read.parquet(f"{self.root}/manifest")
         if before is not None:
             m = m.filter(F.col("batch") < before)
         latest = m.agg(F.max("batch")).first()[0]

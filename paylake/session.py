@@ -60,6 +60,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     sc = spark.sparkContext
     path = sc.getConf().get(CHECKPOINT_CONF, None)
+    if not path and (not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
+        raise ValueError(f"{CHECKPOINT_CONF} must name a folder that all executors share")
     if path:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(path)
@@ -76,3 +78,9 @@ def work_path(spark: SparkSession, name: str, unique: bool = True) -> str:
     """A folder for written tables below the shared checkpoint folder."""
     base = f"{checkpoint_dir(spark)}/paylake/{name}"
     return f"{base}/{uuid.uuid4().hex}" if unique else base
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder or file exists; storage errors are raised, not read as absence."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from paylake.functions import domains as D
 from paylake.functions import rules as R
+from paylake.streaming.cdc import iso_utc
 
 IP12 = D.COUNTRIES + ["RU", "CN", "BR", "NG"]
 CUSTOMER_EPOCH = "2023-01-01 00:00:00"
@@ -149,7 +150,7 @@ def tx_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tx_change_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The change log as keyed JSON messages (absent keys really absent).
 
-    ``event_seq`` packs the tie-break ``(floor(price), partkey)`` into one long.
+    ``event_seq`` is the arrival order: day, then ``(floor(price), partkey)``, packed into one long.
     """
     ch = tx_changes(spark, sf_dir)
     body = F.struct(
@@ -158,14 +159,15 @@ def tx_change_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("merchant_id").cast("string").alias("merchant_id"),
         F.col("amount"), F.col("currency_code"), F.col("status"), F.col("device_type"),
         F.col("fraud_score"),
-        F.date_format("_ts", "yyyy-MM-dd'T'HH:mm:ss").alias("created_at"))
+        iso_utc("_ts").alias("created_at"))
     return ch.select(
         F.lit("transactions").alias("topic"),
         F.col("id").cast("string").alias("key"),
         # to_json drops NULL fields: device_type is absent for closed lines
         F.to_json(body).alias("value"),
         F.col("_ts").alias("event_ts"),
-        (F.col("_seq.p") * F.lit(1000000000) + F.col("_seq.k")).alias("event_seq"),
+        (F.datediff("_ts", F.lit("1970-01-01").cast("date")).cast("long") * F.lit(200000000000000)
+         + F.col("_seq.p") * F.lit(1000000000) + F.col("_seq.k")).alias("event_seq"),
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paylake.functions import rules as R
@@ -11,11 +11,16 @@ EVENT_FIELDS = ["id", "customer_id", "merchant_id", "amount", "currency_code", "
                 "fraud_score", "device_type", "ip_country", "created_at"]
 
 
+def iso_utc(col: str) -> Column:
+    """Full ISO text of a UTC timestamp (NULL stays NULL)."""
+    return F.concat(F.date_format(col, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
+
+
 def to_messages(transactions: DataFrame, alerts_topic: str = "fraud_alerts",
                 tx_topic: str = "transactions", mirror_alerts: bool = False) -> DataFrame:
     """``topic, key, value`` rows ready for a Kafka sink.
 
-    Ids are text, amounts and scores doubles, ``created_at`` ISO text; NULL
+    Ids are text, amounts and scores doubles, ``created_at`` ISO text with microseconds and the UTC offset; NULL
     fields are written as ``null`` (not dropped).  Routing is exclusive: a
     suspected transaction goes to the alert topic only, unless
     ``mirror_alerts`` also sends it to the transaction topic.
@@ -28,7 +33,7 @@ def to_messages(transactions: DataFrame, alerts_topic: str = "fraud_alerts",
         "currency_code", "status",
         F.col("fraud_score").cast("double").alias("fraud_score"),
         "device_type", "ip_country",
-        F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss").alias("created_at"))
+        iso_utc("created_at").alias("created_at"))
     out = transactions.select(
         R.route_topic("fraud_score", alerts_topic, tx_topic).alias("topic"),
         F.col("id").cast("string").alias("key"),

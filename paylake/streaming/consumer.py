@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from paylake.functions import domains as D
 from paylake.operators.upsert import UpsertTable, fold
+from paylake.session import path_exists
 
 # Typed fields of a transaction event (all optional in the JSON).
 EVENT_SCHEMA = ("id string, customer_id string, merchant_id string, amount double, currency_code string, "
@@ -49,30 +50,31 @@ def parse(valid: DataFrame) -> DataFrame:
     parsed = valid.withColumn("_ev", F.from_json("value", EVENT_SCHEMA))
     cols = {f: F.col("_ev")[f] for f in EVENT_FIELDS}
     # a malformed timestamp becomes NULL instead of failing the micro-batch
-    cols["created_at"] = F.col("_ev")["created_at"].try_cast("timestamp_ntz")
+    # and an offset is honoured: the state holds UTC (the session's zone)
+    cols["created_at"] = F.col("_ev")["created_at"].try_cast("timestamp").cast("timestamp_ntz")
     flags = {f"{f}__present": F.array_contains("_keys", f) for f in EVENT_FIELDS if f != "id"}
     return parsed.select(*[c for c in valid.columns], *[c.alias(n) for n, c in cols.items()],
                          *[c.alias(n) for n, c in flags.items()])
 
 
-ORDER_EVENT_TIME = ["event_ts", "event_seq"]
-ORDER_ARRIVAL = ["event_seq"]          # Kafka: (partition, offset); a key lives in one partition
+# The one order of changes, inside a batch and across batches: arrival (for Kafka the partition
+# and offset; a key lives in one partition).  Event times of producers decide nothing.
+ORDER_ARRIVAL = ["event_seq"]
 
 
-def changes_fold(events: DataFrame, order: list[str] = ORDER_EVENT_TIME) -> DataFrame:
+def changes_fold(events: DataFrame, order: list[str] = ORDER_ARRIVAL) -> DataFrame:
     """Fold parsed events to one row per id; per present field the last one in ``order`` wins."""
     fields = [f for f in EVENT_FIELDS if f != "id"]
     presence = {f: f"{f}__present" for f in fields}
     return fold(events, "id", fields, order, presence)
 
 
-def log_rows(alert_fold: DataFrame) -> DataFrame:
-    """One log row per alerted id and batch (a re-delivered alert is not logged twice)."""
-    val = lambda f: F.col(f)["v"]  # noqa: E731  folded field value (NULL when absent)
-    return alert_fold.select(
+def log_rows(alerts: DataFrame) -> DataFrame:
+    """One log row per delivered alert; its place in the topic tells deliveries apart."""
+    return alerts.select(
         F.lit("fraud_alert").alias("type"), F.coalesce("id", F.lit("unknown")).alias("transaction_id"),
-        val("fraud_score").alias("fraud_score"), val("amount").alias("amount"),
-        val("currency_code").alias("currency"), F.current_timestamp().alias("logged_at"))
+        "fraud_score", "amount", F.col("currency_code").alias("currency"), F.current_timestamp().alias("logged_at"),
+        "topic", "event_seq")
 
 
 class ConsumerSink:
@@ -80,10 +82,7 @@ class ConsumerSink:
 
     def __init__(self, spark: SparkSession, root: str, buckets: int = 16,
                  tx_topic: str = "transactions", alerts_topic: str = "fraud_alerts",
-                 order: list[str] = ORDER_EVENT_TIME):
-        """``order`` ranks changes of one id inside a micro-batch: event time for
-        file sources, ``ORDER_ARRIVAL`` (offset) for Kafka, where producer clocks
-        may disagree but offsets give the true arrival order."""
+                 order: list[str] = ORDER_ARRIVAL):
         self.spark, self.root, self.order = spark, root.rstrip("/"), order
         self.tx_topic, self.alerts_topic = tx_topic, alerts_topic
         self.transactions = UpsertTable(spark, f"{self.root}/transactions", "id", STATE_SCHEMA, buckets)
@@ -105,7 +104,7 @@ class ConsumerSink:
             alert_fields = [f for f in EVENT_FIELDS if f != "id"] + ["flagged_at"]
             alert_fold = fold(alerts, "id", alert_fields, self.order, {f: f"{f}__present" for f in alert_fields})
             self.alerts.apply(alert_fold, batch_id)
-            (log_rows(alert_fold).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            (log_rows(alerts).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
              .write.mode("overwrite").parquet(f"{self.root}/logs/batch={batch_id}"))
         finally:
             if events is not None:
@@ -114,10 +113,9 @@ class ConsumerSink:
 
     # -- readers -----------------------------------------------------------
     def _read_batches(self, name: str, schema: str) -> DataFrame:
-        try:
-            return self.spark.read.parquet(f"{self.root}/{name}")
-        except Exception:  # nothing written yet
+        if not path_exists(self.spark, f"{self.root}/{name}"):  # nothing written yet
             return self.spark.createDataFrame([], schema)
+        return self.spark.read.parquet(f"{self.root}/{name}")
 
     def quarantine(self) -> DataFrame:
         return self._read_batches("quarantine", "topic string, key string, value string, reason string, "
@@ -125,8 +123,8 @@ class ConsumerSink:
 
     def logs(self) -> DataFrame:
         return self._read_batches("logs", "type string, transaction_id string, fraud_score double, "
-                                  "amount double, currency string, logged_at timestamp, batch_id bigint, "
-                                  "batch int")
+                                  "amount double, currency string, logged_at timestamp, topic string, event_seq bigint, "
+                                  "batch_id bigint, batch int")
 
 
 def start(spark: SparkSession, source: DataFrame, sink: ConsumerSink, checkpoint: str,

@@ -34,6 +34,20 @@ def test_roc_pr_matches_brute_force(spark):
         assert r.n_pos == sum(labels) and r.n_neg == len(labels) - sum(labels)
 
 
+def test_one_class_and_large_counts(spark):
+    one = M.roc_pr(spark.createDataFrame([(0.1, 1), (0.2, 1)], "score double, label int")).first()
+    assert one.roc_auc is None and one.average_precision is None and (one.n_pos, one.n_neg) == (2, 0)
+    none = M.roc_pr(spark.createDataFrame([], "score double, label int")).first()
+    assert none.roc_auc is None and (none.n_pos, none.n_neg) == (0, 0)
+
+
+def test_average_precision_does_not_overflow(spark, monkeypatch):
+    big = spark.createDataFrame([(0.5, 4 * 10**9, 10**9)], "score double, pos long, neg long")
+    monkeypatch.setattr(M, "histogram", lambda *a: big)
+    r = M.roc_pr(big).first()
+    assert abs(r.average_precision - 0.8) < 1e-12 and r.roc_auc == 0.5
+
+
 def test_confusion_and_report(spark):
     rows = [(1, 1)] * 3 + [(1, 0)] * 1 + [(0, 1)] * 2 + [(0, 0)] * 4
     df = spark.createDataFrame(rows, "label int, prediction int")

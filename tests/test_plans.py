@@ -1,6 +1,11 @@
 """Plan shape: pushdown, pruning, broadcast only for fixed tables, no Python UDFs."""
 
+import re
+
+from paylake import session
 from paylake.plans.catalog import REGISTRY
+from paylake.sources import fixtures as fx
+from paylake.sources import lake
 from tests.conftest import SF_SMALL
 
 
@@ -22,8 +27,10 @@ def test_no_python_udfs_in_any_batch_query(spark):
 def test_filters_reach_the_scan(spark):
     p = _plan(REGISTRY["suspicious_transactions"](spark, SF_SMALL))
     assert "TakeOrderedAndProject" in p
-    p = _plan(REGISTRY["export_day_slice"](spark, SF_SMALL))
-    assert "PushedFilters: [IsNotNull(o_orderdate)" in p or "PushedFilters" in p
+    path = session.work_path(spark, "test-day")
+    fx.transactions(spark, SF_SMALL).write.parquet(path)
+    p = _plan(lake.read_day_slice(spark.read.parquet(path), "1998-01-10"))
+    assert "GreaterThanOrEqual(created_at" in p and "LessThan(created_at" in p
 
 
 def test_column_pruning_on_orders(spark):
@@ -52,14 +59,12 @@ def test_no_unpartitioned_window_over_rows(spark):
 def test_partition_pruning_on_export(spark):
     from pyspark.sql import functions as F
 
-    from paylake import session
-    from paylake.sources import fixtures as fx
-    from paylake.sources import lake
     path = session.work_path(spark, "test-export")
     tx = fx.transactions(spark, SF_SMALL)
     lake.export_partition(tx, path, "1998-01-01", "1998-02-01")
     df = lake.read_partitions(spark, path, "1998-01-10", "1998-01-20")
     p = _plan(df.select(F.count("*")))
-    assert "PartitionFilters" in p
+    filters = re.search(r"PartitionFilters: \[([^\]]*)\]", p)[1]
+    assert "year" in filters and "month" in filters
     want = tx.filter((F.col("created_at") >= "1998-01-10") & (F.col("created_at") < "1998-01-20")).count()
     assert df.count() == want

@@ -6,7 +6,7 @@ import json
 from pyspark.sql import functions as F
 
 from paylake import session
-from paylake.plans import catalog
+from paylake.plans import replay
 from paylake.streaming import cdc, consumer
 
 
@@ -70,42 +70,71 @@ def test_sink_dispatch_quarantine_and_replay(spark):
     assert _state(sink) == state and sink.logs().count() == 1 and sink.quarantine().count() == 3
 
 
-def test_redelivered_alert_is_logged_once_per_batch(spark):
+def test_every_delivered_alert_is_logged_once(spark):
+    """The same alert delivered twice is two log rows, in one batch or two; a replay adds none."""
     ev = json.dumps({"id": "5", "customer_id": "c", "merchant_id": "m", "amount": 7.5, "currency_code": "EUR",
                      "fraud_score": 0.95})
-    msgs = spark.createDataFrame([_msg(1, "fraud_alerts", ev, 1), _msg(2, "fraud_alerts", ev, 2)],
-                                 consumer.MESSAGE_SCHEMA)
-    sink = consumer.ConsumerSink(spark, session.work_path(spark, "test-relog"), buckets=4)
-    sink(msgs, 0)
-    logs = sink.logs().collect()
-    assert len(logs) == 1 and logs[0].transaction_id == "5" and logs[0].amount == 7.5 and logs[0].currency == "EUR"
+    rows = [_msg(1, "fraud_alerts", ev, 1), _msg(2, "fraud_alerts", ev, 2)]
+    whole = consumer.ConsumerSink(spark, session.work_path(spark, "test-relog"), buckets=4)
+    whole(spark.createDataFrame(rows, consumer.MESSAGE_SCHEMA), 0)
+    apart = consumer.ConsumerSink(spark, session.work_path(spark, "test-relog"), buckets=4)
+    for i, r in enumerate(rows + rows[1:]):
+        apart(spark.createDataFrame([r], consumer.MESSAGE_SCHEMA), min(i, 1))
+    for sink in (whole, apart):
+        logs = sink.logs().collect()
+        assert sorted(r.event_seq for r in logs) == [1, 2]
+        assert {(r.transaction_id, r.amount, r.currency) for r in logs} == {("5", 7.5, "EUR")}
+
+
+def _late_and_null(spark):
+    """A late event, a NULL id, a NULL event time, in shuffled order."""
+    ev = lambda i, **kw: json.dumps({"id": i, "customer_id": "c", "merchant_id": "m", "amount": 1.0,
+                                     "currency_code": "EUR", **kw})
+    rows = [_msg(1, "transactions", ev("1", status="success"), 30), _msg(2, "transactions", ev("1", status="failed"), 10),
+            _msg(3, "transactions", ev(None, status="a"), 3), _msg(4, "transactions", ev(None, status="b"), 2),
+            ("transactions", "7", ev("7", status="x"), None, 5), _msg(6, "transactions", ev("6"), 1),
+            _msg(7, "fraud_alerts", ev("9"), 4)]
+    return spark.createDataFrame([rows[i] for i in (5, 2, 0, 6, 3, 1, 4)], consumer.MESSAGE_SCHEMA)
 
 
 def test_stream_batches_equivalent(spark):
-    msgs = _messages(spark)
-    results = []
-    for batches in (1, 3):
-        root = session.work_path(spark, f"test-stream-{batches}")
-        per_slice = catalog._write_ordered_batches(msgs, f"{root}/source", batches)
-        sink = consumer.ConsumerSink(spark, f"{root}/sink", buckets=4)
-        q = consumer.start(spark, consumer.file_source(spark, f"{root}/source", per_slice), sink, f"{root}/ckpt",
-                           {"availableNow": True})
-        q.awaitTermination()
-        prog = consumer.progress(q)
-        assert prog["batch_id"] is not None and prog["num_input_rows"] is not None
-        results.append(_state(sink))
-    assert results[0] == results[1] == {"1": (99.0, "failed"), "6": (None, None)}
+    for msgs, want in ((_messages(spark), {"1": (99.0, "failed"), "6": (None, None)}),
+                       (_late_and_null(spark), {"1": (1.0, "failed"), None: (1.0, "b"), "7": (1.0, "x"), "6": (1.0, None)})):
+        for batches in (1, 3, 7):
+            root = session.work_path(spark, f"test-stream-{batches}")
+            per_slice = replay.write_slices(msgs, f"{root}/source", batches, 2)
+            assert spark.read.parquet(f"{root}/source").count() == msgs.count()
+            sink = consumer.ConsumerSink(spark, f"{root}/sink", buckets=4)
+            q = consumer.start(spark, consumer.file_source(spark, f"{root}/source", per_slice), sink, f"{root}/ckpt",
+                               {"availableNow": True})
+            q.awaitTermination()
+            prog = consumer.progress(q)
+            assert prog["batch_id"] is not None and prog["num_input_rows"] is not None
+            assert sink.transactions.read().count() == len(want)
+            assert _state(sink) == want, batches
+
+
+def test_offsets_of_timestamps_are_honoured(spark):
+    ev = lambda t: json.dumps({"id": t, "customer_id": "c", "merchant_id": "m", "amount": 1.0, "currency_code": "EUR",
+                               "created_at": t})
+    texts = {"2024-01-01T03:00:00.123456+02:00": dt.datetime(2024, 1, 1, 1, 0, 0, 123456),
+             "2024-01-01T03:00:00Z": dt.datetime(2024, 1, 1, 3), "2024-01-01 03:00:00": dt.datetime(2024, 1, 1, 3)}
+    msgs = spark.createDataFrame([_msg(i, "transactions", ev(t), i) for i, t in enumerate(texts)], consumer.MESSAGE_SCHEMA)
+    assert {r.id: r.created_at for r in consumer.parse(consumer.validate(msgs)).collect()} == texts
 
 
 def test_cdc_messages_roundtrip_and_nulls(spark):
     tx = spark.createDataFrame(
         [(1, 2, 3, 10.5, "EUR", "success", None, None, None, dt.datetime(2024, 1, 1, 12, 0, 5)),
-         (2, 2, 3, 20.0, "USD", "failed", 0.9, "mobile", "NG", dt.datetime(2024, 1, 2, 0, 0, 0))],
+         (2, 2, 3, 20.0, "USD", "failed", 0.9, "mobile", "NG", dt.datetime(2024, 1, 2, 3, 0, 0, 123456)),
+         (3, 2, 3, 20.0, "USD", "failed", float("nan"), None, None, None)],
         "id bigint, customer_id bigint, merchant_id bigint, amount double, currency_code string, status string, "
         "fraud_score double, device_type string, ip_country string, created_at timestamp_ntz")
     m = {r.key: r for r in cdc.to_messages(tx).collect()}
     assert m["1"].topic == "transactions" and m["2"].topic == "fraud_alerts"
     body = json.loads(m["1"].value)
-    assert body["fraud_score"] is None and body["id"] == "1" and body["created_at"] == "2024-01-01T12:00:05"
+    assert body["fraud_score"] is None and body["id"] == "1" and body["created_at"] == "2024-01-01T12:00:05.000000+00:00"
+    assert json.loads(m["2"].value)["created_at"] == "2024-01-02T03:00:00.123456+00:00"
+    assert m["3"].topic == "transactions" and json.loads(m["3"].value)["created_at"] is None
     mirrored = cdc.to_messages(tx, mirror_alerts=True)
     assert mirrored.filter(F.col("key") == "2").count() == 2

@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from paylake import session
@@ -59,6 +61,21 @@ def test_table_batches_equal_single_fold_and_replay_is_idempotent(spark):
         assert sorted(tuple(r) for r in table.read().select("id", *FIELDS).collect()) == expected
 
 
+def test_a_null_key_is_one_row_over_batches(spark):
+    table = U.UpsertTable(spark, session.work_path(spark, "test-null"), "id", SCHEMA, buckets=4)
+    for b in range(3):
+        table.apply(_fold(_changes(spark, [(None, b, f"a{b}", True, None, False), (1, b, "x", True, "y", True)])), b)
+    assert sorted(map(tuple, table.read().select("id", *FIELDS).collect()), key=str) == [(1, "x", "y"), (None, "a2", None)]
+
+
+def test_unreadable_manifest_is_an_error(spark):
+    root = session.work_path(spark, "test-broken")
+    spark.range(1).selectExpr("'x' as text").write.text(f"{root}/manifest/batch=0")
+    table = U.UpsertTable(spark, root, "id", SCHEMA)
+    with pytest.raises(Exception):  # noqa: B017  whichever error the reader gives, it is not an empty table
+        table.read().count()
+
+
 def test_empty_table_reads_empty(spark):
     table = U.UpsertTable(spark, session.work_path(spark, "test-empty"), "id", SCHEMA)
     assert table.read().count() == 0
