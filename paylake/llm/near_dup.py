@@ -10,8 +10,8 @@ make candidates: a pair at similarity 0.8 shares a band but for 1 case in 100,00
 
 Verification loses no candidate link and still makes no pairs within groups:
   1. rows with equal sets are one class; only its representative goes on;
-  2. every member of a bucket is verified against the bucket's pivot (another pivot
-     in every bucket, so that a large cluster is connected through many of them);
+  2. every member of a bucket is verified against the bucket's pivot, the first in one of
+     PIVOTS orders, so that a large cluster is connected through several of them;
   3. members of a bucket that are connected by now need no comparison; the others are
      compared inside tasks, block against block, on a longer sketch of FINE coordinates.
      A pair goes on to verification (once, from the first band it shares) unless its sizes
@@ -44,6 +44,8 @@ BANDS, ROWS = 64, 8
 T = BANDS * ROWS
 #: Coordinates of the longer sketch, the deviations it may fall short, and documents in a block.
 FINE, MARGIN, BLOCK = 1024, 5, 512
+#: Orders by which buckets choose their pivots.
+PIVOTS = 4
 FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -190,7 +192,7 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, similar: int = SIMILAR) -
                                                    F.first("bands").alias("bands")), "nd-reps")
     slots = reps.select("id", "n", F.posexplode("bands").alias("band", "bucket"))
     pivots = materialize(
-        slots.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("id", "bucket").alias("o"), F.col("id"))).alias("p"),
+        slots.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("id", F.col("band") % PIVOTS).alias("o"), F.col("id"))).alias("p"),
                                     F.count(F.lit(1)).alias("size"))
         .filter("size > 1").select("bucket", F.col("p.id").alias("pivot")), "nd-pivots")
     members = materialize(slots.join(pivots, "bucket"), "nd-members")
@@ -218,10 +220,15 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, similar: int = SIMILAR) -
     place = place.withColumns({"p": F.least("block", "other"), "q": F.greatest("block", "other")}).join(fine, "id")
     more = place.groupBy("bucket", "p", "q").applyInArrow(_compare(similar), "a long, b long").distinct()
     further = materialize(verify(more, texts, k), "nd-further")
-    all_links = links.unionByName(further.filter(_alike(similar)).select("a", "b"))
-    label = components(all_links)
-    classes = materialize(reps.select("sa", "sb", "id").join(label, "id", "left").select(
-        "sa", "sb", F.coalesce("component", "id").alias("component")), "nd-classes")
+    # further links join components, so only their labels are joined anew
+    one = first.select(F.col("id").alias("a"), F.col("component").alias("ca"))
+    two = first.select(F.col("id").alias("b"), F.col("component").alias("cb"))
+    between = (further.filter(_alike(similar)).select("a", "b").join(one, "a", "left").join(two, "b", "left")
+               .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).filter("a <> b").distinct())
+    second = components(between).select(F.col("id").alias("component"), F.col("component").alias("whole"))
+    label = (reps.select("sa", "sb", "id").join(first, "id", "left").withColumn("component", F.coalesce("component", "id"))
+             .join(second, "component", "left"))
+    classes = materialize(label.select("sa", "sb", F.coalesce("whole", "component").alias("component")), "nd-classes")
     out = sig.select("id", "n", "sa", "sb").join(classes, ["sa", "sb"])
     return out.select(public_id().alias("doc_id"), F.col("n").alias("n_shingles"),
                       public_id("component").alias("component_id"), (F.col("id") == F.col("component")).alias("kept"))

@@ -132,3 +132,23 @@ def test_sketch_agreement_estimates_similarity():
     assert (s != near_dup.FULL).all() and abs((s[0] == s[1]).mean() - 0.6) < 0.08
     one = near_dup.sketch(a[:1], np.array([0, 1, 1]), 64)
     assert (one[0] != near_dup.FULL).all() and (one[1] == near_dup.FULL).all()
+
+
+def test_components_equal_brute_force(spark):
+    from paylake.llm.components import components
+    rng = np.random.default_rng(11)
+    edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (170, 2))] + [(i, i + 1) for i in range(1000, 1090)]
+    edges += [(5000, x) for x in range(4900, 5100)]
+    parent = {}
+
+    def find(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for a, b in edges:
+        x, y = find(a), find(b)
+        parent[max(x, y)] = min(x, y)
+    got = {r["id"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {v: find(v) for e in edges if e[0] != e[1] for v in e}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
