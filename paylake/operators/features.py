@@ -7,17 +7,16 @@ from pyspark.sql import functions as F
 
 from paylake.functions import domains as D
 from paylake.functions import rules as R
+from paylake.operators import metrics as M
 
 
-def amount_threshold(tx: DataFrame, q: float = 0.95, exact: bool = True, accuracy: int = 100000) -> Column:
-    """Quantile of ``amount`` as a scalar-subquery column.
+def amount_threshold(tx: DataFrame, q: float = 0.95) -> Column:
+    """The exact quantile of ``amount`` as a literal (NULL without amounts).
 
-    ``percentile`` is exact (linear interpolation) and keeps a value -> count
-    map per partial aggregate, fine while distinct amounts are bounded (cent
-    grain); ``exact=False`` switches to ``percentile_approx``.
+    It is computed here, by jobs over a histogram, since ``percentile`` would merge
+    every distinct amount in one reducer.
     """
-    agg = F.percentile("amount", q) if exact else F.percentile_approx("amount", q, accuracy)
-    return tx.select(agg).scalar()
+    return F.lit(M.exact_quantile(tx, "amount", q)).cast("double")
 
 
 NULLABLE_FEATURES = ["amount", "amount_log", "hour", "day_of_week"]

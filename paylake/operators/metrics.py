@@ -48,6 +48,27 @@ def cumulative_desc(hist: DataFrame, ranges: int = 64) -> DataFrame:
                     (F.col("on") + F.sum("neg").over(w_in)).alias("fp")))
 
 
+def exact_quantile(df: DataFrame, col: str, q: float, ranges: int = 64) -> float | None:
+    """The exact quantile of a numeric column with linear interpolation; NULL and NaN are left out.
+
+    Values are counted by a distributed histogram; running counts inside value ranges place
+    every value in the whole order, and the two values at the rank are picked by one
+    aggregation.  No task holds more than its range of distinct values.
+    """
+    x = F.col(col).cast("double")
+    counts = df.filter(x.isNotNull() & ~F.isnan(x)).select(x.alias("score"))
+    hist = counts.groupBy("score").agg(F.count(F.lit(1)).alias("pos")).withColumn("neg", F.lit(0)).checkpoint()
+    n = hist.agg(F.sum("pos")).first()[0]
+    if not n:
+        return None
+    at = (n - 1) * q
+    lo, hi = int(at), min(int(at) + 1, n - 1)
+    before = F.lit(n) - F.col("tp")  # rows with a smaller value
+    low, high = cumulative_desc(hist, ranges).agg(F.max(F.when(before <= lo, F.col("score"))),
+                                                  F.max(F.when(before <= hi, F.col("score")))).first()
+    return low if low == high else (lo + 1 - at) * low + (at - lo) * high
+
+
 def roc_pr(scored: DataFrame, score: str = "score", label: str = "label", ranges: int = 64) -> DataFrame:
     """One row: ``roc_auc``, ``average_precision``, ``n_pos``, ``n_neg``; both NULL where a class is absent.
 

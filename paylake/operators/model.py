@@ -1,8 +1,8 @@
 """Fraud model: split, class-weighted random forest, evaluation, registry, scoring.
 
-* Split and CV folds come from a SHA-256 bucket of ``(id, seed)``: deterministic,
-  independent of partitioning (unlike ``randomSplit``).  The rule does not read
-  the label: both classes keep their ratio in expectation only.
+* Split and CV folds order each class by a SHA-256 hash of ``(id, seed)`` and cut it at
+  exact counts: deterministic, independent of partitioning (unlike ``randomSplit``), and
+  stratified exactly.
 * The forest is ``pyspark.ml``'s ``RandomForestClassifier`` with balanced
   class weights (``weightCol``).  ``min_samples_split`` has no Spark
   counterpart; ``minInstancesPerNode`` carries ``min_samples_leaf``.
@@ -21,7 +21,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paylake.functions import domains as D
@@ -33,28 +33,63 @@ from paylake.session import path_exists
 LABEL = D.LABEL_COLUMN
 
 
-HASH_BUCKETS = 1000000
+#: Leading bits of the 60-bit hash by which the cuts are first located.
+CUT_BITS = 16
 
 
-def _hash_bucket(id_col: str, seed: int):
-    """A stable bucket in ``[0, 10^6)`` from SHA-256 of ``"<id>:<seed>"``.
+def _hash(id_col: str, seed: int):
+    """60 bits of the SHA-256 of ``"<id>:<seed>"``, which any SQL engine computes alike."""
+    key = F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}"))
+    return F.conv(F.substring(F.sha2(key, 256), 1, 15), 16, 10).cast("bigint")
+
 
-    The same value is computable in any SQL engine (first 8 hex digits of the
-    SHA-256), so split and folds can be checked independently.
+def stratified_cuts(df: DataFrame, shares: list[float], seed: int, id_col: str = "id", label: str = LABEL) -> dict:
+    """``{class: [(hash, id), ...]}``: the last row of each share of the class, in (hash, id) order.
+
+    A class of n rows is cut after exactly ``floor(n * share + 0.5)`` rows (``None``: before the
+    first).  Rows are counted per class and leading hash bits; only the bucket in which a cut
+    falls (one row in 2^16) is ranked.  What reaches the driver is a row per class and share.
     """
-    key = F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}"))
-    h = F.conv(F.substring(F.sha2(key, 256), 1, 8), 16, 10).cast("bigint")
-    return F.pmod(h, F.lit(HASH_BUCKETS))
+    rows = df.select(F.col(label).cast("int").alias("y"), F.col(id_col).cast("bigint").alias("id"), _hash(id_col, seed).alias("h"))
+    rows = rows.withColumn("bucket", F.shiftright("h", 60 - CUT_BITS))
+    hist = rows.groupBy("y", "bucket").agg(F.count(F.lit(1)).alias("c"))
+    upto = F.sum("c").over(Window.partitionBy("y").orderBy("bucket"))
+    total = F.sum("c").over(Window.partitionBy("y"))
+    want = F.floor(F.col("n") * F.col("share") + 0.5)
+    edges = (hist.withColumns({"upto": upto, "n": total})
+             .select("*", F.posexplode(F.array(*[F.lit(float(s)) for s in shares])).alias("k", "share"))
+             .withColumn("need", want - (F.col("upto") - F.col("c"))).filter("need >= 1 and need <= c").select("y", "bucket", "k", "need"))
+    near = rows.join(F.broadcast(edges), ["y", "bucket"])  # a row per class and share
+    rank = F.row_number().over(Window.partitionBy("y", "k").orderBy("h", "id"))
+    found = {(r["y"], r["k"]): (r["h"], r["id"]) for r in near.withColumn("rank", rank).filter("rank = need").collect()}
+    classes = [r["y"] for r in hist.select("y").distinct().collect()]
+    return {y: [found.get((y, k)) for k in range(len(shares))] for y in classes}
+
+
+def _place(cuts: dict, seed: int, id_col: str, label):
+    """How many cuts of its class lie before a row."""
+    h, i, out = _hash(id_col, seed), F.col(id_col).cast("bigint"), F.lit(None).cast("int")
+    for y, ends in cuts.items():
+        beyond = [F.lit(1) if e is None else F.when((h > e[0]) | ((h == e[0]) & (i > e[1])), 1).otherwise(0) for e in ends]
+        out = F.when(label == y, sum(beyond, F.lit(0))).otherwise(out)
+    return out
 
 
 def with_split(df: DataFrame, test_fraction: float = D.TEST_FRACTION, seed: int = D.SPLIT_SEED,
-               id_col: str = "id") -> DataFrame:
-    cut = int(round(test_fraction * HASH_BUCKETS))
-    return df.withColumn("split", F.when(_hash_bucket(id_col, seed) < cut, "test").otherwise("train"))
+               id_col: str = "id", cuts: dict | None = None, label=None) -> DataFrame:
+    """Add ``split``: exactly the rounded share of each class is ``test``.
+
+    ``cuts`` and ``label`` (a column) apply a split that was cut on another frame of the same ids.
+    """
+    cuts = cuts if cuts is not None else stratified_cuts(df, [test_fraction], seed, id_col)
+    place = _place(cuts, seed, id_col, F.col(LABEL) if label is None else label)
+    return df.withColumn("split", F.when(place == 0, "test").otherwise("train"))
 
 
 def with_folds(df: DataFrame, k: int = D.CV_FOLDS, seed: int = D.SPLIT_SEED, id_col: str = "id") -> DataFrame:
-    return df.withColumn("fold", (_hash_bucket(id_col, seed + 1) * k / HASH_BUCKETS).cast("int"))
+    """Add ``fold``: each class is dealt evenly over the folds (sizes differ by one at most)."""
+    cuts = stratified_cuts(df, [f / k for f in range(1, k)], seed + 1, id_col)
+    return df.withColumn("fold", _place(cuts, seed + 1, id_col, F.col(LABEL)).cast("int"))
 
 
 #: Partitions of the training table, whatever the cluster: bagging draws per partition, so the
@@ -100,10 +135,10 @@ def train(tx: DataFrame, params: dict | None = None, test_fraction: float = D.TE
     The ``is_high_amount`` threshold is fitted on the training rows only and
     returned so scoring can reuse it.
     """
-    split = with_split(tx, test_fraction, seed)
-    train_tx = split.filter(F.col("split") == "train")
-    threshold = train_tx.select(F.percentile("amount", 0.95)).first()[0]
-    base = spread(with_split(FE.build(split.drop("split"), threshold), test_fraction, seed)).persist()
+    cuts = stratified_cuts(FE.build(tx, 0.0), [test_fraction], seed)  # which rows and classes: no threshold needed
+    split = with_split(tx, test_fraction, seed, cuts=cuts, label=R.is_suspected("fraud_score").cast("int"))
+    threshold = M.exact_quantile(split.filter(F.col("split") == "train"), "amount", 0.95)
+    base = spread(with_split(FE.build(tx, threshold), test_fraction, seed, cuts=cuts)).persist()
     try:
         feats = FE.with_weights(base)
         model = forest_pipeline(params).fit(feats.filter(F.col("split") == "train"))

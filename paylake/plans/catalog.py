@@ -149,8 +149,8 @@ def q_cdc_route_counts(spark, d):
 @register("amount_p95")
 def q_amount_p95(spark, d):
     """Exact 95th percentile of amount, linear interpolation."""
-    return _tx(spark, d).agg(F.percentile("amount", 0.95).alias("amount_p95"),
-                             F.count(F.lit(1)).alias("n_rows"))
+    tx = _tx(spark, d)
+    return tx.agg(FE.amount_threshold(tx).alias("amount_p95"), F.count(F.lit(1)).alias("n_rows"))
 
 
 @register("rule_fraud_score")
@@ -429,14 +429,14 @@ def _trained(spark, d):
 
 @register("stratified_split")
 def q_stratified_split(spark, d):
-    f = ML.with_split(FE.build(_tx(spark, d)))
+    f = ML.with_split(FE.build(_tx(spark, d), 0.0))  # the amount threshold plays no part
     return f.groupBy("split", FE.D.LABEL_COLUMN).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @register("cv_fold_counts")
 def q_cv_fold_counts(spark, d):
     """Rows and positives per CV fold (the fold assignment of the cross-validation)."""
-    f = ML.with_folds(FE.build(_tx(spark, d)))
+    f = ML.with_folds(FE.build(_tx(spark, d), 0.0))
     return f.groupBy("fold", FE.D.LABEL_COLUMN).agg(F.count(F.lit(1)).alias("n_rows"))
 
 

@@ -472,15 +472,17 @@ BODIES.update({
   FROM ({_fold()}) _f""",
     "features": "SELECT * FROM feats",
     "cv_fold_counts": """
-  SELECT CAST((CAST(('0x' || substr(sha256(CAST(id AS VARCHAR) || ':43'), 1, 8)) AS BIGINT) % 1000000) * 5
-              // 1000000 AS INTEGER) AS fold,
+  SELECT CAST((r > floor(n * CAST(0.2 AS DOUBLE) + 0.5))::INT + (r > floor(n * CAST(0.4 AS DOUBLE) + 0.5))::INT
+              + (r > floor(n * CAST(0.6 AS DOUBLE) + 0.5))::INT + (r > floor(n * CAST(0.8 AS DOUBLE) + 0.5))::INT AS INTEGER) AS fold,
          is_fraud, count(*) AS n_rows
-  FROM feats GROUP BY ALL""",
+  FROM (SELECT is_fraud, count(*) OVER (PARTITION BY is_fraud) AS n, row_number() OVER (PARTITION BY is_fraud
+          ORDER BY CAST(('0x' || substr(sha256(CAST(id AS VARCHAR) || ':43'), 1, 15)) AS BIGINT), id) AS r FROM feats) _r
+  GROUP BY ALL""",
     "stratified_split": """
-  SELECT CASE WHEN CAST(('0x' || substr(sha256(CAST(id AS VARCHAR) || ':42'), 1, 8)) AS BIGINT) % 1000000 < 200000
-              THEN 'test' ELSE 'train' END AS split,
-         is_fraud, count(*) AS n_rows
-  FROM feats GROUP BY ALL""",
+  SELECT CASE WHEN r <= floor(n * CAST(0.2 AS DOUBLE) + 0.5) THEN 'test' ELSE 'train' END AS split, is_fraud, count(*) AS n_rows
+  FROM (SELECT is_fraud, count(*) OVER (PARTITION BY is_fraud) AS n, row_number() OVER (PARTITION BY is_fraud
+          ORDER BY CAST(('0x' || substr(sha256(CAST(id AS VARCHAR) || ':42'), 1, 15)) AS BIGINT), id) AS r FROM feats) _r
+  GROUP BY ALL""",
     "label_balance": """
   SELECT count(*) AS n_samples, CAST(sum(is_fraud) AS BIGINT) AS n_fraud,
          CAST(CAST(sum(is_fraud) AS BIGINT) AS DOUBLE) * 100 / count(*) AS fraud_rate_pct

@@ -48,6 +48,29 @@ def test_average_precision_does_not_overflow(spark, monkeypatch):
     assert abs(r.average_precision - 0.8) < 1e-12 and r.roc_auc == 0.5
 
 
+def test_exact_quantile(spark):
+    import numpy as np
+    rng = np.random.default_rng(1)
+    for n in (1, 2, 7, 500):
+        v = [float(x) for x in rng.integers(0, 60, n)]
+        df = spark.createDataFrame([(x,) for x in v] + [(None,), (float("nan"),)], "amount double")
+        for q in (0.0, 0.5, 0.95, 1.0):
+            for ranges in (1, 5, 64):
+                assert abs(M.exact_quantile(df, "amount", q, ranges) - np.quantile(v, q)) < 1e-9
+    assert M.exact_quantile(spark.createDataFrame([], "amount double"), "amount", 0.5) is None
+
+
+def test_split_and_folds_are_exact_per_class(spark):
+    from paylake.operators import model as ML
+    rows = [(i, int(i % 19 == 0)) for i in range(1013)]
+    df = spark.createDataFrame(rows, f"id long, {ML.LABEL} int")
+    n = {y: sum(1 for r in rows if r[1] == y) for y in (0, 1)}
+    got = {(r["split"], r[ML.LABEL]): r["count"] for r in ML.with_split(df).groupBy("split", ML.LABEL).count().collect()}
+    assert {y: got[("test", y)] for y in (0, 1)} == {y: int(n[y] * 0.2 + 0.5) for y in (0, 1)}
+    folds = ML.with_folds(df).groupBy("fold", ML.LABEL).count().collect()
+    assert len(folds) == 10 and all(abs(r["count"] - n[r[ML.LABEL]] / 5) < 1 for r in folds)
+
+
 def test_confusion_and_report(spark):
     rows = [(1, 1)] * 3 + [(1, 0)] * 1 + [(0, 1)] * 2 + [(0, 0)] * 4
     df = spark.createDataFrame(rows, "label int, prediction int")
