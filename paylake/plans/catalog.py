@@ -252,6 +252,37 @@ def q_snapshot_roundtrip(spark, d):
     return lake.read_snapshot(spark, root)
 
 
+RUN_DATE = "2024-01-01"
+
+
+@register("export_other_tables")
+def q_export_other_tables(spark, d):
+    """Customers and merchants whole under the run's date (twice: the second run replaces), refunds by their day."""
+    root = session.work_path(spark, "export/others")
+    whole = {"customers": fx.customers(spark, d), "merchants": fx.merchants(spark, d)}
+    for name, df in whole.items():
+        for _ in range(2):
+            lake.export_run(df, f"{root}/{name}", RUN_DATE)
+    lake.export_partition(fx.refunds(spark, d), f"{root}/refunds")
+    back = [lake.read_partitions(spark, f"{root}/{n}").select(F.lit(n).alias("table_name"), "year", "month", "day")
+            for n in (*whole, "refunds")]
+    return back[0].unionByName(back[1]).unionByName(back[2]).groupBy("table_name").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("year", "month", "day").alias("n_days"))
+
+
+POLL_UNTIL = ("1996-06-30 12:00:00", "1997-06-30 12:00:00")
+
+
+@register("cdc_poll")
+def q_cdc_poll(spark, d):
+    """Two polls with a stored mark; every fiftieth row commits late, after the first poll."""
+    tx = _tx(spark, d).select(*cdc.EVENT_FIELDS)
+    poller = lake.Poller(spark, session.work_path(spark, "poll"), lookback_seconds=86400)
+    poller.poll(tx.filter(F.col("id") % 50 != 0), POLL_UNTIL[0])
+    poller.poll(tx, POLL_UNTIL[1])
+    return poller.delivered().drop("seq")
+
+
 INSERT_CUTOFF = "2023-07-01 00:00:00"
 
 

@@ -454,6 +454,16 @@ BODIES.update({
          CASE WHEN n.id IS NOT NULL AND n.device_seen THEN n.device_type ELSE o.device_type END AS device_type,
          CASE WHEN o.id IS NULL THEN 'insert' WHEN n.id IS NULL THEN 'keep' ELSE 'update' END AS op
   FROM ({_fold(f"WHERE _ts < {_CUTOFF}")}) o FULL OUTER JOIN ({_fold(f"WHERE _ts >= {_CUTOFF}")}) n ON o.id = n.id""",
+    "export_other_tables": """
+  SELECT 'customers' AS table_name, count(*) AS n_rows, CAST(1 AS BIGINT) AS n_days FROM customers
+  UNION ALL SELECT 'merchants', count(*), CAST(1 AS BIGINT) FROM merchants
+  UNION ALL SELECT 'refunds', count(*), count(DISTINCT CAST(created_at AS DATE)) FROM refunds""",
+    "cdc_poll": """
+  SELECT id, customer_id, merchant_id, amount, currency_code, status, fraud_score, device_type, ip_country, created_at
+  FROM transactions
+  WHERE created_at <= TIMESTAMP '1997-06-30 12:00:00'
+    AND (id % 50 <> 0 OR created_at > (SELECT max(created_at) FROM transactions
+                                       WHERE id % 50 <> 0 AND created_at <= TIMESTAMP '1996-06-30 12:00:00') - INTERVAL 1 DAY)""",
     "model_roundtrip": "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_differ FROM transactions",
     "stream_validate": "SELECT id, topic, is_valid FROM tx_events",
     "stream_quarantine": "SELECT id AS key, topic, 'missing_keys' AS reason FROM tx_events WHERE NOT is_valid",

@@ -15,6 +15,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+
+from paylake.session import path_exists
 from pyspark.sql.types import StructType
 
 
@@ -86,6 +88,53 @@ def next_mark(increment: DataFrame, ts_col: str = "created_at", id_col: str = "i
     return increment.agg(best.alias("m")).select("m.ts", "m.id")
 
 
+class Poller:
+    """Incremental reads with a stored high-water mark; every row is delivered once.
+
+    A poll reads the rows after the stored mark, and again those of the last
+    ``lookback_seconds`` before it, as late commits may have come since; rows that an earlier
+    poll delivered are left out by key.  The increment is written first, under the next
+    number, then the mark: a poll that fails in between is repeated into the same folder.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, lookback_seconds: int = 0,
+                 ts_col: str = "created_at", id_col: str = "id"):
+        self.spark, self.root, self.lookback = spark, root.rstrip("/"), lookback_seconds
+        self.ts_col, self.id_col = ts_col, id_col
+
+    def mark(self):
+        """The newest mark (``seq``, ``ts``, ``id``), or None before the first poll."""
+        if not path_exists(self.spark, f"{self.root}/mark"):
+            return None
+        return self.spark.read.parquet(f"{self.root}/mark").orderBy(F.col("seq").desc()).first()
+
+    def poll(self, df: DataFrame, until=None) -> DataFrame:
+        """Deliver the next increment; returns its rows as written."""
+        m = self.mark()
+        new = df if m is None else read_since(df, m["ts"], m["id"], None, self.lookback, self.ts_col, self.id_col)
+        if until is not None:
+            new = new.filter(F.col(self.ts_col) <= _ts(until))
+        if m is not None and self.lookback:
+            since = F.lit(m["ts"]) - F.make_dt_interval(secs=F.lit(self.lookback))
+            known = self.delivered().filter(F.col(self.ts_col) > since).select(self.id_col)
+            new = new.join(known, self.id_col, "left_anti").select(*df.columns)
+        seq = m["seq"] + 1 if m is not None else 1
+        path = f"{self.root}/delivered/seq={seq}"
+        new.write.mode("overwrite").parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        top = next_mark(out, self.ts_col, self.id_col).first()
+        if m is not None and (top["ts"] is None or (top["ts"], top["id"]) < (m["ts"], m["id"])):
+            top = m
+        if top["ts"] is not None:
+            (self.spark.createDataFrame([(seq, top["ts"], top["id"])], "seq bigint, ts timestamp_ntz, id bigint")
+             .write.mode("append").parquet(f"{self.root}/mark"))
+        return out
+
+    def delivered(self) -> DataFrame:
+        """All rows delivered so far (with their poll's number ``seq``)."""
+        return self.spark.read.parquet(f"{self.root}/delivered")
+
+
 def with_date_partitions(df: DataFrame, col: str = "created_at") -> DataFrame:
     """Add zero-padded string partition columns year / month / day."""
     return df.withColumns({
@@ -95,6 +144,12 @@ def with_date_partitions(df: DataFrame, col: str = "created_at") -> DataFrame:
     })
 
 
+def export_run(df: DataFrame, path: str, run_date: str, fmt: str = "parquet") -> None:
+    """Export a whole table under the date of the run; a second run of that date replaces it."""
+    y, m, d = run_date.split("-")
+    df.write.mode("overwrite").format(fmt).save(f"{path}/year={y}/month={m}/day={d}")
+
+
 def export_partition(df: DataFrame, path: str, start=None, end=None, col: str = "created_at",
                      fmt: str = "parquet") -> bool:
     """Export ``[start, end)`` (or everything) to ``path/year=/month=/day=``.
@@ -138,20 +193,31 @@ def read_partitions(spark: SparkSession, path: str, start_day: str | None = None
 
 
 def export_snapshot(df: DataFrame, root: str, version: str) -> str:
-    """Write a full snapshot to ``root/version=<v>``, then move the pointer."""
+    """Write a full snapshot to ``root/version=<v>``, then publish a new pointer.
+
+    Pointers are numbered and only added, so there is always a whole one to read.
+    """
     spark = df.sparkSession
     data = f"{root}/data/version={version}"
     if df.isEmpty():
         return ""
     df.write.mode("overwrite").parquet(data)
-    spark.createDataFrame([(version,)], "version string").write.mode("overwrite").json(f"{root}/_current")
+    last = _pointer(spark, root)
+    (spark.createDataFrame([(last["seq"] + 1 if last else 1, version)], "seq bigint, version string")
+     .write.mode("append").json(f"{root}/_current"))
     return data
 
 
+def _pointer(spark: SparkSession, root: str):
+    """The newest pointer (``seq``, ``version``), or None."""
+    if not path_exists(spark, f"{root}/_current"):
+        return None
+    return spark.read.schema("seq bigint, version string").json(f"{root}/_current").orderBy(F.col("seq").desc()).first()
+
+
 def read_snapshot(spark: SparkSession, root: str) -> DataFrame:
     """Read the snapshot the pointer names (one tiny row read on the driver)."""
-    version = spark.read.json(f"{root}/_current").first()["version"]
-    return spark.read.parquet(f"{root}/data/version={version}")
+    return spark.read.parquet(f"{root}/data/version={_pointer(spark, root)['version']}")
 
 
 def insert_if_absent(existing: DataFrame, incoming: DataFrame, key: str | list[str]) -> DataFrame:
@@ -175,7 +241,7 @@ def write_table(df: DataFrame, path: str, sort_by: list | None = None, small: bo
     """
     out = df
     if small:
-        out = out.coalesce(1)
+        out = out.repartition(1)  # a stage of its own: what makes the rows stays parallel
         if sort_by:
             out = out.sortWithinPartitions(*sort_by)
     out.write.mode("overwrite").format(fmt).save(path)
@@ -187,7 +253,9 @@ def write_star(tables: dict[str, DataFrame], root: str) -> dict[str, str]:
     for name, df in tables.items():
         path = f"{root.rstrip('/')}/{name}"
         if name == "fact_transactions":
-            df.write.mode("overwrite").partitionBy("date_key").parquet(path)
+            # days in runs, a large day over several tasks: not a file for every task and day
+            (df.repartitionByRange("date_key", F.xxhash64(*df.columns)).sortWithinPartitions("date_key")
+             .write.mode("overwrite").partitionBy("date_key").parquet(path))
         else:
             write_table(df, path)
         paths[name] = path
