@@ -110,6 +110,7 @@ def spread(feats: DataFrame, id_col: str = "id", partitions: int = TRAINING_PART
 def forest_pipeline(params: dict | None = None) -> Pipeline:
     p = dict(D.FOREST_PARAMS)
     p.update(params or {})
+    p.setdefault("maxMemoryInMB", 1024)  # more tree nodes a pass, so fewer passes over the rows
     asm = VectorAssembler(inputCols=D.FEATURE_COLUMNS, outputCol="features", handleInvalid="keep")
     rf = RandomForestClassifier(labelCol=LABEL, featuresCol="features", weightCol="weight",
                                 featureSubsetStrategy="sqrt", **p)
