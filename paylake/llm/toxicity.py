@@ -21,6 +21,8 @@ every score is 0.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -31,7 +33,7 @@ from paylake.llm.common import LOWER_ALNUM, chunks, lowered, materialize, mix, s
 #: Most labelled documents of a class that the models learn from.
 MAX_DOCS = 20_000
 #: Size of the hashed tables, bytes of a word that are spelled, and the discount.
-CELLS, DEPTH, DISCOUNT = 1 << 21, 16, 3.0
+CELLS, DEPTH, DISCOUNT = 1 << 21, 12, 3
 #: A document is called toxic from this score on.
 TOXIC_FROM = 0.3
 #: Steps of the logistic fit.
@@ -105,14 +107,21 @@ def _ratios(texts: pa.Array, m: dict) -> np.ndarray:
     return (sums[at[1:]] - sums[at[:-1]]) / np.maximum(np.diff(at), 1)
 
 
-def _scored(shared):
-    """Batches of (_row, text) to (_row, score)."""
+def _packed(m: dict) -> dict:
+    """Tables of whole counts, deflated: most cells are empty, and every executor keeps a copy on disk."""
+    return {k: zlib.compress(v.astype(np.uint32).tobytes(), 1) for k, v in m.items()}
+
+
+def _unpacked(m: dict) -> dict:
+    return {k: np.frombuffer(zlib.decompress(v), np.uint32).astype(np.float32) for k, v in m.items()}
+
+
+def _measured(shared):
+    """Batches of (_row, text) to (_row, ratio)."""
     def run(batches):
-        m = shared.value
+        m = _unpacked(shared.value)
         for batch in chunks(batches):
-            x = _ratios(batch["text"], m) if m else np.zeros(batch.num_rows)
-            score = 1 / (1 + np.exp(-np.clip(m["slope"] * x + m["shift"], -60, 60))) if m else x
-            yield pa.RecordBatch.from_arrays([batch["_row"], pa.array(score), pa.array(x)], names=["_row", "score", "ratio"])
+            yield pa.RecordBatch.from_arrays([batch["_row"], pa.array(_ratios(batch["text"], m))], names=["_row", "ratio"])
     return run
 
 
@@ -128,11 +137,9 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
     return float(b[0] / scale), float(b[1])
 
 
-def _apply(rows: DataFrame, model: dict) -> DataFrame:
-    """(_row, score, ratio) of rows (_row, text)."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)
-    kind = rows.schema["_row"].dataType.simpleString()
-    return rows.mapInArrow(_scored(shared), f"_row {kind}, score double, ratio double")
+def _apply(rows: DataFrame, shared) -> DataFrame:
+    """(_row, ratio) of rows (_row, text), with the broadcast tables."""
+    return rows.mapInArrow(_measured(shared), f"_row {rows.schema['_row'].dataType.simpleString()}, ratio double")
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, max_docs: int = MAX_DOCS) -> dict:
@@ -158,17 +165,22 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, max_docs: int = MAX_D
     m = {}
     for k in "to":
         m |= {f"v_{k}": after[k], f"u_{k}": before[k], f"d_{k}": before[f"d{k}"]}
-    curve = _apply(rows.filter("curve").select(F.col("toxic").alias("_row"), "text"), m | {"slope": 1.0, "shift": 0.0}).toArrow()
+    shared = docs.sparkSession.sparkContext.broadcast(_packed(m))
+    curve = _apply(rows.filter("curve").select(F.col("toxic").alias("_row"), "text"), shared).toArrow()
     x, y = curve["ratio"].to_numpy(), curve["_row"].to_numpy()  # at most 2 * max_docs rows
     # where a class is larger than what is learned from it, its documents count for more
     share = {k: max(1.0, seen[k] / max_docs) for k in (0, 1)}
-    m["slope"], m["shift"] = _logistic(x, y.astype(float), np.where(y == 1, share[1], share[0]))
-    return m
+    slope, shift = _logistic(x, y.astype(float), np.where(y == 1, share[1], share[0]))
+    return {"tables": shared, "slope": slope, "shift": shift}
 
 
 def score(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
     """The documents with ``score`` (0 to 1) and ``predicted`` (0 or 1) appended."""
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), docs[text_col].cast("string").alias("text"))
-    out = _apply(rows, model)
+    if model:
+        evidence = F.col("ratio") * model["slope"] + model["shift"]
+        out = _apply(rows, model["tables"]).select("_row", (1 / (1 + F.exp(-F.greatest(F.least(evidence, F.lit(60.0)), F.lit(-60.0))))).alias("score"))
+    else:
+        out = rows.select("_row", F.lit(0.0).alias("score"))
     return out.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns if c not in ("score", "predicted")],
                       "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
