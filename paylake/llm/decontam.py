@@ -24,6 +24,7 @@ ones too; a null item id is written as the empty string; other columns are carri
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -218,7 +219,8 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col:
                           F.lit(0).alias("_longest"))
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in renamed.schema])
     out = renamed
-    for items in list(blocks(benchmark, text_col=text_col, limit=block_bytes)) or [[]]:
+    stream = blocks(benchmark, text_col=text_col, limit=block_bytes)
+    for items in itertools.chain([next(stream, [])], stream):  # one pass at least
         shared = sc.broadcast(items)
 
         def run(batches, shared=shared):
