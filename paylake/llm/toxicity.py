@@ -1,15 +1,16 @@
 """Toxicity from class-conditional Kneser-Ney models.
 
 Two models, one of toxic and one of ordinary documents, spell each word letter by
-letter: the context of a letter is the word's beginning up to it, so a word's probability
-is a path through a tree of word beginnings.  Their log-likelihoods' difference per token,
-so that length does not matter, becomes a probability through a logistic curve fitted on
-documents that the counts have not seen.  Both classes back off to the same pooled
-counts, so letters that a class has rarely seen after a beginning say nothing, however few
-toxic documents there are, while a rare word still shares what is known of its beginning.
+letter to its end, whatever its length and script: the context of a letter (a code point)
+is the CONTEXT letters before it in the word, so runs without spaces are read throughout.
+The difference of the log-likelihoods per letter, so that length does not matter, becomes a
+probability through a logistic curve fitted on documents that the counts have not seen.  Both
+classes back off to the same pooled counts, so letters that a class has rarely seen after a
+context say nothing, however few toxic documents there are, while a rare word still shares
+what is known of its letters.
 
 Fitting uses at most MAX_DOCS labelled documents a class, those with the smallest hash
-of their id.  The model is arrays over hashed word beginnings, of fixed size CELLS
+of their id.  The model is arrays over hashed letter runs, of fixed size CELLS
 whatever the corpus, which bounds what the driver and a task hold.  Scoring is one
 narrow pass over all documents.
 
@@ -32,8 +33,8 @@ from paylake.llm.common import LOWER_ALNUM, chunks, lowered, materialize, mix, s
 
 #: Most labelled documents of a class that the models learn from.
 MAX_DOCS = 20_000
-#: Size of the hashed tables, bytes of a word that are spelled, and the discount.
-CELLS, DEPTH, DISCOUNT = 1 << 21, 12, 3
+#: Size of the hashed tables, code points of a word that a letter's context holds at most, and the discount.
+CELLS, CONTEXT, DISCOUNT = 1 << 21, 5, 3
 #: A document is called toxic from this score on.
 TOXIC_FROM = 0.3
 #: Steps of the logistic fit.
@@ -47,36 +48,53 @@ def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return enc.dictionary, enc.indices.to_numpy(zero_copy_only=False).astype(np.int64), at
 
 
-def _spelled(words: pa.Array):
-    """For each byte depth: (words that go on, cell of their beginning, cell after one more byte or the end)."""
-    n = len(words)
+def _letters(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All words in a row, each as CONTEXT starts (0), its code points and an end (1): symbols, word of each, and is it no start."""
+    n, pads = len(words), CONTEXT
     if not n:
-        return
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool)
     _, offsets, data = pa.concat_arrays([words]).buffers()
     at = np.frombuffer(offsets, np.int32)[:n + 1].astype(np.int64)
-    b = np.frombuffer(data, np.uint8)
-    size = np.diff(at)
-    h, on = np.zeros(n, np.uint64), np.arange(n)
-    for d in range(DEPTH + 1):
-        last = size[on] <= d
-        byte = np.where(last, 0, b[np.minimum(at[on] + d, len(b) - 1)]).astype(np.uint64)
-        after = mix(h[on] * np.uint64(0x9E3779B97F4A7C15) + byte + np.uint64(1))
-        yield on, (h[on] % np.uint64(CELLS)).astype(np.int64), (after % np.uint64(CELLS)).astype(np.int64)
-        h[on] = after
-        on = on[~last]
+    b = np.frombuffer(data, np.uint8)[:at[-1]]
+    first = (b & 0xC0) != 0x80
+    first[at[:-1]] = True
+    start = np.flatnonzero(first)
+    size = np.diff(np.append(start, len(b)))
+    point = b[start].astype(np.uint64)
+    for j in range(1, 4):
+        more = np.flatnonzero(size > j)
+        point[more] |= b[start[more] + j].astype(np.uint64) << np.uint64(8 * j)
+    of = np.repeat(np.arange(n), np.add.reduceat(first, at[:-1], dtype=np.int64))
+    length = np.bincount(of, minlength=n) + pads + 1
+    ends = np.cumsum(length)
+    symbols, inside = np.zeros(int(ends[-1]), np.uint64), np.zeros(int(ends[-1]), bool)
+    places = np.arange(len(start)) + pads * (of + 1) + of
+    symbols[places], symbols[ends - 1] = point + np.uint64(2), 1
+    inside[places], inside[ends - 1] = True, True
+    return symbols, np.repeat(np.arange(n), length), inside
+
+
+def _spelled(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of every letter of the words and every end: place of its word, cell of its context, cell of the context with it."""
+    symbols, of, inside = _letters(words)
+    v = np.zeros(len(symbols), np.uint64)
+    for _ in range(CONTEXT + 1):
+        u = np.concatenate((v[:1], v[:-1]))
+        v = mix(u * np.uint64(0x9E3779B97F4A7C15) + symbols + np.uint64(1))
+    return of[inside], (u[inside] % np.uint64(CELLS)).astype(np.int64), (v[inside] % np.uint64(CELLS)).astype(np.int64)
 
 
 def _count(batches):
-    """Chunk totals (u, v, toxic, ordinary) of labelled texts: letters leading from beginning u to v."""
+    """Chunk totals (u, v, toxic, ordinary) of labelled texts: letters leading from context u to run v."""
     for batch in chunks(batches):
         words, codes, at = _words(batch["text"])
         toxic = np.repeat(np.asarray(batch["toxic"]).astype(bool), np.diff(at))
         of = [np.bincount(codes[toxic == k], minlength=len(words)) for k in (True, False)]
-        for on, u, v in _spelled(words):
-            key, where = np.unique(u * CELLS + v, return_inverse=True)
-            t, o = (np.bincount(where, x[on], len(key)).astype(np.int64) for x in of)
-            yield pa.RecordBatch.from_arrays([pa.array((key // CELLS).astype(np.int32)), pa.array((key % CELLS).astype(np.int32)),
-                                              pa.array(t), pa.array(o)], names=["u", "v", "t", "o"])
+        on, u, v = _spelled(words)
+        key, where = np.unique(u * CELLS + v, return_inverse=True)
+        t, o = (np.bincount(where, x[on], len(key)).astype(np.int64) for x in of)
+        yield pa.RecordBatch.from_arrays([pa.array((key // CELLS).astype(np.int32)), pa.array((key % CELLS).astype(np.int32)),
+                                          pa.array(t), pa.array(o)], names=["u", "v", "t", "o"])
 
 
 def _table(df: DataFrame, key: str, cols: list[str]) -> dict[str, np.ndarray]:
@@ -91,20 +109,19 @@ def _table(df: DataFrame, key: str, cols: list[str]) -> dict[str, np.ndarray]:
 
 
 def _ratios(texts: pa.Array, m: dict) -> np.ndarray:
-    """Mean over a text's tokens of log10 P(toxic) - log10 P(ordinary); 0 for texts without tokens."""
+    """Mean over a text's letters of log10 P(toxic) - log10 P(ordinary); 0 for texts without tokens."""
     words, codes, at = _words(texts)
-    word = np.zeros(len(words))
-    for on, u, v in _spelled(words):
-        # letters that neither class has seen here cost both the same; they are left out
-        shared = (m["v_t"][v] + m["v_o"][v]) / np.maximum(m["u_t"][u] + m["u_o"][u], 1)
-        log = []
-        for k in "to":
-            c = m[f"u_{k}"][u]
-            p = (np.maximum(m[f"v_{k}"][v] - DISCOUNT, 0) + m[f"d_{k}"][u] * shared) / np.maximum(c, 1)
-            log.append(np.log10(np.maximum(np.where(c > 0, p, shared), 1e-12)))
-        word[on] += np.where(shared > 0, log[0] - log[1], 0)
-    sums = np.concatenate(([0.0], np.cumsum(word[codes])))
-    return (sums[at[1:]] - sums[at[:-1]]) / np.maximum(np.diff(at), 1)
+    on, u, v = _spelled(words)
+    # letters that neither class has seen here cost both the same; they are left out
+    shared = (m["v_t"][v] + m["v_o"][v]) / np.maximum(m["u_t"][u] + m["u_o"][u], 1)
+    log = []
+    for k in "to":
+        c = m[f"u_{k}"][u]
+        p = (np.maximum(m[f"v_{k}"][v] - DISCOUNT, 0) + m[f"d_{k}"][u] * shared) / np.maximum(c, 1)
+        log.append(np.log10(np.maximum(np.where(c > 0, p, shared), 1e-12)))
+    word = np.bincount(on, np.where(shared > 0, log[0] - log[1], 0), len(words))
+    sums, sizes = (np.concatenate(([0.0], np.cumsum(x[codes]))) for x in (word, np.bincount(on, minlength=len(words))))
+    return (sums[at[1:]] - sums[at[:-1]]) / np.maximum(sizes[at[1:]] - sizes[at[:-1]], 1)
 
 
 def _packed(m: dict) -> dict:

@@ -154,6 +154,25 @@ def test_toxicity_on_held_out_documents(spark):
     assert toxicity.score(frame(spark, []), model).count() == 0
 
 
+def test_toxicity_reads_long_words_to_their_end(spark):
+    rng = np.random.default_rng(19)
+    run = "".join(chr(0x4E00 + i) for i in range(30))
+    bad = {i: int(i % 8 < 2) for i in range(480)}
+    rows = []
+    for i in bad:  # what is toxic stands deep in one unsegmented run, or at the end of joined forms
+        tail = "".join(chr(0x5000 + int(n)) for n in rng.integers(300, size=20))
+        if i % 2:
+            rows.append((i, run + ("\u5f00\u5f01\u5f02" if bad[i] else "\u5e00\u5e01\u5e02") + tail))
+        else:
+            rows.append((i, " ".join("x" * 13 + ("vile" if bad[i] else "kind") for _ in range(5))))
+    lab = spark.createDataFrame(list(bad.items()), "doc_id long, toxic int")
+    model = toxicity.fit(frame(spark, rows), lab, F.col("doc_id") % 5 != 3)
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.score(frame(spark, rows), model).collect()}
+    for script in (0, 1):
+        held = [i for i in bad if i % 5 == 3 and i % 2 == script]
+        assert np.mean([got[i] == bad[i] for i in held]) > 0.9
+
+
 def zipf_docs(n=200, seed=10):
     rng = np.random.default_rng(seed)
     rows = []
