@@ -1,4 +1,4 @@
-"""Toxicity from class-conditional Kneser-Ney models.
+"""Toxicity from class-conditional letter models with absolute discounting.
 
 Two models, one of toxic and one of ordinary documents, spell each word letter by
 letter to its end, whatever its length and script: the context of a letter (a code point)
