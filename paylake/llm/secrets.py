@@ -4,7 +4,7 @@ Strong findings stand alone: assignments to a secret's name, access keys with
 their prefix, and long hexadecimal runs.  Weak candidates (an identifier-like
 upper-case run, a mixed-character run as long as a secret, an endpoint) say little
 by themselves, so they are reported only when a complementary part lies within
-SCOPE characters: an identifier next to a secret, or a secret next to an endpoint
+SCOPE characters of its end: an identifier next to a secret, or a secret next to an endpoint
 and an identifier.  Parts are joined as intervals: both sides carry the scope
 cells they reach, the equi-join is on (row, cell), the distance is checked
 exactly, and it is a semi-join, so no pairs are made however many parts a scope holds.
@@ -39,10 +39,8 @@ WEAK = {
     "opaque": "[A-Za-z0-9+/]{32,}",
     "endpoint": "[a-z][a-z0-9+.-]{0,15}://[A-Za-z0-9._-]+(:[0-9]{1,5})?",
 }
-#: Most characters of weak identifiers and secrets; longer runs are data, not credentials.
-MAX_IDENT, MAX_OPAQUE = 32, 64
 ORDER = [*BASE, *WEAK]
-#: Parts further apart than this (code points between starts) are not one credential.
+#: Parts further apart than this (code points from the end of one to the start of the other) are not one credential.
 SCOPE = 256
 MARK, STAND_IN = "\uE000", "\uE001"
 
@@ -69,11 +67,11 @@ def _value_long_enough(m: Column) -> Column:
 
 def _looks_opaque(m: Column) -> Column:
     """Digits, lower and upper case together, as generated secrets have; words do not."""
-    return (F.length(m) <= MAX_OPAQUE) & m.rlike("[0-9]") & m.rlike("[a-z]") & m.rlike("[A-Z]")
+    return m.rlike("[0-9]") & m.rlike("[a-z]") & m.rlike("[A-Z]")
 
 
 def _looks_ident(m: Column) -> Column:
-    return (F.length(m) <= MAX_IDENT) & m.rlike("[0-9]") & m.rlike("[A-Z]")
+    return m.rlike("[0-9]") & m.rlike("[A-Z]")
 
 
 def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -96,6 +94,11 @@ def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                     F.concat(*[tagged(k) for k in WEAK]).alias("weak"))
 
 
+def _cells(s: Column, e: Column, reach: int) -> Column:
+    """The scope cells that a part reaches with ``reach`` code points on each side."""
+    return F.sequence(F.floor((s - reach) / SCOPE), F.floor((e + reach) / SCOPE))
+
+
 def linked(found: DataFrame) -> DataFrame:
     """(id, rk, s, kind, e): weak candidates that complementary parts in their scope support."""
     role = F.when(F.col("kind").isin(ORDER.index("access"), ORDER.index("ident")), "id").when(
@@ -104,13 +107,15 @@ def linked(found: DataFrame) -> DataFrame:
              .withColumn("role", role).withColumn("weak", F.col("kind") >= len(BASE)).dropDuplicates())
 
     def near(left: DataFrame, role_: str) -> DataFrame:
-        """Rows of ``left`` with another part of that role within SCOPE (left carries the cells it reaches)."""
+        """Rows of ``left`` with another part of that role within SCOPE (right carries the cells it reaches, left those it lies in)."""
         right = parts.filter(F.col("role") == role_).select(
-            F.col("id").alias("r_id"), F.col("rk").alias("r_rk"), F.col("s").alias("r_s"),
-            F.explode(F.sequence(F.floor(F.col("s") / SCOPE) - 1, F.floor(F.col("s") / SCOPE) + 1)).alias("r_cell"))
-        return left.withColumn("cell", F.floor(F.col("s") / SCOPE)).join(
+            F.col("id").alias("r_id"), F.col("rk").alias("r_rk"), F.col("s").alias("r_s"), F.col("e").alias("r_e"),
+            F.explode(_cells(F.col("s"), F.col("e"), SCOPE)).alias("r_cell"))
+        gap = F.greatest("s", "r_s") - F.least("e", "r_e")
+        cut = left.withColumn("cell", F.explode(_cells(F.col("s"), F.col("e"), 0)))  # a long part lies in several cells
+        return cut.join(
             right, (F.col("id") == F.col("r_id")) & (F.col("rk") == F.col("r_rk")) & (F.col("cell") == F.col("r_cell"))
-            & (F.abs(F.col("s") - F.col("r_s")) <= SCOPE), "left_semi").drop("cell")
+            & (gap <= SCOPE), "left_semi").drop("cell").dropDuplicates()
 
     weak = parts.filter("weak")
     pairs_up = near(weak.filter("role = 'id'"), "secret").unionByName(near(weak.filter("role = 'secret'"), "id"))

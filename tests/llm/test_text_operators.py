@@ -135,6 +135,16 @@ def test_weak_parts_need_their_complement(spark):
     assert got[4].startswith("endpoint:0:27,ident:28:44,opaque:45:")
 
 
+def test_long_weak_parts_and_gaps(spark):
+    key, opaque = "ABCD1234EFGH5678", "aB3" * 30
+    rows = [(1, f"id {key} key {opaque}"), (2, f"https://db.example.com {key} {opaque}"), (3, f"{'A1' * 35} {opaque}"),
+            (4, f"token={'q' * 300} {key}"), (5, f"{key} {'0a' * 2000} {key}"),
+            (6, f"{key}{' ' * 256}{opaque}"), (7, f"{key}{' ' * 257}{opaque}"), (8, f"{opaque}{' ' * 256}{key}")]
+    got = {r["doc_id"]: [x.split(":")[0] for x in r["spans"].split(",") if x] for r in secrets.report(frame(spark, rows)).collect()}
+    assert got == {1: ["ident", "opaque"], 2: ["endpoint", "ident", "opaque"], 3: ["ident", "opaque"], 4: ["assign", "ident"],
+                   5: ["ident", "hex", "ident"], 6: ["ident", "opaque"], 7: [], 8: ["opaque", "ident"]}
+
+
 def test_secrets_odd_rows(spark):
     assert secrets.report(frame(spark, ODD)).count() == len(ODD)
     assert secrets.report(frame(spark, [])).count() == 0
