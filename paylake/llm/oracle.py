@@ -171,4 +171,37 @@ SELECT page_id, host, path, rule, coalesce(seed, CASE WHEN hit.page_id IS NOT NU
 FROM j LEFT JOIN hit USING (page_id)
 """
 
-SQL = {"op9_url_rules": OP9, "op1_substring_dedup": OP1, "op7_near_duplicates": OP7, "op2_benchmark_decontamination": OP2, "op3_quality_rules": OP3, "op6_secret_scan": _op6(), "op10_source_mixing": OP10}
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+OP11 = rf"""
+WITH t AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{TERM}')) AS term FROM documents),
+q AS (SELECT item_id, term, count(*) AS q FROM (
+        SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{TERM}')) AS term FROM benchmark)
+      GROUP BY ALL),
+d AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id),
+g AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM d),
+m AS (SELECT doc_id, 100 - 25 + (25 * n * docs) // terms AS m FROM d, g),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM t SEMI JOIN q USING (term) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, g GROUP BY term),
+s AS (SELECT item_id, doc_id, sum(q * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+      FROM tf JOIN m USING (doc_id) JOIN w USING (term) JOIN q USING (term) GROUP BY ALL)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 20
+"""
+
+OP13 = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u, sha256('1:' || doc_id) AS h FROM documents),
+x AS (SELECT *, len(u)::BIGINT AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+             ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM d),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                  WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM x),
+p AS (SELECT *, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle, array_to_string(u[b + 1:], '') AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END::BIGINT AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END::BIGINT AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(t) AS restored_sha256
+FROM p
+"""
+
+SQL = {"op11_ranked_search": OP11, "op13_fill_in_middle": OP13, "op9_url_rules": OP9, "op1_substring_dedup": OP1, "op7_near_duplicates": OP7, "op2_benchmark_decontamination": OP2, "op3_quality_rules": OP3, "op6_secret_scan": _op6(), "op10_source_mixing": OP10}

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from paylake.llm import decontam, mixing, near_dup, packing, pitman_yor, quality_rules, secrets, substring_dedup, toxicity, url_rules
+from paylake.llm import (balanced_packing, decontam, doc_tree, fill_middle, mixing, near_dup, packing, pitman_yor, quality_rules,
+                         secrets, substring_dedup, toxicity, url_rules)
 from paylake.llm.common import table
 
 
@@ -66,6 +67,23 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return doc_tree.search(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+def op12_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = balanced_packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.transform(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(fill_middle.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_substring_dedup, op2_benchmark_decontamination, op3_quality_rules, op4_pitman_yor, op5_token_packing, op6_secret_scan,
-    op7_near_duplicates, op8_toxicity, op9_url_rules, op10_source_mixing)} | {"pipeline": corpus_pipeline.run}
+    op7_near_duplicates, op8_toxicity, op9_url_rules, op10_source_mixing,
+    op11_ranked_search, op12_balanced_packing, op13_fill_in_middle)} | {"pipeline": corpus_pipeline.run}
