@@ -1,62 +1,78 @@
 """Keyed current-state table with field-level upserts (document ``$set`` semantics).
 
-* ``fold`` reduces a batch of changes to one row per key.  For every field it
-  keeps the value of the latest change in which the field is *present*; an
-  explicit NULL is a value, an absent field is not.  This is one aggregation
-  (``max_by`` over a struct; Spark plans it sort-based), partially aggregated
-  map-side, so a hot key never gathers its rows in one task.
-* ``merge`` applies a folded batch to a state with one ``full_outer`` join on
-  the key (both sides are unique per key).
-* ``UpsertTable`` stores the state as Parquet partitioned by
-  ``bucket = pmod(xxhash64(key), B)``.  A batch reads only the buckets it
-  touches, writes them to ``data/batch=<id>/``, then writes the manifest
-  ``manifest/batch=<id>/`` (bucket -> batch holding its current data).  The
-  manifest write is the commit: a replay of the same batch id rewrites the
-  same folders from the same previous state, so it is idempotent.
+Fields that always come together form a *register*: a struct of the change's order
+(``at``) and the fields' values.  The state of a register is its largest struct, so the
+last change in the stated order wins whatever batch it came in; changes of equal order
+are settled by their values.  Taking the largest does not mind order, grouping or
+repetition: any cut of the same changes into batches, in any order of arrival and with
+any replay, gives the same table.
+
+* ``fold`` reduces changes to one row per key: the largest register among the changes in
+  which its fields are present.  An explicit NULL is a value, an absent field is not.
+  One aggregation, partial on the map side, so a hot key never gathers in one task.
+* ``merge`` applies a folded batch to a folded state with one ``full_outer`` join.
+* ``UpsertTable`` keeps the folded batches as layers (see ``layers``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from paylake.session import path_exists
+from paylake.operators.layers import Layers
 
-PRESENT = "__present"
+REGISTER = "r_"
+
+
+def registers(fields: list[str], presence: dict[str, str] | None = None) -> dict[str, list[str]]:
+    """Register name to its fields: those that share a presence flag (or have none) share one."""
+    out: dict[str | None, list[str]] = {}
+    for f in fields:
+        out.setdefault((presence or {}).get(f), []).append(f)
+    return {REGISTER + group[0]: group for group in out.values()}
+
+
+def _register(fields: list[str], order: list[str]) -> Column:
+    return F.struct(F.struct(*order).alias("at"), *fields)
 
 
 def fold(changes: DataFrame, key: str, fields: list[str], order: list[str],
          presence: dict[str, str] | None = None) -> DataFrame:
-    """One row per key; field ``f`` becomes ``struct<v>`` (NULL = never present).
+    """One row per key with a struct per register (NULL = never present).
 
     ``order`` columns give the order of changes within a key; ``presence`` maps
     a field to a boolean column telling whether the change carries it (fields
     not listed are always present).
     """
-    presence = presence or {}
-    ordering = F.struct(*[F.col(c) for c in order])
     aggs = []
-    for f in fields:
-        p = F.col(presence[f]) if f in presence else F.lit(True)
-        aggs.append(F.max_by(F.struct(F.col(f).alias("v")), F.when(p, ordering)).alias(f))
+    for name, group in registers(fields, presence).items():
+        flag = (presence or {}).get(group[0])
+        value = _register(group, order)
+        aggs.append(F.max(F.when(F.col(flag), value) if flag else value).alias(name))
     return changes.groupBy(key).agg(*aggs)
 
 
+def _fields(folded: DataFrame) -> dict[str, str]:
+    """Field to the register that holds it."""
+    return {f.name: c.name for c in folded.schema.fields if c.name.startswith(REGISTER) and isinstance(c.dataType, StructType)
+            for f in c.dataType.fields[1:]}
+
+
 def flatten(folded: DataFrame, key: str, fields: list[str]) -> DataFrame:
-    """State rows from a fold applied to an empty table."""
-    return folded.select(key, *[F.col(f)["v"].alias(f) for f in fields])
+    """Plain rows of a folded state."""
+    of = _fields(folded)
+    return folded.select(key, *[(F.col(of[f])[f] if f in of else F.col(f)).alias(f) for f in fields])
 
 
-def merge(state: DataFrame, folded: DataFrame, key: str, fields: list[str],
-          with_op: bool = False) -> DataFrame:
-    """Apply a folded batch: present fields overwrite, absent ones keep the old value."""
-    o = state.select(F.col(key).alias("_ok"), F.struct(*fields).alias("_o"))
-    n = folded.select(F.col(key).alias("_nk"), F.struct(*fields).alias("_n"))
+def merge(state: DataFrame, folded: DataFrame, key: str, with_op: bool = False) -> DataFrame:
+    """A folded batch merged into a folded state: per register the later change stays."""
+    names = list(dict.fromkeys(_fields(folded).values()))
+    o = state.select(F.col(key).alias("_ok"), F.struct(*names).alias("_o"))
+    n = folded.select(F.col(key).alias("_nk"), F.struct(*names).alias("_n"))
     j = o.join(n, F.col("_ok").eqNullSafe(F.col("_nk")), "full_outer")  # a NULL key is one key
     cols = [F.coalesce("_ok", "_nk").alias(key)]
-    for f in fields:
-        new = F.col("_n")[f]
-        cols.append(F.when(new.isNotNull(), new["v"]).otherwise(F.col("_o")[f]).alias(f))
+    cols += [F.greatest(F.col("_o")[c], F.col("_n")[c]).alias(c) for c in names]
     if with_op:
         cols.append(F.when(F.col("_o").isNull(), "insert").when(F.col("_n").isNull(), "keep")
                     .otherwise("update").alias("op"))
@@ -64,91 +80,69 @@ def merge(state: DataFrame, folded: DataFrame, key: str, fields: list[str],
 
 
 class UpsertTable:
-    """Bucketed, versioned current-state table under a shared folder."""
-
-    def __init__(self, spark: SparkSession, root: str, key: str, schema: str, buckets: int = 16):
-        self.spark, self.root, self.key, self.buckets = spark, root.rstrip("/"), key, buckets
-        self.schema = schema                      # DDL of the state columns
-        self.fields = [c.strip().split()[0] for c in schema.split(",") if c.strip().split()[0] != key]
-        # last manifest this writer committed: (batch, entries); the writer is
-        # the only one, so it need not re-read storage for the next batch
-        self._last: tuple[int, list[tuple[int, int]]] | None = None
-
-    # -- manifest ------------------------------------------------------------
-    def _manifest(self, before: int | None = None) -> list[tuple[int, int]]:
-        """``(bucket, batch)`` of the newest committed manifest (<= B rows)."""
-        if self._last is not None and before is not None and self._last[0] < before:
-            return list(self._last[1])
-        if not path_exists(self.spark, f"{self.root}/manifest"):
-            return []
-        m = self.spark.read.parquet(f"{self.root}/manifest")
-        if before is not None:
-            m = m.filter(F.col("batch") < before)
-        latest = m.agg(F.max("batch")).first()[0]
-        if latest is None:
-            return []
-        rows = m.filter(F.col("batch") == latest).select("bucket", "data_batch").collect()
-        return [(r["bucket"], r["data_batch"]) for r in rows]
-
-    def _read_buckets(self, manifest: list[tuple[int, int]], buckets: set[int] | None) -> DataFrame:
-        paths = [f"{self.root}/data/batch={v}/bucket={b}" for b, v in manifest
-                 if buckets is None or b in buckets]
-        if not paths:
-            return self.spark.createDataFrame([], f"{self.schema}, bucket int")
-        return (self.spark.read.schema(f"{self.schema}, batch bigint, bucket int")
-                .option("basePath", f"{self.root}/data").parquet(*paths).drop("batch"))
-
-    def read(self) -> DataFrame:
-        return self._read_buckets(self._manifest(), None).drop("bucket")
-
-    def _bucket(self, col: str = None):
-        return F.pmod(F.xxhash64(F.col(col or self.key)), F.lit(self.buckets)).cast("int")
-
-    # -- write ---------------------------------------------------------------
+    """Current-state table under a shared folder; see the module's text.
+
+    ``schema`` and ``order`` are DDL of the state columns and of the order columns.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, key: str, schema: str, order: str,
+                 presence: dict[str, str] | None = None):
+        self.key, self.presence = key, presence
+        columns = StructType.fromDDL(schema)
+        self.order = StructType.fromDDL(order)
+        self.fields = [f.name for f in columns.fields if f.name != key]
+        layer = [columns[key]]
+        for name, group in registers(self.fields, presence).items():
+            layer.append(StructField(name, StructType([StructField("at", self.order), *[columns[f] for f in group]])))
+        self.layers = Layers(spark, root, StructType(layer), [key], F.max)
+
+    def fold(self, changes: DataFrame) -> DataFrame:
+        return fold(changes, self.key, self.fields, self.order.fieldNames(), self.presence)
+
     def apply(self, folded: DataFrame, batch_id: int) -> None:
-        """Merge a folded batch (see ``fold``) as version ``batch_id``."""
-        prev = self._manifest(before=batch_id)
-        folded = folded.withColumn("bucket", self._bucket()).persist()
-        try:
-            touched = {r["bucket"] for r in folded.select("bucket").distinct().collect()}  # <= B rows
-            if not touched:
-                return
-            old = self._read_buckets(prev, touched)
-            merged = merge(old.drop("bucket"), folded.drop("bucket"), self.key, self.fields)
-            # one task per bucket value (explicit count: AQE keeps the writers parallel)
-            (merged.withColumn("bucket", self._bucket())
-                   .repartition(self.buckets, "bucket")
-                   .write.mode("overwrite").partitionBy("bucket")
-                   .parquet(f"{self.root}/data/batch={batch_id}"))
-            entries = dict(prev)
-            entries.update({b: batch_id for b in touched})
-            (self.spark.createDataFrame(sorted(entries.items()), "bucket int, data_batch bigint")
-                .coalesce(1).write.mode("overwrite").parquet(f"{self.root}/manifest/batch={batch_id}"))
-            self._last = (batch_id, sorted(entries.items()))
-        finally:
-            folded.unpersist()
+        """Add a folded batch as version ``batch_id``."""
+        self.layers.apply(folded, batch_id)
+
+    def read(self, before: int | None = None) -> DataFrame:
+        return flatten(self.layers.read(before), self.key, self.fields)
+
+    def changed(self, folded: DataFrame, batch_id: int) -> DataFrame:
+        """``(key, old, new)`` rows of the keys a folded batch touches, ahead of ``batch_id``; ``old`` is NULL for a new key.
+
+        The state's layers are cut down to the batch's keys before they are merged.
+        """
+        rows = self.layers._rows(self.layers.layers(batch_id))
+        keys = folded.select(F.col(self.key).alias("_k"))
+        rows = rows.join(keys, F.col(self.key).eqNullSafe(F.col("_k")), "left_semi")
+        names = self.layers.values
+        o = self.layers.merged(rows).select(F.col(self.key).alias("_ok"), F.struct(*names).alias("_o"))
+        j = folded.join(o, F.col(self.key).eqNullSafe(F.col("_ok")), "left")
+        of = _fields(folded)
+        old = F.when(F.col("_o").isNotNull(), F.struct(*[F.col("_o")[of[f]][f].alias(f) for f in self.fields]))
+        both = {c: F.greatest(F.col(c), F.col("_o")[c]) for c in names}
+        new = F.struct(*[both[of[f]][f].alias(f) for f in self.fields])
+        return j.select(self.key, old.alias("old"), new.alias("new"))
 
 
 def diff_as_of(changes: DataFrame, key: str, fields: list[str], order: list[str],
                presence: dict[str, str] | None, before, table_name: str) -> DataFrame:
     """Audit rows (INSERT / UPDATE) between the state of a change log at ``before`` and its latest state.
 
-    Both states come from ONE aggregation over the log: every field is folded
+    Both states come from ONE aggregation over the log: every register is folded
     twice, once over the changes before the cut and once over all of them.
     No second pass and no join; a change log has no deletes.
     """
-    presence = presence or {}
-    ordering = F.struct(*[F.col(c) for c in order])
     early = before if not isinstance(before, (str, int, float)) else F.lit(before)
-    aggs = [F.max(early).alias("_existed")]
-    for f in fields:
-        p = F.col(presence[f]) if f in presence else F.lit(True)
-        v = F.struct(F.col(f).alias("v"))
-        aggs.append(F.max_by(v, F.when(p & early, ordering)).alias(f"_o_{f}"))
-        aggs.append(F.max_by(v, F.when(p, ordering)).alias(f"_n_{f}"))
+    aggs, old, new = [F.max(early).alias("_existed")], [], []
+    for name, group in registers(fields, presence).items():
+        flag = (presence or {}).get(group[0])
+        present = F.col(flag) if flag else F.lit(True)
+        aggs.append(F.max(F.when(present & early, _register(group, order))).alias(f"_o_{name}"))
+        aggs.append(F.max(F.when(present, _register(group, order))).alias(f"_n_{name}"))
+        old += [F.col(f"_o_{name}")[f].alias(f) for f in group]
+        new += [F.col(f"_n_{name}")[f].alias(f) for f in group]
     folded = changes.groupBy(key).agg(*aggs)
-    old = F.struct(*[F.col(f"_o_{f}")["v"].alias(f) for f in fields])
-    new = F.struct(*[F.col(f"_n_{f}")["v"].alias(f) for f in fields])
-    op = F.when(~F.coalesce(F.col("_existed"), F.lit(False)), "INSERT").when(~old.eqNullSafe(new), "UPDATE")
+    op = (F.when(~F.coalesce(F.col("_existed"), F.lit(False)), "INSERT")
+          .when(~F.struct(*old).eqNullSafe(F.struct(*new)), "UPDATE"))
     return (folded.select(F.lit(table_name).alias("table_name"), op.alias("operation"), F.col(key).alias("record_id"))
             .filter(F.col("operation").isNotNull()))

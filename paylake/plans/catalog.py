@@ -208,6 +208,8 @@ CHANGE_FIELDS = ["customer_id", "merchant_id", "currency_code", "amount", "statu
                  "fraud_score", "created_at"]
 CHANGE_STATE = ("id bigint, customer_id bigint, merchant_id bigint, currency_code string, amount double, "
                 "status string, device_type string, fraud_score double, created_at timestamp_ntz")
+CHANGE_ORDER = "_ts timestamp_ntz, _seq struct<p: bigint, k: bigint>"
+CHANGE_PRESENCE = {"device_type": "device_type__present"}
 CHANGE_CUTOFF = "1998-06-01 00:00:00"
 
 
@@ -216,7 +218,7 @@ def _changes(spark, d) -> DataFrame:
 
 
 def _fold_changes(ch: DataFrame) -> DataFrame:
-    return U.fold(ch, "id", CHANGE_FIELDS, ["_ts", "_seq"], {"device_type": "device_type__present"})
+    return U.fold(ch, "id", CHANGE_FIELDS, ["_ts", "_seq"], CHANGE_PRESENCE)
 
 
 @register("audit_snapshot_diff")
@@ -224,7 +226,7 @@ def q_audit_snapshot_diff(spark, d):
     """Audit rows between the change-log state at the cutoff and now."""
     ch = _changes(spark, d)
     before = F.col("_ts") < F.lit(CHANGE_CUTOFF).cast("timestamp_ntz")
-    return U.diff_as_of(ch, "id", CHANGE_FIELDS, ["_ts", "_seq"], {"device_type": "device_type__present"},
+    return U.diff_as_of(ch, "id", CHANGE_FIELDS, ["_ts", "_seq"], CHANGE_PRESENCE,
                         before, "transactions")
 
 
@@ -320,7 +322,7 @@ def q_cdc_messages(spark, d):
 def q_upsert_current(spark, d):
     """Change log applied in three time-ordered batches to the bucketed state table."""
     ch = _changes(spark, d)
-    table = U.UpsertTable(spark, session.work_path(spark, "upsert/current"), "id", CHANGE_STATE, buckets=8)
+    table = U.UpsertTable(spark, session.work_path(spark, "upsert/current"), "id", CHANGE_STATE, CHANGE_ORDER, CHANGE_PRESENCE)
     cuts = ["1997-01-01 00:00:00", CHANGE_CUTOFF]
     bounds = [None] + cuts + [None]
     for i in range(len(bounds) - 1):
@@ -329,7 +331,7 @@ def q_upsert_current(spark, d):
             part = part.filter(F.col("_ts") >= F.lit(bounds[i]).cast("timestamp_ntz"))
         if bounds[i + 1]:
             part = part.filter(F.col("_ts") < F.lit(bounds[i + 1]).cast("timestamp_ntz"))
-        table.apply(_fold_changes(part), batch_id=i)
+        table.apply(table.fold(part), batch_id=i)
     return table.read()
 
 
@@ -338,9 +340,10 @@ def q_upsert_patch(spark, d):
     """One merge: state before the cutoff patched with the later changes, with the operation per id."""
     ch = _changes(spark, d)
     cut = F.lit(CHANGE_CUTOFF).cast("timestamp_ntz")
-    state = U.flatten(_fold_changes(ch.filter(F.col("_ts") < cut)), "id", CHANGE_FIELDS)
+    state = _fold_changes(ch.filter(F.col("_ts") < cut))
     patch = _fold_changes(ch.filter(F.col("_ts") >= cut))
-    return U.merge(state, patch, "id", CHANGE_FIELDS, with_op=True)
+    patched = U.merge(state, patch, "id", with_op=True)
+    return U.flatten(patched, "id", CHANGE_FIELDS + ["op"])
 
 
 # --- streams ------------------------------------------------------------------------
@@ -349,7 +352,7 @@ def run_consumer(spark, msgs: DataFrame, name: str, batches: int = 3) -> consume
     """Drive the consumer stream over ``msgs`` to completion (availableNow), in ``batches`` micro-batches."""
     root = session.work_path(spark, f"stream/{name}")
     per_slice = replay.write_slices(msgs, f"{root}/source", batches)
-    sink = consumer.ConsumerSink(spark, f"{root}/sink", buckets=8)
+    sink = consumer.ConsumerSink(spark, f"{root}/sink")
     q = consumer.start(spark, consumer.file_source(spark, f"{root}/source", per_slice), sink,
                        f"{root}/checkpoint", {"availableNow": True})
     q.awaitTermination()

@@ -1,4 +1,8 @@
-"""Messages written as files that a file stream reads back slice by slice."""
+"""Replay of a table as a message stream: slices of files that a file stream reads back.
+
+The registered stream queries and the tests run on it; the library's own source is
+``consumer.kafka_source`` or any frame with the message columns.
+"""
 
 from __future__ import annotations
 
@@ -12,8 +16,9 @@ def write_slices(msgs: DataFrame, path: str, batches: int = 3, partitions: int =
     """Write the messages in ``batches`` slices of their arrival order (``event_seq``).
 
     A slice has ``partitions`` files dealt by message key, as a keyed topic would have; the
-    return value is the number of files to read per trigger.  Messages without a place in the
-    order (NULL) come with the first slice.
+    return value is the number of files to read per trigger (empty ones are not written, so a
+    micro-batch may reach into the next slice).  Messages without a place in the order (NULL)
+    come with the first slice.
     """
     msgs = msgs.select(*[c.split()[0] for c in consumer.MESSAGE_SCHEMA.split(", ")]).persist()
     cuts = msgs.select(F.percentile_approx("event_seq", [i / batches for i in range(1, batches)], 10000)).first()[0] \

@@ -8,12 +8,15 @@ at-least-once delivery plus idempotent writes gives effectively-once results.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from paylake.functions import domains as D
-from paylake.operators.upsert import UpsertTable, fold
-from paylake.session import path_exists
+from paylake.operators.upsert import UpsertTable
+from paylake.session import path_exists, write_text
 
 # Typed fields of a transaction event (all optional in the JSON).
 EVENT_SCHEMA = ("id string, customer_id string, merchant_id string, amount double, currency_code string, "
@@ -27,46 +30,47 @@ MESSAGE_SCHEMA = "topic string, key string, value string, event_ts timestamp_ntz
 
 
 def validate(messages: DataFrame, required=D.REQUIRED_EVENT_KEYS) -> DataFrame:
-    """Add ``is_valid`` and ``reason``.
+    """Add ``_ev`` (the message as VARIANT), ``is_valid`` and ``reason``.
 
     A message is valid when its value is a JSON object holding every required
     key (a NULL value counts as present).  Malformed text and non-objects get
-    reason ``malformed``; the rest of the invalid ones ``missing_keys``.
+    reason ``malformed``; the rest of the invalid ones ``missing_keys``.  The text is parsed
+    once, here; all else takes fields out of the VARIANT.
     """
-    # the key list is computed once in its own projection, then reused
-    keyed = messages.withColumn("_keys", F.json_object_keys("value"))
-    keys = F.col("_keys")
-    missing = F.size(F.array_except(F.array(*[F.lit(k) for k in required]),
-                                    F.coalesce(keys, F.array().cast("array<string>"))))
+    # through a generator, below which no filter on its result is pushed (that would parse again)
+    keyed = messages.select("*", F.explode(F.array(F.try_parse_json("value"))).alias("_ev"))
+    is_object = F.coalesce(F.schema_of_variant("_ev").startswith("OBJECT"), F.lit(False))
+    complete = is_object
+    for k in required:
+        complete = complete & present(k)
     return keyed.withColumns({
-        "is_valid": keys.isNotNull() & (missing == 0),
-        "reason": F.when(keys.isNull(), "malformed").when(missing > 0, "missing_keys"),
+        "is_valid": complete,
+        "reason": F.when(~is_object, "malformed").when(~complete, "missing_keys"),
     })
 
 
+def present(field: str, event: str = "_ev") -> Column:
+    """Whether a VARIANT object has the key (its value may be NULL)."""
+    return F.try_variant_get(F.col(event), f"$.{field}", "variant").isNotNull()
+
+
 def parse(valid: DataFrame) -> DataFrame:
     """Typed event columns plus ``<field>__present`` flags (key present in the JSON)."""
-    # parse once into a struct, then take the fields (one JSON parse per row)
-    parsed = valid.withColumn("_ev", F.from_json("value", EVENT_SCHEMA))
-    cols = {f: F.col("_ev")[f] for f in EVENT_FIELDS}
+    cols = {f.name: F.try_variant_get("_ev", f"$.{f.name}", f.dataType.simpleString())
+            for f in StructType.fromDDL(EVENT_SCHEMA).fields}
     # a malformed timestamp becomes NULL instead of failing the micro-batch
     # and an offset is honoured: the state holds UTC (the session's zone)
-    cols["created_at"] = F.col("_ev")["created_at"].try_cast("timestamp").cast("timestamp_ntz")
-    flags = {f"{f}__present": F.array_contains("_keys", f) for f in EVENT_FIELDS if f != "id"}
-    return parsed.select(*[c for c in valid.columns], *[c.alias(n) for n, c in cols.items()],
-                         *[c.alias(n) for n, c in flags.items()])
+    cols["created_at"] = cols["created_at"].try_cast("timestamp").cast("timestamp_ntz")
+    flags = {f"{f}__present": present(f) for f in EVENT_FIELDS if f != "id"}
+    return valid.select(*[c for c in valid.columns if c != "_ev"], *[c.alias(n) for n, c in cols.items()],
+                        *[c.alias(n) for n, c in flags.items()])
 
 
-# The one order of changes, inside a batch and across batches: arrival (for Kafka the partition
-# and offset; a key lives in one partition).  Event times of producers decide nothing.
-ORDER_ARRIVAL = ["event_seq"]
-
-
-def changes_fold(events: DataFrame, order: list[str] = ORDER_ARRIVAL) -> DataFrame:
-    """Fold parsed events to one row per id; per present field the last one in ``order`` wins."""
-    fields = [f for f in EVENT_FIELDS if f != "id"]
-    presence = {f: f"{f}__present" for f in fields}
-    return fold(events, "id", fields, order, presence)
+# The one order of changes, inside a batch and across batches: the place in the topic (for Kafka
+# partition and offset; a key lives in one partition).  It is kept with every field's state, so the
+# order in which files or batches arrive decides nothing, nor do event times of producers.
+ORDER = "event_seq bigint"
+PRESENCE = {f: f"{f}__present" for f in EVENT_FIELDS if f != "id"}
 
 
 def log_rows(alerts: DataFrame) -> DataFrame:
@@ -77,35 +81,46 @@ def log_rows(alerts: DataFrame) -> DataFrame:
         "topic", "event_seq")
 
 
+BATCH_METRICS = ("n_messages bigint, n_valid bigint, n_invalid bigint, n_transactions bigint, n_alerts bigint, "
+                 "first_seq bigint, last_seq bigint")
+
+
+def batch_metrics(tx_topic: str, alerts_topic: str) -> list[Column]:
+    """What a delivery report tells of a micro-batch, observed while its rows pass."""
+    valid = F.col("is_valid")
+    return [F.count(F.lit(1)).alias("n_messages"), F.count_if(valid).alias("n_valid"), F.count_if(~valid).alias("n_invalid"),
+            F.count_if(valid & (F.col("topic") == tx_topic)).alias("n_transactions"),
+            F.count_if(valid & (F.col("topic") == alerts_topic)).alias("n_alerts"),
+            F.min("event_seq").alias("first_seq"), F.max("event_seq").alias("last_seq")]
+
+
 class ConsumerSink:
-    """``foreachBatch`` target writing quarantine, current state, alerts and logs."""
+    """``foreachBatch`` target writing quarantine, current state, alerts, logs and delivery reports."""
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 16,
-                 tx_topic: str = "transactions", alerts_topic: str = "fraud_alerts",
-                 order: list[str] = ORDER_ARRIVAL):
-        self.spark, self.root, self.order = spark, root.rstrip("/"), order
+    def __init__(self, spark: SparkSession, root: str, tx_topic: str = "transactions", alerts_topic: str = "fraud_alerts"):
+        self.spark, self.root = spark, root.rstrip("/")
         self.tx_topic, self.alerts_topic = tx_topic, alerts_topic
-        self.transactions = UpsertTable(spark, f"{self.root}/transactions", "id", STATE_SCHEMA, buckets)
-        self.alerts = UpsertTable(spark, f"{self.root}/fraud_alerts", "id", ALERT_SCHEMA, buckets)
+        self.transactions = UpsertTable(spark, f"{self.root}/transactions", "id", STATE_SCHEMA, ORDER, PRESENCE)
+        self.alerts = UpsertTable(spark, f"{self.root}/fraud_alerts", "id", ALERT_SCHEMA, ORDER, PRESENCE)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         checked = validate(batch).persist()
         events = None
         try:
-            (checked.filter(~F.col("is_valid"))
+            seen = Observation()
+            (checked.observe(seen, *batch_metrics(self.tx_topic, self.alerts_topic)).filter(~F.col("is_valid"))
              .select("topic", "key", "value", "reason", F.lit(batch_id).cast("bigint").alias("batch_id"))
              .write.mode("overwrite").parquet(f"{self.root}/quarantine/batch={batch_id}"))
             # parsed once, used by both topic handlers
             events = parse(checked.filter(F.col("is_valid"))).persist()
             tx = events.filter(F.col("topic") == self.tx_topic)
-            self.transactions.apply(changes_fold(tx, self.order), batch_id)
-            alerts = events.filter(F.col("topic") == self.alerts_topic).withColumns({
-                "flagged_at": F.current_timestamp(), "flagged_at__present": F.lit(True)})
-            alert_fields = [f for f in EVENT_FIELDS if f != "id"] + ["flagged_at"]
-            alert_fold = fold(alerts, "id", alert_fields, self.order, {f: f"{f}__present" for f in alert_fields})
-            self.alerts.apply(alert_fold, batch_id)
+            self.transactions.apply(self.transactions.fold(tx), batch_id)
+            alerts = events.filter(F.col("topic") == self.alerts_topic).withColumn("flagged_at", F.current_timestamp())
+            self.alerts.apply(self.alerts.fold(alerts), batch_id)
             (log_rows(alerts).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
              .write.mode("overwrite").parquet(f"{self.root}/logs/batch={batch_id}"))
+            # the report comes last: a batch that has one is done
+            write_text(self.spark, f"{self.root}/metrics/batch={batch_id}.json", json.dumps({"batch_id": batch_id, **seen.get}))
         finally:
             if events is not None:
                 events.unpersist()
@@ -127,6 +142,14 @@ class ConsumerSink:
                                   "batch_id bigint, batch int")
 
 
+    def metrics(self) -> DataFrame:
+        """One delivery report a finished micro-batch."""
+        schema = f"batch_id bigint, {BATCH_METRICS}"
+        if not path_exists(self.spark, f"{self.root}/metrics"):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).json(f"{self.root}/metrics/batch=*.json")
+
+
 def start(spark: SparkSession, source: DataFrame, sink: ConsumerSink, checkpoint: str,
           trigger: dict | None = None):
     """Start the consumer query (default trigger: every 10 seconds)."""

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import random
 
 from pyspark.sql import functions as F
 
@@ -56,7 +57,7 @@ def test_bad_timestamp_does_not_fail_the_batch(spark):
 
 def test_sink_dispatch_quarantine_and_replay(spark):
     msgs = _messages(spark)
-    sink = consumer.ConsumerSink(spark, session.work_path(spark, "test-sink"), buckets=4)
+    sink = consumer.ConsumerSink(spark, session.work_path(spark, "test-sink"))
     sink(msgs, 0)
     state = _state(sink)
     assert state == {"1": (99.0, "failed"), "6": (None, None)}
@@ -75,9 +76,9 @@ def test_every_delivered_alert_is_logged_once(spark):
     ev = json.dumps({"id": "5", "customer_id": "c", "merchant_id": "m", "amount": 7.5, "currency_code": "EUR",
                      "fraud_score": 0.95})
     rows = [_msg(1, "fraud_alerts", ev, 1), _msg(2, "fraud_alerts", ev, 2)]
-    whole = consumer.ConsumerSink(spark, session.work_path(spark, "test-relog"), buckets=4)
+    whole = consumer.ConsumerSink(spark, session.work_path(spark, "test-relog"))
     whole(spark.createDataFrame(rows, consumer.MESSAGE_SCHEMA), 0)
-    apart = consumer.ConsumerSink(spark, session.work_path(spark, "test-relog"), buckets=4)
+    apart = consumer.ConsumerSink(spark, session.work_path(spark, "test-relog"))
     for i, r in enumerate(rows + rows[1:]):
         apart(spark.createDataFrame([r], consumer.MESSAGE_SCHEMA), min(i, 1))
     for sink in (whole, apart):
@@ -104,7 +105,7 @@ def test_stream_batches_equivalent(spark):
             root = session.work_path(spark, f"test-stream-{batches}")
             per_slice = replay.write_slices(msgs, f"{root}/source", batches, 2)
             assert spark.read.parquet(f"{root}/source").count() == msgs.count()
-            sink = consumer.ConsumerSink(spark, f"{root}/sink", buckets=4)
+            sink = consumer.ConsumerSink(spark, f"{root}/sink")
             q = consumer.start(spark, consumer.file_source(spark, f"{root}/source", per_slice), sink, f"{root}/ckpt",
                                {"availableNow": True})
             q.awaitTermination()
@@ -112,6 +113,41 @@ def test_stream_batches_equivalent(spark):
             assert prog["batch_id"] is not None and prog["num_input_rows"] is not None
             assert sink.transactions.read().count() == len(want)
             assert _state(sink) == want, batches
+            reports = sink.metrics().collect()
+            assert sum(r.n_messages for r in reports) == msgs.count() and sum(r.n_invalid for r in reports) == sink.quarantine().count()
+            assert sum(r.n_alerts for r in reports) == sink.logs().count()
+
+
+def test_order_of_arrival_decides_nothing(spark):
+    """The same messages in batches of any order end in the same table (more cuts: test_upsert)."""
+    rng, batches = random.Random(3), 3
+    for msgs, want in ((_messages(spark), {"1": (99.0, "failed"), "6": (None, None)}),
+                       (_late_and_null(spark), {"1": (1.0, "failed"), None: (1.0, "b"), "7": (1.0, "x"), "6": (1.0, None)})):
+        rows = msgs.collect()
+        rng.shuffle(rows)
+        sink = consumer.ConsumerSink(spark, session.work_path(spark, "test-arrival"))
+        for b in range(batches):
+            sink(spark.createDataFrame(rows[b::batches], consumer.MESSAGE_SCHEMA), b)
+        assert _state(sink) == want
+        sink(spark.createDataFrame(rows[:2], consumer.MESSAGE_SCHEMA), batches)  # delivered again, in a new batch
+        assert _state(sink) == want
+
+
+def test_one_json_parse_a_message(spark):
+    plan = consumer.parse(consumer.validate(_messages(spark)).filter("is_valid"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson") + plan.count("try_parse_json") + plan.count("parse_json") == 1, plan
+    assert "from_json" not in plan and "json_object_keys" not in plan
+
+
+def test_repeated_keys_and_odd_values(spark):
+    base = '"customer_id": "c", "merchant_id": "m", "currency_code": "EUR"'
+    texts = ['{"id": "1", "amount": 1, "amount": 2.5, %s}' % base, '{"id": 7, "amount": "3.25", %s}' % base,
+             '{"id": "3", "amount": {"x": 1}, %s}' % base, '{"id": null, "amount": null, %s}' % base, "null", "", None, '"x"', "{}"]
+    msgs = spark.createDataFrame([_msg(i, "transactions", t, i) for i, t in enumerate(texts)], consumer.MESSAGE_SCHEMA)
+    checked = consumer.validate(msgs)
+    assert [r.reason for r in checked.orderBy("event_seq").collect()] == [None] * 4 + ["malformed"] * 4 + ["missing_keys"]
+    got = [(r.id, r.amount, r.amount__present, r.status__present) for r in consumer.parse(checked.filter("is_valid")).orderBy("event_seq").collect()]
+    assert got == [("1", 2.5, True, False), ("7", 3.25, True, False), ("3", None, True, False), (None, None, True, False)]
 
 
 def test_offsets_of_timestamps_are_honoured(spark):

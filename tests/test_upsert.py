@@ -1,6 +1,7 @@
 """Field-level upsert: patch semantics, merge, bucketed table, replay."""
 
 import datetime as dt
+import random
 
 import pytest
 
@@ -30,16 +31,62 @@ def test_fold_absent_keeps_and_null_overwrites(spark):
     ])
     got = {r.id: (r.a, r.b) for r in U.flatten(_fold(ch), "id", FIELDS).collect()}
     assert got == {1: (None, "y"), 2: (None, "z")}
-    folded = {r.id: r.a for r in _fold(ch).collect()}
-    assert folded[1] is not None and folded[1]["v"] is None      # present NULL
+    folded = {r.id: r.r_a for r in _fold(ch).collect()}
+    assert folded[1] is not None and folded[1]["a"] is None      # present NULL
     assert folded[2] is None                                      # never present
 
 
 def test_merge_patch_and_ops(spark):
-    state = spark.createDataFrame([(1, "old_a", "old_b"), (3, "k", "k")], SCHEMA)
-    patch = _fold(_changes(spark, [(1, 5, "new_a", True, None, False), (2, 5, "n", True, "n", True)]))
-    got = {r.id: (r.a, r.b, r.op) for r in U.merge(state, patch, "id", FIELDS, with_op=True).collect()}
-    assert got == {1: ("new_a", "old_b", "update"), 2: ("n", "n", "insert"), 3: ("k", "k", "keep")}
+    state = _fold(_changes(spark, [(1, 1, "old_a", True, "old_b", True), (3, 9, "k", True, "k", True)]))
+    patch = _fold(_changes(spark, [(1, 5, "new_a", True, None, False), (2, 5, "n", True, "n", True), (3, 8, "late", True, "late", True)]))
+    want = {1: ("new_a", "old_b", "update"), 2: ("n", "n", "insert"), 3: ("k", "k", "update")}
+    got = U.flatten(U.merge(state, patch, "id", with_op=True), "id", [*FIELDS, "op"])
+    assert {r.id: (r.a, r.b, r.op) for r in got.collect()} == want
+    swapped = U.flatten(U.merge(patch, state, "id"), "id", FIELDS)       # the order of merging decides nothing
+    assert {r.id: (r.a, r.b) for r in swapped.collect()} == {k: v[:2] for k, v in want.items()}
+
+
+def _table(spark, name):
+    return U.UpsertTable(spark, session.work_path(spark, name), "id", SCHEMA, "ts int", {"a": "a__p", "b": "b__p"})
+
+
+def test_any_cut_and_any_order_of_batches_give_the_same_table(spark):
+    rng = random.Random(5)
+    # equal orders within a key too: they are settled by their values
+    rows = [(rng.choice([None, 0, 0, 0, 1, 2, 3]), rng.randrange(12), f"a{rng.randrange(9)}", rng.random() < .6,
+             None if rng.random() < .2 else f"b{rng.randrange(9)}", rng.random() < .5) for _ in range(120)]
+    want = None
+    for n_batches in (1, 3, 7):
+        rng.shuffle(rows)
+        table = _table(spark, "test-any-cut")
+        parts = [rows[i::n_batches] for i in range(n_batches)]
+        for b, part in enumerate(parts):
+            table.apply(table.fold(_changes(spark, part)), b)
+        table.apply(table.fold(_changes(spark, parts[0])), n_batches)   # delivered once more
+        got = sorted(map(tuple, table.read().select("id", *FIELDS).collect()), key=str)
+        want = want or got
+        assert got == want and len(got) == 5
+
+
+def test_layers_stay_few_and_vacuum_keeps_the_state(spark):
+    table = _table(spark, "test-layers")
+    for b in range(9):
+        table.apply(table.fold(_changes(spark, [(b, b, "x", True, "y", True), (0, b, f"v{b}", True, None, False)])), b)
+        assert len(table.layers.layers()) <= 4
+    before = sorted(map(tuple, table.read().collect()))
+    assert dict((r[0], r[1]) for r in before)[0] == "v8" and len(before) == 9
+    assert table.layers.vacuum() and sorted(map(tuple, table.read().collect())) == before
+    table.apply(table.fold(_changes(spark, [(0, 8, "v8", True, None, False), (8, 8, "x", True, "y", True)])), 8)  # a replay
+    assert sorted(map(tuple, table.read().collect())) == before
+
+
+def test_changed_rows_of_a_batch(spark):
+    table = _table(spark, "test-changed")
+    table.apply(table.fold(_changes(spark, [(1, 1, "a", True, "b", True), (2, 1, "c", True, None, True), (None, 1, "n", True, "n", True)])), 0)
+    patch = table.fold(_changes(spark, [(1, 2, "A", True, None, False), (3, 2, "d", True, "d", True), (2, 0, "late", True, None, False),
+                                        (None, 2, "N", True, None, False)]))
+    got = {r["id"]: (tuple(r["old"]) if r["old"] else None, tuple(r["new"])) for r in table.changed(patch, 1).collect()}
+    assert got == {1: (("a", "b"), ("A", "b")), 3: (None, ("d", "d")), 2: (("c", None), ("c", None)), None: (("n", "n"), ("N", "n"))}
 
 
 def test_table_batches_equal_single_fold_and_replay_is_idempotent(spark):
@@ -47,7 +94,7 @@ def test_table_batches_equal_single_fold_and_replay_is_idempotent(spark):
     ch = _changes(spark, rows)
     expected = sorted(tuple(r) for r in U.flatten(_fold(ch), "id", FIELDS).collect())
     for n_batches in (1, 3, 7):
-        table = U.UpsertTable(spark, session.work_path(spark, "test-upsert"), "id", SCHEMA, buckets=4)
+        table = _table(spark, "test-upsert")
         step = 30 // n_batches + 1
         for b in range(n_batches):
             part = ch.filter((F.col("ts") >= b * step) & (F.col("ts") < (b + 1) * step))
@@ -62,7 +109,7 @@ def test_table_batches_equal_single_fold_and_replay_is_idempotent(spark):
 
 
 def test_a_null_key_is_one_row_over_batches(spark):
-    table = U.UpsertTable(spark, session.work_path(spark, "test-null"), "id", SCHEMA, buckets=4)
+    table = _table(spark, "test-null")
     for b in range(3):
         table.apply(_fold(_changes(spark, [(None, b, f"a{b}", True, None, False), (1, b, "x", True, "y", True)])), b)
     assert sorted(map(tuple, table.read().select("id", *FIELDS).collect()), key=str) == [(1, "x", "y"), (None, "a2", None)]
@@ -70,14 +117,14 @@ def test_a_null_key_is_one_row_over_batches(spark):
 
 def test_unreadable_manifest_is_an_error(spark):
     root = session.work_path(spark, "test-broken")
-    spark.range(1).selectExpr("'x' as text").write.text(f"{root}/manifest/batch=0")
-    table = U.UpsertTable(spark, root, "id", SCHEMA)
+    session.write_text(spark, f"{root}/manifest/batch=0.json", "x")
+    table = U.UpsertTable(spark, root, "id", SCHEMA, "ts int")
     with pytest.raises(Exception):  # noqa: B017  whichever error the reader gives, it is not an empty table
         table.read().count()
 
 
 def test_empty_table_reads_empty(spark):
-    table = U.UpsertTable(spark, session.work_path(spark, "test-empty"), "id", SCHEMA)
+    table = _table(spark, "test-empty")
     assert table.read().count() == 0
 
 
