@@ -43,6 +43,22 @@ def daily_volume_by_status(transactions: DataFrame, as_of=None, days: int = 7) -
             .orderBy(F.col("day").desc(), F.col("status").asc()))
 
 
+def daily_volume_pruned(fact: DataFrame, dim_time: DataFrame, newest, days: int = 7) -> DataFrame:
+    """``daily_volume_by_status`` over a stored fact with a folder a day.
+
+    The days come from the filtered ``dim_time``; the join prunes the fact's folders while the
+    query runs.  ``newest``: the newest day there is (from the folder names); the exact end of the
+    window is read from that day alone.
+    """
+    last = F.lit(newest).cast("date")
+    now = fact.filter(F.col("date_key") == last).select(F.max("created_at")).scalar()
+    wanted = dim_time.filter(F.col("date_key") >= F.date_sub(last, days)).select(F.col("date_key").alias("day"))
+    t = fact.join(wanted, fact["date_key"] == wanted["day"]).filter(F.col("created_at") >= now - F.make_dt_interval(F.lit(days)))
+    return (t.groupBy("day", "status")
+            .agg(F.count(F.lit(1)).alias("nb_transactions"), A.money_sum("amount").alias("total_amount"))
+            .orderBy(F.col("day").desc(), F.col("status").asc()))
+
+
 def _merchant_volume(transactions: DataFrame) -> DataFrame:
     """Successful volume per merchant id: aggregate before any join."""
     return (transactions.filter(F.col("status") == "success")

@@ -17,7 +17,7 @@ from paylake import session
 from paylake.functions import rules as R
 from paylake.operators import reports, star
 from paylake.sources import fixtures as fx
-from paylake.sources import lake, reference
+from paylake.sources import commits, lake, reference
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -165,7 +165,9 @@ def q_rule_fraud_score(spark, d):
 
 # --- data quality -------------------------------------------------------------------
 
+from paylake.operators import audit  # noqa: E402
 from paylake.operators import features as FE  # noqa: E402
+from paylake.operators import incremental as IN  # noqa: E402
 from paylake.operators import metrics as M  # noqa: E402
 from paylake.operators import model as ML  # noqa: E402
 from paylake.operators import quality as Q  # noqa: E402
@@ -316,6 +318,98 @@ def q_cdc_messages(spark, d):
     return msgs.select("topic", "key", *[F.col("_ev")[f].alias(f) for f in consumer.EVENT_FIELDS])
 
 
+# --- lake reads ---------------------------------------------------------------------
+
+@register("daily_volume_pruned")
+def q_daily_volume_pruned(spark, d):
+    """The 7-day report over the stored star schema: only the days' folders are read."""
+    tables = _star(spark, d)
+    paths = lake.write_star({n: tables[n] for n in ("fact_transactions", "dim_time")}, session.work_path(spark, "star"))
+    fact, dim = (spark.read.schema(tables[n].schema).parquet(paths[n]) for n in ("fact_transactions", "dim_time"))
+    return reports.daily_volume_pruned(fact, dim, lake.newest_day(spark, paths["fact_transactions"]))
+
+
+@register("star_replaced")
+def q_star_replaced(spark, d):
+    """A stored star schema replaced by one of the newest year alone: rows and days of each table that has days."""
+    tx = _tx(spark, d)
+    root = session.work_path(spark, "star")
+    names = ("fact_transactions", "dim_time", "agg_daily_revenue")
+    for part in (tx, tx.filter(F.col("created_at") >= F.lit(STAR_SINCE).cast("timestamp_ntz"))):
+        tables = star.build(part, fx.customers(spark, d), fx.merchants(spark, d))
+        paths = lake.write_star({n: tables[n] for n in names}, root)
+    back = [spark.read.schema(tables[n].schema).parquet(paths[n]).agg(
+        F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("n_rows"), F.countDistinct("date_key").alias("n_days")) for n in names]
+    return back[0].unionByName(back[1]).unionByName(back[2])
+
+
+STAR_SINCE = "1998-01-01 00:00:00"
+#: Buckets of the stored tables that join by transaction id; alike on both sides.
+ID_BUCKETS = 16
+
+
+@register("refunds_to_reconcile_bucketed")
+def q_refunds_bucketed(spark, d):
+    """Refunds against transactions, both stored in buckets of the transaction id: the join shuffles nothing."""
+    root = session.work_path(spark, "bucketed")
+    names = [f"{n}_{root.rsplit('/', 1)[1]}" for n in ("refunds", "transactions")]
+    refunds = lake.write_bucketed(fx.refunds(spark, d), f"{root}/refunds", names[0], "transaction_id", ID_BUCKETS)
+    tx = lake.write_bucketed(_tx(spark, d), f"{root}/transactions", names[1], "id", ID_BUCKETS)
+    return reports.refunds_to_reconcile(refunds.hint("merge"), tx)  # sorted buckets against sorted buckets
+
+
+@register("snapshot_set")
+def q_snapshot_set(spark, d):
+    """Two exports of three tables under one pointer; rows and sums of the newest, read back together."""
+    found = commits.SnapshotSet(spark, session.work_path(spark, "snapshots"))
+    tx, cu, me = _tx(spark, d), fx.customers(spark, d), fx.merchants(spark, d)
+    found.export({"transactions": tx.filter("id % 2 = 0"), "customers": cu.filter("id % 2 = 0"), "merchants": me.filter("id % 2 = 0")})
+    found.export({"transactions": tx, "customers": cu, "merchants": me})
+    return star.row_counts(found.read())
+
+
+AUDIT_RUN = ("nightly_export", "2024-01-01 03:00:00")
+
+
+@register("audit_two_snapshots")
+def q_audit_two_snapshots(spark, d):
+    """Audit rows between two stored snapshots of the change log's state; the later one also lacks some ids."""
+    ch = _changes(spark, d)
+    before = F.col("_ts") < F.lit(CHANGE_CUTOFF).cast("timestamp_ntz")
+    root = session.work_path(spark, "audit")
+    for name, part in (("old", ch.filter(before)), ("new", ch.filter("id % 101 <> 0"))):
+        audit.write_fingerprinted(U.flatten(_fold_changes(part), "id", CHANGE_FIELDS), f"{root}/{name}", "id")
+    return audit.diff_snapshots(spark, f"{root}/old", f"{root}/new", "id", "transactions", *AUDIT_RUN)
+
+
+def _maintained(spark, d, batches: int = 3):
+    """The change log in batches, dealt without regard to time, kept as state and as aggregates of it."""
+    root = session.work_path(spark, "incremental")
+    state = U.UpsertTable(spark, f"{root}/state", "id", CHANGE_STATE, CHANGE_ORDER, CHANGE_PRESENCE)
+    aggs = {"daily": IN.daily_revenue(spark, f"{root}/daily"), "merchants": IN.merchant_performance(spark, f"{root}/merchants")}
+    ch = _changes(spark, d)
+    for b in range(batches):
+        folded = state.fold(ch.filter(F.pmod(F.col("_seq.p"), F.lit(batches)) == b))
+        rows = IN.signed(state.changed(folded, b)).persist()
+        for agg in aggs.values():
+            agg.apply(rows, b)
+        state.apply(folded, b)
+        rows.unpersist()
+    return aggs
+
+
+@register("agg_incremental")
+def q_agg_incremental(spark, d):
+    """Daily revenue kept up to date from three batches of changes."""
+    return IN.daily_revenue_view(_maintained(spark, d)["daily"])
+
+
+@register("agg_incremental_merchants")
+def q_agg_incremental_merchants(spark, d):
+    """Merchant performance kept up to date from three batches of changes."""
+    return IN.merchant_performance_view(_maintained(spark, d)["merchants"], star.dim_merchant(fx.merchants(spark, d)))
+
+
 # --- upsert -------------------------------------------------------------------------
 
 @register("upsert_current")
@@ -407,12 +501,12 @@ def q_features(spark, d):
 
 @register("label_balance")
 def q_label_balance(spark, d):
-    return FE.label_balance(FE.build(_tx(spark, d)))
+    return FE.label_balance(FE.build(_tx(spark, d), 0.0))  # the amount threshold plays no part
 
 
 @register("class_weights")
 def q_class_weights(spark, d):
-    return FE.class_weights(FE.build(_tx(spark, d)))
+    return FE.class_weights(FE.build(_tx(spark, d), 0.0))
 
 
 @register("score_defaults")

@@ -533,3 +533,35 @@ BODIES.update({
               WHEN score IS NOT NULL THEN 'LOW' END AS risk_level, count(*) AS n
   FROM scored GROUP BY 1""",
 })
+
+# --- stored tables ------------------------------------------------------------------------
+
+CTES["state"] = _fold()
+_STATE_FACT = """(SELECT CAST(created_at AS DATE) AS date_key, merchant_id AS merchant_key, currency_code, amount, status,
+             fraud_score > 0.7 AS is_fraud_suspected FROM state)"""
+
+BODIES.update({
+    "daily_volume_pruned": BODIES["daily_volume_by_status"],
+    "refunds_to_reconcile_bucketed": BODIES["refunds_to_reconcile"],
+    "snapshot_set": """
+  SELECT 'transactions' AS table_name, count(*) AS n_rows FROM transactions
+  UNION ALL SELECT 'customers', count(*) FROM customers UNION ALL SELECT 'merchants', count(*) FROM merchants""",
+    "audit_two_snapshots": f"""
+  SELECT 'transactions' AS table_name,
+         CASE WHEN o.id IS NULL THEN 'INSERT' WHEN n.id IS NULL THEN 'DELETE' ELSE 'UPDATE' END AS operation,
+         coalesce(n.id, o.id) AS record_id, 'nightly_export' AS changed_by, TIMESTAMP '2024-01-01 03:00:00' AS changed_at
+  FROM ({_fold(f"WHERE _ts < {_CUTOFF}")}) o FULL OUTER JOIN ({_fold("WHERE id % 101 <> 0")}) n ON o.id = n.id
+  WHERE o.id IS NULL OR n.id IS NULL OR
+        ({', '.join('o.' + c for c in _CHANGE_COLS)}) IS DISTINCT FROM ({', '.join('n.' + c for c in _CHANGE_COLS)})""",
+    "agg_incremental": AGG_DAILY.replace("FROM fact", f"FROM {_STATE_FACT} _s"),
+    "agg_incremental_merchants": AGG_MERCHANT.replace("FROM fact f", f"FROM {_STATE_FACT} f"),
+})
+BODIES["star_replaced"] = """
+  SELECT 'fact_transactions' AS table_name, count(*) AS n_rows, count(DISTINCT CAST(created_at AS DATE)) AS n_days
+  FROM transactions WHERE created_at >= TIMESTAMP '1998-01-01 00:00:00'
+  UNION ALL
+  SELECT 'dim_time', count(DISTINCT CAST(created_at AS DATE)), count(DISTINCT CAST(created_at AS DATE))
+  FROM transactions WHERE created_at >= TIMESTAMP '1998-01-01 00:00:00'
+  UNION ALL
+  SELECT 'agg_daily_revenue', count(DISTINCT (CAST(created_at AS DATE), currency_code)), count(DISTINCT CAST(created_at AS DATE))
+  FROM transactions WHERE created_at >= TIMESTAMP '1998-01-01 00:00:00'"""

@@ -1,6 +1,6 @@
 """Lake readers and writers.
 
-* ``read_table`` - Parquet scan with an explicit schema (never inferred).
+* ``read_table`` - scan with an explicit schema (never inferred).
 * ``read_day_slice`` / ``read_range`` - time slices written as ranges so the
   predicate reaches the Parquet scan (``DATE(col) = d`` would block it).
 * ``read_since`` - high-water-mark read, tie-safe on ``(created_at, id)``.
@@ -13,11 +13,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from paylake.session import path_exists
-from pyspark.sql.types import StructType
+from paylake.session import children, path_exists
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | str | None = None,
@@ -75,7 +77,7 @@ def read_since(df: DataFrame, mark_ts, mark_id, until=None, lookback_seconds: in
     if lookback_seconds:
         cond = ts > m_ts - F.make_dt_interval(secs=F.lit(lookback_seconds))
     else:
-        cond = (ts > m_ts) | ((ts == m_ts) & (key > F.lit(mark_id)))
+        cond = (ts > m_ts) | ((ts == m_ts) & (key.isNotNull() if mark_id is None else key > F.lit(mark_id)))
     out = df.filter(cond)
     if until is not None:
         out = out.filter(ts <= _ts(until))
@@ -109,25 +111,30 @@ class Poller:
         return self.spark.read.parquet(f"{self.root}/mark").orderBy(F.col("seq").desc()).first()
 
     def poll(self, df: DataFrame, until=None) -> DataFrame:
-        """Deliver the next increment; returns its rows as written."""
+        """Deliver the next increment; returns its rows as written.  Ids may be of any type; a NULL id is the smallest."""
         m = self.mark()
         new = df if m is None else read_since(df, m["ts"], m["id"], None, self.lookback, self.ts_col, self.id_col)
         if until is not None:
             new = new.filter(F.col(self.ts_col) <= _ts(until))
         if m is not None and self.lookback:
             since = F.lit(m["ts"]) - F.make_dt_interval(secs=F.lit(self.lookback))
-            known = self.delivered().filter(F.col(self.ts_col) > since).select(self.id_col)
-            new = new.join(known, self.id_col, "left_anti").select(*df.columns)
+            known = self.delivered().filter(F.col(self.ts_col) > since)
+            known = known.select(F.col(self.id_col).alias("_id"), F.col(self.ts_col).alias("_ts"))
+            # a row without an id is known by its time
+            same = F.col(self.id_col).eqNullSafe(F.col("_id")) & (F.col("_id").isNotNull() | (F.col(self.ts_col) == F.col("_ts")))
+            new = new.join(known, same, "left_anti").select(*df.columns)
         seq = m["seq"] + 1 if m is not None else 1
         path = f"{self.root}/delivered/seq={seq}"
         new.write.mode("overwrite").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         top = next_mark(out, self.ts_col, self.id_col).first()
-        if m is not None and (top["ts"] is None or (top["ts"], top["id"]) < (m["ts"], m["id"])):
+        place = lambda r: (r["ts"], r["id"] is not None, r["id"])
+        if m is not None and (top["ts"] is None or place(top)[:2] < place(m)[:2] or place(top) < place(m)):
             top = m
         if top["ts"] is not None:
-            (self.spark.createDataFrame([(seq, top["ts"], top["id"])], "seq bigint, ts timestamp_ntz, id bigint")
-             .write.mode("append").parquet(f"{self.root}/mark"))
+            types = {c: df.schema[c].dataType for c in (self.ts_col, self.id_col)}
+            schema = StructType([StructField("seq", LongType()), StructField("ts", types[self.ts_col]), StructField("id", types[self.id_col])])
+            self.spark.createDataFrame([(seq, top["ts"], top["id"])], schema).write.mode("append").parquet(f"{self.root}/mark")
         return out
 
     def delivered(self) -> DataFrame:
@@ -150,32 +157,37 @@ def export_run(df: DataFrame, path: str, run_date: str, fmt: str = "parquet") ->
     df.write.mode("overwrite").format(fmt).save(f"{path}/year={y}/month={m}/day={d}")
 
 
+#: Bytes of input (by the plan's estimate, which is far too high above joins) a writer of day folders takes, and most writers.
+WRITER_BYTES, MAX_WRITERS = 128 << 20, 1 << 14
+
+
+def dealt_by_day(df: DataFrame, day: Column) -> DataFrame:
+    """Rows in runs of days: a task writes few days, one after another, and a large or hot day
+    is split over several by the rows' hash.  The count of tasks is explicit, as AQE would put a
+    small table into one writer that opens every folder by itself."""
+    spark = df.sparkSession
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism,
+            min(-(-size // WRITER_BYTES), MAX_WRITERS))
+    return df.repartitionByRange(n, day, F.xxhash64(*df.columns)).sortWithinPartitions(day)
+
+
 def export_partition(df: DataFrame, path: str, start=None, end=None, col: str = "created_at",
                      fmt: str = "parquet") -> bool:
     """Export ``[start, end)`` (or everything) to ``path/year=/month=/day=``.
 
-    Rows are range-partitioned by day first so a day is written by one task
-    (or a few, when it is large) instead of every task opening a file for it.  Dynamic overwrite
-    replaces only the days present in the slice; an empty slice writes nothing.
-    Returns whether anything was written.
+    Dynamic overwrite replaces only the days present in the slice; an empty slice writes no row
+    (counted while writing).  Returns whether anything was written.
     """
     part = df if start is None else read_range(df, start, end, col)
-    if part.isEmpty():
-        return False
-    spark = df.sparkSession
-    out = with_date_partitions(part, col)
-    # Range-partition on (day, row hash) with an explicit task count: each task
-    # writes a sorted run of days (one open file at a time), and a large or hot
-    # day is split across several tasks by the hash.  The explicit count keeps
-    # AQE from coalescing a small export into a single writer task.
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    (out.repartitionByRange(n, F.to_date(col), F.xxhash64(*part.columns))
-        .sortWithinPartitions("year", "month", "day")
+    seen = Observation()
+    out = with_date_partitions(part.observe(seen, F.count(F.lit(1)).alias("n")), col)
+    (dealt_by_day(out, F.to_date(col))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("year", "month", "day")
         .format(fmt).save(path))
-    return True
+    return seen.get["n"] > 0
 
 
 def read_partitions(spark: SparkSession, path: str, start_day: str | None = None,
@@ -220,14 +232,23 @@ def read_snapshot(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{root}/data/version={_pointer(spark, root)['version']}")
 
 
-def insert_if_absent(existing: DataFrame, incoming: DataFrame, key: str | list[str]) -> DataFrame:
-    """``existing`` plus the incoming rows whose key is new (first row per key wins).
+def insert_if_absent(existing: DataFrame, incoming: DataFrame, key: str | list[str],
+                     order: list[str] | None = None) -> DataFrame:
+    """``existing`` plus the incoming rows whose key is new; of several the first in ``order`` wins.
 
-    Existing rows are never changed.  ``dropDuplicates`` and ``left_anti`` are
-    both hash-partitioned on the key; nothing is collected.
+    ``order`` names columns of ``incoming`` (default: all its columns), so the winner does not
+    depend on the partitioning.  Existing rows are never changed; a NULL key is one key.  Both
+    steps are partitioned on the key; nothing is collected.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    new = incoming.dropDuplicates(keys).join(existing.select(*keys), keys, "left_anti")
+    rank = F.struct(*(order or []), *incoming.columns)
+    new = incoming.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(
+        F.min_by(F.struct(*incoming.columns), rank).alias("_row"))
+    old = existing.select(*[F.col(k).alias(f"_e{i}") for i, k in enumerate(keys)])
+    same = F.lit(True)
+    for i in range(len(keys)):
+        same = same & F.col(f"_k{i}").eqNullSafe(F.col(f"_e{i}"))
+    new = new.join(old, same, "left_anti").select("_row.*")
     return existing.unionByName(new.select(*existing.columns))
 
 
@@ -244,19 +265,56 @@ def write_table(df: DataFrame, path: str, sort_by: list | None = None, small: bo
         out = out.repartition(1)  # a stage of its own: what makes the rows stays parallel
         if sort_by:
             out = out.sortWithinPartitions(*sort_by)
-    out.write.mode("overwrite").format(fmt).save(path)
+    out.write.mode("overwrite").option("partitionOverwriteMode", "static").format(fmt).save(path)
+
+
+def write_clustered(df: DataFrame, path: str, by: list[str], descending: tuple[str, ...] = (), group_bytes: int = 16 << 20) -> None:
+    """Create or replace a table stored in the order of ``by`` (``ORDER BY`` inside CREATE TABLE AS).
+
+    Rows are range-partitioned and sorted, so that files and row groups hold narrow ranges and a
+    range predicate skips the others by their statistics.  ``group_bytes``: size of a row group.
+    """
+    order = [F.col(c).desc_nulls_last() if c in descending else F.col(c).asc_nulls_last() for c in by]
+    (df.repartitionByRange(*order).sortWithinPartitions(*order)
+     .write.mode("overwrite").option("partitionOverwriteMode", "static").option("parquet.block.size", group_bytes).parquet(path))
+
+
+#: The ORDER BY in which the pre-aggregates are stored (descending columns marked).
+STAR_ORDER = {"agg_daily_revenue": (["date_key"], ("date_key",)), "agg_merchant_performance": (["total_volume"], ("total_volume",)),
+              "agg_fraud_by_country": (["fraud_rate_pct"], ("fraud_rate_pct",))}
 
 
 def write_star(tables: dict[str, DataFrame], root: str) -> dict[str, str]:
-    """Materialise the star schema; dimensions and aggregates small, the fact partitioned by date."""
+    """Create or replace the star schema: the fact in a folder a day, the aggregates in their order.
+
+    Replacing is static: days that the new fact lacks are gone, whatever the session's overwrite mode.
+    """
     paths = {}
     for name, df in tables.items():
         path = f"{root.rstrip('/')}/{name}"
         if name == "fact_transactions":
-            # days in runs, a large day over several tasks: not a file for every task and day
-            (df.repartitionByRange("date_key", F.xxhash64(*df.columns)).sortWithinPartitions("date_key")
-             .write.mode("overwrite").partitionBy("date_key").parquet(path))
+            (dealt_by_day(df, F.col("date_key")).write.mode("overwrite").option("partitionOverwriteMode", "static")
+             .partitionBy("date_key").parquet(path))
+        elif name in STAR_ORDER:
+            write_clustered(df, path, *STAR_ORDER[name])
         else:
             write_table(df, path)
         paths[name] = path
     return paths
+
+
+def newest_day(spark: SparkSession, path: str, col: str = "date_key") -> str | None:
+    """The newest value of a day partition, from the folder names alone."""
+    days = [n.split("=", 1)[1] for n in children(spark, path) if re.fullmatch(rf"{col}=\d{{4}}-\d{{2}}-\d{{2}}", n)]
+    return max(days, default=None)
+
+
+def write_bucketed(df: DataFrame, path: str, table: str, key: str, buckets: int) -> DataFrame:
+    """Store a table bucketed and sorted by ``key`` and read it back through the catalog.
+
+    Tables bucketed alike join on the key without a shuffle.  The catalog entry belongs to the
+    session; the files stay below ``path``.
+    """
+    (df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", path)
+     .format("parquet").saveAsTable(table))
+    return df.sparkSession.table(table)
