@@ -121,6 +121,12 @@ RECORD_TYPES = {
 }
 
 
+def read_records(spark, path: str) -> DataFrame:
+    """Scoring records from JSON lines; a field that a record lacks is NULL there."""
+    schema = ", ".join(f"{c} {t}" for c, t in RECORD_TYPES.items())
+    return spark.read.schema(schema).json(path)
+
+
 def records_frame(spark, records: list[dict]) -> DataFrame:
     """A DataFrame from scoring records given as dicts (one or many).
 

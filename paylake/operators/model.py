@@ -6,15 +6,14 @@
 * The forest is ``pyspark.ml``'s ``RandomForestClassifier`` with balanced
   class weights (``weightCol``).  ``min_samples_split`` has no Spark
   counterpart; ``minInstancesPerNode`` carries ``min_samples_leaf``.
-* Registry: ``<root>/<name>/version=N`` holds a ``PipelineModel``; the
-  ``runs`` table (append-only Parquet) records parameters, metrics and the
-  ``is_high_amount`` threshold fitted on the training data.  "latest" is the
-  highest version in ``runs``.
+* Registry: a ``PipelineModel`` in a folder of its own and a numbered commit with
+  the parameters, metrics, importances and the ``is_high_amount`` threshold fitted on
+  the training data.  "latest" is the newest commit.
 """
 
 from __future__ import annotations
 
-import json
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -28,7 +27,7 @@ from paylake.functions import domains as D
 from paylake.functions import rules as R
 from paylake.operators import features as FE
 from paylake.operators import metrics as M
-from paylake.session import path_exists
+from paylake.sources.commits import CommitLog
 
 LABEL = D.LABEL_COLUMN
 
@@ -51,7 +50,7 @@ def stratified_cuts(df: DataFrame, shares: list[float], seed: int, id_col: str =
     falls (one row in 2^16) is ranked.  What reaches the driver is a row per class and share.
     """
     rows = df.select(F.col(label).cast("int").alias("y"), F.col(id_col).cast("bigint").alias("id"), _hash(id_col, seed).alias("h"))
-    rows = rows.withColumn("bucket", F.shiftright("h", 60 - CUT_BITS))
+    rows = rows.withColumn("bucket", F.shiftright("h", 60 - CUT_BITS)).checkpoint()  # every row is hashed once
     hist = rows.groupBy("y", "bucket").agg(F.count(F.lit(1)).alias("c"))
     upto = F.sum("c").over(Window.partitionBy("y").orderBy("bucket"))
     total = F.sum("c").over(Window.partitionBy("y"))
@@ -205,46 +204,61 @@ def feature_importance(model: PipelineModel, spark: SparkSession) -> DataFrame:
 
 # --- registry ------------------------------------------------------------------
 
+def run_parameters(params: dict | None = None, test_fraction: float = D.TEST_FRACTION, seed: int = D.SPLIT_SEED) -> dict:
+    """The parameters a run was made with, defaults included."""
+    return {**D.FOREST_PARAMS, **(params or {}), "test_size": test_fraction, "random_state": seed}
+
+
 class Registry:
-    """Model folders plus an append-only ``runs`` table under a shared folder."""
+    """Fitted models with the record of their run, numbered by a commit log for each name.
+
+    A record holds the parameters, the metrics (with the mean and deviation of the folds where
+    they were cross-validated), the feature importances (``fi_<feature>``) and the
+    ``is_high_amount`` threshold.  Model files are written aside first; the commit gives the
+    version, so two savers get different ones and a version that shows is whole.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def _runs(self) -> DataFrame | None:
-        if not path_exists(self.spark, f"{self.root}/runs"):
-            return None
-        return self.spark.read.parquet(f"{self.root}/runs")
+    def _log(self, name: str) -> CommitLog:
+        return CommitLog(self.spark, f"{self.root}/{name}/_versions")
 
     def latest(self, name: str) -> dict | None:
-        runs = self._runs()
-        if runs is None:
-            return None
-        row = (runs.filter(F.col("name") == name).orderBy(F.col("version").desc()).limit(1).collect())
-        return row[0].asDict() if row else None
-
-    def save(self, name: str, model: PipelineModel, threshold: float, params: dict,
-             metrics: dict[str, float]) -> int:
-        prev = self.latest(name)
-        version = (prev["version"] + 1) if prev else 1
-        model.write().overwrite().save(f"{self.root}/{name}/version={version}")
-        row = [(name, version, float(threshold), json.dumps(params, sort_keys=True),
-                json.dumps(metrics, sort_keys=True))]
-        (self.spark.createDataFrame(row, "name string, version int, threshold double, params string, "
-                                         "metrics string")
-         .write.mode("append").parquet(f"{self.root}/runs"))
-        return version
+        found = self._log(name).newest()
+        return {"version": found[0], **found[1]} if found else None
+
+    def save(self, name: str, model: PipelineModel, threshold: float, params: dict, metrics: dict[str, float],
+             cross_validation: dict[str, float] | None = None) -> int:
+        folder = f"{name}/{uuid.uuid4().hex}"
+        model.write().save(f"{self.root}/{folder}")
+        importance = {f"fi_{c}": float(v) for c, v in zip(D.FEATURE_COLUMNS, model.stages[-1].featureImportances.toArray())}
+        return self._log(name).commit({"name": name, "folder": folder, "threshold": float(threshold), "params": params,
+                                       "metrics": {**metrics, **(cross_validation or {}), **importance}})
+
+    def runs(self, name: str) -> DataFrame:
+        """``(version, kind, name, value)``: parameters, metrics and importances of every run, as text."""
+        rows = [(v, kind, k, str(x)) for v in self._log(name).numbers() for kind in ("params", "metrics")
+                for k, x in sorted(self._log(name).get(v)[kind].items())]
+        return self.spark.createDataFrame(rows, "version int, kind string, name string, value string")
 
     def load(self, name: str, version: int | str = "latest") -> tuple[PipelineModel, float]:
-        if version == "latest":
-            info = self.latest(name)
-            if info is None:
-                raise FileNotFoundError(f"no model named {name}")
-        else:
-            runs = self._runs()
-            info = runs.filter((F.col("name") == name) & (F.col("version") == int(version))).first().asDict()
-        model = PipelineModel.load(f"{self.root}/{name}/version={info['version']}")
-        return model, info["threshold"]
+        info = self.latest(name) if version == "latest" else self._log(name).get(int(version))
+        if info is None:
+            raise FileNotFoundError(f"no model named {name}")
+        return PipelineModel.load(f"{self.root}/{info['folder']}"), info["threshold"]
+
+
+def score_records(scored: DataFrame) -> DataFrame:
+    """Scores as the records a caller gets; a record without id is called ``unknown``."""
+    return scored.select(F.coalesce(F.col("id").cast("string"), F.lit("unknown")).alias("transaction_id"), "amount",
+                         F.col("currency_code").alias("currency"), F.round("fraud_proba", 4).alias("fraud_proba"),
+                         (F.col("fraud_proba") > D.DECISION_THRESHOLD).alias("is_fraud"), R.risk_level("fraud_proba").alias("risk_level"))
+
+
+def write_score_records(scored: DataFrame, path: str) -> None:
+    """Score records as JSON lines, NULL fields written out."""
+    score_records(scored).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
 def score(model: PipelineModel, records: DataFrame, threshold: float, as_of=None) -> DataFrame:

@@ -28,6 +28,23 @@ UNIQUE_KEYS = [("customers", "id"), ("customers", "email_hash"), ("merchants", "
                ("transactions", "id"), ("refunds", "id")]
 
 
+# The same for the reference tables and the audit log: NOT NULL, keys, lengths, enums.
+REFERENCE_NOT_NULL = {
+    "currencies": ["code", "name"],
+    "countries": ["code", "name"],
+    "payment_methods": ["id", "name"],
+    "audit_logs": ["id", "table_name", "operation", "record_id", "changed_at"],
+}
+REFERENCE_KEYS = [("currencies", "code"), ("countries", "code"), ("payment_methods", "id"), ("payment_methods", "name"),
+                  ("audit_logs", "id")]
+REFERENCE_LENGTHS = {
+    "currencies": {"code": 3, "name": 50},
+    "countries": {"code": 2, "name": 100, "region": 50},
+    "payment_methods": {"name": 50},
+    "audit_logs": {"table_name": 50, "operation": 6, "changed_by": 50},
+}
+
+
 def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
@@ -105,6 +122,24 @@ def value_checks(tables: dict[str, DataFrame]) -> DataFrame:
     return _union(parts)
 
 
+def reference_checks(tables: dict[str, DataFrame]) -> DataFrame:
+    """Every rule of the reference tables and the audit log: ``(table_name, rule, n_checked, n_violations)``.
+
+    One aggregation a table for its value rules and one a key; a table without rows checks nothing.
+    """
+    parts = [not_null(tables, REFERENCE_NOT_NULL).select(
+        "table_name", F.concat(F.lit("not_null:"), F.col("column_name")).alias("rule"), "n_checked", "n_violations")]
+    for t, lengths in REFERENCE_LENGTHS.items():
+        rules = {f"length:{c}": (_len_over(c, n), F.count(c)) for c, n in lengths.items()}
+        if t == "audit_logs":
+            rules["enum:operation"] = (F.count_if(~F.col("operation").isin(D.AUDIT_OPERATIONS)), F.count("operation"))
+        parts.append(_long(tables[t], t, {k: v[0] for k, v in rules.items()}, {k: v[1] for k, v in rules.items()}, "rule"))
+    parts.append(unique_keys(tables, REFERENCE_KEYS).select(
+        "table_name", F.concat(F.lit("unique:"), F.col("key_column")).alias("rule"), F.col("n_rows").alias("n_checked"),
+        F.col("n_duplicated_keys").alias("n_violations")))
+    return _union(parts)
+
+
 def unique_keys(tables: dict[str, DataFrame], keys=UNIQUE_KEYS) -> DataFrame:
     """Per key: rows, distinct non-null keys, keys that occur more than once.
 

@@ -17,7 +17,7 @@ from paylake import session
 from paylake.functions import rules as R
 from paylake.operators import reports, star
 from paylake.sources import fixtures as fx
-from paylake.sources import commits, lake, reference
+from paylake.sources import commits, lake, reference, schemas
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -153,6 +153,22 @@ def q_amount_p95(spark, d):
     return tx.agg(FE.amount_threshold(tx).alias("amount_p95"), F.count(F.lit(1)).alias("n_rows"))
 
 
+@register("amount_quantile_sketch")
+def q_amount_quantile_sketch(spark, d):
+    """95th percentile per merchant from sketches a day and merchant in two batches; is its true rank within the bound?"""
+    tx = _tx(spark, d).select("id", "merchant_id", "amount", F.to_date("created_at").alias("day"))
+    table = QS.SketchTable(spark, session.work_path(spark, "sketches"), "day date, merchant_id bigint")
+    for b in range(2):
+        table.apply(tx.filter(F.col("id") % 2 == b), b)
+    found = QS.quantile(QS.merged(table.read(), ["merchant_id"]), 0.95)
+    x = tx.join(found, "merchant_id")
+    ranks = x.groupBy("merchant_id").agg(F.count(F.lit(1)).alias("n_rows"), F.max("n_values").alias("n_values"),
+                                         (F.count_if(F.col("amount") < F.col("estimate")) / F.count(F.lit(1))).alias("below"),
+                                         (F.count_if(F.col("amount") <= F.col("estimate")) / F.count(F.lit(1))).alias("upto"))
+    return ranks.select("merchant_id", "n_rows", "n_values",
+                        ((F.col("below") <= 0.95 + QS.RANK_ERROR) & (F.col("upto") >= 0.95 - QS.RANK_ERROR)).alias("within_bound"))
+
+
 @register("rule_fraud_score")
 def q_rule_fraud_score(spark, d):
     """Rule score without noise next to the stored score."""
@@ -171,9 +187,10 @@ from paylake.operators import incremental as IN  # noqa: E402
 from paylake.operators import metrics as M  # noqa: E402
 from paylake.operators import model as ML  # noqa: E402
 from paylake.operators import quality as Q  # noqa: E402
+from paylake.operators import quantiles as QS  # noqa: E402
 from paylake.operators import upsert as U  # noqa: E402
 from paylake.plans import replay  # noqa: E402
-from paylake.streaming import cdc, consumer  # noqa: E402
+from paylake.streaming import cdc, consumer, dedup  # noqa: E402
 
 
 def _tables(spark, d) -> dict[str, DataFrame]:
@@ -206,6 +223,36 @@ def q_dq_foreign_keys(spark, d):
     return Q.foreign_keys(_tables(spark, d), _refs(spark))
 
 
+@register("dq_reference_tables")
+def q_dq_reference_tables(spark, d):
+    """All rules of the reference tables, as the data fills them, and of an audit log of the change log."""
+    log = audit_rows(spark, d).select(F.monotonically_increasing_id().alias("id"), "*", F.lit(AUDIT_RUN[0]).alias("changed_by"),
+                                      F.lit(AUDIT_RUN[1]).cast("timestamp_ntz").alias("changed_at"))
+    return Q.reference_checks({**fx.reference_tables(spark, d), "audit_logs": log})
+
+
+@register("raw_table_counts")
+def q_raw_table_counts(spark, d):
+    """Rows of the raw tables, stored with their declared types and read with them."""
+    tables = _stored(spark, d)
+    return star.row_counts(tables)
+
+
+@register("typed_transactions")
+def q_typed_transactions(spark, d):
+    return _stored(spark, d, ("transactions",))["transactions"]
+
+
+def _stored(spark, d, names=("transactions", "customers", "merchants")) -> dict[str, DataFrame]:
+    root = session.work_path(spark, "raw")
+    out = {}
+    for n in names:
+        kind = schemas.schema(n, "bigint")
+        lake.write_table(lake.conform(_tables(spark, d)[n], kind), f"{root}/{n}")
+        out[n] = lake.read_table(spark, f"{root}/{n}", kind)
+    return out
+
+
 CHANGE_FIELDS = ["customer_id", "merchant_id", "currency_code", "amount", "status", "device_type",
                  "fraud_score", "created_at"]
 CHANGE_STATE = ("id bigint, customer_id bigint, merchant_id bigint, currency_code string, amount double, "
@@ -224,7 +271,7 @@ def _fold_changes(ch: DataFrame) -> DataFrame:
 
 
 @register("audit_snapshot_diff")
-def q_audit_snapshot_diff(spark, d):
+def audit_rows(spark, d):
     """Audit rows between the change-log state at the cutoff and now."""
     ch = _changes(spark, d)
     before = F.col("_ts") < F.lit(CHANGE_CUTOFF).cast("timestamp_ntz")
@@ -299,6 +346,26 @@ def q_insert_if_absent(spark, d):
     return lake.insert_if_absent(existing, incoming.unionByName(incoming), "id")
 
 
+@register("insert_if_absent_email")
+def q_insert_if_absent_email(spark, d):
+    """A later load with new ids, each customer twice: the e-mail hash decides, the smaller id comes in."""
+    c = fx.customers(spark, d)
+    existing = c.filter(F.col("created_at") < F.lit(INSERT_CUTOFF).cast("timestamp_ntz"))
+    later = [c.withColumn("id", F.col("id") + F.lit(n)) for n in (2_000_000_000, 1_000_000_000)]
+    return lake.insert_if_absent(existing, later[0].unionByName(later[1]), "email_hash", ["id"])
+
+
+@register("seed_reference_tables")
+def q_seed_reference_tables(spark, d):
+    """The fixed rows inserted where the data has not brought in their key; keys the data uses keep their rows."""
+    kept = fx.reference_tables(spark, d)
+    out = []
+    for name, key in (("currencies", "code"), ("countries", "code"), ("payment_methods", "id")):
+        full = lake.insert_if_absent(kept[name].filter(F.col(key).cast("string") != F.lit("EUR")), _refs(spark)[name], key)
+        out.append(full.select(F.lit(name).alias("table_name"), F.col(key).cast("string").alias("code"), "name"))
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
 CDC_MARK = ("2000-01-01 00:00:00", 0)
 
 
@@ -484,6 +551,40 @@ def q_alert_log(spark, d):
     return _event_stream(spark, d).logs().select("type", "transaction_id", "fraud_score", "amount", "currency")
 
 
+@register("batch_metrics")
+def q_batch_metrics(spark, d):
+    """The delivery reports of a stream's micro-batches, added up."""
+    m = _event_stream(spark, d).metrics()
+    return m.agg(*[F.sum(c).alias(c) for c in ("n_messages", "n_valid", "n_invalid", "n_transactions", "n_alerts")])
+
+
+@register("stream_dedup")
+def q_stream_dedup(spark, d):
+    """The event stream with every tenth message sent again in the next slice: each comes out once.
+
+    Slices follow event time, one run of the stream each; state holds ten days of keys.
+    """
+    msgs = fx.tx_events(spark, d).persist()
+    root = session.work_path(spark, "stream/dedup")
+    cuts = [None, *msgs.select(F.percentile_approx(F.col("event_ts").cast("timestamp"), [0.33, 0.67], 10000)).first()[0], None]
+    for b in range(3):
+        at, part = F.col("event_ts").cast("timestamp"), msgs
+        again = msgs.filter("event_seq % 10 = 0")
+        if cuts[b] is not None:
+            part, again = part.filter(at >= F.lit(cuts[b])), again.filter(at < F.lit(cuts[b]))
+        else:
+            again = again.limit(0)
+        if cuts[b + 1] is not None:
+            part = part.filter(at < F.lit(cuts[b + 1]))
+        part.unionByName(again).repartition(8, "key").write.mode("append").parquet(f"{root}/source")
+        source = consumer.file_source(spark, f"{root}/source", 64)
+        q = (dedup.deduplicated(source, ["key"], "10 days").writeStream.format("parquet").option("path", f"{root}/out")
+             .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
+        q.awaitTermination()
+    msgs.unpersist()
+    return spark.read.schema(source.schema).parquet(f"{root}/out").select("key", "topic")
+
+
 @register("stream_upsert")
 def q_stream_upsert(spark, d):
     """The change log streamed in three micro-batches into the current-state table."""
@@ -547,6 +648,18 @@ def q_risk_bands(spark, d):
     return M.risk_band_counts(_rule_scored(spark, d).withColumnRenamed("score", "fraud_proba"))
 
 
+@register("score_records_json")
+def q_score_records_json(spark, d):
+    """Records in from JSON lines, scored by the rule, records out as JSON lines, read back."""
+    root = session.work_path(spark, "records")
+    tx = _tx(spark, d).withColumn("id", F.col("id").cast("string"))
+    tx.drop("merchant_id", "customer_id", "payment_method_id").write.json(f"{root}/in")
+    rule = R.fraud_score("amount", "device_type", "ip_country", F.hour("created_at"), "status")
+    ML.write_score_records(FE.read_records(spark, f"{root}/in").withColumn("fraud_proba", rule), f"{root}/out")
+    return spark.read.schema("transaction_id string, amount double, currency string, fraud_proba double, is_fraud boolean, "
+                             "risk_level string").json(f"{root}/out")
+
+
 # --- trained model (rows-only checks) -----------------------------------------------
 
 def _trained(spark, d):
@@ -604,7 +717,7 @@ def q_model_roundtrip(spark, d):
     model, thr, test_pred = _trained(spark, d)
     reg = ML.Registry(spark, session.work_path(spark, "models"))
     ev = {r["metric"]: r["value"] for r in ML.evaluate(test_pred).collect()}   # 5 rows
-    reg.save("fraud-detector", model, thr, {}, ev)
+    reg.save("fraud-detector", model, thr, ML.run_parameters(), ev)
     loaded, thr2 = reg.load("fraud-detector", "latest")
     old = ML.score(model, tx, thr).select("id", F.struct("fraud_proba", "is_fraud", "risk_level").alias("a"))
     new = ML.score(loaded, tx, thr2).select("id", F.struct("fraud_proba", "is_fraud", "risk_level").alias("b"))

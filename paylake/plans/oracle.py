@@ -565,3 +565,69 @@ BODIES["star_replaced"] = """
   UNION ALL
   SELECT 'agg_daily_revenue', count(DISTINCT (CAST(created_at AS DATE), currency_code)), count(DISTINCT CAST(created_at AS DATE))
   FROM transactions WHERE created_at >= TIMESTAMP '1998-01-01 00:00:00'"""
+
+CTES["ref_currencies"] = f"""
+  SELECT code, name FROM (SELECT DISTINCT currency_code AS code FROM transactions WHERE currency_code IS NOT NULL) _u
+  LEFT JOIN (VALUES ('USD','US Dollar'), ('EUR','Euro'), ('GBP','British Pound'), ('JPY','Japanese Yen'), ('CHF','Swiss Franc')) v(code, name) USING (code)"""
+CTES["ref_countries_used"] = f"""
+  SELECT code, name, region FROM (SELECT DISTINCT ip_country AS code FROM transactions WHERE ip_country IS NOT NULL) _u
+  LEFT JOIN (VALUES {_COUNTRY_VALUES}) v(code, name, region) USING (code)"""
+CTES["ref_methods"] = """
+  SELECT CAST(id AS SMALLINT) AS id, name FROM (SELECT DISTINCT payment_method_id AS id FROM transactions) _u
+  LEFT JOIN (VALUES (1, 'card'), (2, 'bank_transfer'), (3, 'wallet')) v(id, name) USING (id)"""
+CTES["audit_logs"] = f"""
+  SELECT row_number() OVER () AS id, *, 'nightly_export' AS changed_by, TIMESTAMP '2024-01-01 03:00:00' AS changed_at
+  FROM ({BODIES['audit_snapshot_diff']}) _a"""
+
+_REF = {"currencies": "ref_currencies", "countries": "ref_countries_used", "payment_methods": "ref_methods", "audit_logs": "audit_logs"}
+_REF_NOT_NULL = {"currencies": ["code", "name"], "countries": ["code", "name"], "payment_methods": ["id", "name"],
+                 "audit_logs": ["id", "table_name", "operation", "record_id", "changed_at"]}
+_REF_LENGTHS = {"currencies": {"code": 3, "name": 50}, "countries": {"code": 2, "name": 100, "region": 50}, "payment_methods": {"name": 50},
+                "audit_logs": {"table_name": 50, "operation": 6, "changed_by": 50}}
+_REF_KEYS = [("currencies", "code"), ("countries", "code"), ("payment_methods", "id"), ("payment_methods", "name"), ("audit_logs", "id")]
+
+
+def _ref_rule(table: str, rule: str, checked: str, violated: str) -> str:
+    return (f"SELECT '{table}' AS table_name, '{rule}' AS rule, count({checked}) AS n_checked, "
+            f"CAST(count_if({violated}) AS BIGINT) AS n_violations FROM {_REF[table]}")
+
+
+BODIES.update({
+    "dq_reference_tables": " UNION ALL ".join(
+        [_ref_rule(t, f"not_null:{c}", "*", f"{c} IS NULL") for t, cs in _REF_NOT_NULL.items() for c in cs]
+        + [_ref_rule(t, f"length:{c}", c, f"length({c}) > {n}") for t, cs in _REF_LENGTHS.items() for c, n in cs.items()]
+        + [_ref_rule("audit_logs", "enum:operation", "operation", "operation NOT IN ('INSERT','UPDATE','DELETE')")]
+        + [f"SELECT '{t}' AS table_name, 'unique:{k}' AS rule, CAST(coalesce(sum(c), 0) AS BIGINT) AS n_checked, "
+           f"CAST(count_if(c > 1) AS BIGINT) AS n_violations FROM (SELECT {k}, count(*) AS c FROM {_REF[t]} WHERE {k} IS NOT NULL GROUP BY {k}) _k"
+           for t, k in _REF_KEYS]),
+    "raw_table_counts": BODIES["snapshot_set"],
+    "typed_transactions": """
+  SELECT id, customer_id, merchant_id, payment_method_id, currency_code, CAST(amount AS DECIMAL(12,2)) AS amount, status, device_type,
+         ip_country, CAST(fraud_score AS DECIMAL(5,4)) AS fraud_score, created_at FROM transactions""",
+    "insert_if_absent_email": """
+  SELECT * FROM customers WHERE created_at < TIMESTAMP '2023-07-01 00:00:00'
+  UNION ALL
+  SELECT id + 1000000000, email_hash, country_code, created_at, updated_at
+  FROM customers WHERE NOT (created_at < TIMESTAMP '2023-07-01 00:00:00')""",
+    "seed_reference_tables": f"""
+  SELECT 'currencies' AS table_name, code, name FROM ref_currencies WHERE code <> 'EUR'
+  UNION ALL SELECT 'currencies', code, name FROM (VALUES ('USD','US Dollar'), ('EUR','Euro'), ('GBP','British Pound'),
+    ('JPY','Japanese Yen'), ('CHF','Swiss Franc')) v(code, name) WHERE code NOT IN (SELECT code FROM ref_currencies WHERE code <> 'EUR')
+  UNION ALL SELECT 'countries', code, name FROM ref_countries_used
+  UNION ALL SELECT 'countries', code, name FROM (VALUES {_COUNTRY_VALUES}) v(code, name, region)
+    WHERE code NOT IN (SELECT code FROM ref_countries_used)
+  UNION ALL SELECT 'payment_methods', CAST(id AS VARCHAR), name FROM ref_methods
+  UNION ALL SELECT 'payment_methods', CAST(id AS VARCHAR), name FROM (VALUES (1, 'card'), (2, 'bank_transfer'), (3, 'wallet')) v(id, name)
+    WHERE id NOT IN (SELECT id FROM ref_methods)""",
+    "batch_metrics": """
+  SELECT count(*) AS n_messages, CAST(count_if(is_valid) AS BIGINT) AS n_valid, CAST(count_if(NOT is_valid) AS BIGINT) AS n_invalid,
+         CAST(count_if(is_valid AND topic = 'transactions') AS BIGINT) AS n_transactions,
+         CAST(count_if(is_valid AND topic = 'fraud_alerts') AS BIGINT) AS n_alerts FROM tx_events""",
+    "stream_dedup": "SELECT id AS key, topic FROM tx_events",
+    "amount_quantile_sketch": """
+  SELECT merchant_id, count(*) AS n_rows, count(amount) AS n_values, true AS within_bound FROM transactions GROUP BY merchant_id""",
+    "score_records_json": """
+  SELECT CAST(id AS VARCHAR) AS transaction_id, amount, currency_code AS currency, score AS fraud_proba, score > 0.5 AS is_fraud,
+         CASE WHEN score > 0.7 THEN 'HIGH' WHEN score > 0.4 THEN 'MEDIUM' WHEN score IS NOT NULL THEN 'LOW' END AS risk_level
+  FROM (SELECT *, """ + _RULE_SCORE + """ AS score FROM transactions) _s""",
+})

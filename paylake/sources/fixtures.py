@@ -203,3 +203,17 @@ def tx_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_type") == "error", F.col("_no_nulls")).otherwise(F.col("_with_nulls")).alias("value"),
         "event_ts", "event_seq",
     )
+
+
+def reference_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Reference tables as the data would fill them: every code that transactions use, named where it is known."""
+    from paylake.sources import reference
+    tx = transactions(spark, sf_dir)
+
+    def seen(column: str, key: str, known: DataFrame) -> DataFrame:
+        used = tx.select(F.col(column).alias(key)).filter(F.col(key).isNotNull()).distinct()
+        return used.join(F.broadcast(known), key, "left").select(*known.columns)
+
+    return {"currencies": seen("currency_code", "code", reference.currencies(spark)),
+            "countries": seen("ip_country", "code", reference.countries(spark)),
+            "payment_methods": seen("payment_method_id", "id", reference.payment_methods(spark))}

@@ -46,6 +46,17 @@ def read_jdbc_table(spark: SparkSession, url: str, table: str, partition_column:
     return spark.read.format("jdbc").options(**opts).load()
 
 
+def conform(df: DataFrame, schema: StructType) -> DataFrame:
+    """Columns cast to their declared types, in the declared order; NaN becomes NULL, a value that does not fit is an error."""
+    out = []
+    for f in schema.fields:
+        c = F.col(f.name)
+        if df.schema[f.name].dataType.typeName() in ("double", "float"):
+            c = F.when(~F.isnan(c), c)
+        out.append(c.cast(f.dataType).alias(f.name))
+    return df.select(*out)
+
+
 def _ts(x) -> Column:
     if isinstance(x, Column):
         return x
