@@ -10,8 +10,10 @@ settle the whole 60-bit hash, so a hot source costs no more than any other: each
 step is one map-side combined sum and one narrow filter.
 
 Defined results: a null text has size 0; a null source is a source of its own and
-sorts last; a null doc_id hashes as the empty string; rows with equal doc_id share
-their hash and are taken or left together; sources without words have target 0.
+sorts last; a row is hashed by its id (null: none) and its text, so rows without an id or
+with an id that repeats are dealt one by one, and only rows equal in both are taken or left
+together; sources without words have target 0; an empty table gives no row; columns of the
+input named like a result are replaced.  Very long texts are only counted and hashed.
 """
 
 from __future__ import annotations
@@ -30,9 +32,10 @@ BUDGET, MOST = 1.5, 2
 BITS, LEVELS = 12, 5
 
 
-def hash60(doc_id: Column) -> Column:
-    """The first 60 bits of the SHA-256 of the id's decimal text."""
-    return F.conv(F.substring(F.sha2(F.coalesce(doc_id.cast("string"), F.lit("")), 256), 1, 15), 16, 10).cast("long")
+def hash60(doc_id: Column, text: Column) -> Column:
+    """The first 60 bits of the SHA-256 of the id's decimal text, a colon and the text."""
+    row = F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), F.coalesce(text.cast("string"), F.lit("")))
+    return F.conv(F.substring(F.sha2(row, 256), 1, 15), 16, 10).cast("long")
 
 
 def targets(sizes: DataFrame, budget: float = BUDGET, most: int = MOST, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
@@ -89,7 +92,7 @@ def _thresholds(rows: DataFrame, goals: DataFrame) -> DataFrame:
 
 def plan(docs: DataFrame, budget: float = BUDGET, most: int = MOST, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     """(source, source_size, target, whole, limit): copies of every document, and below which hash one more."""
-    rows = materialize(docs.select("source", hash60(F.col("doc_id")).alias("h"), n_words_column(F.col("text")).alias("size")),
+    rows = materialize(docs.select("source", hash60(F.col("doc_id"), F.col("text")).alias("h"), n_words_column(F.col("text")).alias("size")),
                        "mix-rows")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     goals = materialize(targets(sizes, budget, most, weights).withColumn(
@@ -109,7 +112,7 @@ def copies(docs: DataFrame, **kw) -> DataFrame:
     """
     p = plan(docs, **kw)
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), docs["source"].alias("_source"),
-                       hash60(docs["doc_id"]).alias("_h"), n_words_column(docs["text"]).alias("size"))
+                       hash60(docs["doc_id"], docs["text"]).alias("_h"), n_words_column(docs["text"]).alias("size"))
     out = rows.join(p, rows["_source"].eqNullSafe(p["source"]), "left")
     more = F.when(F.col("_h") < F.col("limit"), 1).otherwise(0)
     new = {"size": F.col("size"), "source_size": F.col("source_size"), "target": F.col("target"),

@@ -9,7 +9,7 @@ with the probability of the sets' Jaccard similarity.  BANDS bands of ROWS coord
 make candidates: a pair at similarity 0.8 shares a band but for 1 case in 100,000.
 
 Verification loses no candidate link and still makes no pairs within groups:
-  1. rows with equal sets are one class; only its representative goes on;
+  1. rows with equal sets are one class, known by a number; only one of its texts goes on;
   2. every member of a bucket is verified against the bucket's pivot, the first in one of
      PIVOTS orders, so that a large cluster is connected through several of them;
   3. members of a bucket that are connected by now need no comparison; the others are
@@ -22,8 +22,10 @@ Verification loses no candidate link and still makes no pairs within groups:
 Defined results: A-Z are lowered; a text shorter than a shingle is one shingle as a
 whole; empty and null texts have an empty set and stay alone; a null doc_id sorts
 first and is returned as null; repeated rows share a component and, having the same
-id, are all marked kept with it.  doc_id is taken as a document's identity: of rows
-that repeat an id with different texts, links are verified on the smallest text.
+id, are all marked kept with it.  Links are found between classes of texts, whatever ids
+their rows have: rows that share an id, or have none, but differ in text are compared like
+any others, and ids only name the components.  An empty table gives no row; very long texts
+are chunks of their own; only ``doc_id`` and ``text`` are read, so other columns may have any name.
 Shingles are 64-bit hashes of the words' hashes: two of one pair collide once in 10^13 pairs.
 """
 
@@ -34,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paylake.llm.common import (KEY_A, LOWER, chunks, keyed, lowered, materialize, mix, public_id, run_hashes,
+from paylake.llm.common import (KEY_A, LOWER, NULL_ID, chunks, keyed, lowered, materialize, mix, public_id, run_hashes,
                                 split_words, starts_inside, word_hashes)
 from paylake.llm.components import components
 
@@ -113,8 +115,8 @@ def _signatures(k: int):
             offsets[1:] = np.cumsum(size > 0) * BANDS
             arrays = pa.ListArray.from_arrays(pa.array(offsets), pa.array(bands[some].reshape(-1)))
             yield pa.RecordBatch.from_arrays(
-                [batch["id"], pa.array(size.astype(np.int64)), pa.array(sums[0]), pa.array(sums[1]), arrays],
-                names=["id", "n", "sa", "sb", "bands"])
+                [batch["id"], batch["rk"], pa.array(size.astype(np.int64)), pa.array(sums[0]), pa.array(sums[1]), arrays],
+                names=["id", "rk", "n", "sa", "sb", "bands"])
     return run
 
 
@@ -184,21 +186,21 @@ def _alike(similar: int):
     return 100 * F.col("both") >= similar * (F.col("size_a") + F.col("size_b") - F.col("both"))
 
 
-def near_duplicates(docs: DataFrame, k: int = SHINGLE, similar: int = SIMILAR) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept), a row per document."""
+def _labelled(docs: DataFrame, k: int, similar: int) -> DataFrame:
+    """(id, rk, n, label) per row; ``label``: the smallest (id, rk) in its component."""
     base = keyed(docs)
-    sig = materialize(base.mapInArrow(_signatures(k), "id long, n long, sa long, sb long, bands array<long>"), "nd-sig")
-    reps = materialize(sig.groupBy("sa", "sb").agg(F.min("id").alias("id"), F.first("n").alias("n"),
-                                                   F.first("bands").alias("bands")), "nd-reps")
+    sig = materialize(base.mapInArrow(_signatures(k), "id long, rk long, n long, sa long, sb long, bands array<long>"), "nd-sig")
+    # the class numbers are drawn once, in the write
+    reps = materialize(sig.groupBy("sa", "sb").agg(F.min(F.struct("id", "rk")).alias("label"), F.first("n").alias("n"),
+                                                   F.first("bands").alias("bands")).withColumn("id", F.monotonically_increasing_id()), "nd-reps")
     slots = reps.select("id", "n", F.posexplode("bands").alias("band", "bucket"))
     pivots = materialize(
         slots.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("id", F.col("band") % PIVOTS).alias("o"), F.col("id"))).alias("p"),
                                     F.count(F.lit(1)).alias("size"))
         .filter("size > 1").select("bucket", F.col("p.id").alias("pivot")), "nd-pivots")
     members = materialize(slots.join(pivots, "bucket"), "nd-members")
-    wanted = members.select("id").distinct()
-    texts = materialize(base.select("id", "text").join(wanted, "id", "left_semi")
-                        .groupBy("id").agg(F.min("text").alias("text")), "nd-texts")
+    wanted = reps.join(members.select("id").distinct(), "id", "left_semi").select(F.col("id").alias("cls"), "label.id", "label.rk")
+    texts = materialize(base.join(wanted, ["id", "rk"]).groupBy(F.col("cls").alias("id")).agg(F.min("text").alias("text")), "nd-texts")
     star = members.filter("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
     checked = materialize(verify(star, texts, k), "nd-checked")
     links = checked.filter(_alike(similar)).select("a", "b")
@@ -226,9 +228,27 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, similar: int = SIMILAR) -
     between = (further.filter(_alike(similar)).select("a", "b").join(one, "a", "left").join(two, "b", "left")
                .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).filter("a <> b").distinct())
     second = components(between).select(F.col("id").alias("component"), F.col("component").alias("whole"))
-    label = (reps.select("sa", "sb", "id").join(first, "id", "left").withColumn("component", F.coalesce("component", "id"))
-             .join(second, "component", "left"))
-    classes = materialize(label.select("sa", "sb", F.coalesce("whole", "component").alias("component")), "nd-classes")
-    out = sig.select("id", "n", "sa", "sb").join(classes, ["sa", "sb"])
-    return out.select(public_id().alias("doc_id"), F.col("n").alias("n_shingles"),
-                      public_id("component").alias("component_id"), (F.col("id") == F.col("component")).alias("kept"))
+    whole = (reps.select("sa", "sb", "id", "label").join(first, "id", "left").withColumn("component", F.coalesce("component", "id"))
+             .join(second, "component", "left").withColumn("component", F.coalesce("whole", "component")))
+    classes = materialize(whole.select("sa", "sb", "label", "component"), "nd-classes")
+    # only components of several classes take their label from others
+    names = classes.groupBy("component").agg(F.min("label").alias("least"), F.count(F.lit(1)).alias("c")).filter("c > 1")
+    classes = classes.join(names.select("component", "least"), "component", "left").select(
+        "sa", "sb", F.coalesce("least", "label").alias("label"))
+    return sig.select("id", "rk", "n", "sa", "sb").join(classes, ["sa", "sb"]).select("id", "rk", "n", "label")
+
+
+def near_duplicates(docs: DataFrame, k: int = SHINGLE, similar: int = SIMILAR) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept), a row per document."""
+    out = _labelled(docs, k, similar)
+    return out.select(public_id().alias("doc_id"), F.col("n").alias("n_shingles"), public_id("label.id").alias("component_id"),
+                      (F.col("id") == F.col("label.id")).alias("kept"))
+
+
+def deduplicate(docs: DataFrame, k: int = SHINGLE, similar: int = SIMILAR) -> DataFrame:
+    """One row of each component, with all its columns: that of the smallest id, and of rows equal in id and text one."""
+    first = _labelled(docs, k, similar).filter(F.struct("id", "rk") == F.col("label")).select("id", "rk").distinct()
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.coalesce(docs["doc_id"].cast("long"), F.lit(NULL_ID)).alias("id"),
+                       F.xxhash64(docs["doc_id"].cast("long"), docs["text"]).alias("rk"))
+    kept = rows.join(first, ["id", "rk"], "left_semi")
+    return kept.groupBy("id", "rk").agg(F.min_by("_row", F.to_json("_row")).alias("_row")).select("_row.*")

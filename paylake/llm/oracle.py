@@ -34,8 +34,8 @@ _KINDS = [
      "length(regexp_extract(m, '{p}', 2)) >= 12", "secret"),
     ("access", "AKIA[A-Z0-9]+", "length(m) >= 18", "id"),
     ("hex", "[0-9a-f]+", "length(m) >= 16", "secret"),
-    ("ident", "[A-Z0-9]+", "length(m) BETWEEN 16 AND 32 AND regexp_matches(m, '[0-9]') AND regexp_matches(m, '[A-Z]')", "id"),
-    ("opaque", "[A-Za-z0-9+/]+", "length(m) BETWEEN 32 AND 64 AND regexp_matches(m, '[0-9]') AND regexp_matches(m, '[a-z]') AND regexp_matches(m, '[A-Z]')", "secret"),
+    ("ident", "[A-Z0-9]+", "length(m) >= 16 AND regexp_matches(m, '[0-9]') AND regexp_matches(m, '[A-Z]')", "id"),
+    ("opaque", "[A-Za-z0-9+/]+", "length(m) >= 32 AND regexp_matches(m, '[0-9]') AND regexp_matches(m, '[a-z]') AND regexp_matches(m, '[A-Z]')", "secret"),
     ("endpoint", "[a-z][a-z0-9+.-]{0,15}://[A-Za-z0-9._-]+(:[0-9]{1,5})?", "true", "endpoint"),
 ]
 
@@ -49,7 +49,7 @@ def _op6() -> str:
     FROM (SELECT doc_id, ms, gaps, unnest(generate_series(1, len(ms))) AS k FROM (
       SELECT doc_id, regexp_extract_all(t, '{p}') AS ms, string_split_regex(t, '{p}') AS gaps FROM d)))
   WHERE {cond.format(p=p) if '{p}' in cond else cond}""")
-    near = "EXISTS (SELECT 1 FROM parts o WHERE o.doc_id = p.doc_id AND o.role = '{}' AND abs(o.s - p.s) <= 256)"
+    near = "EXISTS (SELECT 1 FROM parts o WHERE o.doc_id = p.doc_id AND o.role = '{}' AND greatest(o.s, p.s) - least(o.e, p.e) BETWEEN 0 AND 256)"
     return f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 parts AS ({" UNION ALL ".join(found)}),
@@ -72,7 +72,7 @@ def mixing_ctes(docs: str = "documents") -> str:
     """CTEs up to ``taken`` (doc_id, size, source_size, target, copies) over a table of documents."""
     return rf"""
 d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS size,
-             ('0x' || substr(sha256(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h FROM {docs}),
+             ('0x' || substr(sha256(coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')), 1, 15))::BIGINT AS h FROM {docs}),
 s0 AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 s1 AS (SELECT *, [3.0::DOUBLE, 1.0, 2.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT] AS weight,
               source_size * 2.0::DOUBLE AS most FROM s0),
@@ -154,19 +154,17 @@ fit AS (SELECT page_id, host, path, max(struct_pack(k := length(suffix) + length
         FROM u LEFT JOIN rules ON (host = suffix OR ends_with(host, '.' || suffix)) AND starts_with(path, prefix) GROUP BY ALL),
 j AS (SELECT page_id, host, path, best.rule AS rule, best.seed AS seed,
              [x FOR x IN string_split(host, '.') IF x <> ''] AS labels,
-             [x FOR x IN string_split(path, '/') IF x <> '' AND NOT regexp_matches(x, '[0-9]')] AS parts FROM fit),
-t AS (SELECT DISTINCT page_id, coalesce(seed, '') = 'block' AS bad, tok FROM (
-  SELECT page_id, seed, unnest([CASE WHEN i = len(labels) THEN 'top:' WHEN i = len(labels) - 1 THEN 'domain:' ELSE 'sub:' END || labels[i]
-                                FOR i IN generate_series(1, len(labels))]) AS tok FROM j
-  UNION ALL SELECT page_id, seed, 'path:' || unnest(parts) FROM j)),
-combos AS (
-  SELECT page_id, bad, tok AS k FROM t
-  UNION ALL SELECT a.page_id, a.bad, a.tok || chr(10) || b.tok FROM t a JOIN t b ON a.page_id = b.page_id AND a.tok < b.tok
-  UNION ALL SELECT a.page_id, a.bad, a.tok || chr(10) || b.tok || chr(10) || c.tok FROM t a JOIN t b ON a.page_id = b.page_id AND a.tok < b.tok
-            JOIN t c ON a.page_id = c.page_id AND b.tok < c.tok),
-mined AS (SELECT k FROM combos GROUP BY k HAVING sum(bad::INT) >= ceil(0.005::DOUBLE * (SELECT count(*) FROM pages))
-          AND sum(bad::INT)::DOUBLE / count(*) >= 0.8),
-hit AS (SELECT DISTINCT page_id FROM combos JOIN mined USING (k))
+             [regexp_replace(x, '[0-9]+', '#', 'g') FOR x IN string_split(path, '/') IF x <> ''] AS parts FROM fit),
+t AS (SELECT page_id, seed, rule, list_sort(list_distinct(list_concat(
+        [CASE WHEN i = len(labels) THEN 'top:' WHEN i = len(labels) - 1 THEN 'domain:' ELSE 'sub:' END || labels[i] FOR i IN generate_series(1, len(labels))],
+        ['path:' || x FOR x IN parts]))) AS toks FROM j),
+lab AS (SELECT * FROM t WHERE seed IS NOT NULL),
+combos AS (SELECT rule, seed, [toks[i] FOR i IN generate_series(1, len(toks)) IF (m >> (i - 1)) & 1 = 1] AS k
+           FROM (SELECT *, unnest(generate_series(1, (1 << len(toks)) - 1)) AS m FROM lab)),
+each AS (SELECT k, rule, sum((seed = 'block')::INT) AS bad, count(*) AS n FROM combos GROUP BY k, rule),
+least_ AS (SELECT ceil(0.005::DOUBLE * count(*)) AS c FROM lab),
+mined AS (SELECT k FROM each, least_ GROUP BY k, c HAVING sum(bad) >= c AND sum(bad)::DOUBLE / sum(n) >= 0.8 AND sum((bad >= c)::INT) >= 2),
+hit AS (SELECT DISTINCT page_id FROM t JOIN mined ON list_has_all(t.toks, mined.k) WHERE seed IS NULL)
 SELECT page_id, host, path, rule, coalesce(seed, CASE WHEN hit.page_id IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
 FROM j LEFT JOIN hit USING (page_id)
 """

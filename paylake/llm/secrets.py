@@ -4,8 +4,8 @@ Strong findings stand alone: assignments to a secret's name, access keys with
 their prefix, and long hexadecimal runs.  Weak candidates (an identifier-like
 upper-case run, a mixed-character run as long as a secret, an endpoint) say little
 by themselves, so they are reported only when a complementary part lies within
-SCOPE characters of its end: an identifier next to a secret, or a secret next to an endpoint
-and an identifier.  Parts are joined as intervals: both sides carry the scope
+SCOPE characters of its end, apart from it (a run is no complement of itself or of what it
+holds): an identifier next to a secret, an endpoint next to both.  Parts are joined as intervals: both sides carry the scope
 cells they reach, the equi-join is on (row, cell), the distance is checked
 exactly, and it is a semi-join, so no pairs are made however many parts a scope holds.
 
@@ -14,7 +14,9 @@ pattern (and is first replaced by another of the same length where a text holds
 the text is split there, and lengths give code-point offsets.
 
 Defined results: a null or empty text has no finding (counts 0, digest of the empty
-string); rows equal in id and text get equal results; null ids are kept.
+string); rows equal in id and text get equal results; null ids are kept; an empty table gives
+no row; a very long text costs no more per character, however many matches it has; only the
+id and the text are read, so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -50,15 +52,40 @@ def _marked(text: Column, pattern: str) -> Column:
     return F.split(F.regexp_replace(text, pattern, f"{MARK}$0{MARK}"), MARK, -1)
 
 
+#: Pieces whose lengths are added up one by one; sums of such blocks are added up before them.
+STRIDE = 128
+
+
+def _let(value: Column, then) -> Column:
+    """``then(value)`` with the value worked out once, not again in every step of a lambda."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
 def _spans(parts: Column) -> Column:
-    """array<struct<s, e, m>>: start, end (exclusive, code points) and text of every match in a cut text."""
-    found = F.array().cast("array<struct<s:int,e:int,m:string>>")
-    zero = F.struct(F.lit(0).alias("at"), F.lit(0).alias("k"), found.alias("found"))
-    return F.when(F.size(parts) > 1, F.aggregate(parts, zero, lambda a, p: F.struct(
-        (a["at"] + F.length(p)).alias("at"), (a["k"] + 1).alias("k"),
-        F.when(a["k"] % 2 == 1, F.concat(a["found"], F.array(F.struct(
-            a["at"].alias("s"), (a["at"] + F.length(p)).alias("e"), p.alias("m"))))).otherwise(a["found"]).alias("found")),
-        lambda a: a["found"])).otherwise(found)
+    """array<struct<s, e, m>>: start, end (exclusive, code points) and text of every match in a cut text.
+
+    A piece starts after all lengths before it: whole blocks of STRIDE pieces, whose sums are
+    made first, and the pieces before it in its own block.
+    """
+    none = F.array().cast("array<struct<s:int,e:int,m:string>>")
+    add = lambda x: F.aggregate(x, F.lit(0), lambda a, v: a + v)
+    upto = lambda x, n: F.slice(x, 1, n)
+
+    def spans(p: Column) -> Column:
+        blocks = lambda n: F.transform(F.sequence(F.lit(0), F.floor((F.size(n) - 1) / STRIDE).cast("int")),
+                                       lambda b: add(F.slice(n, b * STRIDE + 1, F.lit(STRIDE))))
+        before = lambda c: F.transform(c, lambda _, b: add(upto(c, b)))
+
+        def start(n: Column, c: Column, i: Column) -> Column:
+            b = F.floor(i / STRIDE).cast("int")
+            return F.element_at(c, b + 1) + add(F.slice(n, b * STRIDE + 1, i % STRIDE))
+
+        places = F.sequence(F.lit(1), F.size(p) - 2, F.lit(2))  # every second piece is a match
+        return _let(F.transform(p, F.length), lambda n: _let(blocks(n), lambda c: _let(before(c), lambda at: F.transform(
+            places, lambda i: _let(start(n, at, i), lambda s: F.struct(
+                s.alias("s"), (s + F.element_at(n, i + 1)).alias("e"), F.element_at(p, i + 1).alias("m")))))))
+
+    return F.when(F.size(parts) > 1, _let(parts, spans)).otherwise(none)
 
 
 def _value_long_enough(m: Column) -> Column:
@@ -115,7 +142,7 @@ def linked(found: DataFrame) -> DataFrame:
         cut = left.withColumn("cell", F.explode(_cells(F.col("s"), F.col("e"), 0)))  # a long part lies in several cells
         return cut.join(
             right, (F.col("id") == F.col("r_id")) & (F.col("rk") == F.col("r_rk")) & (F.col("cell") == F.col("r_cell"))
-            & (gap <= SCOPE), "left_semi").drop("cell").dropDuplicates()
+            & (gap >= 0) & (gap <= SCOPE), "left_semi")  # parts that overlap are one.drop("cell").dropDuplicates()
 
     weak = parts.filter("weak")
     pairs_up = near(weak.filter("role = 'id'"), "secret").unionByName(near(weak.filter("role = 'secret'"), "id"))

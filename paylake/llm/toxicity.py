@@ -16,8 +16,11 @@ narrow pass over all documents.
 
 Defined results: a null or empty text has no evidence and gets the curve's value at
 zero; labels, language, source and id are not inputs of a score; rows whose label is null are
-not learned from; repeated rows get equal scores; without labelled rows of both classes
-every score is 0.
+not learned from, nor are labels of documents that are not there; repeated rows get equal
+scores; without labelled documents of both classes every score is 0, and with one of a class
+the share of toxic labels among them and PRIOR more (the curve needs a document of each class beside those counted);
+an empty table gives no row; very long texts are chunks of their own; columns of the input
+named like a result are replaced.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paylake.llm.common import LOWER_ALNUM, chunks, lowered, materialize, mix, split_words
@@ -37,8 +40,9 @@ MAX_DOCS = 20_000
 CELLS, CONTEXT, DISCOUNT = 1 << 21, 5, 3
 #: A document is called toxic from this score on.
 TOXIC_FROM = 0.3
-#: Steps of the logistic fit.
-STEPS = 50
+#: Steps of the logistic fit, and the ordinary documents without evidence that it counts besides the labelled ones:
+#: where few labels tell nothing, nothing is called toxic.
+STEPS, PRIOR = 50, 5
 
 
 def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -159,45 +163,59 @@ def _apply(rows: DataFrame, shared) -> DataFrame:
     return rows.mapInArrow(_measured(shared), f"_row {rows.schema['_row'].dataType.simpleString()}, ratio double")
 
 
+def _counted(rows: DataFrame):
+    """The tables of rows (text, toxic), broadcast."""
+    steps = (rows.select("text", "toxic").mapInArrow(_count, "u int, v int, t long, o long")
+             .groupBy("u", "v").agg(F.sum("t").alias("t"), F.sum("o").alias("o")))
+    steps = materialize(steps, "tox-steps")
+    after = _table(steps.groupBy("v").agg(F.sum("t").alias("t"), F.sum("o").alias("o")), "v", ["t", "o"])
+    before = _table(steps.groupBy("u").agg(F.sum("t").alias("t"), F.sum("o").alias("o"), F.sum(F.least("t", F.lit(DISCOUNT))).alias("dt"),
+                                           F.sum(F.least("o", F.lit(DISCOUNT))).alias("do")), "u", ["t", "o", "dt", "do"])
+    m = {}
+    for k in "to":
+        m |= {f"v_{k}": after[k], f"u_{k}": before[k], f"d_{k}": before[f"d{k}"]}
+    return rows.sparkSession.sparkContext.broadcast(_packed(m))
+
+
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, max_docs: int = MAX_DOCS) -> dict:
     """The models, from ``docs`` (doc_id, text) with ``labels`` (doc_id, toxic) where ``learn`` holds.
 
     Four fifths of the learned documents are counted, one fifth fits the curve.
     """
     known = labels.filter(learn & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    known = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")  # labels of documents that are there
     known = known.withColumn("o", F.xxhash64("doc_id", F.lit("toxicity")))
     seen = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}  # two rows
     if not (seen.get(0) and seen.get(1)):
         return {}
+    if min(seen[0], seen[1]) < 2:  # nothing left to fit the curve on
+        return {"rate": seen[1] / (seen[0] + seen[1] + PRIOR)}
     some = known.filter("toxic = 1").orderBy("o", "doc_id").limit(max_docs).unionByName(
         known.filter("toxic = 0").orderBy("o", "doc_id").limit(max_docs))
+    # a fifth by hash; where that leaves a class out on one side, its first document is for the curve (2 * max_docs rows are ranked)
+    each, hashed = Window.partitionBy("toxic"), F.pmod("o", F.lit(5)) == 0
+    chosen = F.count_if(hashed).over(each)
+    some = some.withColumn("curve", F.when((chosen > 0) & (chosen < F.count(F.lit(1)).over(each)), hashed).otherwise(
+        F.row_number().over(each.orderBy("o", "doc_id")) == 1))
     rows = materialize(docs.join(F.broadcast(some), "doc_id")  # at most 2 * max_docs rows of three numbers
-                       .select("text", F.col("toxic").cast("int").alias("toxic"), (F.pmod("o", F.lit(5)) == 0).alias("curve")), "tox-rows")
-    steps = (rows.filter("not curve").select("text", "toxic").mapInArrow(_count, "u int, v int, t long, o long")
-             .groupBy("u", "v").agg(F.sum("t").alias("t"), F.sum("o").alias("o")))
-    steps = materialize(steps, "tox-steps")
-    after = _table(steps.groupBy("v").agg(F.sum("t").alias("t"), F.sum("o").alias("o")), "v", ["t", "o"])
-    before = _table(steps.groupBy("u").agg(F.sum("t").alias("t"), F.sum("o").alias("o"), F.sum(F.least("t", F.lit(DISCOUNT))).alias("dt"),
-                                           F.sum(F.least("o", F.lit(DISCOUNT))).alias("do")), "u", ["t", "o", "dt", "do"])
-    m = {}
-    for k in "to":
-        m |= {f"v_{k}": after[k], f"u_{k}": before[k], f"d_{k}": before[f"d{k}"]}
-    shared = docs.sparkSession.sparkContext.broadcast(_packed(m))
+                       .select("text", F.col("toxic").cast("int").alias("toxic"), "curve"), "tox-rows")
+    shared = _counted(rows.filter("not curve"))
     curve = _apply(rows.filter("curve").select(F.col("toxic").alias("_row"), "text"), shared).toArrow()
     x, y = curve["ratio"].to_numpy(), curve["_row"].to_numpy()  # at most 2 * max_docs rows
     # where a class is larger than what is learned from it, its documents count for more
     share = {k: max(1.0, seen[k] / max_docs) for k in (0, 1)}
-    slope, shift = _logistic(x, y.astype(float), np.where(y == 1, share[1], share[0]))
+    weight = np.where(y == 1, share[1], share[0])
+    slope, shift = _logistic(np.append(x, 0.0), np.append(y.astype(float), 0.0), np.append(weight, float(PRIOR)))
     return {"tables": shared, "slope": slope, "shift": shift}
 
 
 def score(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
     """The documents with ``score`` (0 to 1) and ``predicted`` (0 or 1) appended."""
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), docs[text_col].cast("string").alias("text"))
-    if model:
+    if "tables" in model:
         evidence = F.col("ratio") * model["slope"] + model["shift"]
         out = _apply(rows, model["tables"]).select("_row", (1 / (1 + F.exp(-F.greatest(F.least(evidence, F.lit(60.0)), F.lit(-60.0))))).alias("score"))
     else:
-        out = rows.select("_row", F.lit(0.0).alias("score"))
+        out = rows.select("_row", F.lit(float(model.get("rate", 0.0))).alias("score"))
     return out.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns if c not in ("score", "predicted")],
                       "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))

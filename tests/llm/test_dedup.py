@@ -124,6 +124,19 @@ def test_near_duplicates_odd_rows(spark):
     assert near_dup.near_duplicates(frame(spark, [])).count() == 0
 
 
+def test_links_of_rows_without_or_with_repeated_ids(spark):
+    rng = np.random.default_rng(21)
+    a, b = random_text(rng, 60, 5000), random_text(rng, 60, 5000)
+    for i in (None, 1):
+        rows = [(i, a), (i, b), (5, b + " more"), (6, "something else altogether " * 3), (i, a), (i, "x y z " + a[:20])]
+        got = sorted(((r["doc_id"], r["n_shingles"]), r["component_id"], r["kept"]) for r in near_dup.near_duplicates(frame(spark, rows)).collect()
+                     if r["doc_id"] in (5, 6))
+        assert [(x[1], x[2]) for x in got] == [(i, False), (6, True)]
+        once = near_dup.deduplicate(frame(spark, rows))
+        assert once.columns == frame(spark, rows).columns
+        assert sorted(r["text"] for r in once.collect()) == sorted([a, b, rows[3][1], rows[5][1]])
+
+
 def test_sketch_agreement_estimates_similarity():
     rng = np.random.default_rng(5)
     a = rng.integers(0, 2**63, 400).astype(np.uint64)

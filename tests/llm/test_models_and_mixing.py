@@ -1,3 +1,4 @@
+import itertools
 import math
 import zlib
 from collections import Counter
@@ -117,18 +118,52 @@ def test_mined_rules_equal_brute_force(spark):
     rows = []
     for _ in range(400):
         t = sorted(set(rng.choice(list("abcdefg"), 4).tolist()))
-        bad = ("a" in t and "b" in t) or rng.random() < 0.05
-        rows.append((t, "block" if bad else "allow"))
-    got = {tuple(r["needed"]) for r in url_rules.mine(spark.createDataFrame(rows, "tokens array<string>, label string"),
-                                                     min_support=0.02, min_confidence=0.9).collect()}
-    sets = {frozenset(c) for t, _ in rows for k in (1, 2, 3) for c in __import__("itertools").combinations(t, k)}
-    good = set()
-    for s in sets:
-        n = sum(s <= set(t) for t, _ in rows)
-        b = sum(s <= set(t) and y == "block" for t, y in rows)
-        if b >= math.ceil(0.02 * len(rows)) and b / n >= 0.9:
-            good.add(s)
-    assert got == {tuple(sorted(s)) for s in good if not any(x < s for x in good)} and ("a", "b") in got
+        bad = ("a" in t and "b" in t) or rng.random() < 0.05 or ("e" in t and "f" in t)
+        rows.append((t, "block" if bad else "allow", "one" if "e" in t or rng.random() < 0.4 else "two"))
+    frame_ = spark.createDataFrame(rows, "tokens array<string>, label string, origin string")
+    for origins in (1, 2):
+        got = {tuple(r["needed"]) for r in url_rules.mine(frame_, min_support=0.02, min_confidence=0.9, min_origins=origins).collect()}
+        sets = {frozenset(c) for t, _, _ in rows for k in (1, 2, 3, 4) for c in itertools.combinations(t, k)}
+        good, least = set(), math.ceil(0.02 * len(rows))
+        for s in sets:
+            n = sum(s <= set(t) for t, _, _ in rows)
+            b = Counter(o for t, y, o in rows if s <= set(t) and y == "block")
+            if b.total() >= least and b.total() / n >= 0.9 and sum(c >= least for c in b.values()) >= origins:
+                good.add(s)
+        assert got == {tuple(sorted(s)) for s in good if not any(x < s for x in good)} and ("a", "b") in got
+        assert (("e", "f") in got) == (origins == 1)  # what one seed rule alone shows is not carried over
+
+
+def test_mined_rules_block_open_urls(spark):
+    seeds = [f"http://a{i}.net/spam/{i}" for i in range(20)] + [f"http://example.com/de/spam/{i}" for i in range(20)]
+    seeds += [f"http://b.org/fr/{i}" for i in range(20)] + [f"http://a{i}.net/es/{i}" for i in range(20)]
+    open_ = ["http://q.example.org/spam/77", "http://q.example.org/es/77", "http://q.example.org/ham", "http://q/" + "x/y" * 2000 + "/spam"]
+    docs = spark.createDataFrame([(i, u, "x") for i, u in enumerate(seeds + open_ + open_)], "page_id long, url string, host string")
+    got = url_rules.judge(docs)
+    verdicts = [r["verdict"] for r in got.orderBy("page_id").collect()][len(seeds):]
+    assert verdicts == ["block", "allow", "allow", "block"] * 2 and got.columns == ["page_id", "url", "host", "path", "rule", "verdict"]
+
+
+def test_mixing_targets_without_ids(spark):
+    """Thirty rows without an id, or all of one id, are dealt one by one."""
+    for ids in (None, 7):
+        rows = [(ids, random_text(np.random.default_rng(i), 10), s) for i in range(30) for s in ("a", "b")]
+        got = mixing.copies(frame(spark, rows)).groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("t"), F.max("target").alias("g")).collect()
+        assert all(abs(r["t"] - r["g"]) <= 10 for r in got)
+
+
+def test_toxicity_with_few_labels(spark):
+    docs = frame(spark, [(i, "vile nasty awful words here" if i < 40 else f"plain ordinary text number {i % 7} here") for i in range(80)])
+    labels = lambda n, m: spark.createDataFrame([(i, 1) for i in range(n)] + [(40 + i, 0) for i in range(m)] + [(99, 1), (98, 0)],
+                                                "doc_id long, toxic int")
+
+    def scores(n, m):
+        return {r["doc_id"]: r for r in toxicity.score(docs, toxicity.fit(docs, labels(n, m), F.lit(True))).collect()}
+    few, more = scores(3, 3), scores(30, 30)
+    assert not any(few[i]["predicted"] for i in range(40, 80))  # what tells nothing calls nothing toxic
+    assert [more[i]["predicted"] for i in range(80)] == [1] * 40 + [0] * 40
+    assert {r["score"] for r in scores(1, 4).values()} == {0.1} and {r["score"] for r in scores(0, 4).values()} == {0.0}
+    assert {r["score"] for r in scores(0, 0).values()} == {0.0}  # labels of documents that are not there
 
 
 def test_toxicity_on_held_out_documents(spark):

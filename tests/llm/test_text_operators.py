@@ -145,6 +145,19 @@ def test_long_weak_parts_and_gaps(spark):
                    5: ["ident", "hex", "ident"], 6: ["ident", "opaque"], 7: [], 8: ["opaque", "ident"]}
 
 
+def test_a_part_is_no_complement_of_itself(spark):
+    rows = [(1, "ABCDEFGH12345678IJKLabcdefghijkl0123"), (2, 'password = "ABCD1234EFGH5678"'), (3, 'password = "ABCD1234EFGH5678" ABCD1234EFGH5678')]
+    got = {r["doc_id"]: [x.split(":")[0] for x in r["spans"].split(",") if x] for r in secrets.report(frame(spark, rows)).collect()}
+    assert got == {1: [], 2: ["assign"], 3: ["assign", "ident"]}  # in 3 the one outside the value
+
+
+def test_many_matches_in_one_text(spark):
+    text = "".join(f"é{'0123456789abcdef' * 2}{' ' * (i % 3)}-" for i in range(30000))
+    r = secrets.report(frame(spark, [(1, text)])).first()
+    want = [f"hex:{m.start()}:{m.end()}" for m in re.finditer("[0-9a-f]{16,}", text)]
+    assert r["n_hex"] == 30000 and r["base_sha256"] == hashlib.sha256(",".join(want).encode()).hexdigest()
+
+
 def test_secrets_odd_rows(spark):
     assert secrets.report(frame(spark, ODD)).count() == len(ODD)
     assert secrets.report(frame(spark, [])).count() == 0
