@@ -1,7 +1,11 @@
 """The corpus pipeline: STAGES applied in order, each written as Parquet and read again.
 
 Every stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; all but
-the last return the columns of ``documents``.
+the last return the columns of ``documents``, whatever other columns these hold.
+
+Defined results: a null or empty text goes in the first stage (it has too few words); rows
+without an id, or with one that repeats, are judged by their texts like any others; of rows
+equal in id and text one stays; very long texts pass whole; an empty table gives no row.
 """
 
 from __future__ import annotations
@@ -20,9 +24,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest doc_id."""
-    kept = near_dup.near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
+    """One row of each group of near duplicates: that with the smallest doc_id (null before all); repeated rows are one."""
+    return near_dup.deduplicate(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
