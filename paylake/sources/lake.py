@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -187,18 +187,18 @@ def export_partition(df: DataFrame, path: str, start=None, end=None, col: str =
                      fmt: str = "parquet") -> bool:
     """Export ``[start, end)`` (or everything) to ``path/year=/month=/day=``.
 
-    Dynamic overwrite replaces only the days present in the slice; an empty slice writes no row
-    (counted while writing).  Returns whether anything was written.
+    Dynamic overwrite replaces only the days present in the slice; an empty slice writes nothing.
+    Returns whether anything was written.
     """
     part = df if start is None else read_range(df, start, end, col)
-    seen = Observation()
-    out = with_date_partitions(part.observe(seen, F.count(F.lit(1)).alias("n")), col)
-    (dealt_by_day(out, F.to_date(col))
+    if part.isEmpty():
+        return False
+    (dealt_by_day(with_date_partitions(part, col), F.to_date(col))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("year", "month", "day")
         .format(fmt).save(path))
-    return seen.get["n"] > 0
+    return True
 
 
 def read_partitions(spark: SparkSession, path: str, start_day: str | None = None,

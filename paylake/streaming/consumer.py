@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -86,7 +86,7 @@ BATCH_METRICS = ("n_messages bigint, n_valid bigint, n_invalid bigint, n_transac
 
 
 def batch_metrics(tx_topic: str, alerts_topic: str) -> list[Column]:
-    """What a delivery report tells of a micro-batch, observed while its rows pass."""
+    """What a delivery report tells of a micro-batch."""
     valid = F.col("is_valid")
     return [F.count(F.lit(1)).alias("n_messages"), F.count_if(valid).alias("n_valid"), F.count_if(~valid).alias("n_invalid"),
             F.count_if(valid & (F.col("topic") == tx_topic)).alias("n_transactions"),
@@ -107,8 +107,7 @@ class ConsumerSink:
         checked = validate(batch).persist()
         events = None
         try:
-            seen = Observation()
-            (checked.observe(seen, *batch_metrics(self.tx_topic, self.alerts_topic)).filter(~F.col("is_valid"))
+            (checked.filter(~F.col("is_valid"))
              .select("topic", "key", "value", "reason", F.lit(batch_id).cast("bigint").alias("batch_id"))
              .write.mode("overwrite").parquet(f"{self.root}/quarantine/batch={batch_id}"))
             # parsed once, used by both topic handlers
@@ -119,8 +118,11 @@ class ConsumerSink:
             self.alerts.apply(self.alerts.fold(alerts), batch_id)
             (log_rows(alerts).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
              .write.mode("overwrite").parquet(f"{self.root}/logs/batch={batch_id}"))
+            # counted on the persisted batch; not by an Observation, with which a session can no longer
+            # ship fitted models to its executors
+            report = checked.agg(*batch_metrics(self.tx_topic, self.alerts_topic)).first().asDict()
             # the report comes last: a batch that has one is done
-            write_text(self.spark, f"{self.root}/metrics/batch={batch_id}.json", json.dumps({"batch_id": batch_id, **seen.get}))
+            write_text(self.spark, f"{self.root}/metrics/batch={batch_id}.json", json.dumps({"batch_id": batch_id, **report}))
         finally:
             if events is not None:
                 events.unpersist()
