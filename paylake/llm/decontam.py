@@ -1,10 +1,11 @@
 """Benchmark decontamination with suffix arrays over the training text.
 
 Each shard (a bounded chunk of documents inside a task) gets a suffix array of
-its words.  Every suffix of every benchmark item is binary-searched in it, one
-word deeper at a time, all suffixes at once: the range of training suffixes that
-agree so far only shrinks, so a search ends with the longest verbatim match and
-its locations, and on the way gives the occurrences of the item's windows.
+its words, by prefix doubling.  Every suffix of every benchmark item is binary-searched
+in it, all suffixes at once: the range of training suffixes that begin with its window
+gives the window's occurrences, and the neighbours of its place the longest verbatim
+match.  The ranks by 1, 2, 4, ... words settle every comparison, so a match of m words
+costs log(m) steps however long the item is.
 Documents whose hit words reach the contamination rule are removed.
 
 Only positions that can begin a window are in the array: words that no item of
@@ -13,13 +14,15 @@ nothing.  That loses no match and keeps the array far smaller than the text.
 
 Scale: documents are read once per benchmark block and never shuffled.  The
 benchmark is read as a stream and cut into blocks of at most BLOCK_BYTES of text
-(a longer item is a block of its own); one block at a time is broadcast, and the
-blocks are chained as narrow passes over the documents, so neither the driver nor
-a task holds more than a block and a chunk.
+(a longer item is a block of its own); one block at a time is broadcast.  Each is a narrow
+pass over the documents; where another follows, what has been found is written first, so
+neither the driver nor a task holds more than a block and a chunk (or a longer single text).
 
 Defined results: null texts have no words; an item without words matches
 nothing; items that share an id count once; rows are kept as they come, repeated
-ones too; a null item id is written as the empty string; other columns are carried.
+ones too; a null item id is written as the empty string; other columns are carried, those
+named like a result give way to it; empty tables give no rows, or rows without hits;
+very long texts and items are searched whole.
 """
 
 from __future__ import annotations
@@ -34,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paylake.llm.common import LOWER_ALNUM, chunks, lowered, split_words
+from paylake.llm.common import LOWER_ALNUM, chunks, lowered, materialize, split_words
 
 WINDOW = 13
 #: Contaminated: at least one in this many words is hit.
@@ -56,8 +59,10 @@ class Block:
         names = sorted({i for i, _ in items})
         self.names = np.array(names, dtype=object)
         code = {x: k for k, x in enumerate(names)}
-        self.ids, self.size = ids, len(self.vocab) + 1
         owner = np.repeat(np.arange(len(n)), n)
+        self.place = np.arange(len(ids)) + owner  # of each word in ``seq``, where a zero follows each item
+        self.seq = np.zeros(len(ids) + len(n), np.int64)
+        self.seq[self.place] = ids + 1
         self.item = np.array([code[i] for i, _ in items], np.int64)[owner] if len(owner) else np.zeros(0, np.int64)
         self.rest = (at[1:][owner] - np.arange(len(ids))) if len(ids) else np.zeros(0, np.int64)
         length = np.minimum(window, n)[owner] if len(owner) else np.zeros(0, np.int64)
@@ -67,63 +72,88 @@ class Block:
         self.longest = int(n.max()) if len(n) else 0
 
 
-def _suffix_array(seq: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Order of the suffixes of ``seq`` that begin at a non-zero value, by their first ``depth`` values at least.
+def _rest(seq: np.ndarray) -> np.ndarray:
+    """Values from each place up to the next zero."""
+    zeros = np.flatnonzero(np.concatenate((seq, [0])) == 0)
+    return zeros[np.searchsorted(zeros, np.arange(len(seq)))] - np.arange(len(seq))
 
-    Prefix doubling: after each step the ranks order suffixes by twice as many values.
-    Zeros end a suffix and sort first.
+
+def _ranks(seq: np.ndarray, rest: np.ndarray, depth: int) -> list[np.ndarray]:
+    """Ranks of all suffixes by their first 1, 2, 4, ... values, up to ``depth`` at least or until no two are alike.
+
+    Prefix doubling: zeros end a suffix and sort first.
     """
-    rank, h = seq.astype(np.int64), 1
+    levels, h = [seq.astype(np.int32)], 1
     while h < depth:
-        follow = np.concatenate((rank[h:], np.zeros(min(h, len(rank)), np.int64)))[:len(rank)]
-        follow = np.where(rank > 0, follow, 0)
-        key = rank * (int(rank.max(initial=0)) + 1) + follow
-        values, rank = np.unique(key, return_inverse=True)
-        if values[:1].tolist() != [0]:
-            rank = rank + 1
+        rank = levels[-1].astype(np.int64)
+        follow = np.zeros(len(rank), np.int64)
+        follow[:-h] = rank[h:]
+        follow[rest <= h] = 0
+        values, rank = np.unique(rank * (int(rank.max(initial=0)) + 1) + follow, return_inverse=True)
+        levels.append((rank + (values[0] != 0)).astype(np.int32))
         h *= 2
-    where = np.flatnonzero(seq)
-    return where[np.argsort(rank[where], kind="stable")], rank
+        if len(values) - (values[0] == 0) == np.count_nonzero(seq):
+            break
+    return levels
+
+
+def _common(levels: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Values that the suffixes at i and j share, from the longest power of two down (ends are not heeded)."""
+    out, last = np.zeros(len(i), np.int64), len(levels[0]) - 1
+    for k in range(len(levels) - 1, -1, -1):
+        same = levels[k][np.minimum(i + out, last)] == levels[k][np.minimum(j + out, last)]
+        out += same.astype(np.int64) << k
+    return out
+
+
+def _spread(lo: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The places of all ranges [lo, lo + n) in a row."""
+    return np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
 
 
 def search(seq: np.ndarray, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Occurrences of windows and the longest matches.
 
     Returns (start, length, item) of every window occurrence in ``seq`` and, as
-    (position, length), the longest verbatim match that begins there.
+    (position, length), the longest verbatim match that begins there.  Training and
+    benchmark words are ranked together, so time and memory are n * log(longest match).
     """
-    order, _ = _suffix_array(seq, block.longest)
-    padded = np.concatenate((seq, np.zeros(block.longest + 1, np.int64)))
-    lo, hi = np.zeros(len(block.ids), np.int64), np.full(len(block.ids), len(order), np.int64)
-    alive = np.flatnonzero(hi > lo)
-    group = np.zeros(len(order), np.int64)  # place of the suffix's class by its words so far
-    starts, lengths, items, pos, best = [], [], [], [], []
-    depth = 0
-    while len(alive):
-        key = group * block.size + padded[order + depth]  # sorted, as the suffixes are
-        want = group[lo[alive]] * block.size + block.ids[alive + depth] + 1
-        new_lo, new_hi = np.searchsorted(key, want), np.searchsorted(key, want, side="right")
-        found = new_hi > new_lo
-        lo[alive[found]], hi[alive[found]] = new_lo[found], new_hi[found]
-        alive, depth = alive[found], depth + 1
-        group = np.cumsum(np.concatenate(([0], key[1:] != key[:-1]))) if len(key) else group
-        done = alive[block.window[alive] == depth]
-        if len(done):
-            # equal windows of several items share a range: expand (range, item) pairs
-            n = hi[done] - lo[done]
-            at = np.repeat(lo[done] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-            starts.append(order[at])
-            lengths.append(np.full(len(at), depth))
-            items.append(np.repeat(block.item[done], n))
-        if len(alive):
-            first, k = np.unique(lo[alive], return_index=True)
-            n = hi[alive][k] - first
-            at = np.repeat(first - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-            pos.append(order[at])
-            best.append(np.full(len(at), depth))
-        alive = alive[block.rest[alive] > depth]
+    n = len(seq)
+    joint = np.concatenate((seq, [0], block.seq))
+    rest = _rest(joint)
+    levels = _ranks(joint, rest, min(block.longest, int(rest[:n].max(initial=0))))
+    where = np.flatnonzero(joint)
+    both = where[np.argsort(levels[-1][where], kind="stable")]
+    order = both[both < n]  # the suffix array of the training words
+    starts, lengths, items = [], [], []
+    for length in np.unique(block.window[block.window > 0]).tolist():
+        k = min(length.bit_length(), len(levels)) - 1
+        rank = levels[k].astype(np.int64)
+        size, skip = int(rank.max()) + 1, max(0, length - (1 << k))
+        have, asked = order[rest[order] >= length], np.flatnonzero(block.window == length)
+        at = n + 1 + block.place[asked]
+        key = rank[have] * size + rank[have + skip]  # sorted, as the suffixes are
+        want = rank[at] * size + rank[at + skip]
+        lo, hi = np.searchsorted(key, want), np.searchsorted(key, want, side="right")
+        # a window that an item repeats has one range of training suffixes: each range once an item
+        found = np.flatnonzero(hi > lo)
+        _, one = np.unique(np.stack((lo[found], block.item[asked[found]])), axis=1, return_index=True)
+        one = found[one]
+        count = hi[one] - lo[one]
+        starts.append(have[_spread(lo[one], count)])
+        lengths.append(np.full(int(count.sum()), length))
+        items.append(np.repeat(block.item[asked[one]], count))
+    # the longest match of a training suffix is with the benchmark suffix just before or after it
+    test, here = both > n, np.arange(len(both))
+    before = np.maximum.accumulate(np.where(test, here, -1))
+    after = np.minimum.accumulate(np.where(test, here, len(both))[::-1])[::-1]
+    best = np.zeros(len(order), np.int64)
+    for side in (before[~test], after[~test]):
+        ok = (side >= 0) & (side < len(both))
+        best[ok] = np.maximum(best[ok], np.minimum(_common(levels, order[ok], both[side[ok]]), rest[order[ok]]))
+    found = best > 0
     cat = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
-    return cat(starts), cat(lengths), cat(items), cat(pos), cat(best)
+    return cat(starts), cat(lengths), cat(items), order[found], best[found]
 
 
 def _match(batch: pa.RecordBatch, text_col: str, block: Block) -> list[tuple[int, list, list, set, int]]:
@@ -220,7 +250,11 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col:
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in renamed.schema])
     out = renamed
     stream = blocks(benchmark, text_col=text_col, limit=block_bytes)
+    shared = None
     for items in itertools.chain([next(stream, [])], stream):  # one pass at least
+        if shared is not None:
+            out = materialize(out, "decontam-block")
+            shared.unpersist()
         shared = sc.broadcast(items)
 
         def run(batches, shared=shared):

@@ -54,6 +54,46 @@ def test_longest_match_is_found(spark):
     assert (r["longest_match"], r["n_hit"], r["hit_starts"], r["hit_ends"]) == (22, 22, [5], [27])
 
 
+@pytest.mark.parametrize("window", [1, 3, 4, 13])
+def test_search_gives_all_windows_and_longest_matches(window):
+    rng = np.random.default_rng(window)
+    for _ in range(40):
+        items = [(str(i), random_text(rng, int(n), 3)) for i, n in enumerate(rng.integers(1, 25, 4))]
+        block = decontam.Block(items, window)
+        texts = [rng.integers(1, 5, int(n)) for n in rng.integers(1, 40, 3)]  # one value that no item may have
+        seq = np.concatenate([np.append(t, 0) for t in texts])
+        vocab = block.vocab.to_pylist()
+        asked = [[vocab.index(w) + 1 for w in t.split()] for _, t in items]
+        runs, at = [], 0
+        for t in texts:
+            runs.append((at, t.tolist()))
+            at += len(t) + 1
+        want, longest = set(), {}
+        for i, x in enumerate(asked):
+            n = min(window, len(x))
+            for s in range(len(x)):
+                for at, t in runs:
+                    for p in range(len(t)):
+                        m = 0
+                        while s + m < len(x) and p + m < len(t) and x[s + m] == t[p + m]:
+                            m += 1
+                        if m >= n and s + n <= len(x):
+                            want.add((at + p, n, i))
+                        if m:
+                            longest[at + p] = max(longest.get(at + p, 0), m)
+        starts, lengths, which, pos, best = decontam.search(seq, block)
+        assert set(zip(starts.tolist(), lengths.tolist(), which.tolist(), strict=True)) == want
+        assert dict(zip(pos.tolist(), best.tolist(), strict=True)) == longest and len(pos) == len(longest)
+
+
+def test_very_long_item_contained(spark):
+    item = " ".join(f"k{i}" for i in range(100_000))
+    bench = spark.createDataFrame([(1, item), (2, "m " * 50_000)], "item_id long, text string")
+    got = {r["doc_id"]: r for r in decontam.scan(frame(spark, [(1, f"z {item} z"), (2, "m " * 40_000)]), bench).collect()}
+    assert [(got[i]["longest_match"], got[i]["n_hit"], got[i]["item_ids"]) for i in (1, 2)] == [
+        (100_000, 100_000, ["1"]), (40_000, 40_000, ["2"])]
+
+
 def test_decontamination_odd_rows(spark):
     bench = spark.createDataFrame([(1, "long words go on and on " * 3)], "item_id long, text string")
     got = decontam.scan(frame(spark, ODD), bench).collect()
