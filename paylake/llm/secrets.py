@@ -142,7 +142,7 @@ def linked(found: DataFrame) -> DataFrame:
         cut = left.withColumn("cell", F.explode(_cells(F.col("s"), F.col("e"), 0)))  # a long part lies in several cells
         return cut.join(
             right, (F.col("id") == F.col("r_id")) & (F.col("rk") == F.col("r_rk")) & (F.col("cell") == F.col("r_cell"))
-            & (gap >= 0) & (gap <= SCOPE), "left_semi")  # parts that overlap are one.drop("cell").dropDuplicates()
+            & (gap >= 0) & (gap <= SCOPE), "left_semi").drop("cell").dropDuplicates()  # parts that overlap are one
 
     weak = parts.filter("weak")
     pairs_up = near(weak.filter("role = 'id'"), "secret").unionByName(near(weak.filter("role = 'secret'"), "id"))

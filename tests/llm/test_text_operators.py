@@ -202,3 +202,12 @@ def test_secrets_odd_rows(spark):
     assert secrets.report(frame(spark, ODD)).count() == len(ODD)
     assert secrets.report(frame(spark, [])).count() == 0
     assert secrets.report(frame(spark, ODD)).filter(F.col("n_assign") + F.col("n_access") > 0).count() == 0
+
+
+def test_weak_part_over_several_cells_is_reported_once(spark):
+    ident, opaque = "ABCD1234EFGH5678", "Ab1" * 120
+    text = f"{ident} {opaque} {ident} https://a.example/x"
+    r = secrets.report(frame(spark, [(1, "x " * 120 + text), (2, text)]).select("doc_id", "text")).collect()
+    for got, shift in zip(sorted(r), (240, 0), strict=True):
+        want = [("ident", 0, 16), ("opaque", 17, 377), ("ident", 378, 394), ("endpoint", 395, 412)]
+        assert got["spans"] == ",".join(f"{k}:{a + shift}:{b + shift}" for k, a, b in want)
