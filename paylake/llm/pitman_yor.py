@@ -1,25 +1,27 @@
 """Scoring with a hierarchical Pitman-Yor language model.
 
-One restaurant a context: the root seats words, and every context word that makes at
-least 1 / CONTEXTS of the training tokens (and the start of a text) has a restaurant of its
-own whose parent is the root; after any other word the next one sits in the root directly.
-A dish's customers sit at tables; each table of a context sends one customer to the root.
-
-Gibbs sampling: a sweep takes the customers of every dish up and seats them again one by one,
-at an old table or a new one in the Chinese-restaurant proportions, first in the contexts,
-then in the root.  The table is partitioned by word, so all restaurants of a word meet in one
-row; between sweeps only the restaurants' totals are shared (at most CONTEXTS + 1 numbers).
-Random numbers are hashes of (word, context, customer, sweep): reruns agree.  The predictive
-probabilities are averaged over the SAMPLES last sweeps.
-
-Scoring: the frequent words (at most HEAD of them by construction, as each makes 1 / HEAD of the
-tokens) are looked up in a broadcast array.  Only tokens that need more, rare words and
-middling ones after a context, are joined to the model, and come back as one partial sum per document
-and partition.  Counting combines within a task before the shuffle, so hot words are small.
+One restaurant a context: every word that is followed by another, and the start of a text, has
+a restaurant of its own whose parent is the root; the root seats the customers that the
+tables of all contexts send (one a table).  Dishes are the words.  Contexts and dishes of the
+model are told apart by 32 bits of a word's hash (2^32 cells; words of one cell share their
+probability), so a pair is one 64-bit key; the base columns use 64 bits.
+
+Gibbs sampling: a sweep takes the customers of every dish up and seats them again in the
+Chinese-restaurant proportions, first in the contexts, then in the root.  A dish with one
+customer has one table whatever is drawn, so only pairs seen twice or more are sampled, and the
+others enter the totals as they are.  Between sweeps the tables of each context and the root's
+share of each word are summed and joined to the pairs.  Random numbers are hashes of (pair,
+customer, sweep): reruns agree.  Predictive probabilities are averaged over the SAMPLES last sweeps.
+
+Scoring: a token's probability starts from what a pair seen once (in a text that was learned
+from) or never (elsewhere) has; this needs its two words only.  Pairs that were seen more often add the
+difference.  Frequent words and pairs (each makes 1 / HEAD of the tokens, so at most HEAD) are looked up
+in broadcast arrays, the others joined.  Sums come back by text; equal texts share them.
 
 Defined results: null and empty texts consist of their end token; a null doc_id is not held out;
-repeated rows are scored (and learned from) as often as they come; words are 64-bit
-hashes; without training rows every token has the probability 1 of the only class left.
+repeated rows are scored (and learned from) as often as they come; long texts are one row of a
+task; clashing column names of the input give way to the results; an empty table gives no rows;
+without training rows every token has the probability 1 of the only class left.
 """
 
 from __future__ import annotations
@@ -33,17 +35,16 @@ from pyspark.sql import functions as F
 
 from paylake.llm.common import KEY_A, LOWER, chunks, lowered, materialize, mix, split_words, word_hashes
 
-#: Least shares (one in ...) of context words, of words broadcast, and of those broadcast with all contexts.
-CONTEXTS, HEAD, DENSE = 128, 1 << 22, 1 << 15
+#: Least shares (one in ...) of words and pairs that are broadcast for scoring, and of keys broadcast in joins.
+HEAD, HOT = 1 << 21, 1 << 16
 #: Sweeps before sampling, sweeps averaged, strengths of contexts and root.
 BURN_IN, SAMPLES, STRENGTH, ROOT_STRENGTH = 1, 2, 1.0, 10.0
-#: Customers seated one by one; from here on a sixteenth of those seated at a time.
-ONE_BY_ONE = 256
-#: Keys that no word's hash is asked for: the end of a text, and the sum of all tokens.
-END, ALL = 1, 0
-#: Context numbers: none of its own, and the start of a text.
-ROOT, START = -1, 0
-
+#: Customers that sit down at a time: one in STEP of those seated, at least one.
+STEP = 256
+#: Keys that no word's hash is asked for: the end of a text; the start of a text, and the sum of all tokens.
+END, START = 1, 0
+#: Task sums of pairs: tokens of texts that are only scored count from this bit on.
+ASKED = 36
 
 def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Distinct word keys, and of all tokens (each text's words, then its end) key place, previous key place (-1: start), text."""
@@ -89,253 +90,284 @@ class _Sums:
         return [*(c[at] for c in cols[:-1]), np.add.reduceat(cols[-1], at) if len(at) else cols[-1]]
 
 
-def _count_words(batches):
-    """(w, c) of a task's texts, and the number of all tokens under ALL."""
-    sums, total = _Sums(), 0
+def _pairs(keys: np.ndarray, code: np.ndarray, prev: np.ndarray) -> np.ndarray:
+    """The 64-bit key of each token's pair: cell of the word before, cell of the word."""
+    cells = np.concatenate((keys.view(np.uint64) & np.uint64(0xFFFFFFFF), np.array([START], np.uint64)))
+    return ((cells[prev] << np.uint64(32)) | cells[code]).view(np.int64)
+
+
+def _count(batches):
+    """(pair, key, c, asked): a task's counts of words and pairs of texts learned from; pairs also of the others."""
+    words, pairs, total = _Sums(), _Sums(1 << 21), 0
+
+    def out(pair, key, v):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(key), pair)), pa.array(key), pa.array(v & ((1 << ASKED) - 1)), pa.array(v >> ASKED > 0)],
+            names=["pair", "key", "c", "asked"])
+
     for batch in chunks(batches):
-        keys, code, _, _ = _tokens(batch["text"])
-        total += len(code)
-        out = sums.add(keys, np.bincount(code, minlength=len(keys)))
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["w", "c"])
-    if sums.parts:
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in sums.merged()], names=["w", "c"])
-    yield pa.RecordBatch.from_arrays([pa.array([ALL], pa.int64()), pa.array([total], pa.int64())], names=["w", "c"])
-
-
-def _context_of(keys: np.ndarray, contexts: np.ndarray) -> np.ndarray:
-    """Number of each key's restaurant: its place among the sorted contexts from 1 on, or ROOT."""
-    if not len(contexts):
-        return np.full(len(keys), ROOT, np.int64)
-    at = np.minimum(np.searchsorted(contexts, keys), len(contexts) - 1)
-    return np.where(contexts[at] == keys, at + 1, ROOT)
-
-
-def _count_pairs(contexts: np.ndarray):
-    """(w, u, c): tokens w in the restaurant u."""
-    def run(batches):
-        sums = _Sums()
-        for batch in chunks(batches):
-            keys, code, prev, _ = _tokens(batch["text"])
-            of = np.concatenate((_context_of(keys, contexts), [START]))  # place -1 is the start
-            pair, c = np.unique(code * (len(contexts) + 2) + of[prev] + 1, return_counts=True)
-            out = sums.add(keys[pair // (len(contexts) + 2)], pair % (len(contexts) + 2) - 1, c)
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(out[0]), pa.array(out[1].astype(np.int32)), pa.array(out[2])], names=["w", "u", "c"])
-        if sums.parts:
-            out = sums.merged()
-            yield pa.RecordBatch.from_arrays([pa.array(out[0]), pa.array(out[1].astype(np.int32)), pa.array(out[2])], names=["w", "u", "c"])
-    return run
+        keys, code, prev, row = _tokens(batch["text"])
+        learn = batch["learn"].to_numpy(zero_copy_only=False)[row]
+        total += int(learn.sum())
+        c = np.bincount(code[learn], minlength=len(keys))
+        for to, pair, add in ((words, False, (keys[c > 0], c[c > 0])),
+                              (pairs, True, (_pairs(keys, code, prev), np.where(learn, 1, 1 << ASKED)))):
+            got = to.add(*add)
+            if got:
+                yield out(pair, *got)
+    for to, pair in ((words, False), (pairs, True)):
+        if to.parts:
+            yield out(pair, *to.merged())
+    yield out(False, np.array([START], np.int64), np.array([total], np.int64))
 
 
 def seat(c: np.ndarray, new: np.ndarray, d: float, key: np.ndarray) -> np.ndarray:
     """Tables after seating c customers of a dish: ``new`` is the weight of a new table, ``key`` seeds the draws.
 
-    The first ONE_BY_ONE customers choose one by one; later ones a sixteenth of those seated at a time,
-    with the proportions of the moment, so a dish takes time as the logarithm of its customers.
+    One in STEP of those seated sits down at a time with the proportions of the moment (one by one up to
+    2 * STEP), by the same rule at every size, so a dish takes time as the logarithm of its customers.
     """
     t = np.minimum(c, 1).astype(np.float64)
     on = np.flatnonzero(c > 1)
     n, step = 1, 1
     while len(on):
-        m = np.minimum(max(1, n // 16) if n >= ONE_BY_ONE else 1, c[on] - n)
+        m = np.minimum(max(1, n // STEP), c[on] - n)
         p = new[on] / (new[on] + n - d * t[on])
         draw = (mix(key[on] + np.uint64((step * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF)) >> np.uint64(11)) * 2.0 ** -53
         t[on] += np.floor(m * p + draw)  # the expectation is exact; for one customer it is the draw itself
-        n += max(1, n // 16) if n >= ONE_BY_ONE else 1
+        n += max(1, n // STEP)
         step += 1
         on = on[c[on] > n]
     return np.minimum(t, c)
 
 
-def _sweep(number: int, state: dict, keep: bool):
-    """One Gibbs sweep over rows (w, us, cs, t0, c0, tsum, c0s, t0s)."""
+def _seat_rows(number: int, discount: float):
+    """Rows (key, n, weight) with the column t, the tables of their n customers."""
     def run(batches):
         for batch in batches:
-            n = batch.num_rows
-            size = np.asarray(batch["us"].value_lengths()).astype(np.int64)
-            row = np.repeat(np.arange(n), size)
-            w = np.asarray(batch["w"]).view(np.uint64)
-            u, c = (np.asarray(batch[x].flatten()).astype(np.int64) for x in ("us", "cs"))
-            c0, t0 = np.asarray(batch["c0"]).astype(np.float64), np.asarray(batch["t0"]).astype(np.float64)
-            root_new = (ROOT_STRENGTH + state["d0"] * state["T0"]) / state["kinds"]
-            p0 = (np.maximum(c0 - state["d0"] * t0, 0) + root_new) / (ROOT_STRENGTH + state["C0"])
-            own = u != ROOT
-            tables = np.array(state["T"])[np.maximum(u, 0)]
-            key = mix(w[row] + (u + 2).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(number << 40))
-            t = c.astype(np.float64)  # without a restaurant of its own a token is the root's customer
-            t[own] = seat(c[own], ((STRENGTH + state["d"] * tables) * p0[row])[own], state["d"], key[own])
-            c0 = np.bincount(row, t, n)
-            t0 = seat(c0.astype(np.int64), np.full(n, root_new), state["d0"], mix(w + np.uint64((number << 40) + 7)))
-            cols = {x: batch[x] for x in ("w", "us", "cs")}
-            cols |= {"c0": pa.array(c0.astype(np.int64)), "t0": pa.array(t0.astype(np.int64))}
-            offsets = pa.array(np.concatenate((np.zeros(1, np.int64), np.cumsum(size))).astype(np.int32))
-            seen = np.asarray(batch["tsum"].flatten()).astype(np.int64)
-            cols["ts"] = pa.ListArray.from_arrays(offsets, pa.array(t.astype(np.int64)))
-            cols["tsum"] = pa.ListArray.from_arrays(offsets, pa.array(seen + t.astype(np.int64) * keep))
-            for x, now in (("c0s", c0), ("t0s", t0)):
-                before = np.asarray(batch[x].flatten()).astype(np.int64).reshape(n, -1) if n else np.zeros((0, 0), np.int64)
-                after = np.concatenate((before, now.astype(np.int64)[:, None]), 1) if keep else before
-                at = pa.array((np.arange(n + 1) * after.shape[1]).astype(np.int32))
-                cols[x] = pa.ListArray.from_arrays(at, pa.array(after.reshape(-1)))
-            yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
+            key = mix(np.asarray(batch["key"]).view(np.uint64) + np.uint64(number << 40))
+            t = seat(np.asarray(batch["n"]), np.asarray(batch["weight"]), discount, key).astype(np.int64)
+            kept = [x for x in batch.schema.names if x != "weight"]
+            yield pa.RecordBatch.from_arrays([*(batch[x] for x in kept), pa.array(t)], names=[*kept, "t"])
     return run
 
 
-SEATING = ("w long, us array<int>, cs array<bigint>, c0 long, t0 long, ts array<bigint>, tsum array<bigint>, "
-           "c0s array<bigint>, t0s array<bigint>")
+def _seated(rows: DataFrame, number: int, discount: float) -> DataFrame:
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "weight")
+    return rows.mapInArrow(_seat_rows(number, discount), f"{kept}, t long")
 
 
-def _totals(seating: DataFrame, contexts: int) -> dict:
-    """Tables of each context, and customers and tables of the root: at most CONTEXTS + 2 rows."""
-    rows = (seating.select(F.explode(F.arrays_zip("us", "ts")).alias("x")).filter(F.col("x.us") != ROOT)
-            .groupBy("x.us").agg(F.sum("x.ts").alias("t")).collect())
-    tables = [0] * (contexts + 1)
-    for r in rows:
-        tables[r["us"]] = r["t"]
-    root = seating.agg(F.sum("c0").alias("c"), F.sum("t0").alias("t")).first()
-    return {"T": tables, "C0": root["c"] or 0, "T0": root["t"] or 0}
+def _lookup(rows: DataFrame, key: str, table: DataFrame, hot: Column, to: str) -> DataFrame:
+    """``rows`` with the struct ``to`` of the row of ``table`` (unique keys) for their key, null without one.
+
+    The table's ``hot`` rows (at most HOT by their share) are broadcast, so no key gathers its rows in one task.
+    """
+    value = F.struct(*[c for c in table.columns if c != key]).alias(to)
+    tried = rows.join(F.broadcast(table.filter(hot).select(key, value)), key, "left")
+    return tried.filter(F.col(to).isNotNull()).unionByName(
+        tried.filter(F.col(to).isNull()).drop(to).join(table.filter(~hot).select(key, value), key, "left"))
+
+
+def _cells(pairs: DataFrame) -> DataFrame:
+    return pairs.withColumns({"u": F.shiftrightunsigned("key", 32), "w": F.col("key").bitwiseAND(F.lit(0xFFFFFFFF))})
 
 
 def _discount(once: int, twice: int) -> float:
     return min(0.95, max(0.05, once / (once + 2 * twice))) if once else 0.5
 
 
-def fit(train: DataFrame, contexts_share: int = CONTEXTS, burn_in: int = BURN_IN, samples: int = SAMPLES) -> tuple[DataFrame, dict]:
-    """The model of the texts (column ``text``): a row a word, and what all words share.
+def fit(docs: DataFrame, learn: Column, burn_in: int = BURN_IN, samples: int = SAMPLES) -> dict:
+    """The model of the texts for which ``learn`` holds.
 
-    Rows: (w, c, us, seats, p0s): count; for each restaurant the dish's own share (averaged over the
-    samples); the root's probability in each sample.  Shared: N, V, contexts, the mass that each
-    restaurant leaves to the root in each sample, and the root's probability of a word never seen.
+    ``words``: (w, c, p0s, k, ms): count; the root's probability in each sample; as a context its customers and
+    the mass it leaves to the root in each sample; the start of a text is the word START.  ``pairs``: (key, n, more,
+    most): what a pair seen n times adds to the log10 of one seen once, and of one never seen; pairs seen
+    once are there if a text that is only scored holds them.  Also N, V, d and the root's probability of a word never seen.
     """
-    text = train.select(F.col("text").cast("string").alias("text"))
-    counts = text.mapInArrow(_count_words, "w long, c long").groupBy("w").agg(F.sum("c").alias("c"))
-    top = counts.orderBy(F.desc("c"), "w").limit(contexts_share + 1).collect()  # ALL is one of them
-    total = next((r["c"] for r in top if r["w"] == ALL), 0)
-    contexts = np.array(sorted(r["w"] for r in top if r["w"] not in (ALL, END) and r["c"] * contexts_share >= total), np.int64)
-    pairs = text.mapInArrow(_count_pairs(contexts), "w long, u int, c long").repartition("w")
-    words = (pairs.groupBy("w", "u").agg(F.sum("c").alias("c")).groupBy("w")
-             .agg(F.collect_list(F.struct("u", "c")).alias("x"))  # at most CONTEXTS + 2 entries
-             .select("w", F.col("x.u").alias("us"), F.col("x.c").alias("cs")))
-    none, n = F.array().cast("array<bigint>"), F.size("us")
-    own = F.size(F.filter("us", lambda u: u != ROOT)).cast("long")
-    c = F.aggregate("cs", F.lit(0).cast("long"), lambda a, x: a + x)
-    direct = c - F.aggregate(F.zip_with("us", "cs", lambda u, x: F.when(u != ROOT, x).otherwise(F.lit(0).cast("long"))),
-                             F.lit(0).cast("long"), lambda a, x: a + x)
-    seating = materialize(words.select(
-        "w", "us", "cs", (direct + own).alias("c0"), F.lit(1).cast("long").alias("t0"),
-        F.transform("us", lambda u: F.lit(1).cast("long")).alias("ts"),  # a table a dish to begin with
-        F.array_repeat(F.lit(0).cast("long"), n).alias("tsum"), none.alias("c0s"), none.alias("t0s")), "py-seating")
-    entries = F.explode(F.arrays_zip("us", "cs"))
-    each = seating.select(entries.alias("x")).select("x.us", "x.cs").groupBy("us").agg(
-        F.sum("cs").alias("c"), F.count_if(F.col("cs") == 1).alias("once"), F.count_if(F.col("cs") == 2).alias("twice")).collect()
-    root = seating.select(c.alias("c")).agg(F.count(F.lit(1)).alias("v"), F.count_if(F.col("c") == 1).alias("once"),
-                                            F.count_if(F.col("c") == 2).alias("twice")).first()
-    customers = [0] * (len(contexts) + 1)
-    for r in each:
-        if r["us"] != ROOT:
-            customers[r["us"]] = r["c"]
-    d = _discount(sum(r["once"] for r in each if r["us"] != ROOT), sum(r["twice"] for r in each if r["us"] != ROOT))
-    d0 = _discount(root["once"], root["twice"])
-    state = {"d": d, "d0": d0, "kinds": root["v"] + 1} | _totals(seating, len(contexts))
-    kept = []
+    text = docs.select(docs["text"].cast("string").alias("text"), F.coalesce(learn, F.lit(False)).alias("learn"))
+    counts = materialize(text.mapInArrow(_count, "pair boolean, key long, c long, asked boolean")
+                         .groupBy("pair", "key").agg(F.sum("c").alias("c"), F.max("asked").alias("asked")), "py-counts")
+    words = counts.filter(~F.col("pair")).select(F.col("key").alias("w"), "c")
+    pairs = _cells(counts.filter("pair and c > 0").select("key", F.col("c").alias("n"), "asked"))
+    every = words.filter(F.col("w") != START)
+    got = every.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v"), F.count_if(F.col("c") == 1).alias("once"),
+                    F.count_if(F.col("c") == 2).alias("twice")).first()
+    total, kinds = got["n"] or 0, got["v"]
+    d0 = _discount(got["once"], got["twice"])
+    got = pairs.agg(F.count_if(F.col("n") == 1).alias("once"), F.count_if(F.col("n") == 2).alias("twice")).first()
+    d = _discount(got["once"], got["twice"])
+    ones, none = F.count_if(F.col("n") == 1).alias("ones"), F.array().cast("array<bigint>")
+    contexts = materialize(pairs.groupBy("u").agg(F.sum("n").alias("k"), ones, F.count(F.lit(1)).alias("t"))
+                           .withColumn("ts", none), "py-contexts")
+    root = materialize(pairs.groupBy("w").agg(F.sum("n").alias("c"), ones, F.count(F.lit(1)).alias("n"))
+                       .withColumns({"t": F.lit(1).cast("long"), "ns": none, "ts": none}), "py-root")
+    many = materialize(pairs.filter("n > 1").select("key", "n", F.lit(0).cast("long").alias("sum")), "py-pairs")
+    cells = root.count() + 1
+    hot_u, hot_w = F.col("k") * HOT >= total, F.col("c") * HOT >= total
+
+    def shared() -> tuple[float, float]:
+        """Weight of a new table in the root, and what the root's weights are divided by."""
+        r = root.agg(F.sum("n").alias("n"), F.sum("t").alias("t")).first()
+        return (ROOT_STRENGTH + d0 * (r["t"] or 0)) / cells, ROOT_STRENGTH + (r["n"] or 0)
+
+    kept, state = [], shared()
     for number in range(burn_in + samples):
         keep = number >= burn_in
-        seating = materialize(seating.mapInArrow(_sweep(number, state, keep), SEATING), f"py-sweep{number}")
-        state = state | _totals(seating, len(contexts))
+        new, over = state
+        p0 = (F.greatest(F.col("cw.n") - d0 * F.col("cw.t"), F.lit(0.0)) + new) / over
+        rows = _lookup(_lookup(_cells(many), "u", contexts.select("u", "k", "t"), hot_u, "cu"),
+                       "w", root.select("w", "c", "n", "t"), hot_w, "cw")
+        rows = rows.select("key", "n", "sum", ((STRENGTH + d * F.col("cu.t")) * p0).alias("weight"))
+        seats = materialize(_seated(rows, number, d), f"py-seats{number}")
+        many = seats.select("key", "n", (F.col("sum") + F.col("t") * int(keep)).alias("sum"))
+        after, own = _cells(seats), F.col("ones") + F.coalesce("got", F.lit(0))
+
+        def kept_too(list_col: str, value: Column, keep: bool = keep) -> Column:
+            return F.concat(list_col, F.array(value)) if keep else F.col(list_col)
+
+        contexts = materialize(contexts.drop("t").join(after.groupBy("u").agg(F.sum("t").alias("got")), "u", "left")
+                               .select("u", "k", "ones", own.alias("t"), kept_too("ts", own).alias("ts")), f"py-contexts{number}")
+        root = _seated(root.drop("n", "t").join(after.groupBy("w").agg(F.sum("t").alias("got")), "w", "left")
+                       .select("w", F.col("w").alias("key"), "c", "ones", own.alias("n"), "ns", "ts", F.lit(new).alias("weight")),
+                       1000 + number, d0)
+        root = materialize(root.select("w", "c", "ones", "n", "t", kept_too("ns", F.col("n")).alias("ns"),
+                                       kept_too("ts", F.col("t")).alias("ts")), f"py-root{number}")
+        state = shared()
         if keep:
             kept.append(state)
-    mass = [[(STRENGTH + d * t) / (STRENGTH + k) if k else 1.0 for t, k in zip(s["T"], customers, strict=True)] for s in kept]
-    unseen = [(ROOT_STRENGTH + d0 * s["T0"]) / s["kinds"] / (ROOT_STRENGTH + s["C0"]) for s in kept]
-    left = F.array(*[F.lit(float(STRENGTH + k)) for k in customers])
-    p0s = F.array(*[(F.greatest(F.get("c0s", F.lit(i)) - d0 * F.get("t0s", F.lit(i)), F.lit(0.0))
-                     + (ROOT_STRENGTH + d0 * s["T0"]) / s["kinds"]) / F.lit(float(ROOT_STRENGTH + s["C0"])) for i, s in enumerate(kept)])
-    seats = F.transform(F.arrays_zip("us", "cs", "tsum"), lambda x: F.when(
-        x["us"] != ROOT, F.greatest(x["cs"] - d * x["tsum"] / len(kept), F.lit(0.0)) / F.element_at(left, x["us"] + 1)).otherwise(F.lit(0.0)))
-    model = seating.select("w", c.alias("c"), "us", seats.alias("seats"), p0s.alias("p0s"))
-    return model, {"N": total, "V": root["v"], "contexts": contexts, "mass": mass, "unseen": unseen}
-
-
-def _head(model: DataFrame, shared: dict) -> dict:
-    """Frequent words as arrays sorted by key: at most HEAD rows, DENSE of them with a probability for each context."""
-    n, k, samples = shared["N"], len(shared["contexts"]) + 2, len(shared["mass"])
-    few = model.filter(F.col("c") * HEAD >= n)
-    got = few.select("w", "c", "p0s").toArrow()
-    order = np.argsort(got["w"].to_numpy())
-    w, c = got["w"].to_numpy()[order], got["c"].to_numpy()[order].astype(np.float64)
-    p0s = got["p0s"].combine_chunks().flatten().to_numpy().reshape(len(w), samples)[order] if len(w) else np.zeros((0, samples))
-    # mass left to the root by context number: ROOT (first), START, then the contexts
-    mass = np.concatenate((np.ones((samples, 1)), np.array(shared["mass"]).reshape(samples, -1)), 1)
-    dense = np.flatnonzero(c * DENSE >= n)
-    table = (p0s[dense] @ mass / samples).reshape(len(dense), k)
-    rows = model.filter(F.col("c") * DENSE >= n).select("w", F.explode(F.arrays_zip("us", "seats")).alias("x")).select("w", "x.us", "x.seats").toArrow()
-    at = np.searchsorted(w[dense], rows["w"].to_numpy())
-    np.add.at(table, (at, rows["us"].to_numpy() + 1), rows["seats"].to_numpy())
-    place = np.full(len(w), -1, np.int64)
-    place[dense] = np.arange(len(dense))
-    return {"w": w, "c": c, "root": np.log10(p0s.mean(axis=1)), "place": place, "table": np.log10(table), "contexts": shared["contexts"]}
+    p0s = F.array(*[(F.greatest(F.get("ns", F.lit(i)) - d0 * F.get("ts", F.lit(i)), F.lit(0.0)) + new) / over
+                    for i, (new, over) in enumerate(kept)])
+    contexts = contexts.select("u", "k", F.transform("ts", lambda t: (STRENGTH + d * t) / (STRENGTH + F.col("k"))).alias("ms"))
+    root = root.select("w", "c", p0s.alias("p0s"))
+    lone = pairs.filter("n = 1 and asked").select("key", "n", (F.lit(1.0) - d).alias("own"))
+    rows = many.select("key", "n", (F.col("n") - d * F.col("sum") / samples).alias("own")).unionByName(lone)
+    rows = _lookup(_lookup(_cells(rows), "u", contexts, hot_u, "cu"), "w", root, hot_w, "cw")
+    back, over = _back(F.col("cu.ms"), F.col("cw.p0s"), samples), STRENGTH + F.col("cu.k")
+    p = F.col("own") / over + back
+    model = materialize(rows.select("key", "n", F.log10(p / ((1.0 - d) / over + back)).cast("float").alias("more"),
+                                    F.log10(p / back).cast("float").alias("most")), "py-model")
+    start = contexts.filter(F.col("u") == START)
+    cell = F.col("w").bitwiseAND(F.lit(0xFFFFFFFF))
+    table = every.withColumn("cell", cell).join(root.select(F.col("w").alias("cell"), "p0s"), "cell", "left").join(
+        contexts.withColumnRenamed("u", "cell"), "cell", "left").select("w", "c", "p0s", "k", "ms")
+    table = table.unionByName(start.select(F.lit(START).cast("long").alias("w"), F.col("k").alias("c"),
+                                           F.lit(None).cast("array<double>").alias("p0s"), "k", "ms"))
+    return {"words": materialize(table, "py-words"), "pairs": model, "N": total, "V": kinds, "d": d, "samples": samples,
+            "unseen": [new / over for new, over in kept]}
+
+
+def _back(ms: Column, p0s: Column, samples: int) -> Column:
+    """What the root adds: mass times probability, averaged over the samples."""
+    return F.aggregate(F.zip_with(ms, p0s, lambda m, p: m * p), F.lit(0.0), lambda a, x: a + x) / samples
+
+
+def _head(model: dict) -> dict:
+    """Frequent words and pairs as arrays sorted by key: at most HEAD rows each."""
+    n, s = model["N"], model["samples"]
+    words = model["words"].filter(F.col("c") * HEAD >= n).select(
+        "w", "c", F.coalesce("k", F.lit(0)).alias("k"),
+        F.coalesce("p0s", F.array(*[F.lit(x) for x in model["unseen"]])).alias("p0s"),
+        F.coalesce("ms", F.array_repeat(F.lit(1.0), s)).alias("ms")).toArrow().sort_by("w").combine_chunks()
+    pairs = model["pairs"].filter(F.col("n") * HEAD >= n).select("key", "more", "most").toArrow().sort_by("key").combine_chunks()
+    out = {x: words[x].to_numpy() for x in ("w", "c", "k")} | {x: pairs[x].to_numpy() for x in ("key", "more", "most")}
+    for x in ("p0s", "ms"):
+        out[x] = np.asarray(words[x].combine_chunks().flatten()).reshape(len(out["w"]), s)
+    return out | {"d": model["d"]}
+
+
+def _place(keys: np.ndarray, among: np.ndarray) -> np.ndarray:
+    """Place of each key among the sorted ones, or -1."""
+    if not len(among):
+        return np.full(len(keys), -1, np.int64)
+    at = np.minimum(np.searchsorted(among, keys), len(among) - 1)
+    return np.where(among[at] == keys, at, -1)
 
 
 def _score_head(shared):
-    """Batches (_row, text) to sums over the tokens that the head settles, and the tokens that it leaves."""
+    """Batches (_row, text, learn) to sums over the tokens whose words the head knows, and the tokens that it leaves."""
     def run(batches):
         m = shared.value
         for batch in chunks(batches):
             keys, code, prev, row = _tokens(batch["text"])
-            n = batch.num_rows
-            at = np.minimum(np.searchsorted(m["w"], keys), max(len(m["w"]) - 1, 0))
-            known = (m["w"][at] == keys) if len(m["w"]) else np.zeros(len(keys), bool)
-            dense = np.where(known, m["place"][at], -1) if len(m["w"]) else np.full(len(keys), -1)
-            of = np.concatenate((_context_of(keys, m["contexts"]), [START]))
-            u = of[prev]
-            full, head = dense[code] >= 0, known[code] & (u == ROOT)
-            done = full | head
+            n, learn = batch.num_rows, batch["learn"].to_numpy(zero_copy_only=False)[row]
+            at = _place(np.concatenate((keys, np.array([START], np.int64))), m["w"])
+            w, u = at[code], at[prev]
+            done = (w >= 0) & (u >= 0)
+            w, u = w[done], u[done]
+            p = sum((m["ms"][u, i] * m["p0s"][w, i] for i in range(m["ms"].shape[1])), np.zeros(len(w))) / m["ms"].shape[1]
             logp, logc = np.zeros(len(code)), np.zeros(len(code))
-            logp[full] = m["table"][dense[code[full]], u[full] + 1]
-            only = head & ~full
-            logp[only] = m["root"][at[code[only]]]
-            logc[done] = np.log10(m["c"][at[code[done]]] + 1)
+            logp[done] = np.log10(p + learn[done] * (1.0 - m["d"]) / (STRENGTH + m["k"][u]))
+            logc[done] = np.log10(m["c"][w] + 1)
+            pair = _place(_pairs(keys, code, prev), m["key"])
+            known = np.flatnonzero(pair >= 0)
+            logp[known] += np.where(learn[known], m["more"][pair[known]], m["most"][pair[known]])
             rest = np.flatnonzero(~done)
             offsets = pa.array(np.concatenate((np.zeros(1, np.int64), np.cumsum(np.bincount(row[rest], minlength=n)))).astype(np.int32))
+            before = np.concatenate((keys, np.array([START], np.int64)))[prev[rest]]
             yield pa.RecordBatch.from_arrays(
                 [batch["_row"], pa.array(np.bincount(row, minlength=n)), pa.array(np.bincount(row[done], minlength=n)),
                  pa.array(np.bincount(row, logp, n)), pa.array(np.bincount(row, logc, n)),
                  pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(
-                     [pa.array(keys[code[rest]]), pa.array(u[rest].astype(np.int32))], names=["w", "u"]))],
+                     [pa.array(keys[code[rest]]), pa.array(before)], names=["w", "u"]))],
                 names=["_row", "n_tokens", "n_known", "logp", "logc", "rest"])
     return run
 
 
+def _ask(shared):
+    """(id, key): the pairs of each text that the head does not know."""
+    def run(batches):
+        m = shared.value
+        for batch in chunks(batches):
+            keys, code, prev, row = _tokens(batch["text"])
+            key = _pairs(keys, code, prev)
+            open_ = np.flatnonzero(_place(key, m["key"]) < 0)
+            yield pa.RecordBatch.from_arrays([pa.array(np.asarray(batch["id"])[row[open_]]), pa.array(key[open_])], names=["id", "key"])
+    return run
+
+
 def score(docs: DataFrame, learn: Column, **kw) -> DataFrame:
     """The documents with n_tokens, n_known, train_tokens, base_score and score; the model learns where ``learn`` holds.
 
     ``base_score`` is the add-one unigram's, ``score`` the model's log10 probability of the text.
     """
-    model, shared = fit(docs.filter(learn), **kw)
-    model = materialize(model, "py-model")
-    samples, n_all, kinds = len(shared["mass"]), shared["N"], shared["V"]
-    head = docs.sparkSession.sparkContext.broadcast(_head(model, shared))
+    model = fit(docs, learn, **kw)
+    samples, n_all, kinds, d = model["samples"], model["N"], model["V"], model["d"]
+    head = docs.sparkSession.sparkContext.broadcast(_head(model))
+    learned, text = F.coalesce(learn, F.lit(False)), docs["text"].cast("string")
+    # the last bit of a text's id tells whether it was learned from
+    text_id = F.shiftleft(F.xxhash64(F.coalesce(text, F.lit(""))), 1).bitwiseOR(learned.cast("long"))
     own = F.struct(*[docs[c] for c in docs.columns if c != "text"])
-    rows = docs.select(F.struct(F.monotonically_increasing_id().alias("n"), own.alias("own")).alias("_row"),
-                       docs["text"].cast("string").alias("text"))
+    rows = docs.select(F.struct(text_id.alias("id"), own.alias("own")).alias("_row"), text.alias("text"), learned.alias("learn"))
     part = materialize(rows.mapInArrow(_score_head(head), (
         f"_row {rows.schema['_row'].dataType.simpleString()}, n_tokens long, n_known long, logp double, logc double, "
-        "rest array<struct<w:bigint,u:int>>")), "py-head")
-    asked = part.select(F.col("_row.n").alias("n"), F.explode("rest").alias("x")).select("n", "x.w", "x.u")
-    got = asked.join(model, "w", "left")
-    here = F.array_position("us", F.col("u")).cast("int")
-    own = F.when((F.col("u") != ROOT) & (here > 0), F.element_at("seats", here)).otherwise(F.lit(0.0))
-    masses = [F.array(F.lit(1.0), *[F.lit(float(x)) for x in m]) for m in shared["mass"]]
-    back = sum((F.element_at(m, F.col("u") + 2) * F.coalesce(F.get("p0s", F.lit(i)), F.lit(float(shared["unseen"][i])))
-                for i, m in enumerate(masses)), F.lit(0.0)) / samples
-    sums = got.select("n", F.log10(own + back).alias("p"), F.log10(F.coalesce("c", F.lit(0)) + 1).alias("c"),
-                      F.when(F.col("c") > 0, 1).otherwise(0).alias("k")).groupBy("n").agg(
-        F.sum("p").alias("p"), F.sum("c").alias("c"), F.sum("k").alias("k"))
-    out = part.drop("rest").join(sums, F.col("_row.n") == F.col("n"), "left")
+        "rest array<struct<w:bigint,u:bigint>>")), "py-head")
+    hot, words = F.col("c") * HOT >= n_all, model["words"]
+    left = part.select(F.col("_row.id").alias("id"), F.explode("rest").alias("x")).select("id", "x.w", "x.u")
+    left = _lookup(_lookup(left, "w", words.select("w", "c", "p0s"), hot, "cw"), "u",
+                   words.select(F.col("w").alias("u"), "c", "k", "ms"), hot, "cu")
+    # a lone start has no p0s of its own, an end no ms
+    back = _back(F.coalesce("cu.ms", F.array_repeat(F.lit(1.0), samples)),
+                 F.coalesce("cw.p0s", F.array(*[F.lit(x) for x in model["unseen"]])), samples)
+    once = F.when(F.col("id").bitwiseAND(F.lit(1)) == 1, (1.0 - d) / (STRENGTH + F.coalesce("cu.k", F.lit(0)))).otherwise(F.lit(0.0))
+    left = left.select("id", F.log10(back + once).alias("p"), F.log10(F.coalesce("cw.c", F.lit(0)) + 1).alias("c"),
+                       F.when(F.col("cw.c") > 0, 1).otherwise(0).alias("k"))
+    asked = rows.select("_row.id", "text").mapInArrow(_ask(head), "id long, key long").join(
+        model["pairs"].filter(F.col("n") * HEAD < n_all), "key").select(
+        "id", F.when(F.col("id").bitwiseAND(F.lit(1)) == 1, F.col("more")).otherwise(F.col("most")).cast("double").alias("p"),
+        F.lit(0.0).alias("c"), F.lit(0).alias("k"))
+
+    def by_text(x: DataFrame) -> DataFrame:
+        return x.groupBy("id").agg(F.sum("p").alias("p"), F.sum("c").alias("c"), F.sum("k").alias("k"))
+
+    copies = part.groupBy(F.col("_row.id").alias("id")).agg(F.count(F.lit(1)).alias("copies"))
+    sums = materialize(by_text(by_text(left).unionByName(by_text(asked))).join(copies, "id").select(
+        "id", "copies", *[(F.col(x) / F.col("copies")).alias(x) for x in "pck"]), "py-sums")
+    texts = part.count()
+    out = _lookup(part.drop("rest").withColumn("id", F.col("_row.id")), "id", sums, F.col("copies") * HOT >= texts, "s")
     zero = F.lit(0.0)
-    new = {"n_tokens": F.col("n_tokens"), "n_known": F.col("n_known") + F.coalesce("k", F.lit(0)),
+    new = {"n_tokens": F.col("n_tokens"), "n_known": F.col("n_known") + F.round(F.coalesce("s.k", zero)).cast("long"),
            "train_tokens": F.lit(n_all).cast("long"),
-           "base_score": F.col("logc") + F.coalesce("c", zero) - F.col("n_tokens") * math.log10(n_all + kinds + 1),
-           "score": F.col("logp") + F.coalesce("p", zero)}
+           "base_score": F.col("logc") + F.coalesce("s.c", zero) - F.col("n_tokens") * math.log10(n_all + kinds + 1),
+           "score": F.col("logp") + F.coalesce("s.p", zero)}
     return out.select(*[F.col("_row.own").getField(c).alias(c) for c in docs.columns if c != "text" and c not in new],
                       *[v.alias(k) for k, v in new.items()])

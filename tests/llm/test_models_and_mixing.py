@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -249,19 +250,47 @@ def test_pitman_yor_base_and_held_out(spark):
 
 def test_pitman_yor_sums_to_one_and_agrees_with_itself(spark, monkeypatch):
     docs = frame(spark, zipf_docs(80))
-    model, shared = pitman_yor.fit(docs)
-    rows, s = model.collect(), len(shared["mass"])
-    for u in range(-1, len(shared["contexts"]) + 1):
-        mass = [m[u] if u >= 0 else 1.0 for m in shared["mass"]]
-        p = sum(dict(zip(r["us"], r["seats"], strict=True)).get(u, 0.0) + sum(m * x for m, x in zip(mass, r["p0s"], strict=True)) / s for r in rows)
-        assert p + sum(m * x for m, x in zip(mass, shared["unseen"], strict=True)) / s == pytest.approx(1.0, abs=1e-6)
+    m = pitman_yor.fit(docs, ~held_column())
+    known = {r["w"]: r for r in m["words"].collect()}
+    pairs = {(r["key"] >> 32 & 0xFFFFFFFF, r["key"] & 0xFFFFFFFF): r for r in m["pairs"].collect()}
+    toks = {i: [*words(ascii_lower(t)), "\n"] for i, t in zipf_docs(80)}
+    seen = Counter((u, w) for i, t in toks.items() if not held(i) for u, w in zip(["", *t], t, strict=False))
+    assert len({u for u, _ in seen}) == sum(r["k"] is not None for r in known.values())  # a restaurant a context
+    n, s = Counter(seen.values()), m["samples"]
+    assert sum(c for c in n.values()) - n[1] == sum(r["n"] > 1 for r in pairs.values())
+    dishes = [(k & 0xFFFFFFFF, r["p0s"]) for k, r in known.items() if r["p0s"] is not None]
+    by_context = Counter(u for u, _ in seen)
+    hashes = {w: pitman_yor._tokens(pa.array([w]))[0][1] for w in by_context if w}
+    for u in by_context:
+        r = known[int(hashes[u])] if u else known[pitman_yor.START]
+        cell, total = (int(hashes[u]) if u else 0) & 0xFFFFFFFF, 0.0
+        mine = {w: c for (x, w), c in seen.items() if x == u}
+        followers = {(pitman_yor.END if w == "\n" else int(hashes[w])) & 0xFFFFFFFF: c for w, c in mine.items()}
+        for w, p0s in dishes:
+            back = sum(a * b for a, b in zip(r["ms"], p0s, strict=True)) / s
+            if (cell, w) in pairs:
+                total += back * 10 ** pairs[cell, w]["most"]
+            else:
+                total += back + (w in followers) * (1 - m["d"]) / (pitman_yor.STRENGTH + r["k"])
+        total += sum(a * b for a, b in zip(r["ms"], m["unseen"], strict=True)) / s
+        assert total == pytest.approx(1.0, abs=1e-5)
     one = {r["doc_id"]: r["score"] for r in pitman_yor.score(docs, ~held_column()).collect()}
     monkeypatch.setattr(pitman_yor, "HEAD", 50)  # nearly all tokens by the join
-    monkeypatch.setattr(pitman_yor, "DENSE", 10)
+    monkeypatch.setattr(pitman_yor, "HOT", 10)
     two = {r["doc_id"]: r["score"] for r in pitman_yor.score(docs.repartition(5), ~held_column()).collect()}
     assert one == pytest.approx(two)
 
 
+def test_pitman_yor_copies_share_their_score_and_repeats_help(spark):
+    rows = zipf_docs(60)
+    i, text = next((i, t) for i, t in rows if len(t) > 80 and not held(i))
+    others = [j for j in range(1000, 1020) if not held(j)][:3]
+    got = {r["doc_id"]: r for r in pitman_yor.score(frame(spark, rows + [(j, text) for j in others]), ~held_column()).collect()}
+    assert len({got[j]["score"] for j in (i, *others)}) == 1 and len({got[j]["n_known"] for j in (i, *others)}) == 1
+    alone = {r["doc_id"]: r for r in pitman_yor.score(frame(spark, rows), ~held_column()).collect()}
+    assert got[i]["score"] > alone[i]["score"]
+
+
 def test_seating_follows_the_restaurant_process():
     key = np.arange(4000, dtype=np.uint64) * np.uint64(7919)
     t = pitman_yor.seat(np.full(4000, 100), np.full(4000, 2.0), 0.5, key)
