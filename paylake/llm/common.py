@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylake.session import work_path
+from paylake.session import remove, work_path
 
 #: Rows that Spark hands to Python at once; texts are long, so fewer than the default.
 ARROW_ROWS = 2000
@@ -43,6 +43,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*written: DataFrame) -> None:
+    """Remove the folders of frames that ``materialize`` gave, once nothing will read them again."""
+    for df in written:
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            remove(df.sparkSession, folder)
+
+
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, rk, text): ``rk`` tells rows apart that share an id but not the text.
 

@@ -33,10 +33,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paylake.llm.common import KEY_A, LOWER, chunks, lowered, materialize, mix, split_words, word_hashes
+from paylake.llm.common import KEY_A, LOWER, chunks, discard, lowered, materialize, mix, split_words, word_hashes
 
-#: Least shares (one in ...) of words and pairs that are broadcast for scoring, and of keys broadcast in joins.
-HEAD, HOT = 1 << 21, 1 << 16
+#: Least shares (one in ...) of words broadcast for scoring, of pairs and cells broadcast, and of keys broadcast in joins.
+WORDS, HEAD, HOT = 1 << 22, 1 << 21, 1 << 16
+#: Rows seated at once in a task.
+ROWS = 1 << 18
 #: Sweeps before sampling, sweeps averaged, strengths of contexts and root.
 BURN_IN, SAMPLES, STRENGTH, ROOT_STRENGTH = 1, 2, 1.0, 10.0
 #: Customers that sit down at a time: one in STEP of those seated, at least one.
@@ -141,20 +143,84 @@ def seat(c: np.ndarray, new: np.ndarray, d: float, key: np.ndarray) -> np.ndarra
     return np.minimum(t, c)
 
 
-def _seat_rows(number: int, discount: float):
-    """Rows (key, n, weight) with the column t, the tables of their n customers."""
+def _together(batches):
+    """Batches of about ROWS rows."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= ROWS:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
+def _split_key(batch) -> tuple[np.ndarray, np.ndarray]:
+    key = np.asarray(batch["key"]).view(np.uint64)
+    return (key >> np.uint64(32)).astype(np.int64), (key & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
+
+def _known(shared):
+    """Rows (key, ...) with the column known: both cells are among the frequent ones."""
     def run(batches):
         for batch in batches:
+            u, w = _split_key(batch)
+            known = (_place(u, shared.value["u"]) >= 0) & (_place(w, shared.value["w"]) >= 0)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(known)], names=[*batch.schema.names, "known"])
+    return run
+
+
+def _seat_rows(number: int, discount: float, shared=None):
+    """Rows (key, n, weight) with the column t, the tables of their n customers; known rows get their weight here."""
+    def run(batches):
+        for batch in _together(batches):
+            if shared is None:
+                weight = np.asarray(batch["weight"])
+            else:
+                u, w = _split_key(batch)
+                m = shared.value
+                weight = (STRENGTH + discount * m["t"][_place(u, m["u"])]) * m["p0"][_place(w, m["w"])]
             key = mix(np.asarray(batch["key"]).view(np.uint64) + np.uint64(number << 40))
-            t = seat(np.asarray(batch["n"]), np.asarray(batch["weight"]), discount, key).astype(np.int64)
+            t = seat(np.asarray(batch["n"]), weight, discount, key).astype(np.int64)
             kept = [x for x in batch.schema.names if x != "weight"]
             yield pa.RecordBatch.from_arrays([*(batch[x] for x in kept), pa.array(t)], names=[*kept, "t"])
     return run
 
 
-def _seated(rows: DataFrame, number: int, discount: float) -> DataFrame:
+def _seated(rows: DataFrame, number: int, discount: float, shared=None) -> DataFrame:
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "weight")
-    return rows.mapInArrow(_seat_rows(number, discount), f"{kept}, t long")
+    return rows.mapInArrow(_seat_rows(number, discount, shared), f"{kept}, t long")
+
+
+def _gains(shared, d: float):
+    """Known rows (key, n, own) to (key, n, more, most)."""
+    def run(batches):
+        m = shared.value
+        for batch in batches:
+            u, w = _split_key(batch)
+            u, w = _place(u, m["u"]), _place(w, m["w"])
+            back = (m["ms"][u] * m["p0s"][w]).mean(axis=1)
+            over = STRENGTH + m["k"][u]
+            p = np.asarray(batch["own"]) / over + back
+            yield pa.RecordBatch.from_arrays(
+                [batch["key"], batch["n"], pa.array(np.log10(p / ((1.0 - d) / over + back)).astype(np.float32)),
+                 pa.array(np.log10(p / back).astype(np.float32))], names=["key", "n", "more", "most"])
+    return run
+
+
+def _arrays(rows: DataFrame, key: str) -> dict:
+    """The columns of rows (at most HEAD or WORDS by their share) as arrays sorted by key; lists become two-dimensional."""
+    got = rows.toArrow().sort_by(key).combine_chunks()
+    out = {}
+    for x in got.schema.names:
+        column = got[x].combine_chunks()
+        if pa.types.is_list(column.type):
+            flat = np.asarray(column.flatten())
+            out[x] = flat.reshape(len(got), len(flat) // len(got) if len(got) else 1)
+        else:
+            out[x] = column.to_numpy(zero_copy_only=False)
+    return out
 
 
 def _lookup(rows: DataFrame, key: str, table: DataFrame, hot: Column, to: str) -> DataFrame:
@@ -201,9 +267,20 @@ def fit(docs: DataFrame, learn: Column, burn_in: int = BURN_IN, samples: int = S
                            .withColumn("ts", none), "py-contexts")
     root = materialize(pairs.groupBy("w").agg(F.sum("n").alias("c"), ones, F.count(F.lit(1)).alias("n"))
                        .withColumns({"t": F.lit(1).cast("long"), "ns": none, "ts": none}), "py-root")
-    many = materialize(pairs.filter("n > 1").select("key", "n", F.lit(0).cast("long").alias("sum")), "py-pairs")
     cells = root.count() + 1
     hot_u, hot_w = F.col("k") * HOT >= total, F.col("c") * HOT >= total
+    often_u, often_w = F.col("k") * HEAD >= total, F.col("c") * HEAD >= total
+
+    def share(of_u: DataFrame, of_w: DataFrame):
+        """The frequent cells' columns, broadcast."""
+        return docs.sparkSession.sparkContext.broadcast(_arrays(of_u, "u") | _arrays(of_w, "w"))
+
+    found = share(contexts.filter(often_u).select("u"), root.filter(often_w).select("w"))
+    rows = pairs.filter("n > 1 or asked").select("key", "n").mapInArrow(_known(found), "key long, n long, known boolean")
+    rows = materialize(rows.withColumn("sum", F.lit(0).cast("long")), "py-pairs")
+    many, lone = rows.filter("n > 1"), rows.filter("n = 1")
+    found.unpersist()
+    written = [rows]
 
     def shared() -> tuple[float, float]:
         """Weight of a new table in the root, and what the root's weights are divided by."""
@@ -215,16 +292,21 @@ def fit(docs: DataFrame, learn: Column, burn_in: int = BURN_IN, samples: int = S
         keep = number >= burn_in
         new, over = state
         p0 = (F.greatest(F.col("cw.n") - d0 * F.col("cw.t"), F.lit(0.0)) + new) / over
-        rows = _lookup(_lookup(_cells(many), "u", contexts.select("u", "k", "t"), hot_u, "cu"),
+        found = share(contexts.filter(often_u).select("u", "t"), root.filter(often_w).select(
+            "w", F.struct("n", "t").alias("cw")).select("w", p0.alias("p0")))
+        rows = _lookup(_lookup(_cells(many.filter("not known")), "u", contexts.select("u", "k", "t"), hot_u, "cu"),
                        "w", root.select("w", "c", "n", "t"), hot_w, "cw")
-        rows = rows.select("key", "n", "sum", ((STRENGTH + d * F.col("cu.t")) * p0).alias("weight"))
-        seats = materialize(_seated(rows, number, d), f"py-seats{number}")
-        many = seats.select("key", "n", (F.col("sum") + F.col("t") * int(keep)).alias("sum"))
+        rows = rows.select("key", "n", "known", "sum", ((STRENGTH + d * F.col("cu.t")) * p0).alias("weight"))
+        seats = materialize(_seated(many.filter("known"), number, d, found).unionByName(_seated(rows, number, d)), f"py-seats{number}")
+        found.unpersist()
+        many = seats.select("key", "n", "known", (F.col("sum") + F.col("t") * int(keep)).alias("sum"))
         after, own = _cells(seats), F.col("ones") + F.coalesce("got", F.lit(0))
 
         def kept_too(list_col: str, value: Column, keep: bool = keep) -> Column:
             return F.concat(list_col, F.array(value)) if keep else F.col(list_col)
 
+        before = [contexts, root, *written[1:]]
+        written = [written[0], seats]
         contexts = materialize(contexts.drop("t").join(after.groupBy("u").agg(F.sum("t").alias("got")), "u", "left")
                                .select("u", "k", "ones", own.alias("t"), kept_too("ts", own).alias("ts")), f"py-contexts{number}")
         root = _seated(root.drop("n", "t").join(after.groupBy("w").agg(F.sum("t").alias("got")), "w", "left")
@@ -232,27 +314,35 @@ def fit(docs: DataFrame, learn: Column, burn_in: int = BURN_IN, samples: int = S
                        1000 + number, d0)
         root = materialize(root.select("w", "c", "ones", "n", "t", kept_too("ns", F.col("n")).alias("ns"),
                                        kept_too("ts", F.col("t")).alias("ts")), f"py-root{number}")
+        discard(*before)
         state = shared()
         if keep:
             kept.append(state)
     p0s = F.array(*[(F.greatest(F.get("ns", F.lit(i)) - d0 * F.get("ts", F.lit(i)), F.lit(0.0)) + new) / over
                     for i, (new, over) in enumerate(kept)])
+    last = contexts, root
     contexts = contexts.select("u", "k", F.transform("ts", lambda t: (STRENGTH + d * t) / (STRENGTH + F.col("k"))).alias("ms"))
     root = root.select("w", "c", p0s.alias("p0s"))
-    lone = pairs.filter("n = 1 and asked").select("key", "n", (F.lit(1.0) - d).alias("own"))
-    rows = many.select("key", "n", (F.col("n") - d * F.col("sum") / samples).alias("own")).unionByName(lone)
-    rows = _lookup(_lookup(_cells(rows), "u", contexts, hot_u, "cu"), "w", root, hot_w, "cw")
+    rows = many.select("key", "n", "known", (F.col("n") - d * F.col("sum") / samples).alias("own")).unionByName(
+        lone.select("key", "n", "known", (F.lit(1.0) - d).alias("own")))
+    found = share(contexts.filter(often_u), root.filter(often_w).select("w", "p0s"))
+    known = rows.filter("known").select("key", "n", "own").mapInArrow(_gains(found, d), "key long, n long, more float, most float")
+    rows = _lookup(_lookup(_cells(rows.filter("not known")), "u", contexts, hot_u, "cu"), "w", root, hot_w, "cw")
     back, over = _back(F.col("cu.ms"), F.col("cw.p0s"), samples), STRENGTH + F.col("cu.k")
     p = F.col("own") / over + back
-    model = materialize(rows.select("key", "n", F.log10(p / ((1.0 - d) / over + back)).cast("float").alias("more"),
-                                    F.log10(p / back).cast("float").alias("most")), "py-model")
+    model = materialize(known.unionByName(rows.select(
+        "key", "n", F.log10(p / ((1.0 - d) / over + back)).cast("float").alias("more"),
+        F.log10(p / back).cast("float").alias("most"))), "py-model")
+    found.unpersist()
     start = contexts.filter(F.col("u") == START)
     cell = F.col("w").bitwiseAND(F.lit(0xFFFFFFFF))
     table = every.withColumn("cell", cell).join(root.select(F.col("w").alias("cell"), "p0s"), "cell", "left").join(
         contexts.withColumnRenamed("u", "cell"), "cell", "left").select("w", "c", "p0s", "k", "ms")
     table = table.unionByName(start.select(F.lit(START).cast("long").alias("w"), F.col("k").alias("c"),
                                            F.lit(None).cast("array<double>").alias("p0s"), "k", "ms"))
-    return {"words": materialize(table, "py-words"), "pairs": model, "N": total, "V": kinds, "d": d, "samples": samples,
+    table = materialize(table, "py-words")
+    discard(counts, last[0], last[1], *written)
+    return {"words": table, "pairs": model, "N": total, "V": kinds, "d": d, "samples": samples,
             "unseen": [new / over for new, over in kept]}
 
 
@@ -264,15 +354,12 @@ def _back(ms: Column, p0s: Column, samples: int) -> Column:
 def _head(model: dict) -> dict:
     """Frequent words and pairs as arrays sorted by key: at most HEAD rows each."""
     n, s = model["N"], model["samples"]
-    words = model["words"].filter(F.col("c") * HEAD >= n).select(
+    words = model["words"].filter(F.col("c") * WORDS >= n).select(
         "w", "c", F.coalesce("k", F.lit(0)).alias("k"),
-        F.coalesce("p0s", F.array(*[F.lit(x) for x in model["unseen"]])).alias("p0s"),
-        F.coalesce("ms", F.array_repeat(F.lit(1.0), s)).alias("ms")).toArrow().sort_by("w").combine_chunks()
-    pairs = model["pairs"].filter(F.col("n") * HEAD >= n).select("key", "more", "most").toArrow().sort_by("key").combine_chunks()
-    out = {x: words[x].to_numpy() for x in ("w", "c", "k")} | {x: pairs[x].to_numpy() for x in ("key", "more", "most")}
-    for x in ("p0s", "ms"):
-        out[x] = np.asarray(words[x].combine_chunks().flatten()).reshape(len(out["w"]), s)
-    return out | {"d": model["d"]}
+        F.coalesce("p0s", F.array(*[F.lit(x) for x in model["unseen"]])).cast("array<float>").alias("p0s"),
+        F.coalesce("ms", F.array_repeat(F.lit(1.0), s)).cast("array<float>").alias("ms"))
+    pairs = model["pairs"].filter(F.col("n") * HEAD >= n).select("key", "more", "most")
+    return _arrays(words, "w") | _arrays(pairs, "key") | {"d": model["d"]}
 
 
 def _place(keys: np.ndarray, among: np.ndarray) -> np.ndarray:
@@ -330,6 +417,16 @@ def score(docs: DataFrame, learn: Column, **kw) -> DataFrame:
 
     ``base_score`` is the add-one unigram's, ``score`` the model's log10 probability of the text.
     """
+    conf, cleaned = docs.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(cleaned)
+    conf.set(cleaned, "true")  # each step is written as a table, so its shuffle files can go at once
+    try:
+        return _score(docs, learn, **kw)
+    finally:
+        conf.set(cleaned, before)
+
+
+def _score(docs: DataFrame, learn: Column, **kw) -> DataFrame:
     model = fit(docs, learn, **kw)
     samples, n_all, kinds, d = model["samples"], model["N"], model["V"], model["d"]
     head = docs.sparkSession.sparkContext.broadcast(_head(model))
@@ -362,6 +459,7 @@ def score(docs: DataFrame, learn: Column, **kw) -> DataFrame:
     copies = part.groupBy(F.col("_row.id").alias("id")).agg(F.count(F.lit(1)).alias("copies"))
     sums = materialize(by_text(by_text(left).unionByName(by_text(asked))).join(copies, "id").select(
         "id", "copies", *[(F.col(x) / F.col("copies")).alias(x) for x in "pck"]), "py-sums")
+    discard(model["words"], model["pairs"])
     texts = part.count()
     out = _lookup(part.drop("rest").withColumn("id", F.col("_row.id")), "id", sums, F.col("copies") * HOT >= texts, "s")
     zero = F.lit(0.0)

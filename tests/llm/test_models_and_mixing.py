@@ -276,6 +276,7 @@ def test_pitman_yor_sums_to_one_and_agrees_with_itself(spark, monkeypatch):
         assert total == pytest.approx(1.0, abs=1e-5)
     one = {r["doc_id"]: r["score"] for r in pitman_yor.score(docs, ~held_column()).collect()}
     monkeypatch.setattr(pitman_yor, "HEAD", 50)  # nearly all tokens by the join
+    monkeypatch.setattr(pitman_yor, "WORDS", 50)
     monkeypatch.setattr(pitman_yor, "HOT", 10)
     two = {r["doc_id"]: r["score"] for r in pitman_yor.score(docs.repartition(5), ~held_column()).collect()}
     assert one == pytest.approx(two)
