@@ -457,9 +457,11 @@ def _score(docs: DataFrame, learn: Column, **kw) -> DataFrame:
         return x.groupBy("id").agg(F.sum("p").alias("p"), F.sum("c").alias("c"), F.sum("k").alias("k"))
 
     copies = part.groupBy(F.col("_row.id").alias("id")).agg(F.count(F.lit(1)).alias("copies"))
-    sums = materialize(by_text(by_text(left).unionByName(by_text(asked))).join(copies, "id").select(
+    # one after the other, so that their shuffles need not lie on disk together
+    left, asked = materialize(by_text(left), "py-left"), materialize(by_text(asked), "py-asked")
+    sums = materialize(by_text(left.unionByName(asked)).join(copies, "id").select(
         "id", "copies", *[(F.col(x) / F.col("copies")).alias(x) for x in "pck"]), "py-sums")
-    discard(model["words"], model["pairs"])
+    discard(model["words"], model["pairs"], left, asked)
     texts = part.count()
     out = _lookup(part.drop("rest").withColumn("id", F.col("_row.id")), "id", sums, F.col("copies") * HOT >= texts, "s")
     zero = F.lit(0.0)
