@@ -59,3 +59,8 @@ def test_forest_does_not_depend_on_the_input_layout(spark):
     tx = fx.transactions(spark, SF_SMALL)
     got = [ML.train(tx.repartition(n), {"numTrees": 5})[0].stages[-1].featureImportances for n in (2, 7)]
     assert got[0] == got[1]
+
+
+def test_a_fit_keeps_each_rows_node_between_levels():
+    forest = ML.forest_pipeline().getStages()[-1]
+    assert forest.getCacheNodeIds() and forest.getCheckpointInterval() == -1
