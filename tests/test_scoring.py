@@ -64,3 +64,37 @@ def test_forest_does_not_depend_on_the_input_layout(spark):
 def test_a_fit_keeps_each_rows_node_between_levels():
     forest = ML.forest_pipeline().getStages()[-1]
     assert forest.getCacheNodeIds() and forest.getCheckpointInterval() == -1
+
+
+def test_bundles_hold_every_row_with_its_weight(spark):
+    feats = FE.with_weights(FE.build(fx.transactions(spark, SF_SMALL), 0.0))
+    feats = feats.unionByName(feats).unionByName(feats).unionByName(feats).unionByName(feats).unionByName(feats)
+    binned = ML.binner(feats).transform(feats)
+    assert max(r[0] for r in binned.select("amount_bin").distinct().collect()) <= ML.BINS - 1
+    same = [c for c in ML.bundles(binned, 5).columns if c not in ("weight", "part")]
+
+    def sums(df):
+        return {tuple(r)[:-1]: round(r["w"], 6) for r in df.groupBy(*same).agg(F.sum("weight").alias("w")).collect()}
+
+    got = ML.bundles(binned, 5)
+    assert sums(got) == sums(binned)
+    most = binned.groupBy(*same).count().join(got.groupBy(*same).agg(F.count(F.lit(1)).alias("made")), same)
+    assert most.filter("made != greatest(ceil(count / 5), least(count, 4))").count() == 0
+    assert got.count() < feats.count()
+
+
+def test_a_bundled_fit_scores_as_one_of_single_rows_does(spark):
+    tx = fx.transactions(spark, "/root/testdata/sf0.01")
+    auc = [ML.M.roc_pr(ML.train(tx, {"numTrees": 20}, limit=n)[1], "fraud_proba", ML.LABEL).first()["roc_auc"] for n in (1 << 20, 4000)]
+    assert min(auc) > 0.97 and abs(auc[0] - auc[1]) < 0.02
+    model, pred, thr = ML.train(tx, {"numTrees": 5}, limit=4000)
+    assert model.stages[0].getInputCols() == list(ML.BINNED) and len(model.stages[-1].featureImportances) == 14
+    miss = ML.score(model, FE.records_frame(spark, [{"id": "x", "amount": None, "currency_code": "EUR"}]), thr, as_of="2024-01-01 03:00:00").first()
+    assert miss.fraud_proba is None
+
+
+def test_folds_over_bundles_are_whole(spark):
+    tx = fx.transactions(spark, SF_SMALL)
+    one, more = (ML.cross_validate(tx, {"numTrees": 5}, limit=n).orderBy("fold").collect() for n in (1 << 20, 300))
+    assert [(r.fold, r.n_rows, r.n_fraud) for r in one] == [(r.fold, r.n_rows, r.n_fraud) for r in more]
+    assert all(0.5 < r.roc_auc <= 1 for r in more)
