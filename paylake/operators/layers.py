@@ -27,11 +27,16 @@ RATIO, FAN_IN = 4, 4
 
 
 class Layers:
-    """``schema`` of a layer row, its ``keys``, and ``merge``: column name to aggregate."""
+    """``schema`` of a layer row, its ``keys``, and ``merge``: column name to aggregate.
+
+    ``form`` may give a shorter form in which rows are stored and moved: its schema, and the
+    functions that put rows into it and back.
+    """
 
     def __init__(self, spark: SparkSession, root: str, schema: StructType, keys: list[str],
-                 merge: Callable[[str], Column], ratio: float = RATIO):
+                 merge: Callable[[str], Column], ratio: float = RATIO, form: tuple[StructType, Callable, Callable] | None = None):
         self.spark, self.root, self.schema, self.keys, self.ratio = spark, root.rstrip("/"), schema, keys, ratio
+        self.form = form
         self.values = [f.name for f in schema.fields if f.name not in keys]
         self._merge = merge
 
@@ -54,9 +59,18 @@ class Layers:
 
     # -- rows ----------------------------------------------------------------
     def _rows(self, layers: list[tuple[str, int]]) -> DataFrame:
+        rows = self._stored(layers)
+        return self.form[2](rows) if self.form else rows
+
+    def _stored(self, layers: list[tuple[str, int]]) -> DataFrame:
+        schema = self.form[0] if self.form else self.schema
         if not layers:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*[f"{self.root}/data/{n}" for n, _ in layers])
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*[f"{self.root}/data/{n}" for n, _ in layers])
+
+    def _dealt(self, layers: list[tuple[str, int]]) -> DataFrame:
+        """The layers' rows ahead of their merge; dealt by key in the shorter form (a key has one row a layer at most)."""
+        return self.form[2](self._stored(layers).repartition(*self.keys)) if self.form else self._stored(layers)
 
     def merged(self, rows: DataFrame) -> DataFrame:
         """One row a key (a NULL key is one key)."""
@@ -64,7 +78,7 @@ class Layers:
 
     def read(self, before: int | None = None) -> DataFrame:
         """The state, one row a key; ``before``: as it was ahead of that batch."""
-        return self.merged(self._rows(self.layers(before)))
+        return self.merged(self._dealt(self.layers(before)))
 
     def apply(self, delta: DataFrame, batch_id: int) -> None:
         """Add the rows of a batch (one a key)."""
@@ -73,12 +87,13 @@ class Layers:
         sizes = [s for _, s in layers]
         small = next((i for i in range(len(layers) - 1) if sizes[i] < self.ratio * sum(sizes[i + 1:])), None)
         if small is not None and len(layers) - small >= FAN_IN:
-            layers[small:] = [self._write(self.merged(self._rows(layers[small:])), f"merged={batch_id}")]
+            layers[small:] = [self._write(self.merged(self._dealt(layers[small:])), f"merged={batch_id}")]
         self._commit(batch_id, layers)
 
     def _write(self, rows: DataFrame, name: str) -> tuple[str, int]:
         path = f"{self.root}/data/{name}"
-        rows.select(*[f.name for f in self.schema.fields]).write.mode("overwrite").parquet(path)
+        rows = rows.select(*[f.name for f in self.schema.fields])
+        (self.form[1](rows) if self.form else rows).write.mode("overwrite").option("compression", "zstd").parquet(path)
         return name, folder_bytes(self.spark, path)
 
     def vacuum(self) -> list[str]:

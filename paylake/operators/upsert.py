@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from paylake.operators.layers import Layers
 
@@ -45,12 +45,19 @@ def fold(changes: DataFrame, key: str, fields: list[str], order: list[str],
     a field to a boolean column telling whether the change carries it (fields
     not listed are always present).
     """
-    aggs = []
+    rows = register_rows(changes, key, fields, order, presence)
+    return rows.groupBy(key).agg(*[F.max(c).alias(c) for c in rows.columns if c != key])
+
+
+def register_rows(changes: DataFrame, key: str, fields: list[str], order: list[str],
+                  presence: dict[str, str] | None = None) -> DataFrame:
+    """The changes as rows of registers, not folded yet."""
+    out = []
     for name, group in registers(fields, presence).items():
         flag = (presence or {}).get(group[0])
         value = _register(group, order)
-        aggs.append(F.max(F.when(F.col(flag), value) if flag else value).alias(name))
-    return changes.groupBy(key).agg(*aggs)
+        out.append((F.when(F.col(flag), value) if flag else value).alias(name))
+    return changes.select(key, *out)
 
 
 def _fields(folded: DataFrame) -> dict[str, str]:
@@ -91,14 +98,39 @@ class UpsertTable:
         columns = StructType.fromDDL(schema)
         self.order = StructType.fromDDL(order)
         self.fields = [f.name for f in columns.fields if f.name != key]
+        self._own = registers(self.fields, presence)
         layer = [columns[key]]
-        for name, group in registers(self.fields, presence).items():
+        stored = [columns[key], StructField("_at", self.order), StructField("_held", LongType())]
+        for name, group in self._own.items():
             layer.append(StructField(name, StructType([StructField("at", self.order), *[columns[f] for f in group]])))
-        self.layers = Layers(spark, root, StructType(layer), [key], F.max)
+            stored += [StructField(f"_at_{name}", self.order), *[StructField(f"_f_{f}", columns[f].dataType) for f in group]]
+        self.layers = Layers(spark, root, StructType(layer), [key], F.max, form=(StructType(stored), self._pack, self._unpack))
 
     def fold(self, changes: DataFrame) -> DataFrame:
         return fold(changes, self.key, self.fields, self.order.fieldNames(), self.presence)
 
+    def register_rows(self, changes: DataFrame) -> DataFrame:
+        return register_rows(changes, self.key, self.fields, self.order.fieldNames(), self.presence)
+
+    def _pack(self, rows: DataFrame) -> DataFrame:
+        """Rows of registers with each row's newest order once.
+
+        Most registers of a row have that order, so only those that differ carry their own;
+        ``_held`` has a bit for each register that is there.
+        """
+        names = self.layers.values
+        orders = [F.col(c)["at"] for c in names]
+        newest = F.greatest(*orders) if len(orders) > 1 else orders[0]
+        held = sum((F.when(F.col(c).isNotNull(), 1 << i).otherwise(0).cast("long") for i, c in enumerate(names)), F.lit(0).cast("long"))
+        return rows.select(self.key, newest.alias("_at"), held.alias("_held"), *[
+            col for c, at in zip(names, orders, strict=True)
+            for col in (F.when(at != newest, at).alias(f"_at_{c}"), *[F.col(c)[f].alias(f"_f_{f}") for f in self._own[c]])])
+
+    def _unpack(self, packed: DataFrame) -> DataFrame:
+        return packed.select(self.key, *[F.when(F.col("_held").bitwiseAND(F.lit(1 << i)) != 0, F.struct(
+            F.coalesce(f"_at_{c}", "_at").alias("at"), *[F.col(f"_f_{f}").alias(f) for f in self._own[c]])).alias(c)
+            for i, c in enumerate(self.layers.values)])
+
     def apply(self, folded: DataFrame, batch_id: int) -> None:
         """Add a folded batch as version ``batch_id``."""
         self.layers.apply(folded, batch_id)
@@ -106,22 +138,35 @@ class UpsertTable:
     def read(self, before: int | None = None) -> DataFrame:
         return flatten(self.layers.read(before), self.key, self.fields)
 
-    def changed(self, folded: DataFrame, batch_id: int) -> DataFrame:
-        """``(key, old, new)`` rows of the keys a folded batch touches, ahead of ``batch_id``; ``old`` is NULL for a new key.
+    def beside(self, rows: DataFrame, batch_id: int) -> DataFrame:
+        """``(key, registers, _o)`` of the keys a batch touches, ahead of ``batch_id``.
 
-        The state's layers are cut down to the batch's keys before they are merged.
+        ``rows`` are the batch's rows of registers, folded or not.  They and the state's layers are
+        folded together by one aggregation, so a row moves once; ``_o`` is NULL for a new key.
         """
-        rows = self.layers._rows(self.layers.layers(batch_id))
-        keys = folded.select(F.col(self.key).alias("_k"))
-        rows = rows.join(keys, F.col(self.key).eqNullSafe(F.col("_k")), "left_semi")
-        names = self.layers.values
-        o = self.layers.merged(rows).select(F.col(self.key).alias("_ok"), F.struct(*names).alias("_o"))
-        j = folded.join(o, F.col(self.key).eqNullSafe(F.col("_ok")), "left")
-        of = _fields(folded)
+        names, none = self.layers.values, F.lit(None)
+        kinds = {f.name: f.dataType for f in self.layers.schema.fields}
+        new = rows.select(self.key, *names, *[none.cast(kinds[c]).alias(f"_o_{c}") for c in names], F.lit(True).alias("_new"))
+        old = self.layers._rows(self.layers.layers(batch_id)).select(
+            self.key, *[none.cast(kinds[c]).alias(c) for c in names], *[F.col(c).alias(f"_o_{c}") for c in names],
+            F.lit(False).alias("_new"))
+        both = new.unionByName(old).groupBy(self.key).agg(
+            *[F.max(c).alias(c) for c in (*names, *[f"_o_{c}" for c in names])],
+            F.max("_new").alias("_touched"), F.min("_new").alias("_fresh"))  # a NULL key is one key
+        before = F.when(~F.col("_fresh"), F.struct(*[F.col(f"_o_{c}").alias(c) for c in names]))
+        return both.filter("_touched").select(self.key, *names, before.alias("_o"))
+
+    def old_and_new(self, beside: DataFrame) -> DataFrame:
+        """``(key, old, new)`` rows of ``beside``'s; ``old`` is NULL for a new key."""
+        names, of = self.layers.values, _fields(beside)
         old = F.when(F.col("_o").isNotNull(), F.struct(*[F.col("_o")[of[f]][f].alias(f) for f in self.fields]))
         both = {c: F.greatest(F.col(c), F.col("_o")[c]) for c in names}
         new = F.struct(*[both[of[f]][f].alias(f) for f in self.fields])
-        return j.select(self.key, old.alias("old"), new.alias("new"))
+        return beside.select(self.key, old.alias("old"), new.alias("new"))
+
+    def changed(self, folded: DataFrame, batch_id: int) -> DataFrame:
+        """``(key, old, new)`` rows of the keys a folded batch touches, ahead of ``batch_id``; ``old`` is NULL for a new key."""
+        return self.old_and_new(self.beside(folded, batch_id))
 
 
 def diff_as_of(changes: DataFrame, key: str, fields: list[str], order: list[str],

@@ -159,3 +159,33 @@ def test_diff_as_of_equals_two_snapshot_diff(spark):
     new = U.flatten(_fold(ch), "id", FIELDS)
     two = {(r.operation, r.record_id) for r in Q.snapshot_diff(old, new, "id", "t").collect()}
     assert one == two and len(one) > 0
+
+
+def test_a_batch_beside_the_state_moves_each_row_once(spark):
+    table = _table(spark, "test-beside")
+    first = _changes(spark, [(1, 1, "a", True, "b", True), (2, 1, "c", True, None, True), (None, 1, "n", True, "n", True)])
+    table.apply(table.beside(table.register_rows(first), 0), 0)
+    patch = _changes(spark, [(1, 2, "A", True, None, False), (1, 3, "AA", True, None, False), (3, 2, "d", True, "d", True),
+                             (2, 0, "late", True, None, False), (None, 2, "N", True, None, False)])
+    both = table.beside(table.register_rows(patch), 1)
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    got = {r["id"]: (tuple(r["old"]) if r["old"] else None, tuple(r["new"])) for r in table.old_and_new(both).collect()}
+    want = {r["id"]: (tuple(r["old"]) if r["old"] else None, tuple(r["new"])) for r in table.changed(table.fold(patch), 1).collect()}
+    assert got == want == {1: (("a", "b"), ("AA", "b")), 2: (("c", None), ("c", None)), 3: (None, ("d", "d")), None: (("n", "n"), ("N", "n"))}
+    table.apply(both, 1)
+    assert {r["id"]: (r["a"], r["b"]) for r in table.read().collect()} == {k: v[1] for k, v in want.items()}
+
+
+def test_layers_hold_one_order_a_row(spark):
+    table = _table(spark, "test-packed")
+    rows = [(1, 1, "a", True, "b", True), (1, 2, "A", True, None, False), (2, None, "x", True, None, False), (2, 1, None, True, "y", True),
+            (None, 4, None, False, None, False), (3, None, None, True, "z", False)]
+    folded = table.fold(_changes(spark, rows))
+    packed = table._pack(folded)
+    assert packed.schema.fieldNames() == table.layers.form[0].fieldNames() and packed.filter("_at_r_b is not null").count() == 1
+    assert sorted(map(str, table._unpack(packed).collect())) == sorted(map(str, folded.collect()))
+    table.apply(folded, 0)
+    assert sorted(map(str, table.layers.read().collect())) == sorted(map(str, folded.collect()))
+    plan = table.read()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
