@@ -15,8 +15,11 @@ customer, sweep): reruns agree.  Predictive probabilities are averaged over the
 
 Scoring: a token's probability starts from what a pair seen once (in a text that was learned
 from) or never (elsewhere) has; this needs its two words only.  Pairs that were seen more often add the
-difference.  Frequent words and pairs (each makes 1 / HEAD of the tokens, so at most HEAD) are looked up
-in broadcast arrays, the others joined.  Sums come back by text; equal texts share them.
+difference.  The most frequent words and pairs (at most WORDS and HEAD) are looked up in broadcast
+arrays, the others joined.  Sums come back by text; equal texts share them.
+
+Counting: tasks send the counts that they have gathered as a row for each of 2^BUCKETS buckets of keys;
+whole buckets are merged by MERGE counts at a time, so a task holds that many or one bucket.
 
 Defined results: null and empty texts consist of their end token; a null doc_id is not held out;
 repeated rows are scored (and learned from) as often as they come; long texts are one row of a
@@ -29,22 +32,27 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paylake.llm.common import KEY_A, LOWER, chunks, discard, lowered, materialize, mix, split_words, word_hashes
+from paylake.llm.common import KEY_A, LOWER, chunks, discard, lowered, materialize, mix, split_words
 
-#: Least shares (one in ...) of words broadcast for scoring, of pairs and cells broadcast, and of keys broadcast in joins.
-WORDS, HEAD, HOT = 1 << 22, 1 << 21, 1 << 16
-#: Rows seated at once in a task.
-ROWS = 1 << 18
+#: Most words (and cells, as contexts and as dishes) and pairs broadcast; least share (one in ...) of keys broadcast in joins.
+WORDS, HEAD, HOT = 1 << 19, 1 << 20, 1 << 16
+#: Bytes of text worked on, rows seated and counts merged at once in a task.
+CHUNK, ROWS, MERGE = 2 << 20, 1 << 18, 1 << 20
+#: Buckets that counts are dealt to (bits): a row holds the counts of a bucket that a task has gathered.
+BUCKETS = 12
 #: Sweeps before sampling, sweeps averaged, strengths of contexts and root.
 BURN_IN, SAMPLES, STRENGTH, ROOT_STRENGTH = 1, 2, 1.0, 10.0
 #: Customers that sit down at a time: one in STEP of those seated, at least one.
 STEP = 256
 #: Keys that no word's hash is asked for: the end of a text; the start of a text, and the sum of all tokens.
 END, START = 1, 0
+#: Kinds of counts: of words and of pairs, and of pairs by context and by dish.
+WORD, PAIR, CONTEXT, DISH = range(4)
 #: Task sums of pairs: tokens of texts that are only scored count from this bit on.
 ASKED = 36
 
@@ -52,7 +60,7 @@ def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     """Distinct word keys, and of all tokens (each text's words, then its end) key place, previous key place (-1: start), text."""
     words, at = split_words(lowered(texts, LOWER))
     enc = words.dictionary_encode()
-    (h,) = word_hashes(enc.dictionary, KEY_A)
+    h = pd.util.hash_array(enc.dictionary.to_numpy(zero_copy_only=False), hash_key=KEY_A, categorize=False) if len(words) else np.zeros(0, np.uint64)
     keys = np.concatenate((np.array([END], np.uint64), h)).view(np.int64)
     n = np.diff(at) + 1
     row = np.repeat(np.arange(len(n)), n)
@@ -81,15 +89,69 @@ class _Sums:
         return None
 
     def merged(self):
-        cols = [np.concatenate(c) for c in zip(*self.parts, strict=True)]
-        order = np.lexsort(cols[:-1])
-        cols = [c[order] for c in cols]
-        new = np.zeros(len(order), bool)
-        new[:1] = True
-        for c in cols[:-1]:
-            new[1:] |= c[1:] != c[:-1]
-        at = np.flatnonzero(new)
-        return [*(c[at] for c in cols[:-1]), np.add.reduceat(cols[-1], at) if len(at) else cols[-1]]
+        return _summed(*(np.concatenate(c) for c in zip(*self.parts, strict=True)))
+
+
+def _summed(keys: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
+    """Distinct keys in order, and the sums of their values."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    at = np.flatnonzero(np.concatenate((np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1])))
+    return [keys[at], *(np.add.reduceat(v[order], at) if len(at) else v for v in values)]
+
+
+PACKED = "kind int, bucket int, keys array<long>, n array<long>, ones array<long>, kinds array<long>"
+
+
+def _packed(kind: int, keys: np.ndarray, n: np.ndarray, ones: np.ndarray | None = None, kinds: np.ndarray | None = None) -> pa.RecordBatch:
+    """The counts as a row for each bucket of keys."""
+    bucket = (mix(keys.view(np.uint64)) >> np.uint64(64 - BUCKETS)).astype(np.uint16)
+    order = np.argsort(bucket, kind="stable")
+    of, sizes = np.unique(bucket, return_counts=True)
+    offsets = pa.array(np.concatenate((np.zeros(1, np.int64), np.cumsum(sizes))).astype(np.int32))
+    lists = [pa.nulls(len(of), pa.list_(pa.int64())) if x is None else pa.ListArray.from_arrays(offsets, pa.array(x[order]))
+             for x in (keys, n, ones, kinds)]
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(of), kind, np.int32)), pa.array(of.astype(np.int32)), *lists],
+                                      names=["kind", "bucket", "keys", "n", "ones", "kinds"])
+
+
+def _unpacked(batches):
+    """(kind, columns): whole buckets of packed rows sorted by kind and bucket, about MERGE counts at once."""
+    def out(held):
+        rows = pa.concat_batches(held)
+        kinds = np.asarray(rows["kind"])
+        for kind in np.unique(kinds):
+            at = np.flatnonzero(kinds == kind)
+            part = rows.slice(at[0], len(at))
+            yield int(kind), [np.asarray(part[x].flatten()) for x in ("keys", "n", "ones", "kinds") if not part[x].null_count]
+
+    held, size, last = [], 0, -1
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        place = (np.asarray(batch["kind"]).astype(np.int64) << BUCKETS) + np.asarray(batch["bucket"])
+        new = np.flatnonzero(np.concatenate(([place[0] != last], place[1:] != place[:-1])))
+        last = place[-1]
+        size += len(batch["keys"].flatten())
+        if size >= MERGE and len(new):
+            yield from out([*held, batch.slice(0, new[-1])])
+            batch = batch.slice(new[-1])
+            held, size = [], len(batch["keys"].flatten())
+        held.append(batch)
+    if held:
+        yield from out(held)
+
+
+def _dealt(packed: DataFrame) -> DataFrame:
+    return packed.repartition("kind", "bucket").sortWithinPartitions("kind", "bucket")
+
+
+def _released(run):
+    """``run``, after which a task's worker gives back the memory that Arrow keeps."""
+    def task(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+    return task
 
 
 def _pairs(keys: np.ndarray, code: np.ndarray, prev: np.ndarray) -> np.ndarray:
@@ -99,28 +161,48 @@ def _pairs(keys: np.ndarray, code: np.ndarray, prev: np.ndarray) -> np.ndarray:
 
 
 def _count(batches):
-    """(pair, key, c, asked): a task's counts of words and pairs of texts learned from; pairs also of the others."""
-    words, pairs, total = _Sums(), _Sums(1 << 21), 0
+    """A task's counts of words and pairs of texts learned from, packed; pairs also of the others, from the bit ASKED on."""
+    words, pairs, total = _Sums(1 << 19), _Sums(), 0
 
-    def out(pair, key, v):
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(key), pair)), pa.array(key), pa.array(v & ((1 << ASKED) - 1)), pa.array(v >> ASKED > 0)],
-            names=["pair", "key", "c", "asked"])
+    def out(kind, key, v):
+        return _packed(kind, key, v if kind == WORD else (v & ((1 << ASKED) - 1)) + ((v >> ASKED > 0).astype(np.int64) << ASKED))
 
-    for batch in chunks(batches):
+    for batch in chunks(batches, limit=CHUNK):
         keys, code, prev, row = _tokens(batch["text"])
         learn = batch["learn"].to_numpy(zero_copy_only=False)[row]
         total += int(learn.sum())
         c = np.bincount(code[learn], minlength=len(keys))
-        for to, pair, add in ((words, False, (keys[c > 0], c[c > 0])),
-                              (pairs, True, (_pairs(keys, code, prev), np.where(learn, 1, 1 << ASKED)))):
+        for to, kind, add in ((words, WORD, (keys[c > 0], c[c > 0])),
+                              (pairs, PAIR, (_pairs(keys, code, prev), np.where(learn, 1, 1 << ASKED)))):
             got = to.add(*add)
             if got:
-                yield out(pair, *got)
-    for to, pair in ((words, False), (pairs, True)):
+                yield out(kind, *got)
+    for to, kind in ((words, WORD), (pairs, PAIR)):
         if to.parts:
-            yield out(pair, *to.merged())
-    yield out(False, np.array([START], np.int64), np.array([total], np.int64))
+            yield out(kind, *to.merged())
+    yield out(WORD, np.array([START], np.int64), np.array([total], np.int64))
+
+
+def _merge(batches):
+    """Packed task counts to those of all tasks: words, pairs seen twice or more or asked for, and each bucket's part of contexts and dishes."""
+    for kind, cols in _unpacked(batches):
+        keys, v = _summed(*cols)
+        if kind == WORD:
+            yield _packed(WORD, keys, v)
+            continue
+        n = v & ((1 << ASKED) - 1)
+        keys, n, asked = keys[n > 0], n[n > 0], v[n > 0] >> ASKED > 0
+        kept = (n > 1) | asked
+        yield _packed(PAIR, keys[kept], n[kept])
+        own = keys.view(np.uint64)
+        for part, cells in ((CONTEXT, own >> np.uint64(32)), (DISH, own & np.uint64(0xFFFFFFFF))):
+            yield _packed(part, *_summed(cells.view(np.int64), n, (n == 1).astype(np.int64), np.ones(len(n), np.int64)))
+
+
+def _total(batches):
+    """Packed parts of contexts or dishes to rows (key, n, ones, kinds)."""
+    for _, cols in _unpacked(batches):
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in _summed(*cols)], names=["key", "n", "ones", "kinds"])
 
 
 def seat(c: np.ndarray, new: np.ndarray, d: float, key: np.ndarray) -> np.ndarray:
@@ -162,12 +244,13 @@ def _split_key(batch) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _known(shared):
-    """Rows (key, ...) with the column known: both cells are among the frequent ones."""
+    """Packed pairs to rows (key, n, known): known if both cells are among the frequent ones."""
     def run(batches):
+        m = shared.value
         for batch in batches:
-            u, w = _split_key(batch)
-            known = (_place(u, shared.value["u"]) >= 0) & (_place(w, shared.value["w"]) >= 0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(known)], names=[*batch.schema.names, "known"])
+            key, n = batch["keys"].flatten(), batch["n"].flatten()
+            u, w = _split_key({"key": key})
+            yield pa.RecordBatch.from_arrays([key, n, pa.array((_place(u, m, "u") >= 0) & (_place(w, m, "w") >= 0))], names=["key", "n", "known"])
     return run
 
 
@@ -180,7 +263,7 @@ def _seat_rows(number: int, discount: float, shared=None):
             else:
                 u, w = _split_key(batch)
                 m = shared.value
-                weight = (STRENGTH + discount * m["t"][_place(u, m["u"])]) * m["p0"][_place(w, m["w"])]
+                weight = (STRENGTH + discount * m["t"][_place(u, m, "u")]) * m["p0"][_place(w, m, "w")]
             key = mix(np.asarray(batch["key"]).view(np.uint64) + np.uint64(number << 40))
             t = seat(np.asarray(batch["n"]), weight, discount, key).astype(np.int64)
             kept = [x for x in batch.schema.names if x != "weight"]
@@ -190,7 +273,7 @@ def _seat_rows(number: int, discount: float, shared=None):
 
 def _seated(rows: DataFrame, number: int, discount: float, shared=None) -> DataFrame:
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "weight")
-    return rows.mapInArrow(_seat_rows(number, discount, shared), f"{kept}, t long")
+    return rows.mapInArrow(_released(_seat_rows(number, discount, shared)), f"{kept}, t long")
 
 
 def _gains(shared, d: float):
@@ -199,7 +282,7 @@ def _gains(shared, d: float):
         m = shared.value
         for batch in batches:
             u, w = _split_key(batch)
-            u, w = _place(u, m["u"]), _place(w, m["w"])
+            u, w = _place(u, m, "u"), _place(w, m, "w")
             back = (m["ms"][u] * m["p0s"][w]).mean(axis=1)
             over = STRENGTH + m["k"][u]
             p = np.asarray(batch["own"]) / over + back
@@ -210,8 +293,11 @@ def _gains(shared, d: float):
 
 
 def _arrays(rows: DataFrame, key: str) -> dict:
-    """The columns of rows (at most HEAD or WORDS by their share) as arrays sorted by key; lists become two-dimensional."""
-    got = rows.toArrow().sort_by(key).combine_chunks()
+    """The columns of rows (at most HEAD or WORDS) as arrays in the order of their key's hash; lists become two-dimensional.
+
+    The entry (key, "at") tells where the rows begin whose hash has the same first bits.
+    """
+    got = rows.toArrow()
     out = {}
     for x in got.schema.names:
         column = got[x].combine_chunks()
@@ -220,9 +306,47 @@ def _arrays(rows: DataFrame, key: str) -> dict:
             out[x] = flat.reshape(len(got), len(flat) // len(got) if len(got) else 1)
         else:
             out[x] = column.to_numpy(zero_copy_only=False)
+    h = mix(out[key].view(np.uint64))
+    order = np.argsort(h)
+    out = {x: v[order] for x, v in out.items()}
+    bits = len(h).bit_length() or 1
+    out[key, "at"] = np.searchsorted(h[order] >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.int32)
+    return out
+
+
+def _place(keys: np.ndarray, among: dict, key: str) -> np.ndarray:
+    """Place of each key among those of ``_arrays``, or -1."""
+    there, start = among[key], among[key, "at"]
+    bits = len(there).bit_length() or 1
+    top = (mix(keys.view(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
+    at, end = start[top], start[top + 1]
+    out = np.full(len(keys), -1, np.int64)
+    left = np.flatnonzero(at < end)
+    at, end = at[left], end[left]
+    while len(left):
+        hit = there[at] == keys[left]
+        out[left[hit]] = at[hit]
+        more = ~hit & (at + 1 < end)
+        left, at, end = left[more], at[more] + 1, end[more]
     return out
 
 
+def _step(count: str) -> Column:
+    """Counts in steps of an eighth of a doubling."""
+    return F.floor(F.log2(F.col(count)) * 8)
+
+
+def _frequent(rows: DataFrame, count: str, most: int) -> Column:
+    """Whether a row is among the at most ``most`` ones with the highest counts (whole steps of counts)."""
+    least, taken = 0, 0
+    for r in sorted(rows.filter(F.col(count) > 0).groupBy(_step(count).alias("step")).count().collect(), key=lambda r: -r["step"]):
+        taken += r["count"]
+        if taken > most:
+            least = r["step"] + 1
+            break
+    return F.coalesce(_step(count) >= least, F.lit(False))
+
+
 def _lookup(rows: DataFrame, key: str, table: DataFrame, hot: Column, to: str) -> DataFrame:
     """``rows`` with the struct ``to`` of the row of ``table`` (unique keys) for their key, null without one.
 
@@ -231,7 +355,7 @@ def _lookup(rows: DataFrame, key: str, table: DataFrame, hot: Column, to: str) -
     value = F.struct(*[c for c in table.columns if c != key]).alias(to)
     tried = rows.join(F.broadcast(table.filter(hot).select(key, value)), key, "left")
     return tried.filter(F.col(to).isNotNull()).unionByName(
-        tried.filter(F.col(to).isNull()).drop(to).join(table.filter(~hot).select(key, value), key, "left"))
+        tried.filter(F.col(to).isNull()).drop(to).join(table.filter(~hot).select(key, value).hint("shuffle_hash"), key, "left"))
 
 
 def _cells(pairs: DataFrame) -> DataFrame:
@@ -251,34 +375,34 @@ def fit(docs: DataFrame, learn: Column, burn_in: int = BURN_IN, samples: int = S
     once are there if a text that is only scored holds them.  Also N, V, d and the root's probability of a word never seen.
     """
     text = docs.select(docs["text"].cast("string").alias("text"), F.coalesce(learn, F.lit(False)).alias("learn"))
-    counts = materialize(text.mapInArrow(_count, "pair boolean, key long, c long, asked boolean")
-                         .groupBy("pair", "key").agg(F.sum("c").alias("c"), F.max("asked").alias("asked")), "py-counts")
-    words = counts.filter(~F.col("pair")).select(F.col("key").alias("w"), "c")
-    pairs = _cells(counts.filter("pair and c > 0").select("key", F.col("c").alias("n"), "asked"))
+    counts = materialize(_dealt(text.mapInArrow(_released(_count), PACKED)).mapInArrow(_released(_merge), PACKED), "py-counts")
+    words = counts.filter(F.col("kind") == WORD).select(F.inline(F.arrays_zip(F.col("keys").alias("w"), F.col("n").alias("c"))))
     every = words.filter(F.col("w") != START)
     got = every.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v"), F.count_if(F.col("c") == 1).alias("once"),
                     F.count_if(F.col("c") == 2).alias("twice")).first()
     total, kinds = got["n"] or 0, got["v"]
     d0 = _discount(got["once"], got["twice"])
-    got = pairs.agg(F.count_if(F.col("n") == 1).alias("once"), F.count_if(F.col("n") == 2).alias("twice")).first()
-    d = _discount(got["once"], got["twice"])
-    ones, none = F.count_if(F.col("n") == 1).alias("ones"), F.array().cast("array<bigint>")
-    contexts = materialize(pairs.groupBy("u").agg(F.sum("n").alias("k"), ones, F.count(F.lit(1)).alias("t"))
-                           .withColumn("ts", none), "py-contexts")
-    root = materialize(pairs.groupBy("w").agg(F.sum("n").alias("c"), ones, F.count(F.lit(1)).alias("n"))
-                       .withColumns({"t": F.lit(1).cast("long"), "ns": none, "ts": none}), "py-root")
+
+    def by(kind: int) -> DataFrame:
+        return _dealt(counts.filter(F.col("kind") == kind)).mapInArrow(_released(_total), "key long, n long, ones long, kinds long")
+
+    none = F.array().cast("array<bigint>").alias("ts")
+    contexts = materialize(by(CONTEXT).select(F.col("key").alias("u"), F.col("n").alias("k"), "ones", F.col("kinds").alias("t"), none), "py-contexts")
+    root = materialize(by(DISH).select(F.col("key").alias("w"), F.col("n").alias("c"), "ones", F.col("kinds").alias("n"),
+                                       F.lit(1).cast("long").alias("t"), none.alias("ns"), none), "py-root")
     cells = root.count() + 1
     hot_u, hot_w = F.col("k") * HOT >= total, F.col("c") * HOT >= total
-    often_u, often_w = F.col("k") * HEAD >= total, F.col("c") * HEAD >= total
+    often_u, often_w = _frequent(contexts, "k", WORDS), _frequent(root, "c", WORDS)
 
     def share(of_u: DataFrame, of_w: DataFrame):
         """The frequent cells' columns, broadcast."""
         return docs.sparkSession.sparkContext.broadcast(_arrays(of_u, "u") | _arrays(of_w, "w"))
 
     found = share(contexts.filter(often_u).select("u"), root.filter(often_w).select("w"))
-    rows = pairs.filter("n > 1 or asked").select("key", "n").mapInArrow(_known(found), "key long, n long, known boolean")
+    rows = counts.filter(F.col("kind") == PAIR).select("keys", "n").mapInArrow(_released(_known(found)), "key long, n long, known boolean")
     rows = materialize(rows.withColumn("sum", F.lit(0).cast("long")), "py-pairs")
     many, lone = rows.filter("n > 1"), rows.filter("n = 1")
+    d = _discount(contexts.agg(F.sum("ones")).first()[0] or 0, rows.filter("n = 2").count())
     found.unpersist()
     written = [rows]
 
@@ -307,9 +431,9 @@ def fit(docs: DataFrame, learn: Column, burn_in: int = BURN_IN, samples: int = S
 
         before = [contexts, root, *written[1:]]
         written = [written[0], seats]
-        contexts = materialize(contexts.drop("t").join(after.groupBy("u").agg(F.sum("t").alias("got")), "u", "left")
+        contexts = materialize(contexts.drop("t").join(after.groupBy("u").agg(F.sum("t").alias("got")).hint("shuffle_hash"), "u", "left")
                                .select("u", "k", "ones", own.alias("t"), kept_too("ts", own).alias("ts")), f"py-contexts{number}")
-        root = _seated(root.drop("n", "t").join(after.groupBy("w").agg(F.sum("t").alias("got")), "w", "left")
+        root = _seated(root.drop("n", "t").join(after.groupBy("w").agg(F.sum("t").alias("got")).hint("shuffle_hash"), "w", "left")
                        .select("w", F.col("w").alias("key"), "c", "ones", own.alias("n"), "ns", "ts", F.lit(new).alias("weight")),
                        1000 + number, d0)
         root = materialize(root.select("w", "c", "ones", "n", "t", kept_too("ns", F.col("n")).alias("ns"),
@@ -326,7 +450,7 @@ def fit(docs: DataFrame, learn: Column, burn_in: int = BURN_IN, samples: int = S
     rows = many.select("key", "n", "known", (F.col("n") - d * F.col("sum") / samples).alias("own")).unionByName(
         lone.select("key", "n", "known", (F.lit(1.0) - d).alias("own")))
     found = share(contexts.filter(often_u), root.filter(often_w).select("w", "p0s"))
-    known = rows.filter("known").select("key", "n", "own").mapInArrow(_gains(found, d), "key long, n long, more float, most float")
+    known = rows.filter("known").select("key", "n", "own").mapInArrow(_released(_gains(found, d)), "key long, n long, more float, most float")
     rows = _lookup(_lookup(_cells(rows.filter("not known")), "u", contexts, hot_u, "cu"), "w", root, hot_w, "cw")
     back, over = _back(F.col("cu.ms"), F.col("cw.p0s"), samples), STRENGTH + F.col("cu.k")
     p = F.col("own") / over + back
@@ -351,41 +475,33 @@ def _back(ms: Column, p0s: Column, samples: int) -> Column:
     return F.aggregate(F.zip_with(ms, p0s, lambda m, p: m * p), F.lit(0.0), lambda a, x: a + x) / samples
 
 
-def _head(model: dict) -> dict:
-    """Frequent words and pairs as arrays sorted by key: at most HEAD rows each."""
-    n, s = model["N"], model["samples"]
-    words = model["words"].filter(F.col("c") * WORDS >= n).select(
+def _head(model: dict, often: Column) -> dict:
+    """Frequent words and pairs as arrays: at most WORDS and HEAD rows."""
+    s = model["samples"]
+    words = model["words"].filter(_frequent(model["words"], "c", WORDS)).select(
         "w", "c", F.coalesce("k", F.lit(0)).alias("k"),
         F.coalesce("p0s", F.array(*[F.lit(x) for x in model["unseen"]])).cast("array<float>").alias("p0s"),
         F.coalesce("ms", F.array_repeat(F.lit(1.0), s)).cast("array<float>").alias("ms"))
-    pairs = model["pairs"].filter(F.col("n") * HEAD >= n).select("key", "more", "most")
+    pairs = model["pairs"].filter(often).select("key", "more", "most")
     return _arrays(words, "w") | _arrays(pairs, "key") | {"d": model["d"]}
 
 
-def _place(keys: np.ndarray, among: np.ndarray) -> np.ndarray:
-    """Place of each key among the sorted ones, or -1."""
-    if not len(among):
-        return np.full(len(keys), -1, np.int64)
-    at = np.minimum(np.searchsorted(among, keys), len(among) - 1)
-    return np.where(among[at] == keys, at, -1)
-
-
 def _score_head(shared):
     """Batches (_row, text, learn) to sums over the tokens whose words the head knows, and the tokens that it leaves."""
     def run(batches):
         m = shared.value
-        for batch in chunks(batches):
+        for batch in chunks(batches, limit=CHUNK):
             keys, code, prev, row = _tokens(batch["text"])
             n, learn = batch.num_rows, batch["learn"].to_numpy(zero_copy_only=False)[row]
-            at = _place(np.concatenate((keys, np.array([START], np.int64))), m["w"])
+            at = _place(np.concatenate((keys, np.array([START], np.int64))), m, "w")
             w, u = at[code], at[prev]
             done = (w >= 0) & (u >= 0)
             w, u = w[done], u[done]
             p = sum((m["ms"][u, i] * m["p0s"][w, i] for i in range(m["ms"].shape[1])), np.zeros(len(w))) / m["ms"].shape[1]
             logp, logc = np.zeros(len(code)), np.zeros(len(code))
             logp[done] = np.log10(p + learn[done] * (1.0 - m["d"]) / (STRENGTH + m["k"][u]))
-            logc[done] = np.log10(m["c"][w] + 1)
-            pair = _place(_pairs(keys, code, prev), m["key"])
+            logc[done] = np.log10(np.where(at >= 0, m["c"][at], 0) + 1)[code[done]]
+            pair = _place(_pairs(keys, code, prev), m, "key")
             known = np.flatnonzero(pair >= 0)
             logp[known] += np.where(learn[known], m["more"][pair[known]], m["most"][pair[known]])
             rest = np.flatnonzero(~done)
@@ -404,10 +520,10 @@ def _ask(shared):
     """(id, key): the pairs of each text that the head does not know."""
     def run(batches):
         m = shared.value
-        for batch in chunks(batches):
+        for batch in chunks(batches, limit=CHUNK):
             keys, code, prev, row = _tokens(batch["text"])
             key = _pairs(keys, code, prev)
-            open_ = np.flatnonzero(_place(key, m["key"]) < 0)
+            open_ = np.flatnonzero(_place(key, m, "key") < 0)
             yield pa.RecordBatch.from_arrays([pa.array(np.asarray(batch["id"])[row[open_]]), pa.array(key[open_])], names=["id", "key"])
     return run
 
@@ -429,13 +545,14 @@ def score(docs: DataFrame, learn: Column, **kw) -> DataFrame:
 def _score(docs: DataFrame, learn: Column, **kw) -> DataFrame:
     model = fit(docs, learn, **kw)
     samples, n_all, kinds, d = model["samples"], model["N"], model["V"], model["d"]
-    head = docs.sparkSession.sparkContext.broadcast(_head(model))
+    often = _frequent(model["pairs"], "n", HEAD)
+    head = docs.sparkSession.sparkContext.broadcast(_head(model, often))
     learned, text = F.coalesce(learn, F.lit(False)), docs["text"].cast("string")
     # the last bit of a text's id tells whether it was learned from
     text_id = F.shiftleft(F.xxhash64(F.coalesce(text, F.lit(""))), 1).bitwiseOR(learned.cast("long"))
     own = F.struct(*[docs[c] for c in docs.columns if c != "text"])
     rows = docs.select(F.struct(text_id.alias("id"), own.alias("own")).alias("_row"), text.alias("text"), learned.alias("learn"))
-    part = materialize(rows.mapInArrow(_score_head(head), (
+    part = materialize(rows.mapInArrow(_released(_score_head(head)), (
         f"_row {rows.schema['_row'].dataType.simpleString()}, n_tokens long, n_known long, logp double, logc double, "
         "rest array<struct<w:bigint,u:bigint>>")), "py-head")
     hot, words = F.col("c") * HOT >= n_all, model["words"]
@@ -448,8 +565,8 @@ def _score(docs: DataFrame, learn: Column, **kw) -> DataFrame:
     once = F.when(F.col("id").bitwiseAND(F.lit(1)) == 1, (1.0 - d) / (STRENGTH + F.coalesce("cu.k", F.lit(0)))).otherwise(F.lit(0.0))
     left = left.select("id", F.log10(back + once).alias("p"), F.log10(F.coalesce("cw.c", F.lit(0)) + 1).alias("c"),
                        F.when(F.col("cw.c") > 0, 1).otherwise(0).alias("k"))
-    asked = rows.select("_row.id", "text").mapInArrow(_ask(head), "id long, key long").join(
-        model["pairs"].filter(F.col("n") * HEAD < n_all), "key").select(
+    asked = rows.select("_row.id", "text").mapInArrow(_released(_ask(head)), "id long, key long").join(
+        model["pairs"].filter(~often).hint("shuffle_hash"), "key").select(
         "id", F.when(F.col("id").bitwiseAND(F.lit(1)) == 1, F.col("more")).otherwise(F.col("most")).cast("double").alias("p"),
         F.lit(0.0).alias("c"), F.lit(0).alias("k"))
 

@@ -1,5 +1,6 @@
 import itertools
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -292,6 +293,68 @@ def test_pitman_yor_copies_share_their_score_and_repeats_help(spark):
     assert got[i]["score"] > alone[i]["score"]
 
 
+def count_batches(texts, learn, size=500):
+    return [pa.RecordBatch.from_arrays([pa.array(texts[i:i + size]), pa.array(learn[i:i + size])], names=["text", "learn"])
+            for i in range(0, len(texts), size)]
+
+
+def test_pitman_yor_counts_in_bounded_memory():
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{x}" for x in rng.zipf(1.3, 500) % 40000) for _ in range(8000)]
+    batches = count_batches(texts, [True] * len(texts), len(texts))
+    list(pitman_yor._count(count_batches(texts[:10], [True] * 10)))
+    tracemalloc.start()
+    try:
+        for out in pitman_yor._count(iter(batches)):
+            del out
+        assert tracemalloc.get_traced_memory()[1] < 130 << 20
+    finally:
+        tracemalloc.stop()
+
+
+def test_pitman_yor_packed_counts_merge_to_those_of_all_tasks(monkeypatch):
+    monkeypatch.setattr(pitman_yor, "MERGE", 40)  # many merges, each of whole buckets
+    rng = np.random.default_rng(6)
+    texts, learn = [" ".join(f"w{x}" for x in rng.zipf(1.5, 30) % 300) for _ in range(300)], [bool(i % 3) for i in range(300)]
+    tasks = [list(pitman_yor._count(count_batches(texts[i::4], learn[i::4], 20))) for i in range(4)]
+    sent = pa.Table.from_batches([b for t in tasks for b in t]).sort_by([("kind", "ascending"), ("bucket", "ascending")])
+    merged = pa.Table.from_batches(list(pitman_yor._merge(sent.to_batches(max_chunksize=7))))
+    got = Counter(), Counter()
+    for r in merged.to_pylist():
+        if r["kind"] in (pitman_yor.WORD, pitman_yor.PAIR):
+            assert not set(r["keys"]) & set(got[r["kind"]])  # a key is merged once
+            got[r["kind"]].update(dict(zip(r["keys"], r["n"], strict=True)))
+    words_, pairs, asked = Counter(), Counter(), set()
+    for text, learned in zip(texts, learn, strict=True):
+        keys, code, prev, _ = pitman_yor._tokens(pa.array([text]))
+        own = pitman_yor._pairs(keys, code, prev).tolist()
+        if learned:
+            words_.update(keys[code].tolist())
+            pairs.update(own)
+        else:
+            asked.update(own)
+    assert got[0] == words_ + Counter({pitman_yor.START: sum(words_.values())})
+    assert got[1] == Counter({k: n for k, n in pairs.items() if n > 1 or k in asked})
+    parts = {k: Counter() for k in (pitman_yor.CONTEXT, pitman_yor.DISH)}
+    for r in merged.to_pylist():
+        if r["kind"] in parts:
+            parts[r["kind"]].update(dict(zip(r["keys"], r["n"], strict=True)))
+    assert sum(parts[pitman_yor.CONTEXT].values()) == sum(parts[pitman_yor.DISH].values()) == sum(pairs.values())
+
+
+def test_pitman_yor_broadcasts_no_more_rows_than_allowed(spark, monkeypatch):
+    rows = spark.createDataFrame([(i, max(1, 1000 // (i + 1))) for i in range(500)], "w long, c long")
+    for most in (0, 1, 10, 100, 499, 500):
+        taken = {r["w"] for r in rows.filter(pitman_yor._frequent(rows, "c", most)).collect()}
+        assert len(taken) <= most and taken == set(range(len(taken)))
+    found = pitman_yor._arrays(rows, "w")
+    asked = np.array([-5, 0, 499, 500, 17, 17], np.int64)
+    at = pitman_yor._place(asked, found, "w")
+    assert (at >= 0).tolist() == [False, True, True, False, True, True] and found["w"][at[at >= 0]].tolist() == [0, 499, 17, 17]
+    none = pitman_yor._arrays(rows.filter("c < 0"), "w")
+    assert pitman_yor._place(asked, none, "w").tolist() == [-1] * 6
+
+
 def test_seating_follows_the_restaurant_process():
     key = np.arange(4000, dtype=np.uint64) * np.uint64(7919)
     t = pitman_yor.seat(np.full(4000, 100), np.full(4000, 2.0), 0.5, key)
