@@ -34,6 +34,8 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +45,8 @@ from paylake.llm.common import KEY_A, LOWER, chunks, discard, lowered, materiali
 WORDS, HEAD, HOT = 1 << 19, 1 << 20, 1 << 16
 #: Bytes of text worked on, rows seated and counts merged at once in a task.
 CHUNK, ROWS, MERGE = 2 << 20, 1 << 18, 1 << 20
+#: Pairs of tokens counted at once in a task.
+RAW = 1 << 21
 #: Buckets that counts are dealt to (bits): a row holds the counts of a bucket that a task has gathered.
 BUCKETS = 12
 #: Sweeps before sampling, sweeps averaged, strengths of contexts and root.
@@ -56,6 +60,7 @@ WORD, PAIR, CONTEXT, DISH = range(4)
 #: Task sums of pairs: tokens of texts that are only scored count from this bit on.
 ASKED = 36
 
+
 def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Distinct word keys, and of all tokens (each text's words, then its end) key place, previous key place (-1: start), text."""
     words, at = split_words(lowered(texts, LOWER))
@@ -64,13 +69,28 @@ def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     keys = np.concatenate((np.array([END], np.uint64), h)).view(np.int64)
     n = np.diff(at) + 1
     row = np.repeat(np.arange(len(n)), n)
-    code = np.zeros(int(n.sum()), np.int64)  # 0: the end
-    code[np.arange(len(words)) + np.repeat(np.arange(len(n)), np.diff(at))] = enc.indices.to_numpy(zero_copy_only=False).astype(np.int64) + 1
+    ends = np.cumsum(n)
+    word = np.ones(len(row), bool)
+    word[ends - 1] = False
+    code = np.zeros(len(row), np.int64)  # 0: the end
+    code[word] = enc.indices.to_numpy(zero_copy_only=False)
+    code += word
     prev = np.concatenate((np.array([-1], np.int64), code[:-1]))
-    prev[np.cumsum(n) - n] = -1
+    prev[ends - n] = -1
     return keys, code, prev, row
 
 
+#: What an odd factor of ``mix`` is undone by.
+BACK_1, BACK_2 = (np.uint64(pow(x, -1, 1 << 64)) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
+
+
+def _unmix(x: np.ndarray) -> np.ndarray:
+    """The values whose ``mix`` is x."""
+    x = (x ^ (x >> np.uint64(31)) ^ (x >> np.uint64(62))) * BACK_2
+    x = (x ^ (x >> np.uint64(27)) ^ (x >> np.uint64(54))) * BACK_1
+    return x ^ (x >> np.uint64(30)) ^ (x >> np.uint64(60))
+
+
 class _Sums:
     """Sums by key that leave when there are many."""
 
@@ -89,42 +109,128 @@ class _Sums:
         return None
 
     def merged(self):
-        return _summed(*(np.concatenate(c) for c in zip(*self.parts, strict=True)))
+        return _tallied(*(np.concatenate(c) for c in zip(*self.parts, strict=True)))[:2]
+
+
+def _starts(keys: np.ndarray) -> np.ndarray:
+    """Where each run of equal keys begins."""
+    return np.flatnonzero(np.concatenate((np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1])))
+
+
+def _summed(keys: np.ndarray, *values: np.ndarray, ordered: bool = False) -> list[np.ndarray]:
+    """Distinct keys in order, and the sums of their values; ``ordered``: equal keys stand together already."""
+    if not ordered:
+        order = np.argsort(keys)
+        keys, values = keys[order], [v[order] for v in values]
+    at = _starts(keys)
+    return [keys[at], *(np.add.reduceat(v, at) if len(at) else v for v in values)]
+
+
+def _tallied(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys in order, the sums of n, how often n is 1, and how often the key occurs; quick where most n are 1."""
+    h = np.sort(keys)
+    at = _starts(h)
+    kinds, h = np.diff(at, append=len(h)), h[at]
+    total, ones = kinds.copy(), kinds.copy()
+    more = np.flatnonzero(n != 1)
+    if len(more):
+        own, extra, times = _summed(keys[more], n[more] - 1, np.ones(len(more), np.int64))
+        place = np.searchsorted(h, own)
+        total[place] += extra
+        ones[place] -= times
+    return h, total, ones, kinds
+
+
+#: Packed rows: what a task has of a bucket of keys, each column the bytes of an array.
+PACKED = "kind int, bucket int, keys binary, n binary, ones binary, kinds binary"
+#: Packed contexts (now: their tables) and dishes (now: their customers in the root, t: tables there); kept: those of the samples.
+#: Rows without ``ones`` hold tables that a sweep adds.
+STATE = "kind int, bucket int, keys binary, n binary, ones binary, now binary, t binary, kept binary"
+#: Packed pairs: places of the cells among the frequent ones, or the pair's key; tables summed over the samples.
+PAIRS = "kind int, bucket int, keys binary, n binary, sum binary"
+PAIR_MODEL = "kind int, bucket int, keys binary, n binary, more binary, most binary"
+WORD_MODEL = "kind int, bucket int, keys binary, c binary, k binary, p0s binary, ms binary"
+#: Kinds of pairs: of frequent cells, of others; seen once (and asked for), and tables that sweeps add.
+MANY, LONE, OPEN, OPEN_LONE = range(10, 14)
+
+
+def _packed(kind: int, keys: np.ndarray, by: np.ndarray | None = None, **cols: np.ndarray | None) -> pa.RecordBatch:
+    """A row for each bucket of ``by`` (the keys): its keys and columns, as lists."""
+    bucket = (mix((keys if by is None else by).view(np.uint64)) >> np.uint64(64 - BUCKETS)).astype(np.uint16)
+    order = slice(None) if (bucket[1:] >= bucket[:-1]).all() else np.argsort(bucket, kind="stable")
+    of, sizes = np.unique(bucket, return_counts=True)
+    ends = np.concatenate((np.zeros(1, np.int64), np.cumsum(sizes)))
+    lists = []
+    for x in (keys, *cols.values()):
+        if x is None:
+            lists.append(pa.nulls(len(of), pa.list_(pa.int64())))
+            continue
+        width = x.shape[1] if x.ndim > 1 else 1
+        lists.append(pa.ListArray.from_arrays(pa.array((ends * width).astype(np.int32)), pa.array(x[order].reshape(-1))))
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(of), kind, np.int32)), pa.array(of.astype(np.int32)), *lists],
+                                      names=["kind", "bucket", "keys", *cols])
 
 
-def _summed(keys: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
-    """Distinct keys in order, and the sums of their values."""
-    order = np.argsort(keys)
-    keys = keys[order]
-    at = np.flatnonzero(np.concatenate((np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1])))
-    return [keys[at], *(np.add.reduceat(v[order], at) if len(at) else v for v in values)]
+def _counts(kind, keys, n, ones=None, kinds=None, by=None) -> pa.RecordBatch:
+    return _packed(kind, keys, by=by, n=n, ones=ones, kinds=kinds)
 
 
-PACKED = "kind int, bucket int, keys array<long>, n array<long>, ones array<long>, kinds array<long>"
+def _cells_in_state(kind, keys, n, ones=None, now=None, t=None, kept=None) -> pa.RecordBatch:
+    return _packed(kind, keys, n=n, ones=ones, now=now, t=t, kept=kept)
 
 
-def _packed(kind: int, keys: np.ndarray, n: np.ndarray, ones: np.ndarray | None = None, kinds: np.ndarray | None = None) -> pa.RecordBatch:
-    """The counts as a row for each bucket of keys."""
-    bucket = (mix(keys.view(np.uint64)) >> np.uint64(64 - BUCKETS)).astype(np.uint16)
-    order = np.argsort(bucket, kind="stable")
-    of, sizes = np.unique(bucket, return_counts=True)
-    offsets = pa.array(np.concatenate((np.zeros(1, np.int64), np.cumsum(sizes))).astype(np.int32))
-    lists = [pa.nulls(len(of), pa.list_(pa.int64())) if x is None else pa.ListArray.from_arrays(offsets, pa.array(x[order]))
-             for x in (keys, n, ones, kinds)]
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(of), kind, np.int32)), pa.array(of.astype(np.int32)), *lists],
-                                      names=["kind", "bucket", "keys", "n", "ones", "kinds"])
+def _as_bytes(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The batch with lists of numbers as their bytes, which Spark moves as they are."""
+    cols = []
+    for x in batch.columns:
+        if pa.types.is_list(x.type):
+            if x.null_count:
+                x = pa.nulls(len(x), pa.binary())
+            else:
+                values, ends = np.asarray(x.flatten()), np.asarray(x.offsets).astype(np.int64)
+                ends = ((ends - ends[0]) * values.itemsize).astype(np.int32)
+                x = pa.Array.from_buffers(pa.binary(), len(x), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(values))])
+        cols.append(x)
+    return pa.RecordBatch.from_arrays(cols, names=batch.schema.names)
+
+
+def _flat(column, dtype=np.int64) -> np.ndarray:
+    """All numbers of a packed column, as lists or bytes."""
+    if pa.types.is_list(column.type):
+        return np.asarray(column.flatten())
+    if not len(column) or column.null_count == len(column):
+        return np.zeros(0, dtype)
+    _, ends, data = column.buffers()
+    ends = np.frombuffer(ends, np.int32, len(column) + 1, column.offset * 4)
+    size = np.dtype(dtype).itemsize
+    return np.frombuffer(data, dtype, (int(ends[-1]) - int(ends[0])) // size, int(ends[0])) if ends[-1] > ends[0] else np.zeros(0, dtype)
+
+
+def _wide(column, rows: int, dtype=np.int64) -> np.ndarray:
+    """A packed column of several numbers a key."""
+    flat = _flat(column, dtype)
+    return flat.reshape(rows, len(flat) // rows if rows else 0)
+
+
+def _picked(rows: pa.RecordBatch, which: np.ndarray) -> pa.RecordBatch:
+    return rows if which.all() else rows.filter(pa.array(which))
+
+
+def _by_kind(rows: pa.RecordBatch):
+    kinds = np.asarray(rows["kind"])
+    for kind in np.unique(kinds):
+        yield int(kind), _picked(rows, kinds == kind)
+
 
+def _aligned(rows: pa.RecordBatch, of: dict, **given) -> pa.RecordBatch:
+    """The rows with the columns ``of`` (name: type), null if not there."""
+    names = rows.schema.names
+    return pa.RecordBatch.from_arrays([pa.array(np.full(rows.num_rows, given[x]), t) if x in given else rows[x] if x in names else pa.nulls(rows.num_rows, t)
+                                       for x, t in of.items()], names=list(of))
 
-def _unpacked(batches):
-    """(kind, columns): whole buckets of packed rows sorted by kind and bucket, about MERGE counts at once."""
-    def out(held):
-        rows = pa.concat_batches(held)
-        kinds = np.asarray(rows["kind"])
-        for kind in np.unique(kinds):
-            at = np.flatnonzero(kinds == kind)
-            part = rows.slice(at[0], len(at))
-            yield int(kind), [np.asarray(part[x].flatten()) for x in ("keys", "n", "ones", "kinds") if not part[x].null_count]
 
+def _whole(batches):
+    """(kind, rows): whole buckets of packed rows sorted by kind and bucket, about MERGE keys at once."""
     held, size, last = [], 0, -1
     for batch in batches:
         if not batch.num_rows:
@@ -132,24 +238,26 @@ def _unpacked(batches):
         place = (np.asarray(batch["kind"]).astype(np.int64) << BUCKETS) + np.asarray(batch["bucket"])
         new = np.flatnonzero(np.concatenate(([place[0] != last], place[1:] != place[:-1])))
         last = place[-1]
-        size += len(batch["keys"].flatten())
+        size += len(_flat(batch["keys"]))
         if size >= MERGE and len(new):
-            yield from out([*held, batch.slice(0, new[-1])])
+            yield from _by_kind(pa.concat_batches([*held, batch.slice(0, new[-1])]))
             batch = batch.slice(new[-1])
-            held, size = [], len(batch["keys"].flatten())
+            held, size = [], len(_flat(batch["keys"]))
         held.append(batch)
     if held:
-        yield from out(held)
+        yield from _by_kind(pa.concat_batches(held))
 
 
 def _dealt(packed: DataFrame) -> DataFrame:
     return packed.repartition("kind", "bucket").sortWithinPartitions("kind", "bucket")
 
 
-def _released(run):
-    """``run``, after which a task's worker gives back the memory that Arrow keeps."""
+def _released(run, packed: bool = True):
+    """``run`` with packed results, after which a task's worker gives back the memory that Arrow keeps."""
     def task(batches):
-        yield from run(batches)
+        for out in run(batches):
+            if out.num_rows:
+                yield _as_bytes(out) if packed else out
         pa.default_memory_pool().release_unused()
     return task
 
@@ -160,23 +268,49 @@ def _pairs(keys: np.ndarray, code: np.ndarray, prev: np.ndarray) -> np.ndarray:
     return ((cells[prev] << np.uint64(32)) | cells[code]).view(np.int64)
 
 
+def _cell(keys: np.ndarray) -> np.ndarray:
+    return (keys.view(np.uint64) & np.uint64(0xFFFFFFFF)).view(np.int64)
+
+
 def _count(batches):
     """A task's counts of words and pairs of texts learned from, packed; pairs also of the others, from the bit ASKED on."""
     words, pairs, total = _Sums(1 << 19), _Sums(), 0
+    raw, size = ([], []), [0, 0]  # mixed pairs of texts only scored, and of those learned from
 
     def out(kind, key, v):
-        return _packed(kind, key, v if kind == WORD else (v & ((1 << ASKED) - 1)) + ((v >> ASKED > 0).astype(np.int64) << ASKED))
+        if kind == WORD:
+            return _counts(kind, key, v, by=_cell(key))
+        return _counts(kind, key, (v & ((1 << ASKED) - 1)) + ((v >> ASKED > 0).astype(np.int64) << ASKED))
+
+    def counted(learned):
+        h = np.concatenate(raw[learned])
+        raw[learned].clear()
+        size[learned] = 0
+        h.sort()
+        at = _starts(h)
+        n = np.diff(at, append=len(h)) if learned else np.full(len(at), 1 << ASKED)
+        key = _unmix(h[at]).view(np.int64)
+        got = (key, n) if len(key) > RAW // 2 else pairs.add(key, n)
+        if got:
+            yield out(PAIR, *got)
 
     for batch in chunks(batches, limit=CHUNK):
         keys, code, prev, row = _tokens(batch["text"])
         learn = batch["learn"].to_numpy(zero_copy_only=False)[row]
         total += int(learn.sum())
         c = np.bincount(code[learn], minlength=len(keys))
-        for to, kind, add in ((words, WORD, (keys[c > 0], c[c > 0])),
-                              (pairs, PAIR, (_pairs(keys, code, prev), np.where(learn, 1, 1 << ASKED)))):
-            got = to.add(*add)
-            if got:
-                yield out(kind, *got)
+        got = words.add(keys[c > 0], c[c > 0])
+        if got:
+            yield out(WORD, *got)
+        h = mix(_pairs(keys, code, prev).view(np.uint64))
+        for learned, own in ((0, h[~learn]), (1, h[learn])):
+            raw[learned].append(own)
+            size[learned] += len(own)
+            if size[learned] > RAW:
+                yield from counted(learned)
+    for learned in (0, 1):
+        if size[learned]:
+            yield from counted(learned)
     for to, kind in ((words, WORD), (pairs, PAIR)):
         if to.parts:
             yield out(kind, *to.merged())
@@ -185,24 +319,64 @@ def _count(batches):
 
 def _merge(batches):
     """Packed task counts to those of all tasks: words, pairs seen twice or more or asked for, and each bucket's part of contexts and dishes."""
-    for kind, cols in _unpacked(batches):
-        keys, v = _summed(*cols)
+    for kind, rows in _whole(batches):
+        keys, v, _, _ = _tallied(_flat(rows["keys"]), _flat(rows["n"]))
         if kind == WORD:
-            yield _packed(WORD, keys, v)
+            yield _counts(WORD, keys, v, by=_cell(keys))
             continue
         n = v & ((1 << ASKED) - 1)
         keys, n, asked = keys[n > 0], n[n > 0], v[n > 0] >> ASKED > 0
         kept = (n > 1) | asked
-        yield _packed(PAIR, keys[kept], n[kept])
-        own = keys.view(np.uint64)
-        for part, cells in ((CONTEXT, own >> np.uint64(32)), (DISH, own & np.uint64(0xFFFFFFFF))):
-            yield _packed(part, *_summed(cells.view(np.int64), n, (n == 1).astype(np.int64), np.ones(len(n), np.int64)))
+        yield _counts(PAIR, keys[kept], n[kept])
+        contexts, dishes = _split_key(keys)
+        yield _counts(CONTEXT, *_summed(contexts, n, (n == 1).astype(np.int64), np.ones(len(n), np.int64), ordered=True))  # in order of keys
+        yield _counts(DISH, *_tallied(dishes, n))
 
 
 def _total(batches):
-    """Packed parts of contexts or dishes to rows (key, n, ones, kinds)."""
-    for _, cols in _unpacked(batches):
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in _summed(*cols)], names=["key", "n", "ones", "kinds"])
+    """Packed parts of contexts or dishes to their state before the first sweep: a table a dish."""
+    for kind, rows in _whole(batches):
+        keys, n, ones, kinds = _summed(*(_flat(rows[x]) for x in ("keys", "n", "ones", "kinds")))
+        yield _cells_in_state(kind, keys, n, ones, kinds, np.ones(len(keys), np.int64), np.zeros((len(keys), 0), np.int64))
+
+
+def _steps(n: np.ndarray) -> np.ndarray:
+    """Counts in steps of an eighth of a doubling, as ``_step``."""
+    return np.floor(np.log2(n) * 8).astype(np.int64)
+
+
+def _stats(batches):
+    """(kind, step, rows, total, ones, twos) of packed counts by step of the count."""
+    for batch in batches:
+        for kind, rows in _by_kind(batch):
+            keys, n = _flat(rows["keys"]), _flat(rows["n"])
+            ones = _flat(rows["ones"])
+            if not len(ones):
+                ones = (n == 1).astype(np.int64)
+            real = (keys != START) if kind == WORD else np.ones(len(keys), bool)
+            real &= n > 0
+            n, ones = n[real], ones[real]
+            at = _steps(n)
+            steps = np.flatnonzero(np.bincount(at))
+            sums = [np.bincount(at, x)[steps].astype(np.int64) for x in (None, n, ones, n == 2)]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.full(len(steps), kind, np.int32), steps, *sums)],
+                                             names=["kind", "step", "rows", "total", "ones", "twos"])
+
+
+def _summary(packed: DataFrame) -> list:
+    got = packed.select("kind", "keys", "n", "ones").mapInArrow(
+        _released(_stats, False), "kind int, step long, rows long, total long, ones long, twos long")
+    return got.groupBy("kind", "step").agg(*[F.sum(x).alias(x) for x in ("rows", "total", "ones", "twos")]).collect()
+
+
+def _least(steps, most: int) -> int:
+    """The lowest step of the at most ``most`` rows with the highest counts; steps: (step, rows)."""
+    taken = 0
+    for step, rows in sorted(steps, reverse=True):
+        taken += rows
+        if taken > most:
+            return step + 1
+    return 0
 
 
 def seat(c: np.ndarray, new: np.ndarray, d: float, key: np.ndarray) -> np.ndarray:
@@ -238,74 +412,280 @@ def _together(batches):
         yield pa.concat_batches(held)
 
 
-def _split_key(batch) -> tuple[np.ndarray, np.ndarray]:
-    key = np.asarray(batch["key"]).view(np.uint64)
+def _gathered(batches):
+    """Packed rows together, about ROWS keys at once."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += len(_flat(batch["keys"]))
+        if size >= ROWS:
+            yield from _by_kind(pa.concat_batches(held))
+            held, size = [], 0
+    if held:
+        yield from _by_kind(pa.concat_batches(held))
+
+
+def _split_key(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    key = key.view(np.uint64)
     return (key >> np.uint64(32)).astype(np.int64), (key & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
-def _known(shared):
-    """Packed pairs to rows (key, n, known): known if both cells are among the frequent ones."""
+def _at(places: np.ndarray, m: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of context and dish among the frequent cells, and the pair's key."""
+    u, w = places >> 32, places & 0xFFFFFFFF
+    return u, w, (m["u"][u] << 32) | m["w"][w]
+
+
+def _sorted_out(shared):
+    """Packed pairs by kind; those of two frequent cells get the cells' places for keys."""
+    def run(batches):
+        m = shared.value
+        for _, rows in _gathered(batches):
+            key, n = _flat(rows["keys"]), _flat(rows["n"])
+            u, w = _split_key(key)
+            u, w = _place(u, m, "u"), _place(w, m, "w")
+            known, many = (u >= 0) & (w >= 0), n > 1
+            for kind, which in ((MANY, known & many), (LONE, known & ~many), (OPEN, ~known & many), (OPEN_LONE, ~known & ~many)):
+                keys = ((u << 32) | w)[which] if kind in (MANY, LONE) else key[which]
+                yield _packed(kind, keys, by=key[which], n=n[which], sum=np.zeros(int(which.sum()), np.int64))
+    return run
+
+
+def _open_rows(shared):
+    """Packed pairs that are not of two frequent cells to rows; fu, fw: whether context and dish are frequent."""
+    def run(batches):
+        m = shared.value
+        for _, rows in _gathered(batches):
+            key = _flat(rows["keys"])
+            u, w = _split_key(key)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x) for x in (key, u, w, _place(u, m, "u") >= 0, _place(w, m, "w") >= 0, _flat(rows["n"]), np.zeros(len(key), np.int64))],
+                names=list(OPEN_TYPES))
+    return run
+
+
+#: Rows of those pairs: count, tables summed over the samples.
+OPEN_ROWS = "key long, u long, w long, fu boolean, fw boolean, c long, tables long"
+OPEN_TYPES = dict.fromkeys(("key", "u", "w"), pa.int64()) | dict.fromkeys(("fu", "fw"), pa.bool_()) | dict.fromkeys(("c", "tables"), pa.int64())
+
+
+def _frequent_cells(least: dict):
+    """Packed state of the cells from the step ``least[kind]`` on."""
+    def run(batches):
+        for kind, rows in _gathered(batches):
+            cols = _state(rows)
+            often = _steps(cols[1]) >= least[kind]
+            yield _cells_in_state(kind, *(x[often] for x in cols))
+    return run
+
+
+def _other_cells(least: dict, from_: int):
+    """Rows of the cells below the step ``least[kind]`` that were seen ``from_`` times or more."""
+    def run(batches):
+        for kind, rows in _gathered(batches):
+            keys, n, _, now, t, kept = _state(rows)
+            on = (_steps(n) < least[kind]) & (n >= from_)
+            kept = kept[on]
+            ends = pa.array((np.arange(int(on.sum()) + 1) * kept.shape[1]).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([*(pa.array(x[on]) for x in (keys, n, now, t)), pa.ListArray.from_arrays(ends, pa.array(kept.reshape(-1)))],
+                                             names=["key", "n", "now", "t", "kept"])
+    return run
+
+
+def _state(rows) -> list[np.ndarray]:
+    cols = [_flat(rows[x]) for x in ("keys", "n", "ones", "now", "t")]
+    return [*cols, _wide(rows["kept"], len(cols[0]))]
+
+
+def _met(rows: DataFrame, state: DataFrame, least: dict, from_: int) -> DataFrame:
+    """Pairs with the state of those of their cells that are not frequent (so no key has many rows)."""
+    for key, kind, often in (("w", DISH, "fw"), ("u", CONTEXT, "fu")):
+        cells = state.filter(F.col("kind") == kind).mapInArrow(_released(_other_cells(least, from_)), "key long, n long, now long, t long, kept binary")
+        cells = cells.select(F.col("key").alias(key), *[F.col(x).alias(f"{key}_{x}") for x in ("n", "now", "t", "kept")])
+        rows = rows.filter(f"not {often}").join(cells.hint("shuffle_hash"), key, "left").unionByName(rows.filter(often), allowMissingColumns=True)
+    return rows
+
+
+def _filled(batch, key: str, name: str, m: dict, values: np.ndarray) -> np.ndarray:
+    """A column of a pair's cell: that of the frequent cell, or what was joined."""
+    at = _place(np.asarray(batch[key]), m, key)
+    joined = batch[f"{key}_{name}"]
+    if name == "kept":
+        out = np.zeros((len(at), values.shape[1]), np.int64)
+        if (at < 0).any():
+            out[at < 0] = _wide(joined.filter(pa.array(at < 0)), int((at < 0).sum()))
+    else:
+        out = joined.fill_null(0).to_numpy(zero_copy_only=False)
+        out = out.astype(np.float64) if values.dtype == np.float64 else out.copy()
+    out[at >= 0] = values[at[at >= 0]]
+    return out
+
+
+def _root_share(now, t, d0: float, new: float, over: float):
+    return (np.maximum(now - d0 * t, 0.0) + new) / over
+
+
+def _seat_known(number: int, d: float, keep: bool, shared):
+    """A sweep over packed pairs of frequent cells: the pairs, with their tables added if kept, and the tables by context and dish."""
     def run(batches):
         m = shared.value
-        for batch in batches:
-            key, n = batch["keys"].flatten(), batch["n"].flatten()
-            u, w = _split_key({"key": key})
-            yield pa.RecordBatch.from_arrays([key, n, pa.array((_place(u, m, "u") >= 0) & (_place(w, m, "w") >= 0))], names=["key", "n", "known"])
+        by_u, by_w = np.zeros(len(m["u"])), np.zeros(len(m["w"]))
+        for kind, rows in _gathered(batches):
+            places, n, total = (_flat(rows[x]) for x in ("keys", "n", "sum"))
+            u, w, key = _at(places, m)
+            weight = (STRENGTH + d * m["u_now"][u]) * m["p0"][w]
+            t = seat(n, weight, d, mix(key.view(np.uint64) + np.uint64(number << 40)))
+            by_u += np.bincount(u, t, len(by_u))
+            by_w += np.bincount(w, t, len(by_w))
+            if keep:
+                yield _pairs_or_tables(kind, places, n, total + t.astype(np.int64), by=key)
+        for kind, cells, sums in ((CONTEXT, m["u"], by_u), (DISH, m["w"], by_w)):
+            yield _pairs_or_tables(kind, cells[sums > 0], sums[sums > 0].astype(np.int64))
     return run
 
 
-def _seat_rows(number: int, discount: float, shared=None):
-    """Rows (key, n, weight) with the column t, the tables of their n customers; known rows get their weight here."""
+def _pairs_or_tables(kind, keys, n, total=None, by=None):
+    return _packed(kind, keys, by=by, n=n, sum=total)
+
+
+def _seat_open(number: int, d: float, keep: bool, shared, root: tuple):
+    """``_seat_known`` for rows of ``_met``, which stay rows."""
+    of = dict.fromkeys(("kind", "bucket"), pa.int32()) | dict.fromkeys(("keys", "n", "sum"), pa.binary()) | OPEN_TYPES
+
     def run(batches):
+        m = shared.value
         for batch in _together(batches):
-            if shared is None:
-                weight = np.asarray(batch["weight"])
-            else:
-                u, w = _split_key(batch)
-                m = shared.value
-                weight = (STRENGTH + discount * m["t"][_place(u, m, "u")]) * m["p0"][_place(w, m, "w")]
-            key = mix(np.asarray(batch["key"]).view(np.uint64) + np.uint64(number << 40))
-            t = seat(np.asarray(batch["n"]), weight, discount, key).astype(np.int64)
-            kept = [x for x in batch.schema.names if x != "weight"]
-            yield pa.RecordBatch.from_arrays([*(batch[x] for x in kept), pa.array(t)], names=[*kept, "t"])
+            key, n = np.asarray(batch["key"]), np.asarray(batch["c"])
+            share = _root_share(_filled(batch, "w", "now", m, m["w_now"]), _filled(batch, "w", "t", m, m["w_t"]), *root)
+            weight = (STRENGTH + d * _filled(batch, "u", "now", m, m["u_now"])) * share
+            t = seat(n, weight, d, mix(key.view(np.uint64) + np.uint64(number << 40))).astype(np.int64)
+            if keep:
+                tables = pa.array(np.asarray(batch["tables"]) + t)
+                yield _aligned(pa.RecordBatch.from_arrays([tables if x == "tables" else batch[x] for x in OPEN_TYPES], names=list(OPEN_TYPES)), of)
+            for kind, cell in ((CONTEXT, "u"), (DISH, "w")):
+                yield _aligned(_as_bytes(_pairs_or_tables(kind, *_summed(np.asarray(batch[cell]), t))), of)
+    return run
+
+
+def _update(number: int, d0: float, new: float, keep: bool):
+    """State and the tables a sweep adds to it, dealt by bucket, to the state after it; the root is seated here."""
+    def run(batches):
+        for kind, rows in _whole(batches):
+            is_state = rows["ones"].is_valid().to_numpy(zero_copy_only=False)
+            keys, n, ones, now, t, kept = _state(_picked(rows, is_state))
+            more = _picked(rows, ~is_state) if not is_state.all() else rows.slice(0, 0)
+            order = np.argsort(keys)
+            at = order[np.searchsorted(keys[order], _flat(more["keys"]))]
+            now = ones + np.bincount(at, _flat(more["n"]), len(keys)).astype(np.int64)
+            if kind == DISH:
+                t = seat(now, np.full(len(now), new), d0, mix(keys.view(np.uint64) + np.uint64((1000 + number) << 40))).astype(np.int64)
+            if keep:
+                kept = np.column_stack((kept, now) if kind == CONTEXT else (kept, now, t))
+            yield _cells_in_state(kind, keys, n, ones, now, t, kept)
     return run
 
 
-def _seated(rows: DataFrame, number: int, discount: float, shared=None) -> DataFrame:
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "weight")
-    return rows.mapInArrow(_released(_seat_rows(number, discount, shared)), f"{kept}, t long")
+def _root_sums(batches):
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array([int(_flat(batch[x]).sum())]) for x in ("now", "t")], names=["n", "t"])
+
+
+def _masses(kept: np.ndarray, k: np.ndarray, d: float) -> np.ndarray:
+    """What a context leaves to the root in each sample."""
+    return (STRENGTH + d * kept) / (STRENGTH + k)[:, None]
+
+
+def _shares(kept: np.ndarray, d0: float, roots: list) -> np.ndarray:
+    """The root's probability of a dish in each sample."""
+    return np.column_stack([_root_share(kept[:, 2 * i], kept[:, 2 * i + 1], d0, *r) for i, r in enumerate(roots)] or [np.zeros((len(kept), 0))])
 
 
-def _gains(shared, d: float):
-    """Known rows (key, n, own) to (key, n, more, most)."""
+def _gain(key, n, own, back, k, d: float) -> pa.RecordBatch:
+    """Packed pairs: what they add to the log10 of a pair seen once, and of one never seen."""
+    over = STRENGTH + k
+    p = own / over + back
+    return _packed(PAIR, key, n=n, more=np.log10(p / ((1.0 - d) / over + back)).astype(np.float32), most=np.log10(p / back).astype(np.float32))
+
+
+def _gains_known(shared, d: float, samples: int):
+    """Packed pairs of frequent cells to packed PAIR_MODEL rows."""
     def run(batches):
         m = shared.value
-        for batch in batches:
-            u, w = _split_key(batch)
-            u, w = _place(u, m, "u"), _place(w, m, "w")
-            back = (m["ms"][u] * m["p0s"][w]).mean(axis=1)
-            over = STRENGTH + m["k"][u]
-            p = np.asarray(batch["own"]) / over + back
-            yield pa.RecordBatch.from_arrays(
-                [batch["key"], batch["n"], pa.array(np.log10(p / ((1.0 - d) / over + back)).astype(np.float32)),
-                 pa.array(np.log10(p / back).astype(np.float32))], names=["key", "n", "more", "most"])
+        for kind, rows in _gathered(batches):
+            places, n, total = (_flat(rows[x]) for x in ("keys", "n", "sum"))
+            u, w, key = _at(places, m)
+            own = n - d * total / samples if kind == MANY else np.full(len(n), 1.0 - d)
+            yield _gain(key, n, own, (m["ms"][u] * m["p0s"][w]).mean(axis=1), m["u_n"][u], d)
     return run
 
 
-def _arrays(rows: DataFrame, key: str) -> dict:
-    """The columns of rows (at most HEAD or WORDS) as arrays in the order of their key's hash; lists become two-dimensional.
+def _gains_open(shared, d: float, d0: float, samples: int, roots: list):
+    """``_gains_known`` for rows of ``_met``."""
+    def run(batches):
+        m = shared.value
+        for batch in _together(batches):
+            n = np.asarray(batch["c"])
+            k = _filled(batch, "u", "n", m, m["u_n"])
+            back = _masses(_filled(batch, "u", "kept", m, m["u_kept"]), k, d) * _shares(_filled(batch, "w", "kept", m, m["w_kept"]), d0, roots)
+            own = np.where(n > 1, n - d * np.asarray(batch["tables"]) / samples, 1.0 - d)
+            yield _gain(np.asarray(batch["key"]), n, own, back.mean(axis=1), k, d)
+    return run
 
-    The entry (key, "at") tells where the rows begin whose hash has the same first bits.
-    """
-    got = rows.toArrow()
-    out = {}
-    for x in got.schema.names:
-        column = got[x].combine_chunks()
-        if pa.types.is_list(column.type):
-            flat = np.asarray(column.flatten())
-            out[x] = flat.reshape(len(got), len(flat) // len(got) if len(got) else 1)
-        else:
-            out[x] = column.to_numpy(zero_copy_only=False)
+
+def _found(keys: np.ndarray, among: np.ndarray) -> np.ndarray:
+    """Place of each key among distinct ones, or -1."""
+    if not len(among):
+        return np.full(len(keys), -1)
+    # hashed twice: keys of a bucket share the first bits of their hash
+    m = _indexed({"key": mix(among.view(np.uint64)).view(np.int64), "at": np.arange(len(among))}, "key")
+    at = _place(mix(keys.view(np.uint64)).view(np.int64), m, "key")
+    return np.where(at >= 0, m["at"][at], -1)
+
+
+def _word_model(d: float, d0: float, samples: int, roots: list, unseen: list):
+    """Words, contexts and dishes dealt by cell to packed WORD_MODEL rows; k is -1 for words that are no context."""
+    def run(batches):
+        for _, rows in _whole(batches):
+            side = np.asarray(rows["side"])
+            part = [_picked(rows, side == x) if (side == x).any() else rows.slice(0, 0) for x in range(4)]
+            keys, c = _flat(part[WORD]["keys"]), _flat(part[WORD]["n"])
+            u, k, _, _, _, tables = _state(part[CONTEXT])
+            start = np.flatnonzero(u == START)
+            real = keys != START
+            keys, c = np.concatenate((keys[real], u[start])), np.concatenate((c[real], k[start]))
+            w, _, _, _, _, seats = _state(part[DISH])
+            at_u, at_w = _found(_cell(keys), u), _found(_cell(keys), w)
+            ms, p0s = np.ones((len(keys), samples)), np.tile(np.array(unseen, np.float64), (len(keys), 1))
+            if len(u):
+                ms[at_u >= 0] = _masses(tables, k, d)[at_u[at_u >= 0]]
+            if len(w):
+                p0s[at_w >= 0] = _shares(seats, d0, roots)[at_w[at_w >= 0]]
+            own_k = np.full(len(keys), -1, np.int64)
+            own_k[at_u >= 0] = k[at_u[at_u >= 0]]
+            yield _packed(WORD, keys, by=_cell(keys), c=c, k=own_k, p0s=p0s, ms=ms)
+    return run
+
+
+def _word_rows(batches):
+    """Packed words to rows (w, c, p0s, k, ms); k and ms are null for words that are no context, p0s for the start."""
+    for _, rows in _gathered(batches):
+        keys, c, k = (_flat(rows[x]) for x in ("keys", "c", "k"))
+        p0s, ms = (_wide(rows[x], len(keys), np.float64).tolist() for x in ("p0s", "ms"))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(keys), pa.array(c), pa.array([x if w != START else None for w, x in zip(keys.tolist(), p0s, strict=True)], pa.list_(pa.float64())),
+             pa.array(k, mask=k < 0), pa.array([x if n >= 0 else None for n, x in zip(k.tolist(), ms, strict=True)], pa.list_(pa.float64()))],
+            names=["w", "c", "p0s", "k", "ms"])
+
+
+def _pair_rows(batches):
+    """Packed pairs to rows (key, n, more, most)."""
+    for _, rows in _gathered(batches):
+        yield pa.RecordBatch.from_arrays([pa.array(_flat(rows["keys"])), pa.array(_flat(rows["n"])), *(pa.array(_flat(rows[x], np.float32)) for x in ("more", "most"))],
+                                         names=["key", "n", "more", "most"])
+
+
+def _indexed(out: dict, key: str) -> dict:
+    """Arrays in the order of their key's hash; the entry (key, "at") tells where the rows begin whose hash has the same first bits."""
     h = mix(out[key].view(np.uint64))
     order = np.argsort(h)
     out = {x: v[order] for x, v in out.items()}
@@ -314,8 +694,14 @@ def _arrays(rows: DataFrame, key: str) -> dict:
     return out
 
 
+def _arrays(rows: DataFrame, key: str) -> dict:
+    """The columns of rows (at most HEAD or WORDS) as arrays in the order of their key's hash."""
+    got = rows.toArrow()
+    return _indexed({x: got[x].combine_chunks().to_numpy(zero_copy_only=False) for x in got.schema.names}, key)
+
+
 def _place(keys: np.ndarray, among: dict, key: str) -> np.ndarray:
-    """Place of each key among those of ``_arrays``, or -1."""
+    """Place of each key among those of ``_indexed``, or -1."""
     there, start = among[key], among[key, "at"]
     bits = len(there).bit_length() or 1
     top = (mix(keys.view(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
@@ -338,13 +724,8 @@ def _step(count: str) -> Column:
 
 def _frequent(rows: DataFrame, count: str, most: int) -> Column:
     """Whether a row is among the at most ``most`` ones with the highest counts (whole steps of counts)."""
-    least, taken = 0, 0
-    for r in sorted(rows.filter(F.col(count) > 0).groupBy(_step(count).alias("step")).count().collect(), key=lambda r: -r["step"]):
-        taken += r["count"]
-        if taken > most:
-            least = r["step"] + 1
-            break
-    return F.coalesce(_step(count) >= least, F.lit(False))
+    steps = rows.filter(F.col(count) > 0).groupBy(_step(count).alias("step")).count().collect()
+    return F.coalesce(_step(count) >= _least([(r["step"], r["count"]) for r in steps], most), F.lit(False))
 
 
 def _lookup(rows: DataFrame, key: str, table: DataFrame, hot: Column, to: str) -> DataFrame:
@@ -358,10 +739,6 @@ def _lookup(rows: DataFrame, key: str, table: DataFrame, hot: Column, to: str) -
         tried.filter(F.col(to).isNull()).drop(to).join(table.filter(~hot).select(key, value).hint("shuffle_hash"), key, "left"))
 
 
-def _cells(pairs: DataFrame) -> DataFrame:
-    return pairs.withColumns({"u": F.shiftrightunsigned("key", 32), "w": F.col("key").bitwiseAND(F.lit(0xFFFFFFFF))})
-
-
 def _discount(once: int, twice: int) -> float:
     return min(0.95, max(0.05, once / (once + 2 * twice))) if once else 0.5
 
@@ -372,159 +749,290 @@ def fit(docs: DataFrame, learn: Column, burn_in: int = BURN_IN, samples: int = S
     ``words``: (w, c, p0s, k, ms): count; the root's probability in each sample; as a context its customers and
     the mass it leaves to the root in each sample; the start of a text is the word START.  ``pairs``: (key, n, more,
     most): what a pair seen n times adds to the log10 of one seen once, and of one never seen; pairs seen
-    once are there if a text that is only scored holds them.  Also N, V, d and the root's probability of a word never seen.
+    once are there if a text that is only scored holds them.  ``packed_words`` and ``packed_pairs`` are the same as packed
+    rows, ``least`` the steps of counts from which words and pairs are frequent.  Also N, V, d and the root's probability of a word never seen.
     """
     text = docs.select(docs["text"].cast("string").alias("text"), F.coalesce(learn, F.lit(False)).alias("learn"))
     counts = materialize(_dealt(text.mapInArrow(_released(_count), PACKED)).mapInArrow(_released(_merge), PACKED), "py-counts")
-    words = counts.filter(F.col("kind") == WORD).select(F.inline(F.arrays_zip(F.col("keys").alias("w"), F.col("n").alias("c"))))
-    every = words.filter(F.col("w") != START)
-    got = every.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v"), F.count_if(F.col("c") == 1).alias("once"),
-                    F.count_if(F.col("c") == 2).alias("twice")).first()
-    total, kinds = got["n"] or 0, got["v"]
-    d0 = _discount(got["once"], got["twice"])
-
-    def by(kind: int) -> DataFrame:
-        return _dealt(counts.filter(F.col("kind") == kind)).mapInArrow(_released(_total), "key long, n long, ones long, kinds long")
-
-    none = F.array().cast("array<bigint>").alias("ts")
-    contexts = materialize(by(CONTEXT).select(F.col("key").alias("u"), F.col("n").alias("k"), "ones", F.col("kinds").alias("t"), none), "py-contexts")
-    root = materialize(by(DISH).select(F.col("key").alias("w"), F.col("n").alias("c"), "ones", F.col("kinds").alias("n"),
-                                       F.lit(1).cast("long").alias("t"), none.alias("ns"), none), "py-root")
-    cells = root.count() + 1
-    hot_u, hot_w = F.col("k") * HOT >= total, F.col("c") * HOT >= total
-    often_u, often_w = _frequent(contexts, "k", WORDS), _frequent(root, "c", WORDS)
-
-    def share(of_u: DataFrame, of_w: DataFrame):
-        """The frequent cells' columns, broadcast."""
-        return docs.sparkSession.sparkContext.broadcast(_arrays(of_u, "u") | _arrays(of_w, "w"))
-
-    found = share(contexts.filter(often_u).select("u"), root.filter(often_w).select("w"))
-    rows = counts.filter(F.col("kind") == PAIR).select("keys", "n").mapInArrow(_released(_known(found)), "key long, n long, known boolean")
-    rows = materialize(rows.withColumn("sum", F.lit(0).cast("long")), "py-pairs")
-    many, lone = rows.filter("n > 1"), rows.filter("n = 1")
-    d = _discount(contexts.agg(F.sum("ones")).first()[0] or 0, rows.filter("n = 2").count())
-    found.unpersist()
-    written = [rows]
-
-    def shared() -> tuple[float, float]:
+    got = _summary(counts.filter(F.col("kind").isin(WORD, PAIR)))
+
+    def summed(of: list, kind: int, name: str) -> int:
+        return sum(r[name] for r in of if r["kind"] == kind)
+
+    def least(of: list, kind: int, most: int) -> int:
+        return _least([(r["step"], r["rows"]) for r in of if r["kind"] == kind], most)
+
+    total, kinds = summed(got, WORD, "total"), summed(got, WORD, "rows")
+    d0 = _discount(summed(got, WORD, "ones"), summed(got, WORD, "twos"))
+    state = materialize(_dealt(counts.filter(F.col("kind").isin(CONTEXT, DISH))).mapInArrow(_released(_total), STATE), "py-state")
+    cells_got = _summary(state)
+    cells = summed(cells_got, DISH, "rows") + 1
+    often = {kind: least(cells_got, kind, WORDS) for kind in (CONTEXT, DISH)}
+    d = _discount(summed(cells_got, CONTEXT, "ones"), summed(got, PAIR, "twos"))
+
+    def frequent() -> dict:
+        """The frequent cells' state as arrays: at most WORDS rows a kind."""
+        rows, out = state.mapInArrow(_released(_frequent_cells(often)), STATE).toArrow(), {}
+        for kind, key, width in ((CONTEXT, "u", 1), (DISH, "w", 2)):
+            part = rows.filter(pa.array(np.asarray(rows["kind"]) == kind)).combine_chunks()
+            cols = {x: np.concatenate([_flat(c) for c in part[x].chunks] or [np.zeros(0, np.int64)]) for x in ("keys", "n", "now", "t", "kept")}
+            held = cols.pop("kept")
+            done = len(held) // (width * len(cols["keys"])) if len(cols["keys"]) else samples
+            out |= _indexed({key: cols["keys"]} | {f"{key}_{x}": cols[x] for x in ("n", "now", "t")} | {
+                f"{key}_kept": held.reshape(len(cols["keys"]), width * done)}, key)
+        return out
+
+    def share(*names: str, **more: np.ndarray):
+        return docs.sparkSession.sparkContext.broadcast({x: m[x] for x in ("u", ("u", "at"), "w", ("w", "at"), *names)} | more)
+
+    def root_state() -> tuple[float, float]:
         """Weight of a new table in the root, and what the root's weights are divided by."""
-        r = root.agg(F.sum("n").alias("n"), F.sum("t").alias("t")).first()
+        r = state.filter(F.col("kind") == DISH).select("now", "t").mapInArrow(_released(_root_sums, False), "n long, t long").agg(
+            F.sum("n").alias("n"), F.sum("t").alias("t")).first()
         return (ROOT_STRENGTH + d0 * (r["t"] or 0)) / cells, ROOT_STRENGTH + (r["n"] or 0)
 
-    kept, state = [], shared()
+    m = frequent()
+    found = share()
+    pairs = materialize(counts.filter(F.col("kind") == PAIR).select("kind", "bucket", "keys", "n").mapInArrow(
+        _released(_sorted_out(found)), PAIRS), "py-pairs")
+    rows = pairs.filter(F.col("kind").isin(OPEN, OPEN_LONE)).mapInArrow(_released(_open_rows(found), False), OPEN_ROWS)
+    rows = materialize(rows, "py-open")
+    found.unpersist()
+    many, open_, written = pairs, rows.filter("c > 1"), [pairs, rows]
+    kept, root = [], root_state()
     for number in range(burn_in + samples):
         keep = number >= burn_in
-        new, over = state
-        p0 = (F.greatest(F.col("cw.n") - d0 * F.col("cw.t"), F.lit(0.0)) + new) / over
-        found = share(contexts.filter(often_u).select("u", "t"), root.filter(often_w).select(
-            "w", F.struct("n", "t").alias("cw")).select("w", p0.alias("p0")))
-        rows = _lookup(_lookup(_cells(many.filter("not known")), "u", contexts.select("u", "k", "t"), hot_u, "cu"),
-                       "w", root.select("w", "c", "n", "t"), hot_w, "cw")
-        rows = rows.select("key", "n", "known", "sum", ((STRENGTH + d * F.col("cu.t")) * p0).alias("weight"))
-        seats = materialize(_seated(many.filter("known"), number, d, found).unionByName(_seated(rows, number, d)), f"py-seats{number}")
+        new, over = root
+        found = share("u_now", "w_now", "w_t", p0=_root_share(m["w_now"], m["w_t"], d0, new, over))
+        known = many.filter(F.col("kind") == MANY).mapInArrow(_released(_seat_known(number, d, keep, found)), PAIRS)
+        met = _met(open_, state, often, 2).mapInArrow(_released(_seat_open(number, d, keep, found, (d0, new, over)), False), f"{PAIRS}, {OPEN_ROWS}")
+        seats = materialize(known.unionByName(met, allowMissingColumns=True), f"py-seats{number}")
         found.unpersist()
-        many = seats.select("key", "n", "known", (F.col("sum") + F.col("t") * int(keep)).alias("sum"))
-        after, own = _cells(seats), F.col("ones") + F.coalesce("got", F.lit(0))
-
-        def kept_too(list_col: str, value: Column, keep: bool = keep) -> Column:
-            return F.concat(list_col, F.array(value)) if keep else F.col(list_col)
-
-        before = [contexts, root, *written[1:]]
-        written = [written[0], seats]
-        contexts = materialize(contexts.drop("t").join(after.groupBy("u").agg(F.sum("t").alias("got")).hint("shuffle_hash"), "u", "left")
-                               .select("u", "k", "ones", own.alias("t"), kept_too("ts", own).alias("ts")), f"py-contexts{number}")
-        root = _seated(root.drop("n", "t").join(after.groupBy("w").agg(F.sum("t").alias("got")).hint("shuffle_hash"), "w", "left")
-                       .select("w", F.col("w").alias("key"), "c", "ones", own.alias("n"), "ns", "ts", F.lit(new).alias("weight")),
-                       1000 + number, d0)
-        root = materialize(root.select("w", "c", "ones", "n", "t", kept_too("ns", F.col("n")).alias("ns"),
-                                       kept_too("ts", F.col("t")).alias("ts")), f"py-root{number}")
+        tables = seats.filter(F.col("kind").isin(CONTEXT, DISH)).select("kind", "bucket", "keys", "n")
+        before = [state, *written[2:]] if keep else [state]
+        state = materialize(_dealt(state.unionByName(tables, allowMissingColumns=True)).mapInArrow(
+            _released(_update(number, d0, new, keep)), STATE), f"py-state{number}")
         discard(*before)
-        state = shared()
         if keep:
-            kept.append(state)
-    p0s = F.array(*[(F.greatest(F.get("ns", F.lit(i)) - d0 * F.get("ts", F.lit(i)), F.lit(0.0)) + new) / over
-                    for i, (new, over) in enumerate(kept)])
-    last = contexts, root
-    contexts = contexts.select("u", "k", F.transform("ts", lambda t: (STRENGTH + d * t) / (STRENGTH + F.col("k"))).alias("ms"))
-    root = root.select("w", "c", p0s.alias("p0s"))
-    rows = many.select("key", "n", "known", (F.col("n") - d * F.col("sum") / samples).alias("own")).unionByName(
-        lone.select("key", "n", "known", (F.lit(1.0) - d).alias("own")))
-    found = share(contexts.filter(often_u), root.filter(often_w).select("w", "p0s"))
-    known = rows.filter("known").select("key", "n", "own").mapInArrow(_released(_gains(found, d)), "key long, n long, more float, most float")
-    rows = _lookup(_lookup(_cells(rows.filter("not known")), "u", contexts, hot_u, "cu"), "w", root, hot_w, "cw")
-    back, over = _back(F.col("cu.ms"), F.col("cw.p0s"), samples), STRENGTH + F.col("cu.k")
-    p = F.col("own") / over + back
-    model = materialize(known.unionByName(rows.select(
-        "key", "n", F.log10(p / ((1.0 - d) / over + back)).cast("float").alias("more"),
-        F.log10(p / back).cast("float").alias("most"))), "py-model")
+            many, open_, written = seats, seats.filter("key is not null").select(*OPEN_TYPES), [pairs, rows, seats]
+        else:
+            discard(seats)
+        m, root = frequent(), root_state()
+        if keep:
+            kept.append(root)
+    unseen = [new / over for new, over in kept]
+    found = share("u_n", "u_kept", "w_kept", ms=_masses(m["u_kept"], m["u_n"], d), p0s=_shares(m["w_kept"], d0, kept))
+    known = many.filter(F.col("kind") == MANY).select(*pairs.columns).unionByName(pairs.filter(F.col("kind") == LONE))
+    others = _met(open_.unionByName(rows.filter("c = 1")), state, often, 1)
+    model = materialize(known.mapInArrow(_released(_gains_known(found, d, samples)), PAIR_MODEL).unionByName(
+        others.mapInArrow(_released(_gains_open(found, d, d0, samples, kept)), PAIR_MODEL)), "py-model")
     found.unpersist()
-    start = contexts.filter(F.col("u") == START)
-    cell = F.col("w").bitwiseAND(F.lit(0xFFFFFFFF))
-    table = every.withColumn("cell", cell).join(root.select(F.col("w").alias("cell"), "p0s"), "cell", "left").join(
-        contexts.withColumnRenamed("u", "cell"), "cell", "left").select("w", "c", "p0s", "k", "ms")
-    table = table.unionByName(start.select(F.lit(START).cast("long").alias("w"), F.col("k").alias("c"),
-                                           F.lit(None).cast("array<double>").alias("p0s"), "k", "ms"))
-    table = materialize(table, "py-words")
-    discard(counts, last[0], last[1], *written)
-    return {"words": table, "pairs": model, "N": total, "V": kinds, "d": d, "samples": samples,
-            "unseen": [new / over for new, over in kept]}
+    parts = counts.filter(F.col("kind") == WORD).select("kind", "bucket", "keys", "n").unionByName(state, allowMissingColumns=True)
+    parts = _dealt(parts.select(F.lit(WORD).alias("kind"), "bucket", F.col("kind").alias("side"), "keys", "n", "ones", "now", "t", "kept"))
+    table = materialize(parts.mapInArrow(_released(_word_model(d, d0, samples, kept, unseen)), WORD_MODEL), "py-words")
+    discard(counts, state, *written)
+    return {"words": table.mapInArrow(_released(_word_rows, False), "w long, c long, p0s array<double>, k long, ms array<double>"),
+            "pairs": model.mapInArrow(_released(_pair_rows, False), "key long, n long, more float, most float"),
+            "packed_words": table, "packed_pairs": model, "least": {WORD: least(got, WORD, WORDS - 1), PAIR: least(got, PAIR, HEAD)},
+            "N": total, "V": kinds, "d": d, "samples": samples, "unseen": unseen}
+
+
+def _from_step(name: str, step: int, above: bool, dtypes: dict):
+    """Packed rows with the keys whose count is (not) from ``step`` on; the start of a text always counts as frequent."""
+    def run(batches):
+        for kind, rows in _gathered(batches):
+            keys, n = _flat(rows["keys"]), _flat(rows[name])
+            often = _steps(n) >= step
+            if kind == WORD:
+                often |= keys == START
+            on = often == above
+            yield _packed(kind, keys[on], by=_cell(keys[on]) if kind == WORD else None, **{
+                x: (_wide(rows[x], len(keys), t) if x in ("p0s", "ms") else _flat(rows[x], t))[on] for x, t in dtypes.items()})
+    return run
 
 
-def _back(ms: Column, p0s: Column, samples: int) -> Column:
-    """What the root adds: mass times probability, averaged over the samples."""
-    return F.aggregate(F.zip_with(ms, p0s, lambda m, p: m * p), F.lit(0.0), lambda a, x: a + x) / samples
+COUNTED_WORDS = {"c": np.int64, "k": np.int64, "p0s": np.float64, "ms": np.float64}
+COUNTED_PAIRS = {"n": np.int64, "more": np.float32, "most": np.float32}
 
 
-def _head(model: dict, often: Column) -> dict:
+def _head(model: dict) -> dict:
     """Frequent words and pairs as arrays: at most WORDS and HEAD rows."""
-    s = model["samples"]
-    words = model["words"].filter(_frequent(model["words"], "c", WORDS)).select(
-        "w", "c", F.coalesce("k", F.lit(0)).alias("k"),
-        F.coalesce("p0s", F.array(*[F.lit(x) for x in model["unseen"]])).cast("array<float>").alias("p0s"),
-        F.coalesce("ms", F.array_repeat(F.lit(1.0), s)).cast("array<float>").alias("ms"))
-    pairs = model["pairs"].filter(often).select("key", "more", "most")
-    return _arrays(words, "w") | _arrays(pairs, "key") | {"d": model["d"]}
+    out = {}
+    for packed, schema, key, count, dtypes, kind in (("packed_words", WORD_MODEL, "w", "c", COUNTED_WORDS, WORD), ("packed_pairs", PAIR_MODEL, "key", "n", COUNTED_PAIRS, PAIR)):
+        rows = model[packed].mapInArrow(_released(_from_step(count, model["least"][kind], True, dtypes)), schema).toArrow()
+        cols = {x: np.concatenate([_flat(c, t) for c in rows[x].chunks] or [np.zeros(0, t)]) for x, t in ({"keys": np.int64} | dtypes).items()}
+        cols[key] = cols.pop("keys")
+        for x in {"p0s", "ms"} & set(cols):
+            cols[x] = cols[x].reshape(len(cols[key]), model["samples"]).astype(np.float32)
+        if kind == WORD:  # what a context gives to a pair seen once, and the words' part of the base score
+            cols["once"] = (1.0 - model["d"]) / (STRENGTH + np.maximum(cols.pop("k"), 0))
+            cols["logc"] = np.log10(cols.pop("c") + 1)
+        else:
+            cols.pop("n")
+        out |= _indexed(cols, key)
+    return out
+
+
+#: Kinds of packed rows while scoring, besides the tables WORD, PAIR and (words as contexts) CONTEXT: documents, and sums by row.
+DOC, SUM = 4, 5
+#: Rows while scoring.  side 0: of a table; 1: tokens that ask for their key (vals: what is known); 2: for both words (us: the word before).
+#: A row's id is its task and, in the lower half, its place there and whether it was learned from; ids has only that half.
+ASKS = "kind int, bucket int, side int, task int, keys binary, ids binary, rows binary, us binary, vals binary, row long"
+FOUND = "n_tokens long, n_known long, logp double, logc double"
+
+
+class _Asked:
+    """Tokens of a task that ask for a key, packed when there are many."""
+
+    def __init__(self, kind: int, side: int, *names: str, limit: int = 1 << 20):
+        self.kind, self.side, self.names, self.limit, self.parts, self.size = kind, side, names, limit, [], 0
+
+    def add(self, *cols: np.ndarray):
+        self.parts.append(cols)
+        self.size += len(cols[0])
+        if self.size > self.limit:
+            yield from self.out()
+
+    def out(self):
+        if self.size:
+            keys, *cols = (np.concatenate(c) for c in zip(*self.parts, strict=True))
+            self.parts, self.size = [], 0
+            yield self.side, _packed(self.kind, keys, by=None if self.kind == PAIR else _cell(keys), **dict(zip(self.names, cols, strict=True)))
+
+
+def _asks_types(row) -> dict:
+    return dict.fromkeys(("kind", "bucket", "side", "task"), pa.int32()) | dict.fromkeys(("keys", "ids", "rows", "us", "vals"), pa.binary()) | {
+        "row": pa.int64(), "_row": row, "n_tokens": pa.int64(), "n_known": pa.int64(), "logp": pa.float64(), "logc": pa.float64()}
 
 
 def _score_head(shared):
-    """Batches (_row, text, learn) to sums over the tokens whose words the head knows, and the tokens that it leaves."""
+    """Batches (_row, text, learn) to documents with the sums over the tokens whose words the head knows, and what the others ask for."""
     def run(batches):
-        m = shared.value
+        m, task, rows, of = shared.value, TaskContext.get().partitionId(), 0, None
+        by_word, by_both = _Asked(WORD, 1, "rows", "vals"), _Asked(WORD, 2, "rows", "us")
+        by_context, by_pair = _Asked(CONTEXT, 1, "rows", "vals"), _Asked(PAIR, 1, "ids")
+
+        def sent(asked):
+            for side, packed in asked:
+                yield _aligned(_as_bytes(packed), of, side=side, task=task)
+
         for batch in chunks(batches, limit=CHUNK):
+            of = of or _asks_types(batch.schema.field("_row").type)
             keys, code, prev, row = _tokens(batch["text"])
-            n, learn = batch.num_rows, batch["learn"].to_numpy(zero_copy_only=False)[row]
-            at = _place(np.concatenate((keys, np.array([START], np.int64))), m, "w")
+            n, own = batch.num_rows, batch["learn"].to_numpy(zero_copy_only=False)
+            learn = own[row]
+            places = (rows + np.arange(n)) * 2 + own
+            rows += n
+            ids = places[row].astype(np.int32)
+            words = np.concatenate((keys, np.array([START], np.int64)))
+            at = _place(words, m, "w")
             w, u = at[code], at[prev]
-            done = (w >= 0) & (u >= 0)
-            w, u = w[done], u[done]
-            p = sum((m["ms"][u, i] * m["p0s"][w, i] for i in range(m["ms"].shape[1])), np.zeros(len(w))) / m["ms"].shape[1]
-            logp, logc = np.zeros(len(code)), np.zeros(len(code))
-            logp[done] = np.log10(p + learn[done] * (1.0 - m["d"]) / (STRENGTH + m["k"][u]))
-            logc[done] = np.log10(m["c"][w] + 1)
-            pair = _place(_pairs(keys, code, prev), m, "key")
-            known = np.flatnonzero(pair >= 0)
+            has_w, has_u = w >= 0, u >= 0
+            of_u = np.append(m["once"], 0.0)[at][prev] * learn
+            logc = np.append(m["logc"], 0.0)[at][code]
+            logp, done = np.zeros(len(code)), np.flatnonzero(has_w & has_u)
+            logp[done] = np.log10(np.einsum("ij,ij->i", m["ms"][u[done]], m["p0s"][w[done]], dtype=np.float64) / m["ms"].shape[1] + of_u[done])
+            key = _pairs(keys, code, prev)
+            pair = _place(key, m, "key")
+            known, asks = np.flatnonzero(pair >= 0), np.flatnonzero(pair < 0)
             logp[known] += np.where(learn[known], m["more"][pair[known]], m["most"][pair[known]])
-            rest = np.flatnonzero(~done)
-            offsets = pa.array(np.concatenate((np.zeros(1, np.int64), np.cumsum(np.bincount(row[rest], minlength=n)))).astype(np.int32))
-            before = np.concatenate((keys, np.array([START], np.int64)))[prev[rest]]
-            yield pa.RecordBatch.from_arrays(
-                [batch["_row"], pa.array(np.bincount(row, minlength=n)), pa.array(np.bincount(row[done], minlength=n)),
-                 pa.array(np.bincount(row, logp, n)), pa.array(np.bincount(row, logc, n)),
-                 pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(
-                     [pa.array(keys[code[rest]]), pa.array(before)], names=["w", "u"]))],
-                names=["_row", "n_tokens", "n_known", "logp", "logc", "rest"])
+            yield from sent(by_pair.add(key[asks], ids[asks]))
+            for to, which in ((by_word, ~has_w & has_u), (by_context, has_w & ~has_u), (by_both, ~has_w & ~has_u)):
+                left = np.flatnonzero(which)
+                of_word, of_before, of_row = keys[code[left]], words[prev[left]], (task << 32) | ids[left].astype(np.int64)
+                if to is by_word:
+                    yield from sent(to.add(of_word, of_row, np.column_stack((m["ms"][u[left]].astype(np.float64), of_u[left]))))
+                elif to is by_context:
+                    yield from sent(to.add(of_before, of_row, m["p0s"][w[left]].astype(np.float64)))
+                else:
+                    yield from sent(to.add(of_word, of_row, of_before))
+            yield _aligned(pa.RecordBatch.from_arrays(
+                [batch["_row"], *(pa.array(x) for x in ((places % (1 << BUCKETS)).astype(np.int32), (task << 32) | places, np.bincount(row, minlength=n),
+                                                        np.bincount(row, has_w, n).astype(np.int64), np.bincount(row, logp, n), np.bincount(row, logc, n)))],
+                names=["_row", "bucket", "row", "n_tokens", "n_known", "logp", "logc"]), of, kind=DOC, side=0, task=task)
+        for to in (by_word, by_both, by_context, by_pair):
+            yield from sent(to.out())
     return run
 
 
-def _ask(shared):
-    """(id, key): the pairs of each text that the head does not know."""
+def _sides(rows: pa.RecordBatch, *which: int) -> list:
+    side = np.asarray(rows["side"])
+    return [_picked(rows, side == x) if (side == x).any() else rows.slice(0, 0) for x in which]
+
+
+def _sums_by_row(ids, p, c, k) -> pa.RecordBatch:
+    ids, p, c, k = _summed(ids, p, c, k)
+    return _as_bytes(_packed(SUM, ids, vals=np.column_stack((p, c, k))))
+
+
+def _pairs_asked(rows: pa.RecordBatch) -> pa.RecordBatch:
+    """Sums of what pairs add that were seen more often."""
+    table, asked = _sides(rows, 0, 1)
+    at = _found(_flat(asked["keys"]), _flat(table["keys"]))
+    ids = asked["ids"]
+    sizes = np.asarray(pc.fill_null(pc.binary_length(ids), 0)) // 4
+    hit = np.flatnonzero(at >= 0)
+    at = at[hit]
+    ids = ((np.repeat(np.asarray(asked["task"]).astype(np.int64), sizes) << 32) | _flat(ids, np.int32).astype(np.int64))[hit]
+    p = np.where((ids & 1).astype(bool), _flat(table["more"], np.float32)[at] if len(at) else 0.0, _flat(table["most"], np.float32)[at] if len(at) else 0.0)
+    return _sums_by_row(ids, p.astype(np.float64), np.zeros(len(ids)), np.zeros(len(ids)))
+
+
+def _words_asked(keys: np.ndarray, table: pa.RecordBatch, unseen: list) -> tuple[np.ndarray, np.ndarray]:
+    """Root's probabilities and counts of words."""
+    among = _flat(table["keys"])
+    at = _found(keys, among)
+    p0s, c, hit = np.tile(np.array(unseen, np.float64), (len(keys), 1)), np.zeros(len(keys)), at >= 0
+    if len(among):
+        p0s[hit], c[hit] = _wide(table["p0s"], len(among), np.float64)[at[hit]], _flat(table["c"])[at[hit]]
+    return p0s, c
+
+
+def _contexts_asked(rows: pa.RecordBatch, d: float, samples: int) -> pa.RecordBatch:
+    """Sums of the log10 of what tokens get whose dish is known, by their context."""
+    table, asked = _sides(rows, 0, 1)
+    keys, ids, among = _flat(asked["keys"]), _flat(asked["rows"]), _flat(table["keys"])
+    at = _found(keys, among)
+    ms, k, hit = np.ones((len(keys), samples)), np.zeros(len(keys)), at >= 0
+    if len(among):
+        ms[hit], k[hit] = _wide(table["ms"], len(among), np.float64)[at[hit]], np.maximum(_flat(table["k"])[at[hit]], 0)
+    p = (ms * _flat(asked["vals"], np.float64).reshape(ms.shape)).mean(axis=1) + (ids & 1) * (1.0 - d) / (STRENGTH + k)
+    return _sums_by_row(ids, np.log10(p), np.zeros(len(ids)), np.zeros(len(ids)))
+
+
+def _answers(d: float, unseen: list):
+    """Dealt rows while scoring and the tables to documents, sums by row, and tokens that ask for their context."""
+    samples = len(unseen)
+
     def run(batches):
-        m = shared.value
-        for batch in chunks(batches, limit=CHUNK):
-            keys, code, prev, row = _tokens(batch["text"])
-            key = _pairs(keys, code, prev)
-            open_ = np.flatnonzero(_place(key, m, "key") < 0)
-            yield pa.RecordBatch.from_arrays([pa.array(np.asarray(batch["id"])[row[open_]]), pa.array(key[open_])], names=["id", "key"])
+        of = None
+        for kind, rows in _whole(batches):
+            of = of or _asks_types(rows.schema.field("_row").type)
+            if kind in (DOC, CONTEXT):
+                yield _aligned(rows, of)
+            elif kind == PAIR:
+                yield _aligned(_pairs_asked(rows), of)
+            else:
+                table, one, both = _sides(rows, 0, 1, 2)
+                ids, vals = _flat(one["rows"]), _flat(one["vals"], np.float64).reshape(-1, samples + 1)
+                p0s, c = _words_asked(_flat(one["keys"]), table, unseen)
+                yield _aligned(_sums_by_row(ids, np.log10((vals[:, :-1] * p0s).mean(axis=1) + vals[:, -1]), np.log10(c + 1), (c > 0).astype(np.float64)), of)
+                ids, us = _flat(both["rows"]), _flat(both["us"])
+                p0s, c = _words_asked(_flat(both["keys"]), table, unseen)
+                yield _aligned(_sums_by_row(ids, np.zeros(len(ids)), np.log10(c + 1), (c > 0).astype(np.float64)), of)
+                yield _aligned(_as_bytes(_packed(CONTEXT, us, by=_cell(us), rows=ids, vals=p0s)), of, side=1)
+    return run
+
+
+def _row_sums(d: float, samples: int):
+    """Dealt sums, and tokens that ask for their context, to rows (row, p, c, k)."""
+    def run(batches):
+        for kind, rows in _whole(batches):
+            if kind == CONTEXT:
+                rows = _contexts_asked(rows, d, samples)
+            ids = _flat(rows["keys"])
+            ids, *sums = _summed(ids, *_wide(rows["vals"], len(ids), np.float64).T) if len(ids) else (ids, *np.zeros((3, 0)))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids, *sums)], names=["row", "p", "c", "k"])
     return run
 
 
@@ -544,43 +1052,32 @@ def score(docs: DataFrame, learn: Column, **kw) -> DataFrame:
 
 def _score(docs: DataFrame, learn: Column, **kw) -> DataFrame:
     model = fit(docs, learn, **kw)
-    samples, n_all, kinds, d = model["samples"], model["N"], model["V"], model["d"]
-    often = _frequent(model["pairs"], "n", HEAD)
-    head = docs.sparkSession.sparkContext.broadcast(_head(model, often))
+    samples, n_all, kinds, d, unseen = model["samples"], model["N"], model["V"], model["d"], model["unseen"]
+    head = docs.sparkSession.sparkContext.broadcast(_head(model))
     learned, text = F.coalesce(learn, F.lit(False)), docs["text"].cast("string")
     # the last bit of a text's id tells whether it was learned from
     text_id = F.shiftleft(F.xxhash64(F.coalesce(text, F.lit(""))), 1).bitwiseOR(learned.cast("long"))
     own = F.struct(*[docs[c] for c in docs.columns if c != "text"])
     rows = docs.select(F.struct(text_id.alias("id"), own.alias("own")).alias("_row"), text.alias("text"), learned.alias("learn"))
-    part = materialize(rows.mapInArrow(_released(_score_head(head)), (
-        f"_row {rows.schema['_row'].dataType.simpleString()}, n_tokens long, n_known long, logp double, logc double, "
-        "rest array<struct<w:bigint,u:bigint>>")), "py-head")
-    hot, words = F.col("c") * HOT >= n_all, model["words"]
-    left = part.select(F.col("_row.id").alias("id"), F.explode("rest").alias("x")).select("id", "x.w", "x.u")
-    left = _lookup(_lookup(left, "w", words.select("w", "c", "p0s"), hot, "cw"), "u",
-                   words.select(F.col("w").alias("u"), "c", "k", "ms"), hot, "cu")
-    # a lone start has no p0s of its own, an end no ms
-    back = _back(F.coalesce("cu.ms", F.array_repeat(F.lit(1.0), samples)),
-                 F.coalesce("cw.p0s", F.array(*[F.lit(x) for x in model["unseen"]])), samples)
-    once = F.when(F.col("id").bitwiseAND(F.lit(1)) == 1, (1.0 - d) / (STRENGTH + F.coalesce("cu.k", F.lit(0)))).otherwise(F.lit(0.0))
-    left = left.select("id", F.log10(back + once).alias("p"), F.log10(F.coalesce("cw.c", F.lit(0)) + 1).alias("c"),
-                       F.when(F.col("cw.c") > 0, 1).otherwise(0).alias("k"))
-    asked = rows.select("_row.id", "text").mapInArrow(_released(_ask(head)), "id long, key long").join(
-        model["pairs"].filter(~often).hint("shuffle_hash"), "key").select(
-        "id", F.when(F.col("id").bitwiseAND(F.lit(1)) == 1, F.col("more")).otherwise(F.col("most")).cast("double").alias("p"),
-        F.lit(0.0).alias("c"), F.lit(0).alias("k"))
-
-    def by_text(x: DataFrame) -> DataFrame:
-        return x.groupBy("id").agg(F.sum("p").alias("p"), F.sum("c").alias("c"), F.sum("k").alias("k"))
-
-    copies = part.groupBy(F.col("_row.id").alias("id")).agg(F.count(F.lit(1)).alias("copies"))
-    # one after the other, so that their shuffles need not lie on disk together
-    left, asked = materialize(by_text(left), "py-left"), materialize(by_text(asked), "py-asked")
-    sums = materialize(by_text(left.unionByName(asked)).join(copies, "id").select(
-        "id", "copies", *[(F.col(x) / F.col("copies")).alias(x) for x in "pck"]), "py-sums")
-    discard(model["words"], model["pairs"], left, asked)
-    texts = part.count()
-    out = _lookup(part.drop("rest").withColumn("id", F.col("_row.id")), "id", sums, F.col("copies") * HOT >= texts, "s")
+    schema = f"{ASKS}, _row {rows.schema['_row'].dataType.simpleString()}, {FOUND}"
+    asked = rows.mapInArrow(_released(_score_head(head), False), schema)
+    words, pairs, side = model["packed_words"], model["packed_pairs"], F.lit(0).alias("side")
+    pairs = pairs.mapInArrow(_released(_from_step("n", model["least"][PAIR], False, COUNTED_PAIRS)), PAIR_MODEL).drop("n")
+    words = words.mapInArrow(_released(_from_step("c", model["least"][WORD], False, COUNTED_WORDS)), WORD_MODEL)
+    found = asked.unionByName(pairs.select("*", side), allowMissingColumns=True).unionByName(words.select("*", side), allowMissingColumns=True)
+    found = materialize(_dealt(found).mapInArrow(_released(_answers(d, unseen), False), schema), "py-found")
+    head.unpersist()
+    sums = found.filter(F.col("kind").isin(SUM, CONTEXT)).select("kind", "bucket", "side", "keys", "rows", "vals")
+    sums = sums.unionByName(words.select(F.lit(CONTEXT).alias("kind"), "bucket", side, "keys", "k", "ms"), allowMissingColumns=True)
+    sums = _dealt(sums).mapInArrow(_released(_row_sums(d, samples), False), "row long, p double, c double, k double")
+    sums = sums.groupBy("row").agg(*[F.sum(x).alias(x) for x in "pck"])
+    part = found.filter(F.col("kind") == DOC).select("row", "_row", "n_tokens", "n_known", "logp", "logc")
+    part = materialize(part.join(sums.hint("shuffle_hash"), "row", "left").drop("row"), "py-part")
+    discard(model["packed_words"], model["packed_pairs"], found)
+    # copies get the mean of their sums, which differ by the order of the addends only
+    by_text = part.groupBy(F.col("_row.id").alias("id")).agg(F.count(F.lit(1)).alias("copies"), *[F.avg(x).alias(x) for x in "pck"])
+    by_text, texts = materialize(by_text, "py-sums"), part.count()
+    out = _lookup(part.drop(*"pck").withColumn("id", F.col("_row.id")), "id", by_text, F.col("copies") * HOT >= texts, "s")
     zero = F.lit(0.0)
     new = {"n_tokens": F.col("n_tokens"), "n_known": F.col("n_known") + F.round(F.coalesce("s.k", zero)).cast("long"),
            "train_tokens": F.lit(n_all).cast("long"),
