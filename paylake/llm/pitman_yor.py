@@ -469,13 +469,13 @@ OPEN_ROWS = "key long, u long, w long, fu boolean, fw boolean, c long, tables lo
 OPEN_TYPES = dict.fromkeys(("key", "u", "w"), pa.int64()) | dict.fromkeys(("fu", "fw"), pa.bool_()) | dict.fromkeys(("c", "tables"), pa.int64())
 
 
-def _frequent_cells(least: dict):
-    """Packed state of the cells from the step ``least[kind]`` on."""
+def _frequent_cells(least: dict, names: tuple):
+    """Columns of the packed state of the cells from the step ``least[kind]`` on."""
     def run(batches):
         for kind, rows in _gathered(batches):
-            cols = _state(rows)
-            often = _steps(cols[1]) >= least[kind]
-            yield _cells_in_state(kind, *(x[often] for x in cols))
+            keys = _flat(rows["keys"])
+            often = _steps(_flat(rows["n"])) >= least[kind]
+            yield _packed(kind, keys[often], **{x: (_wide(rows[x], len(keys)) if x == "kept" else _flat(rows[x]))[often] for x in names})
     return run
 
 
@@ -662,7 +662,7 @@ def _word_model(d: float, d0: float, samples: int, roots: list, unseen: list):
                 p0s[at_w >= 0] = _shares(seats, d0, roots)[at_w[at_w >= 0]]
             own_k = np.full(len(keys), -1, np.int64)
             own_k[at_u >= 0] = k[at_u[at_u >= 0]]
-            yield _packed(WORD, keys, by=_cell(keys), c=c, k=own_k, p0s=p0s, ms=ms)
+            yield _packed(WORD, keys, by=_cell(keys), c=c, k=own_k, p0s=p0s.astype(np.float32), ms=ms.astype(np.float32))
     return run
 
 
@@ -670,7 +670,7 @@ def _word_rows(batches):
     """Packed words to rows (w, c, p0s, k, ms); k and ms are null for words that are no context, p0s for the start."""
     for _, rows in _gathered(batches):
         keys, c, k = (_flat(rows[x]) for x in ("keys", "c", "k"))
-        p0s, ms = (_wide(rows[x], len(keys), np.float64).tolist() for x in ("p0s", "ms"))
+        p0s, ms = (_wide(rows[x], len(keys), np.float32).tolist() for x in ("p0s", "ms"))
         yield pa.RecordBatch.from_arrays(
             [pa.array(keys), pa.array(c), pa.array([x if w != START else None for w, x in zip(keys.tolist(), p0s, strict=True)], pa.list_(pa.float64())),
              pa.array(k, mask=k < 0), pa.array([x if n >= 0 else None for n, x in zip(k.tolist(), ms, strict=True)], pa.list_(pa.float64()))],
@@ -770,16 +770,19 @@ def fit(docs: DataFrame, learn: Column, burn_in: int = BURN_IN, samples: int = S
     often = {kind: least(cells_got, kind, WORDS) for kind in (CONTEXT, DISH)}
     d = _discount(summed(cells_got, CONTEXT, "ones"), summed(got, PAIR, "twos"))
 
-    def frequent() -> dict:
-        """The frequent cells' state as arrays: at most WORDS rows a kind."""
-        rows, out = state.mapInArrow(_released(_frequent_cells(often)), STATE).toArrow(), {}
-        for kind, key, width in ((CONTEXT, "u", 1), (DISH, "w", 2)):
-            part = rows.filter(pa.array(np.asarray(rows["kind"]) == kind)).combine_chunks()
-            cols = {x: np.concatenate([_flat(c) for c in part[x].chunks] or [np.zeros(0, np.int64)]) for x in ("keys", "n", "now", "t", "kept")}
-            held = cols.pop("kept")
-            done = len(held) // (width * len(cols["keys"])) if len(cols["keys"]) else samples
-            out |= _indexed({key: cols["keys"]} | {f"{key}_{x}": cols[x] for x in ("n", "now", "t")} | {
-                f"{key}_kept": held.reshape(len(cols["keys"]), width * done)}, key)
+    def frequent(*names: str) -> dict:
+        """Columns of the frequent cells' state (named u_ and w_ for contexts and dishes) as arrays: at most WORDS rows a kind."""
+        out = {}
+        for kind, key in ((CONTEXT, "u"), (DISH, "w")):
+            own = [x[2:] for x in names if x[0] == key]
+            rows = state.filter(F.col("kind") == kind).mapInArrow(_released(_frequent_cells(often, own)), ", ".join(
+                ["kind int, bucket int, keys binary", *(f"{x} binary" for x in own)])).toArrow()
+            cols = {x: np.concatenate([_flat(c) for c in rows[x].chunks] or [np.zeros(0, np.int64)]) for x in ("keys", *own)}
+            if "kept" in own:
+                cols["kept"] = cols["kept"].reshape(len(cols["keys"]), samples * (1 if kind == CONTEXT else 2))
+            del rows
+            pa.default_memory_pool().release_unused()
+            out |= _indexed({key if x == "keys" else f"{key}_{x}": v for x, v in cols.items()}, key)
         return out
 
     def share(*names: str, **more: np.ndarray):
@@ -791,7 +794,8 @@ def fit(docs: DataFrame, learn: Column, burn_in: int = BURN_IN, samples: int = S
             F.sum("n").alias("n"), F.sum("t").alias("t")).first()
         return (ROOT_STRENGTH + d0 * (r["t"] or 0)) / cells, ROOT_STRENGTH + (r["n"] or 0)
 
-    m = frequent()
+    of_sweep = ("u_now", "w_now", "w_t")
+    m = frequent(*of_sweep)
     found = share()
     pairs = materialize(counts.filter(F.col("kind") == PAIR).select("kind", "bucket", "keys", "n").mapInArrow(
         _released(_sorted_out(found)), PAIRS), "py-pairs")
@@ -803,7 +807,7 @@ def fit(docs: DataFrame, learn: Column, burn_in: int = BURN_IN, samples: int = S
     for number in range(burn_in + samples):
         keep = number >= burn_in
         new, over = root
-        found = share("u_now", "w_now", "w_t", p0=_root_share(m["w_now"], m["w_t"], d0, new, over))
+        found = share(*of_sweep, p0=_root_share(m["w_now"], m["w_t"], d0, new, over))
         known = many.filter(F.col("kind") == MANY).mapInArrow(_released(_seat_known(number, d, keep, found)), PAIRS)
         met = _met(open_, state, often, 2).mapInArrow(_released(_seat_open(number, d, keep, found, (d0, new, over)), False), f"{PAIRS}, {OPEN_ROWS}")
         seats = materialize(known.unionByName(met, allowMissingColumns=True), f"py-seats{number}")
@@ -817,7 +821,8 @@ def fit(docs: DataFrame, learn: Column, burn_in: int = BURN_IN, samples: int = S
             many, open_, written = seats, seats.filter("key is not null").select(*OPEN_TYPES), [pairs, rows, seats]
         else:
             discard(seats)
-        m, root = frequent(), root_state()
+        last = number == burn_in + samples - 1
+        m, root = frequent(*(("u_n", "u_kept", "w_kept") if last else of_sweep)), root_state()
         if keep:
             kept.append(root)
     unseen = [new / over for new, over in kept]
@@ -851,7 +856,7 @@ def _from_step(name: str, step: int, above: bool, dtypes: dict):
     return run
 
 
-COUNTED_WORDS = {"c": np.int64, "k": np.int64, "p0s": np.float64, "ms": np.float64}
+COUNTED_WORDS = {"c": np.int64, "k": np.int64, "p0s": np.float32, "ms": np.float32}
 COUNTED_PAIRS = {"n": np.int64, "more": np.float32, "most": np.float32}
 
 
@@ -863,7 +868,7 @@ def _head(model: dict) -> dict:
         cols = {x: np.concatenate([_flat(c, t) for c in rows[x].chunks] or [np.zeros(0, t)]) for x, t in ({"keys": np.int64} | dtypes).items()}
         cols[key] = cols.pop("keys")
         for x in {"p0s", "ms"} & set(cols):
-            cols[x] = cols[x].reshape(len(cols[key]), model["samples"]).astype(np.float32)
+            cols[x] = cols[x].reshape(len(cols[key]), model["samples"])
         if kind == WORD:  # what a context gives to a pair seen once, and the words' part of the base score
             cols["once"] = (1.0 - model["d"]) / (STRENGTH + np.maximum(cols.pop("k"), 0))
             cols["logc"] = np.log10(cols.pop("c") + 1)
@@ -941,9 +946,9 @@ def _score_head(shared):
                 left = np.flatnonzero(which)
                 of_word, of_before, of_row = keys[code[left]], words[prev[left]], (task << 32) | ids[left].astype(np.int64)
                 if to is by_word:
-                    yield from sent(to.add(of_word, of_row, np.column_stack((m["ms"][u[left]].astype(np.float64), of_u[left]))))
+                    yield from sent(to.add(of_word, of_row, np.column_stack((m["ms"][u[left]], of_u[left])).astype(np.float32)))
                 elif to is by_context:
-                    yield from sent(to.add(of_before, of_row, m["p0s"][w[left]].astype(np.float64)))
+                    yield from sent(to.add(of_before, of_row, m["p0s"][w[left]]))
                 else:
                     yield from sent(to.add(of_word, of_row, of_before))
             yield _aligned(pa.RecordBatch.from_arrays(
@@ -984,7 +989,7 @@ def _words_asked(keys: np.ndarray, table: pa.RecordBatch, unseen: list) -> tuple
     at = _found(keys, among)
     p0s, c, hit = np.tile(np.array(unseen, np.float64), (len(keys), 1)), np.zeros(len(keys)), at >= 0
     if len(among):
-        p0s[hit], c[hit] = _wide(table["p0s"], len(among), np.float64)[at[hit]], _flat(table["c"])[at[hit]]
+        p0s[hit], c[hit] = _wide(table["p0s"], len(among), np.float32)[at[hit]], _flat(table["c"])[at[hit]]
     return p0s, c
 
 
@@ -995,8 +1000,8 @@ def _contexts_asked(rows: pa.RecordBatch, d: float, samples: int) -> pa.RecordBa
     at = _found(keys, among)
     ms, k, hit = np.ones((len(keys), samples)), np.zeros(len(keys)), at >= 0
     if len(among):
-        ms[hit], k[hit] = _wide(table["ms"], len(among), np.float64)[at[hit]], np.maximum(_flat(table["k"])[at[hit]], 0)
-    p = (ms * _flat(asked["vals"], np.float64).reshape(ms.shape)).mean(axis=1) + (ids & 1) * (1.0 - d) / (STRENGTH + k)
+        ms[hit], k[hit] = _wide(table["ms"], len(among), np.float32)[at[hit]], np.maximum(_flat(table["k"])[at[hit]], 0)
+    p = (ms * _flat(asked["vals"], np.float32).reshape(ms.shape)).mean(axis=1) + (ids & 1) * (1.0 - d) / (STRENGTH + k)
     return _sums_by_row(ids, np.log10(p), np.zeros(len(ids)), np.zeros(len(ids)))
 
 
@@ -1014,13 +1019,13 @@ def _answers(d: float, unseen: list):
                 yield _aligned(_pairs_asked(rows), of)
             else:
                 table, one, both = _sides(rows, 0, 1, 2)
-                ids, vals = _flat(one["rows"]), _flat(one["vals"], np.float64).reshape(-1, samples + 1)
+                ids, vals = _flat(one["rows"]), _flat(one["vals"], np.float32).reshape(-1, samples + 1).astype(np.float64)
                 p0s, c = _words_asked(_flat(one["keys"]), table, unseen)
                 yield _aligned(_sums_by_row(ids, np.log10((vals[:, :-1] * p0s).mean(axis=1) + vals[:, -1]), np.log10(c + 1), (c > 0).astype(np.float64)), of)
                 ids, us = _flat(both["rows"]), _flat(both["us"])
                 p0s, c = _words_asked(_flat(both["keys"]), table, unseen)
                 yield _aligned(_sums_by_row(ids, np.zeros(len(ids)), np.log10(c + 1), (c > 0).astype(np.float64)), of)
-                yield _aligned(_as_bytes(_packed(CONTEXT, us, by=_cell(us), rows=ids, vals=p0s)), of, side=1)
+                yield _aligned(_as_bytes(_packed(CONTEXT, us, by=_cell(us), rows=ids, vals=p0s.astype(np.float32))), of, side=1)
     return run
 
 
