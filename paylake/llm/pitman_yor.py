@@ -16,10 +16,11 @@ customer, sweep): reruns agree.  Predictive probabilities are averaged over the
 Scoring: a token's probability starts from what a pair seen once (in a text that was learned
 from) or never (elsewhere) has; this needs its two words only.  Pairs that were seen more often add the
 difference.  The most frequent words and pairs (at most WORDS and HEAD) are looked up in broadcast
-arrays, the others joined.  Sums come back by text; equal texts share them.
+arrays; for the others each token sends its key and its row to the key's bucket, where the model's part is.
+Sums come back by row; equal texts share their mean.
 
-Counting: tasks send the counts that they have gathered as a row for each of 2^BUCKETS buckets of keys;
-whole buckets are merged by MERGE counts at a time, so a task holds that many or one bucket.
+Packed rows: tasks send what they have gathered as a row for each of 2^BUCKETS buckets of keys, its columns
+the bytes of arrays; whole buckets are worked on by about MERGE keys at a time, so a task holds that many or one bucket.
 
 Defined results: null and empty texts consist of their end token; a null doc_id is not held out;
 repeated rows are scored (and learned from) as often as they come; long texts are one row of a
@@ -753,7 +754,7 @@ def fit(docs: DataFrame, learn: Column, burn_in: int = BURN_IN, samples: int = S
     rows, ``least`` the steps of counts from which words and pairs are frequent.  Also N, V, d and the root's probability of a word never seen.
     """
     text = docs.select(docs["text"].cast("string").alias("text"), F.coalesce(learn, F.lit(False)).alias("learn"))
-    counts = materialize(_dealt(text.mapInArrow(_released(_count), PACKED)).mapInArrow(_released(_merge), PACKED), "py-counts")
+    counts = materialize(_dealt(text.mapInArrow(_released(_count), PACKED)).mapInArrow(_released(_merge), PACKED), "py-counts", "zstd")
     got = _summary(counts.filter(F.col("kind").isin(WORD, PAIR)))
 
     def summed(of: list, kind: int, name: str) -> int:
@@ -830,11 +831,11 @@ def fit(docs: DataFrame, learn: Column, burn_in: int = BURN_IN, samples: int = S
     known = many.filter(F.col("kind") == MANY).select(*pairs.columns).unionByName(pairs.filter(F.col("kind") == LONE))
     others = _met(open_.unionByName(rows.filter("c = 1")), state, often, 1)
     model = materialize(known.mapInArrow(_released(_gains_known(found, d, samples)), PAIR_MODEL).unionByName(
-        others.mapInArrow(_released(_gains_open(found, d, d0, samples, kept)), PAIR_MODEL)), "py-model")
+        others.mapInArrow(_released(_gains_open(found, d, d0, samples, kept)), PAIR_MODEL)), "py-model", "zstd")
     found.unpersist()
     parts = counts.filter(F.col("kind") == WORD).select("kind", "bucket", "keys", "n").unionByName(state, allowMissingColumns=True)
     parts = _dealt(parts.select(F.lit(WORD).alias("kind"), "bucket", F.col("kind").alias("side"), "keys", "n", "ones", "now", "t", "kept"))
-    table = materialize(parts.mapInArrow(_released(_word_model(d, d0, samples, kept, unseen)), WORD_MODEL), "py-words")
+    table = materialize(parts.mapInArrow(_released(_word_model(d, d0, samples, kept, unseen)), WORD_MODEL), "py-words", "zstd")
     discard(counts, state, *written)
     return {"words": table.mapInArrow(_released(_word_rows, False), "w long, c long, p0s array<double>, k long, ms array<double>"),
             "pairs": model.mapInArrow(_released(_pair_rows, False), "key long, n long, more float, most float"),
@@ -881,8 +882,8 @@ def _head(model: dict) -> dict:
 #: Kinds of packed rows while scoring, besides the tables WORD, PAIR and (words as contexts) CONTEXT: documents, and sums by row.
 DOC, SUM = 4, 5
 #: Rows while scoring.  side 0: of a table; 1: tokens that ask for their key (vals: what is known); 2: for both words (us: the word before).
-#: A row's id is its task and, in the lower half, its place there and whether it was learned from; ids has only that half.
-ASKS = "kind int, bucket int, side int, task int, keys binary, ids binary, rows binary, us binary, vals binary, row long"
+#: A row's id is its task and, in the lower half, its place there and whether it was learned from; ids are 16-bit distances from the id in ``row``.
+ASKS = "kind int, bucket int, side int, keys binary, ids binary, rows binary, us binary, vals binary, row long"
 FOUND = "n_tokens long, n_known long, logp double, logc double"
 
 
@@ -902,11 +903,34 @@ class _Asked:
         if self.size:
             keys, *cols = (np.concatenate(c) for c in zip(*self.parts, strict=True))
             self.parts, self.size = [], 0
-            yield self.side, _packed(self.kind, keys, by=None if self.kind == PAIR else _cell(keys), **dict(zip(self.names, cols, strict=True)))
+            if self.kind == PAIR:
+                yield self.side, _near(keys, *cols)
+            else:
+                yield self.side, _packed(self.kind, keys, by=_cell(keys), **dict(zip(self.names, cols, strict=True)))
+
+
+def _near(keys: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
+    """Packed pairs that rows ask for, the rows as distances from the first if 16 bits have room for them."""
+    first = int(rows.min())
+    if int(rows.max()) - first >= 1 << 16:
+        return _packed(PAIR, keys, rows=rows)
+    out = _packed(PAIR, keys, ids=(rows - first).astype(np.uint16))
+    return out.append_column("row", pa.array(np.full(out.num_rows, first, np.int64)))
+
+
+def _rows_asking(asked: pa.RecordBatch) -> np.ndarray:
+    """The ids of the rows of ``_near``."""
+    near = asked["ids"].is_valid().to_numpy(zero_copy_only=False)
+    sizes = np.asarray(pc.fill_null(pc.binary_length(asked["keys"]), 0)) // 8
+    out, of = np.zeros(int(sizes.sum()), np.int64), np.repeat(near, sizes)
+    first = np.asarray(asked["row"].fill_null(0))
+    out[of] = np.repeat(first[near], sizes[near]) + _flat(asked["ids"], np.uint16)
+    out[~of] = _flat(asked["rows"])
+    return out
 
 
 def _asks_types(row) -> dict:
-    return dict.fromkeys(("kind", "bucket", "side", "task"), pa.int32()) | dict.fromkeys(("keys", "ids", "rows", "us", "vals"), pa.binary()) | {
+    return dict.fromkeys(("kind", "bucket", "side"), pa.int32()) | dict.fromkeys(("keys", "ids", "rows", "us", "vals"), pa.binary()) | {
         "row": pa.int64(), "_row": row, "n_tokens": pa.int64(), "n_known": pa.int64(), "logp": pa.float64(), "logc": pa.float64()}
 
 
@@ -915,11 +939,11 @@ def _score_head(shared):
     def run(batches):
         m, task, rows, of = shared.value, TaskContext.get().partitionId(), 0, None
         by_word, by_both = _Asked(WORD, 1, "rows", "vals"), _Asked(WORD, 2, "rows", "us")
-        by_context, by_pair = _Asked(CONTEXT, 1, "rows", "vals"), _Asked(PAIR, 1, "ids")
+        by_context, by_pair = _Asked(CONTEXT, 1, "rows", "vals"), _Asked(PAIR, 1, "rows")
 
         def sent(asked):
             for side, packed in asked:
-                yield _aligned(_as_bytes(packed), of, side=side, task=task)
+                yield _aligned(_as_bytes(packed), of, side=side)
 
         for batch in chunks(batches, limit=CHUNK):
             of = of or _asks_types(batch.schema.field("_row").type)
@@ -928,7 +952,8 @@ def _score_head(shared):
             learn = own[row]
             places = (rows + np.arange(n)) * 2 + own
             rows += n
-            ids = places[row].astype(np.int32)
+            places |= task << 32
+            ids = places[row]
             words = np.concatenate((keys, np.array([START], np.int64)))
             at = _place(words, m, "w")
             w, u = at[code], at[prev]
@@ -944,7 +969,7 @@ def _score_head(shared):
             yield from sent(by_pair.add(key[asks], ids[asks]))
             for to, which in ((by_word, ~has_w & has_u), (by_context, has_w & ~has_u), (by_both, ~has_w & ~has_u)):
                 left = np.flatnonzero(which)
-                of_word, of_before, of_row = keys[code[left]], words[prev[left]], (task << 32) | ids[left].astype(np.int64)
+                of_word, of_before, of_row = keys[code[left]], words[prev[left]], ids[left]
                 if to is by_word:
                     yield from sent(to.add(of_word, of_row, np.column_stack((m["ms"][u[left]], of_u[left])).astype(np.float32)))
                 elif to is by_context:
@@ -952,9 +977,9 @@ def _score_head(shared):
                 else:
                     yield from sent(to.add(of_word, of_row, of_before))
             yield _aligned(pa.RecordBatch.from_arrays(
-                [batch["_row"], *(pa.array(x) for x in ((places % (1 << BUCKETS)).astype(np.int32), (task << 32) | places, np.bincount(row, minlength=n),
+                [batch["_row"], *(pa.array(x) for x in ((places % (1 << BUCKETS)).astype(np.int32), places, np.bincount(row, minlength=n),
                                                         np.bincount(row, has_w, n).astype(np.int64), np.bincount(row, logp, n), np.bincount(row, logc, n)))],
-                names=["_row", "bucket", "row", "n_tokens", "n_known", "logp", "logc"]), of, kind=DOC, side=0, task=task)
+                names=["_row", "bucket", "row", "n_tokens", "n_known", "logp", "logc"]), of, kind=DOC, side=0)
         for to in (by_word, by_both, by_context, by_pair):
             yield from sent(to.out())
     return run
@@ -974,11 +999,8 @@ def _pairs_asked(rows: pa.RecordBatch) -> pa.RecordBatch:
     """Sums of what pairs add that were seen more often."""
     table, asked = _sides(rows, 0, 1)
     at = _found(_flat(asked["keys"]), _flat(table["keys"]))
-    ids = asked["ids"]
-    sizes = np.asarray(pc.fill_null(pc.binary_length(ids), 0)) // 4
     hit = np.flatnonzero(at >= 0)
-    at = at[hit]
-    ids = ((np.repeat(np.asarray(asked["task"]).astype(np.int64), sizes) << 32) | _flat(ids, np.int32).astype(np.int64))[hit]
+    at, ids = at[hit], _rows_asking(asked)[hit]
     p = np.where((ids & 1).astype(bool), _flat(table["more"], np.float32)[at] if len(at) else 0.0, _flat(table["most"], np.float32)[at] if len(at) else 0.0)
     return _sums_by_row(ids, p.astype(np.float64), np.zeros(len(ids)), np.zeros(len(ids)))
 
@@ -1070,7 +1092,7 @@ def _score(docs: DataFrame, learn: Column, **kw) -> DataFrame:
     pairs = pairs.mapInArrow(_released(_from_step("n", model["least"][PAIR], False, COUNTED_PAIRS)), PAIR_MODEL).drop("n")
     words = words.mapInArrow(_released(_from_step("c", model["least"][WORD], False, COUNTED_WORDS)), WORD_MODEL)
     found = asked.unionByName(pairs.select("*", side), allowMissingColumns=True).unionByName(words.select("*", side), allowMissingColumns=True)
-    found = materialize(_dealt(found).mapInArrow(_released(_answers(d, unseen), False), schema), "py-found")
+    found = materialize(_dealt(found).mapInArrow(_released(_answers(d, unseen), False), schema), "py-found", "zstd")
     head.unpersist()
     sums = found.filter(F.col("kind").isin(SUM, CONTEXT)).select("kind", "bucket", "side", "keys", "rows", "vals")
     sums = sums.unionByName(words.select(F.lit(CONTEXT).alias("kind"), "bucket", side, "keys", "k", "ms"), allowMissingColumns=True)

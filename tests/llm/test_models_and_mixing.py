@@ -374,3 +374,31 @@ def test_pitman_yor_odd_rows(spark):
     assert len(got) == len(ODD) and all(r["n_tokens"] == 1 for r in got if r["doc_id"] in (1, 2, 3))
     assert pitman_yor.score(frame(spark, []), ~held_column()).count() == 0
     assert all(math.isfinite(r["score"]) for r in pitman_yor.score(frame(spark, ODD), F.lit(False)).collect())
+
+
+def test_pitman_yor_pairs_name_the_rows_that_ask():
+    keys = np.random.default_rng(7).integers(-2**62, 2**62, 500)
+    for step in (1, 900):  # near each other, and too far apart for 16 bits
+        rows = (5 << 32) + np.arange(500) * step
+        packed = pitman_yor._as_bytes(pitman_yor._near(keys, rows))
+        of = pitman_yor._asks_types(pa.struct([("id", pa.int64())]))
+        asked = pitman_yor._aligned(packed, of, side=1)
+        got = dict(zip(pitman_yor._flat(asked["keys"]).tolist(), pitman_yor._rows_asking(asked).tolist(), strict=True))
+        assert got == dict(zip(keys.tolist(), rows.tolist(), strict=True))
+        assert (asked["ids"].null_count == 0) == (step == 1)
+
+
+def test_pitman_yor_counts_travel_as_bytes():
+    keys = np.array([5, 9, 5, 7, 9, 9])
+    n = np.array([1, 4, 1, 1, 1, 1 << pitman_yor.ASKED])
+    got = [x.tolist() for x in pitman_yor._tallied(keys, n)]
+    assert got == [[5, 7, 9], [2, 1, 5 + (1 << pitman_yor.ASKED)], [2, 1, 1], [2, 1, 3]]
+    lists = pitman_yor._counts(pitman_yor.PAIR, keys, n)
+    sent = pitman_yor._as_bytes(lists)
+    assert all(not pa.types.is_list(t) for t in sent.schema.types)  # lists were turned into rows number by number
+    for part, other in ((sent, lists), (sent.slice(1, 2), lists.slice(1, 2))):
+        for x in ("keys", "n"):
+            assert pitman_yor._flat(part[x]).tolist() == pitman_yor._flat(other[x]).tolist()
+    h = keys.view(np.uint64)
+    assert (pitman_yor._unmix(pitman_yor.mix(h)) == h).all()
+    assert pitman_yor._found(np.array([9, 1, 5]), np.array([5, 7, 9])).tolist() == [2, -1, 0]
