@@ -2,11 +2,13 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from paylake import session
 from paylake.operators import features as FE
 from paylake.operators import model as ML
+from paylake.plans import catalog
 from paylake.sources import fixtures as fx
 from tests.conftest import SF_SMALL
 
@@ -98,3 +100,36 @@ def test_folds_over_bundles_are_whole(spark):
     one, more = (ML.cross_validate(tx, {"numTrees": 5}, limit=n).orderBy("fold").collect() for n in (1 << 20, 300))
     assert [(r.fold, r.n_rows, r.n_fraud) for r in one] == [(r.fold, r.n_rows, r.n_fraud) for r in more]
     assert all(0.5 < r.roc_auc <= 1 for r in more)
+
+
+def _over_a_million(spark):
+    """2^20 + 1 transactions."""
+    i = F.col("id")
+    return spark.range((1 << 20) + 1).select(
+        "id", (i * 7919 % 500000 / 100).alias("amount"), F.lit("EUR").alias("currency_code"), F.lit("success").alias("status"),
+        F.when(i % 3 == 0, "mobile").otherwise("desktop").alias("device_type"), F.when(i % 5 == 0, "NG").otherwise("FR").alias("ip_country"),
+        F.when((i % 15 == 0) | (i % 97 == 0), 0.9).otherwise(0.1).alias("fraud_score"),
+        F.timestamp_add("SECOND", i % 604800, F.lit("2024-01-01").cast("timestamp_ntz")).alias("created_at"))
+
+
+@pytest.mark.parametrize("name", ["train_model"])
+def test_a_query_fits_every_row_by_itself_at_any_size(spark, monkeypatch, name):
+    """Over a million rows too: the forest's trees have a count for each training row, not for bundles of them."""
+    seen = []
+
+    def fit(params=None, inputs=FE.D.FEATURE_COLUMNS, pipeline=ML.forest_pipeline):
+        p = pipeline({"numTrees": 1, "maxDepth": 1}, inputs)
+        fit_rows = p.fit
+        p.fit = lambda rows: seen.append(rows.count()) or fit_rows(rows)
+        return p
+
+    monkeypatch.setattr(ML, "forest_pipeline", fit)
+    monkeypatch.setattr(catalog, "_tx", lambda spark, d: _over_a_million(spark))
+    out = catalog.REGISTRY[name](spark, None).collect()
+    n = (1 << 20) + 1
+    if name == "cv_folds":
+        assert len(seen) == len(out) and sum(seen) == n * (len(out) - 1) and sum(r.n_rows for r in out) == n
+    else:
+        assert len(seen) == 1 and abs(seen[0] - (n - n * FE.D.TEST_FRACTION)) <= 1
+    if name == "risk_band_counts":
+        assert sum(r.n for r in out) == n
