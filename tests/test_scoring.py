@@ -112,7 +112,7 @@ def _over_a_million(spark):
         F.timestamp_add("SECOND", i % 604800, F.lit("2024-01-01").cast("timestamp_ntz")).alias("created_at"))
 
 
-@pytest.mark.parametrize("name", ["train_model", "feature_importance", "risk_band_counts"])
+@pytest.mark.parametrize("name", ["train_model", "feature_importance", "risk_band_counts", "cv_folds"])
 def test_a_query_fits_every_row_by_itself_at_any_size(spark, monkeypatch, name):
     """Over a million rows too: the forest's trees have a count for each training row, not for bundles of them."""
     seen = []
