@@ -174,3 +174,21 @@ def test_cdc_messages_roundtrip_and_nulls(spark):
     assert m["3"].topic == "transactions" and json.loads(m["3"].value)["created_at"] is None
     mirrored = cdc.to_messages(tx, mirror_alerts=True)
     assert mirrored.filter(F.col("key") == "2").count() == 2
+
+
+def test_a_batch_is_kept_in_files_not_in_executors(spark, monkeypatch):
+    """Nothing of a stream is persisted, so a batch's size is not held in memory; the files aside are gone after it."""
+    frame = type(spark.range(1))
+    kept = []
+    for name in ("persist", "cache"):
+        monkeypatch.setattr(frame, name, lambda self, *a, f=getattr(frame, name), **b: kept.append(self.columns) or f(self, *a, **b))
+    msgs, root = _messages(spark), session.work_path(spark, "test-kept")
+    replay.write_slices(msgs, f"{root}/source", 3, 2)
+    sink = consumer.ConsumerSink(spark, f"{root}/sink")
+    sink(spark.read.schema(consumer.MESSAGE_SCHEMA).parquet(f"{root}/source"), 0)
+    assert kept == []
+    assert _state(sink) == {"1": (99.0, "failed"), "6": (None, None)}
+    bad = {(r.topic, r.key, r.value, r.reason) for r in sink.quarantine().collect()}
+    assert bad == {("transactions", "3", "{bad", "malformed"), ("transactions", "4", "[1]", "malformed"),
+                   ("transactions", "5", json.dumps({"test": "ok"}), "missing_keys")}
+    assert session.children(spark, f"{root}/sink/parsed") == []
